@@ -112,3 +112,124 @@ select batch_year, object_type, count(*) as nb_detections from fx_det_tagged whe
 group by batch_year, object_type""", "fx_det_tagged"))
 def q_class_evolution(spark, sf_dir):
     return cohort.class_evolution(Fixtures(spark, sf_dir).fx_det_tagged)
+
+
+# ---------------------------------------------------------------- spatial: S1, S2, S3, C1, S9
+from pyspark.sql import functions as F  # noqa: E402
+
+from vigie.operators import spatial  # noqa: E402
+from vigie.sources import layers  # noqa: E402
+
+CELL = layers.FIXTURE_CELL
+
+
+def _within_box(a: str, b: str) -> str:
+    return f"({a}.minx >= {b}.minx and {a}.maxx <= {b}.maxx and {a}.miny >= {b}.miny and {a}.maxy <= {b}.maxy)"
+
+
+def _within_risk(a: str, r: str) -> str:
+    return (f"({_within_box(a, r)} and not (least({a}.maxx, {r}.hx1) > greatest({a}.minx, {r}.hx0) "
+            f"and least({a}.maxy, {r}.hy1) > greatest({a}.miny, {r}.hy0)))")
+
+
+def _meets(a: str, b: str) -> str:
+    return f"({a}.minx <= {b}.maxx and {b}.minx <= {a}.maxx and {a}.miny <= {b}.maxy and {b}.miny <= {a}.maxy)"
+
+
+def _overlap(a: str, b: str) -> str:
+    ox = f"(least({a}.maxx, {b}.maxx) - greatest({a}.minx, {b}.minx))"
+    oy = f"(least({a}.maxy, {b}.maxy) - greatest({a}.miny, {b}.miny))"
+    return f"(case when {ox} > 0 and {oy} > 0 then {ox} * {oy} else 0 end)"
+
+
+def _area(a: str) -> str:
+    return f"(({a}.maxx - {a}.minx) * ({a}.maxy - {a}.miny))"
+
+
+@register("S1_zone_tag", with_fixtures(f"""
+select d.id, cast(z.geozone_id as bigint) as zone_id from fx_detection d join fx_commune z on {_within_box('d', 'z')}
+union all
+select d.id, cast(r.zone_id as bigint) as zone_id from fx_detection d join fx_risk r on {_within_risk('d', 'r')}""",
+                                        "fx_detection", "fx_commune", "fx_risk"))
+def q_zone_tag(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return spatial.zone_tag(layers.detection_layer(fx.fx_detection), layers.zone_layer(fx.fx_commune, fx.fx_risk), CELL)
+
+
+@register("S2_match_parcel", with_fixtures(f"""
+select d.id, p2.id_parcellaire from fx_detection d
+left join (select d.id, min(p.id) as pid from fx_detection d join fx_parcel p on {_meets('d', 'p')} group by d.id) m on m.id = d.id
+left join fx_parcel p2 on p2.id = m.pid""", "fx_detection", "fx_parcel"))
+def q_match_parcel(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    det = layers.detection_layer(fx.fx_detection)
+    return spatial.match_parcel(det, layers.parcel_layer(fx.fx_parcel), CELL).select("id", "id_parcellaire")
+
+
+@register("S3_first_detection", with_fixtures(f"""
+select t.id, not exists (select 1 from fx_detection e where e.batch_year < t.batch_year and 2 * {_overlap('t', 'e')} > {_area('t')}) as first_detection
+from fx_detection t""", "fx_detection"))
+def q_first_detection(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    det = layers.detection_layer(fx.fx_detection, keep=("batch_year",))
+    return spatial.first_detection(det, CELL, seq_col="batch_year").select("id", "first_detection")
+
+
+def load_configs(fx_commune):
+    """One configuration per commune: its four survey batches (batch id = survey year), risk zones 351/352/361."""
+    batches = F.array(*[F.struct(F.lit(y).alias("batch_id"), F.lit(y).alias("batch_year"), F.lit(i).alias("idx"))
+                        for i, y in enumerate((2015, 2018, 2021, 2024))])
+    return fx_commune.select(F.col("geozone_id").cast("long").alias("geozone_id"), F.inline(batches)).select(
+        "geozone_id", "batch_id", "batch_year",
+        F.lit(351).cast("long").alias("ze_zone_id"), F.lit(352).cast("long").alias("zr_zone_id"), F.lit(361).cast("long").alias("zan_zone_id"),
+        (F.col("geozone_id") * 10 + F.col("idx")).alias("load_seq"),
+    )
+
+
+def _loaded(fx: Fixtures):
+    inf = layers.detection_layer(fx.fx_detection.withColumnRenamed("batch_year", "batch_id"), keep=("score", "object_type", "batch_id"))
+    return spatial.load_detections(inf, layers.parcel_layer(fx.fx_parcel), layers.zone_layer(fx.fx_commune, fx.fx_risk),
+                                   load_configs(fx.fx_commune), CELL)
+
+
+ORACLE_LOADED = f"""
+with cfg as (
+  select cast(c.geozone_id as bigint) as geozone_id, b.batch_id, b.batch_year, cast(c.geozone_id as bigint) * 10 + b.idx as load_seq
+  from fx_commune c cross join (values (2015, 2015, 0), (2018, 2018, 1), (2021, 2021, 2), (2024, 2024, 3)) b(batch_id, batch_year, idx)),
+inf as (select * from fx_detection where score > 0.3 and object_type in ('construction en dur', 'piscine', 'mobil home', 'caravane',
+  'construction legere yourte etc.', 'container', 'installation legere')),
+cand as (
+  select i.*, cfg.geozone_id, cfg.batch_year as year_cfg, cfg.load_seq from inf i
+  join cfg on i.batch_year = cfg.batch_id
+  join fx_commune z on cast(z.geozone_id as bigint) = cfg.geozone_id and {_within_box('i', 'z')}
+  where exists (select 1 from fx_risk r where r.zone_id in (351, 352, 361) and {_within_risk('i', 'r')})),
+pm as (select i.id, min(p.id) as pid from inf i join fx_parcel p on {_meets('i', 'p')} group by i.id),
+loaded as (
+  select cand.*, p2.id_parcellaire from cand left join pm on pm.id = cand.id left join fx_parcel p2 on p2.id = pm.pid),
+stats_det as (
+  select t.id, t.score,
+    case when t.object_type in ('construction en dur', 'construction legere yourte etc.', 'container', 'installation legere')
+      then 'construction en dur' else t.object_type end as object_type,
+    t.geozone_id, t.year_cfg as batch_year, t.id_parcellaire, t.minx, t.miny, t.maxx, t.maxy,
+    not exists (select 1 from loaded e where e.load_seq < t.load_seq and 2 * {_overlap('t', 'e')} > {_area('t')}) as first_detection
+  from loaded t)
+"""
+
+
+@register("C1_load_detections", with_fixtures(ORACLE_LOADED + """
+select id, score, object_type, geozone_id, batch_year, id_parcellaire, first_detection from stats_det""",
+                                              "fx_detection", "fx_commune", "fx_risk", "fx_parcel"))
+def q_load_detections(spark, sf_dir):
+    return _loaded(Fixtures(spark, sf_dir)).select("id", "score", "object_type", "geozone_id", "batch_year", "id_parcellaire", "first_detection")
+
+
+@register("S9_prescribed_by_history", with_fixtures(ORACLE_LOADED + f"""
+select a.id, a.batch_year, a.id_parcellaire, a.object_type, a.geozone_id,
+  cast(count(distinct b.batch_year) as bigint) as count_histo_6y_detection, count(distinct b.batch_year) >= 1 as prescripted_detection
+from stats_det a left join stats_det b on a.id_parcellaire = b.id_parcellaire and a.batch_year - b.batch_year >= 6
+  and {_overlap('a', 'b')} / nullif({_area('a')}, 0) >= 0.5
+where a.object_type in ('construction en dur', 'piscine')
+group by a.id, a.batch_year, a.id_parcellaire, a.object_type, a.geozone_id""", "fx_detection", "fx_commune", "fx_risk", "fx_parcel"))
+def q_prescribed_by_history(spark, sf_dir):
+    h = spatial.prescribed_by_history(_loaded(Fixtures(spark, sf_dir)), CELL)
+    return h.select("id", "batch_year", "id_parcellaire", "object_type", "geozone_id", "count_histo_6y_detection", "prescripted_detection")
