@@ -43,6 +43,14 @@ def parcel_presence(det: DataFrame, years, keep_null_parcels: bool = False) -> D
     return d.groupBy(ZONE, PARCEL).agg(*[F.max((F.col(YEAR) == y).cast("int")).alias(_flag(y)) for y in years])
 
 
+def _none_of(years) -> Column:
+    """No presence flag set among ``years``."""
+    cond = F.lit(True)
+    for y in years:
+        cond = cond & (F.col(_flag(y)) == 0)
+    return cond
+
+
 def _count_parcels(cond: Column) -> Column:
     """Distinct non-null parcels of a zone meeting ``cond`` (rows are already distinct per parcel)."""
     return F.sum(F.when(F.col(PARCEL).isNotNull() & cond, 1).otherwise(0)).cast("long")
@@ -66,7 +74,7 @@ def new_parcels(det: DataFrame, year: int, baseline) -> DataFrame:
     """C4: parcels present in ``year`` and absent from every baseline year, per zone (NULL parcels never count)."""
     baseline = list(baseline)
     p = parcel_presence(det, [year, *baseline])
-    absent = F.greatest(*[F.col(_flag(b)) for b in baseline]) == 0 if baseline else F.lit(True)
+    absent = _none_of(baseline)
     return (
         p.groupBy(ZONE)
         .agg(_count_parcels((F.col(_flag(year)) == 1) & absent).alias("nb_new_parcels"))
@@ -196,7 +204,7 @@ def evolution_commune(pv: DataFrame, det: DataFrame, mapping: DataFrame, parcel_
         aggs.append(F.max(F.col(_flag(y))).alias(f"rows_{y}"))
         aggs.append(_count_parcels(F.col(_flag(y)) == 1).alias(f"cnt_{y}"))
     for label, a, b, base, _ in periods:
-        absent = F.greatest(*[F.col(_flag(x)) for x in base]) == 0
+        absent = _none_of(base)
         aggs.append(_count_parcels((F.col(_flag(b)) == 1) & absent).alias(f"new_{label}"))
         aggs.append(_count_parcels((F.col(_flag(a)) == 1) & (F.col(_flag(b)) == 0)).alias(f"clr_{label}"))
     per_zone = p.groupBy(ZONE).agg(*aggs)
@@ -211,7 +219,7 @@ def evolution_commune(pv: DataFrame, det: DataFrame, mapping: DataFrame, parcel_
         *[F.sum(F.when(F.col("year").between(r[0], r[1]), F.col("nb_pv")).otherwise(0)).cast("long").alias(f"pv_{label}")
           for label, _, _, _, r in periods]
     )
-    m = mapping.select(F.col("id").alias(ZONE), "department_name", "geozone_code")
+    m = mapping.select(F.col("id").alias(ZONE), F.col("id").alias("_map_id"), "department_name", "geozone_code")
     spa = parcel_stats.select(ZONE, "nb_parcels", "nb_parcels_in_ze")
     base = pv_sums.join(per_zone, ZONE, "left").join(m, ZONE, "left").join(spa, ZONE, "left")
     out = None
@@ -219,13 +227,13 @@ def evolution_commune(pv: DataFrame, det: DataFrame, mapping: DataFrame, parcel_
         part = base.select(
             "department_name",
             "geozone_code",
-            ZONE,
+            F.col(ZONE).cast("long").alias(ZONE),
             F.col(f"pv_{label}").alias("nb_pv_period"),
             stock(a).alias("situation_parcelles_cabanisees_debut_periode"),
             stock(b).alias("situation_parcelles_cabanisees_fin_periode"),
             nonzero(f"new_{label}").alias("situation_nouvelles_parcelles_cabanisees_periode"),
             nonzero(f"clr_{label}").alias("situation_parcelles_remises_en_etat_periode"),
-            engagement_group(F.col("department_name"), F.col(ZONE), label, check_department=(i == 0)).alias("groupe"),
+            engagement_group(F.col("department_name"), F.col("_map_id"), label, check_department=(i == 0)).alias("groupe"),
             F.lit(label).alias("periode"),
             F.col("nb_parcels").cast("long").alias("nb_parcels"),
             F.col("nb_parcels_in_ze").cast("long").alias("nb_parcels_in_ze"),
@@ -290,20 +298,27 @@ def zone_scores(wide: DataFrame) -> DataFrame:
     )
 
 
-def commune_report_wide(evo_commune: DataFrame, pv: DataFrame) -> DataFrame:
-    """Pivot the commune report to one row per zone (input of C17), with both PV period sums."""
-    e = evo_commune
-    late = e.where(F.col("periode") == "2021-2023").select(
+def commune_report_wide(parcel_stats: DataFrame, evo_commune: DataFrame, pv: DataFrame) -> DataFrame:
+    """Input of C17: parcel statistics left-joined to the commune report's 2021-2023 row and both PV period sums."""
+    late = evo_commune.where(F.col("periode") == "2021-2023").select(
         ZONE,
-        "nb_parcels",
-        "nb_parcels_in_ze",
         F.col("situation_parcelles_cabanisees_debut_periode").alias("stock_2021"),
         F.col("situation_parcelles_cabanisees_fin_periode").alias("stock_2024"),
         F.col("situation_nouvelles_parcelles_cabanisees_periode").alias("new_2024"),
         F.col("situation_parcelles_remises_en_etat_periode").alias("cleared_2024"),
     )
-    sums = pv_by_period(pv, 2018, 2020, "nb_pv_2018_2020").join(pv_by_period(pv, 2021, 2023, "nb_pv_2021_2023"), ZONE)
-    return late.join(sums, ZONE, "left")
+    sums = pv.groupBy(ZONE).agg(
+        F.sum(F.when(F.col("year").between(2018, 2020), F.col("nb_pv")).otherwise(0)).cast("long").alias("nb_pv_2018_2020"),
+        F.sum(F.when(F.col("year").between(2021, 2023), F.col("nb_pv")).otherwise(0)).cast("long").alias("nb_pv_2021_2023"),
+    )
+    return parcel_stats.select(ZONE, "nb_parcels", "nb_parcels_in_ze").join(late, ZONE, "left").join(sums, ZONE, "left")
+
+
+def pearson(a: Column, b: Column) -> Column:
+    """Pairwise-complete Pearson r; NULL (not an ANSI error) when a column has no variance."""
+    sa = F.stddev_pop(F.when(b.isNotNull(), a))
+    sb = F.stddev_pop(F.when(a.isNotNull(), b))
+    return F.try_divide(F.covar_pop(a, b), sa * sb)
 
 
 def score_correlation(scores: DataFrame, cols=SCORE_COLUMNS) -> DataFrame:
@@ -313,9 +328,147 @@ def score_correlation(scores: DataFrame, cols=SCORE_COLUMNS) -> DataFrame:
     """
     cols = list(cols)
     pairs = [(a, b) for a in cols for b in cols]
-    aggs = [F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
+    aggs = [F.round(pearson(F.col(a), F.col(b)), 9).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
     wide = scores.agg(*aggs)
     stack = "stack({n}, {items}) as (a, b, r)".format(
         n=len(pairs), items=", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(pairs))
     )
     return wide.selectExpr(stack)
+
+
+# ---------------------------------------------------------------- review status KPIs
+# Review statuses and the validity rule of reviewable detections.
+SUSPECT, LEGITIMATE, DNV, PRESCRIBED = "SUSPECT", "LEGITIMATE", "DETECTED_NOT_VERIFIED", "PRESCRIBED"
+STATUS_CLASSES = ["Construction en dur", "Piscine", "Mobil-home", "Caravane", "Installation Legere"]
+
+
+def reviewable(score: Column, validation: Column, prescription: Column, min_score: Column) -> Column:
+    """SUSPECT, or LEGITIMATE, or (DETECTED_NOT_VERIFIED and score > threshold and not PRESCRIBED)."""
+    not_prescribed = prescription.isNull() | (prescription != PRESCRIBED)
+    return (validation == SUSPECT) | (validation == LEGITIMATE) | ((validation == DNV) & (score > min_score) & not_prescribed)
+
+
+def parcel_status(detections: DataFrame, data: DataFrame, objects: DataFrame, types: DataFrame, zone_names: DataFrame,
+                  in_risk: DataFrame, thresholds: DataFrame, classes=STATUS_CLASSES) -> DataFrame:
+    """Per (tileset, commune), distinct parcels having suspect / not-verified / legitimate reviewable detections,
+    and parcels without suspect but with one of the other two.
+
+    ``in_risk``: ids of detections within at least one risk zone (S1 filter form). ``thresholds``: (tile_set_id,
+    min_score) — a tileset absent from it is not reported.
+    """
+    from vigie.plans.broadcast import seed
+
+    d = (
+        detections.select("id", "tile_set_id", "score", "detection_data_id", "detection_object_id")
+        .join(seed(thresholds), "tile_set_id")
+        .join(in_risk, "id", "left_semi")
+        .join(data.select(F.col("id").alias("detection_data_id"), "detection_validation_status", "detection_prescription_status"),
+              "detection_data_id", "left")
+        .join(objects.select(F.col("id").alias("detection_object_id"), "object_type_id", "parcel_id", "commune_id"), "detection_object_id", "left")
+        .join(types.select(F.col("id").alias("object_type_id"), F.col("name_n").alias("type_name")), "object_type_id", "left")
+        .where(F.col("type_name").isin(list(classes)))
+        .where(reviewable(F.col("score"), F.col("detection_validation_status"), F.col("detection_prescription_status"), F.col("min_score")))
+    )
+    v = F.col("detection_validation_status")
+    flags = d.groupBy("tile_set_id", "commune_id", "parcel_id").agg(
+        F.bool_or(v == SUSPECT).alias("has_suspect"), F.bool_or(v == LEGITIMATE).alias("has_legitimate"), F.bool_or(v == DNV).alias("has_dnv")
+    )
+    names = zone_names.select(F.col("id").alias("commune_id"), F.col("name").alias("commune_name"))
+
+    def cnt(cond):
+        return F.countDistinct(F.when(cond, F.col("parcel_id"))).alias
+
+    return flags.join(names, "commune_id", "left").groupBy("commune_name", "tile_set_id", "commune_id").agg(
+        cnt(F.col("has_suspect"))("parcels_with_suspect"),
+        cnt(F.col("has_dnv"))("parcels_with_dnv"),
+        cnt(F.col("has_legitimate"))("parcels_with_legit"),
+        cnt(~F.col("has_suspect") & (F.col("has_legitimate") | F.col("has_dnv")))("parcels_with_legit_and_dnv_no_suspect"),
+    )
+
+
+def yearly_average_status(detections: DataFrame, data: DataFrame, objects: DataFrame, communes: DataFrame, column: str,
+                          value: str, tileset: int, year: int, span: int = 3, name: str = "nb_status_updates") -> DataFrame:
+    """Detections per commune of one tileset whose ``column`` equals ``value``, integer-divided by the survey
+    interval ``span`` and stamped with ``year``. ``communes``: the selected communes (geozone_ptr_id)."""
+    d = (
+        detections.where(F.col("tile_set_id") == tileset)
+        .join(data.select(F.col("id").alias("detection_data_id"), column), "detection_data_id")
+        .where(F.col(column) == value)
+        .join(objects.select(F.col("id").alias("detection_object_id"), "commune_id"), "detection_object_id")
+        .join(communes.select(F.col("geozone_ptr_id").alias("commune_id")), "commune_id", "left_semi")
+    )
+    return d.groupBy(F.col("commune_id").alias("geozone_id")).agg(F.count(F.lit(1)).alias("_n")).select(
+        F.col("geozone_id").cast("long").alias("geozone_id"), F.lit(year).alias("year"), F.floor(F.col("_n") / span).cast("long").alias(name)
+    )
+
+
+def parcels_per_department(parcels: DataFrame, communes: DataFrame, departments: DataFrame, zones: DataFrame) -> DataFrame:
+    """C14: parcels per department (name, insee code) through parcel → commune → department → zone."""
+    return (
+        parcels.select("commune_id")
+        .join(communes.select(F.col("geozone_ptr_id").alias("commune_id"), "department_id"), "commune_id")
+        .join(departments.select(F.col("geozone_ptr_id").alias("department_id"), "insee_code"), "department_id")
+        .join(zones.select(F.col("id").alias("department_id"), "name"), "department_id")
+        .groupBy("name", "insee_code")
+        .agg(F.count(F.lit(1)).alias("nb_parcels"))
+    )
+
+
+# Fixed values of the deployment report: a group re-assigned to a department by name, an excluded zone, planned
+# departments reported with 0 when absent.
+REASSIGNED_GROUP = ("Cabanisation Pic Saint Loup", "34", 2)
+EXCLUDED_ZONE = 1613
+PLANNED_DEPARTMENTS = [1540, 1547, 1551, 1580, 36156]
+
+
+def deployment_by_department(groups: DataFrame, planned: DataFrame) -> DataFrame:
+    """Distinct collectivity groups per department, plus planned departments with 0 that are NOT IN the result.
+
+    ``groups``: (name, user_group_type, geozone_id, dep_geozone_id) — user groups left-joined to their zones and the
+    zones' departments. The NOT IN is null-aware (SQL semantics): one NULL department in the aggregate removes every
+    planned row, so it is planned by Spark SQL as a null-aware anti join rather than a ``left_anti``.
+    """
+    name, _, dep_id = REASSIGNED_GROUP
+    deployed = groups.where(
+        F.col("geozone_id").isNotNull() & (F.col("user_group_type") == "COLLECTIVITY") & (F.col("geozone_id") != EXCLUDED_ZONE)
+    ).select("name", F.when(F.col("name") == name, F.lit(dep_id)).otherwise(F.col("dep_geozone_id")).cast("long").alias("dep_geozone_id"))
+    agg = deployed.groupBy("dep_geozone_id").agg(F.countDistinct("name").alias("nb_collectivity"))
+    spark = groups.sparkSession
+    extra = spark.sql(
+        "select cast(dep_geozone_id as bigint) as dep_geozone_id, cast(nb_collectivity as bigint) as nb_collectivity from {planned} "
+        "where dep_geozone_id not in (select dep_geozone_id from {agg})",
+        planned=planned, agg=agg,
+    )
+    return agg.select("dep_geozone_id", F.col("nb_collectivity").cast("long")).unionByName(extra)
+
+
+# Deployment state buckets and their map colours.
+STATE_COLORS = {
+    "Non planifié": "#f0f0f0",
+    "Déploiements à venir": "#ffcc99",
+    "Communes pilotes": "#cceeff",
+    "Généralisation en cours": "#99ddff",
+    "Généralisation avancée": "#3399ff",
+}
+DEFAULT_COLOR = "#ffffff"
+
+
+def deployment_state(coords: DataFrame, deployment: DataFrame, features: DataFrame) -> DataFrame:
+    """Per department feature: deployed count (−1 when not planned), state bucket, colour and label text.
+
+    ``coords``: (id, lat, lon) from ``zone_centroids``; ``deployment``: C15 output; ``features``: (id, name), inner join.
+    """
+    n = F.col("nb_collectivity")
+    state = (
+        F.when(n.isNull(), "Non planifié").when(n == 0, "Déploiements à venir").when((n > 0) & (n < 3), "Communes pilotes")
+        .when((n >= 3) & (n <= 5), "Généralisation en cours").otherwise("Généralisation avancée")
+    )
+    color = F.coalesce(F.create_map(*[x for kv in STATE_COLORS.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])[state], F.lit(DEFAULT_COLOR))
+    nb = F.coalesce(n, F.lit(-1)).cast("long")
+    d = coords.select(F.col("id").alias("dep_geozone_id"), "lat", "lon").join(deployment, "dep_geozone_id", "left")
+    d = d.select("dep_geozone_id", nb.alias("nb_collectivity"), state.alias("deployment_state"), color.alias("color"), "lat", "lon")
+    f = features.select(F.col("id").alias("dep_geozone_id"), "name")
+    out = f.join(d, "dep_geozone_id")
+    label = F.when(F.col("nb_collectivity") > -1, F.when(F.col("nb_collectivity") == 0, F.col("name"))
+                   .otherwise(F.concat(F.col("name"), F.lit(" : "), F.col("nb_collectivity").cast("string")))).otherwise(F.lit(""))
+    return out.withColumn("label", label)

@@ -159,3 +159,125 @@ def load_detections(inference: DataFrame, parcels: DataFrame, zones: DataFrame,
         "id", "score", "object_type", F.col("geozone_id").cast("long").alias("geozone_id"), "batch_year", "id_parcellaire",
         "first_detection", "load_seq", "rings", "minx", "miny", "maxx", "maxy", "is_rect", "area",
     ))
+
+
+def parcels_at_risk(parcels: DataFrame, communes: DataFrame, risk: DataFrame, cell: float, level: str = "commune") -> DataFrame:
+    """Per territory, parcel count and parcels within at least one risk zone.
+
+    ``parcels``: layer with keep columns commune_id, id_parcellaire. ``communes``: geozone_id, epci_id.
+    level 'commune': group = commune, nb_parcels = count(id_parcellaire) (NULLs not counted, repeats counted);
+    level 'epci': group = the commune's EPCI, nb_parcels = count(distinct id_parcellaire).
+    nb_parcels_in_ze = distinct parcel references within any risk zone. Driven by the risk side: a territory
+    without any parcel row inside a risk zone gives no row.
+    """
+    inside = C.within_pairs(parcels, risk, cell).select(F.col("fid").alias("id")).distinct()
+    if level == "commune":
+        p = parcels.select("id", F.col("commune_id").alias("geozone_id"), "id_parcellaire")
+        total = p.groupBy("geozone_id").agg(F.count("id_parcellaire").alias("nb_parcels"))
+    elif level == "epci":
+        p = parcels.join(communes.select(F.col("geozone_id").alias("commune_id"), "epci_id"), "commune_id") \
+            .select("id", F.col("epci_id").alias("geozone_id"), "id_parcellaire")
+        total = p.groupBy("geozone_id").agg(F.countDistinct("id_parcellaire").alias("nb_parcels"))
+    else:
+        raise ValueError(level)
+    ze = p.join(inside, "id", "left_semi").groupBy("geozone_id").agg(F.countDistinct("id_parcellaire").alias("nb_parcels_in_ze"))
+    return ze.join(total, "geozone_id", "left").select(
+        F.col("geozone_id").cast("long").alias("geozone_id"), F.col("nb_parcels").cast("long").alias("nb_parcels"),
+        F.col("nb_parcels_in_ze").cast("long").alias("nb_parcels_in_ze"),
+    )
+
+
+# ---------------------------------------------------------------- edge-table operators
+def edges(layer: DataFrame, keep=()) -> DataFrame:
+    """Directed ring edges (id, ring_no, x1, y1, x2, y2): one row per edge, so a very large zone spreads over tasks."""
+    r = layer.select("id", *keep, F.posexplode("rings").alias("ring_no", "ring"))
+    e = r.select("id", *keep, "ring_no", "ring", F.explode(F.sequence(F.lit(0), F.size("ring") - 1)).alias("i"))
+    a = F.col("ring")[F.col("i")]
+    b = F.col("ring")[(F.col("i") + 1) % F.size("ring")]
+    return e.select("id", *keep, "ring_no", a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2"))
+
+
+def dissolve(layer: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+    """S4 (coverage input): union of member polygons per group as its directed boundary edges.
+
+    ``groups``: (id, group_id); None = one global group 0. Each polygon contributes its directed edges; an edge shared by
+    two members appears once in each direction and cancels in ``groupBy(group, canonical edge)``; what remains is the
+    union's boundary. Requires exactly shared vertices between neighbours (a coverage); an empty group gives no row.
+    """
+    e = edges(layer)
+    g = e.join(groups, "id") if groups is not None else e.withColumn("group_id", F.lit(0).cast("long"))
+    fwd = (F.col("x1") < F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") < F.col("y2")))
+    canon = g.select(
+        "group_id",
+        F.when(fwd, F.col("x1")).otherwise(F.col("x2")).alias("ax"), F.when(fwd, F.col("y1")).otherwise(F.col("y2")).alias("ay"),
+        F.when(fwd, F.col("x2")).otherwise(F.col("x1")).alias("bx"), F.when(fwd, F.col("y2")).otherwise(F.col("y1")).alias("by"),
+        F.when(fwd, 1).otherwise(-1).alias("dir"),
+    )
+    net = canon.groupBy("group_id", "ax", "ay", "bx", "by").agg(F.sum("dir").alias("dir")).where(F.col("dir") != 0)
+    return net.select(
+        "group_id",
+        F.when(F.col("dir") > 0, F.col("ax")).otherwise(F.col("bx")).alias("x1"), F.when(F.col("dir") > 0, F.col("ay")).otherwise(F.col("by")).alias("y1"),
+        F.when(F.col("dir") > 0, F.col("bx")).otherwise(F.col("ax")).alias("x2"), F.when(F.col("dir") > 0, F.col("by")).otherwise(F.col("ay")).alias("y2"),
+        F.abs(F.col("dir")).alias("mult"),
+    )
+
+
+def edge_measures(e: DataFrame, key: str) -> DataFrame:
+    """Area, centroid and perimeter per key from directed boundary edges (shoelace sums as a plain groupBy)."""
+    cross = F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")
+    m = F.col("mult") if "mult" in e.columns else F.lit(1)
+    agg = e.groupBy(key).agg(
+        (F.sum(cross * m) / 2).alias("area"),
+        F.sum((F.col("x1") + F.col("x2")) * cross * m).alias("_sx"),
+        F.sum((F.col("y1") + F.col("y2")) * cross * m).alias("_sy"),
+        F.sum(F.sqrt((F.col("x2") - F.col("x1")) ** 2 + (F.col("y2") - F.col("y1")) ** 2) * m).alias("perimeter"),
+    )
+    return agg.select(key, "area", (F.col("_sx") / (F.col("area") * 6)).alias("cx"), (F.col("_sy") / (F.col("area") * 6)).alias("cy"), "perimeter")
+
+
+def zone_surface(layer: DataFrame) -> DataFrame:
+    """km² of each zone measured in projected web-mercator metres (latitude inflation reproduced as is)."""
+    from vigie.functions import geo
+
+    merc = layer.select("id", geo.to_web_mercator(F.col("rings")).alias("rings"))
+    m = edge_measures(edges(merc), "id")
+    return m.select(F.col("id"), (F.col("area") / 1e6).alias("surface_km2"))
+
+
+# Centroid overrides of four overseas departments (lat per id, one shared lon), excluded name.
+CENTROID_OVERRIDE_LAT = {36155: 51.0, 36156: 49.0, 36160: 45.0, 36161: 43.0}
+CENTROID_OVERRIDE_LON = -7.223655
+CENTROID_EXCLUDED_NAME = "Guyane"
+
+
+def zone_centroids(boundary_edges: DataFrame, zones: DataFrame, selected: DataFrame) -> DataFrame:
+    """Centroid (lon, lat) per selected zone from boundary edges (id-keyed, e.g. ``dissolve`` output renamed),
+    with the fixed per-id overrides, excluding the fixed name (a NULL name is excluded too).
+
+    ``zones``: (id, name); ``selected``: (id) of the zones to report (e.g. the department child table).
+    """
+    from vigie.plans.broadcast import seed
+
+    spark = zones.sparkSession
+    ov = seed(spark.createDataFrame([(k, v, CENTROID_OVERRIDE_LON) for k, v in CENTROID_OVERRIDE_LAT.items()], "id long, o_lat double, o_lon double"))
+    keep = zones.select("id", "name").where(F.col("name") != CENTROID_EXCLUDED_NAME).join(selected.select("id"), "id", "left_semi")
+    m = edge_measures(boundary_edges, "id")
+    return keep.join(m, "id").join(ov, "id", "left").select(
+        F.col("id").cast("long").alias("id"), "name",
+        F.coalesce(F.col("o_lon"), F.col("cx")).alias("lon"), F.coalesce(F.col("o_lat"), F.col("cy")).alias("lat"),
+    )
+
+
+def tile_cover(layer: DataFrame, zoom: int = 19, explode: bool = False) -> DataFrame:
+    """Slippy-map tile range of each zone's bbox (min_y from max_lat); optionally one row per tile."""
+    from vigie.functions import geo
+
+    t = layer.select(
+        "id",
+        geo.tile_x(F.col("minx"), zoom).alias("min_x_tile"), geo.tile_y(F.col("maxy"), zoom).alias("min_y_tile"),
+        geo.tile_x(F.col("maxx"), zoom).alias("max_x_tile"), geo.tile_y(F.col("miny"), zoom).alias("max_y_tile"),
+    )
+    if not explode:
+        return t
+    return t.select("id", F.explode(F.sequence("min_x_tile", "max_x_tile")).alias("x"), "min_y_tile", "max_y_tile").select(
+        "id", "x", F.explode(F.sequence("min_y_tile", "max_y_tile")).alias("y"))

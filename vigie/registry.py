@@ -233,3 +233,218 @@ group by a.id, a.batch_year, a.id_parcellaire, a.object_type, a.geozone_id""", "
 def q_prescribed_by_history(spark, sf_dir):
     h = spatial.prescribed_by_history(_loaded(Fixtures(spark, sf_dir)), CELL)
     return h.select("id", "batch_year", "id_parcellaire", "object_type", "geozone_id", "count_histo_6y_detection", "prescripted_detection")
+
+
+# ---------------------------------------------------------------- S8, C8, C9, C6: parcels at risk and evolution reports
+def _parcel_stats(fx: Fixtures, level: str):
+    return spatial.parcels_at_risk(layers.parcel_layer(fx.fx_parcel, keep=("id_parcellaire", "commune_id")), fx.fx_commune,
+                                   layers.risk_layer(fx.fx_risk), CELL, level=level)
+
+
+def _oracle_spa(level: str) -> str:
+    inze = f"(select distinct p.id from fx_parcel p join fx_risk r on {_within_risk('p', 'r')})"
+    if level == "commune":
+        return f"""spa as (
+  select cast(ze.geozone_id as bigint) as geozone_id, cast(tot.nb_parcels as bigint) as nb_parcels, cast(ze.nb_parcels_in_ze as bigint) as nb_parcels_in_ze
+  from (select commune_id as geozone_id, count(distinct id_parcellaire) as nb_parcels_in_ze from fx_parcel where id in {inze} group by commune_id) ze
+  left join (select commune_id as geozone_id, count(id_parcellaire) as nb_parcels from fx_parcel group by commune_id) tot on tot.geozone_id = ze.geozone_id)"""
+    return f"""pe as (select p.*, c.epci_id from fx_parcel p join fx_commune c on c.geozone_id = p.commune_id),
+spa as (
+  select cast(ze.geozone_id as bigint) as geozone_id, cast(tot.nb_parcels as bigint) as nb_parcels, cast(ze.nb_parcels_in_ze as bigint) as nb_parcels_in_ze
+  from (select epci_id as geozone_id, count(distinct id_parcellaire) as nb_parcels_in_ze from pe where id in {inze} group by epci_id) ze
+  left join (select epci_id as geozone_id, count(distinct id_parcellaire) as nb_parcels from pe group by epci_id) tot on tot.geozone_id = ze.geozone_id)"""
+
+
+@register("S8_parcels_at_risk", with_fixtures(f"with {_oracle_spa('commune')} select * from spa", "fx_parcel", "fx_risk"))
+def q_parcels_at_risk(spark, sf_dir):
+    return _parcel_stats(Fixtures(spark, sf_dir), "commune")
+
+
+@register("S8_parcels_at_risk_epci", with_fixtures(f"with {_oracle_spa('epci')} select * from spa", "fx_parcel", "fx_risk", "fx_commune"))
+def q_parcels_at_risk_epci(spark, sf_dir):
+    return _parcel_stats(Fixtures(spark, sf_dir), "epci")
+
+
+ORACLE_EVO_EPCI = f"""
+with periods as (select * from (values ('2021-2023', 2021, 2024), ('2018-2020', 2018, 2021), ('2015-2017', 2015, 2018)) t(label, a, b)),
+d as (select * from fx_det_tagged where id_parcellaire is not null),
+st as (select geozone_id, batch_year, count(distinct id_parcellaire) as n from d where batch_year in (2015, 2018, 2021, 2024) group by geozone_id, batch_year),
+nw as (select p.label, e.geozone_id, count(distinct e.id_parcellaire) as n from periods p join d e on e.batch_year = p.b
+  where not exists (select 1 from d s where s.batch_year = p.a and s.id_parcellaire = e.id_parcellaire and s.geozone_id = e.geozone_id)
+  group by p.label, e.geozone_id),
+cl as (select p.label, s.geozone_id, count(distinct s.id_parcellaire) as n from periods p join d s on s.batch_year = p.a
+  where not exists (select 1 from d e where e.batch_year = p.b and e.id_parcellaire = s.id_parcellaire and e.geozone_id = s.geozone_id)
+  group by p.label, s.geozone_id),
+{_oracle_spa('epci')},
+evo as (
+  select z.name_normalized, s.geozone_id,
+    cast(s.n as bigint) as situation_parcelles_cabanisees_debut_periode,
+    cast(coalesce(f.n, 0) as bigint) as situation_parcelles_cabanisees_fin_periode,
+    cast(coalesce(nw.n, 0) as bigint) as situation_nouvelles_parcelles_cabanisees_periode,
+    cast(coalesce(cl.n, 0) as bigint) as situation_parcelles_remises_en_etat_periode,
+    p.label as periode,
+    cast(coalesce(spa.nb_parcels, 0) as bigint) as nb_parcels, cast(coalesce(spa.nb_parcels_in_ze, 0) as bigint) as nb_parcels_in_ze
+  from periods p join st s on s.batch_year = p.a
+  left join st f on f.geozone_id = s.geozone_id and f.batch_year = p.b
+  left join nw on nw.label = p.label and nw.geozone_id = s.geozone_id
+  left join cl on cl.label = p.label and cl.geozone_id = s.geozone_id
+  left join fx_zone z on z.id = s.geozone_id
+  left join spa on spa.geozone_id = s.geozone_id)
+"""
+_EVO_FX = ("fx_det_tagged", "fx_parcel", "fx_risk", "fx_commune", "fx_zone")
+
+
+def _evo_epci(fx: Fixtures):
+    return cohort.evolution_epci(fx.fx_det_tagged, fx.fx_zone, _parcel_stats(fx, "epci"))
+
+
+@register("C8_evolution_epci", with_fixtures(ORACLE_EVO_EPCI + "select * from evo", *_EVO_FX))
+def q_evolution_epci(spark, sf_dir):
+    return _evo_epci(Fixtures(spark, sf_dir))
+
+
+@register("C9_corrected_estimates", with_fixtures(ORACLE_EVO_EPCI + """
+select name_normalized, geozone_id,
+  cast(floor(situation_parcelles_cabanisees_debut_periode * 0.705 * (1 - 0.252)) as bigint) as situation_parcelles_cabanisees_debut_periode,
+  cast(floor(situation_parcelles_cabanisees_fin_periode * 0.705 * (1 - 0.252)) as bigint) as situation_parcelles_cabanisees_fin_periode,
+  cast(floor(situation_nouvelles_parcelles_cabanisees_periode * 0.705 * (1 - 0.252)) as bigint) as situation_nouvelles_parcelles_cabanisees_periode,
+  cast(floor(situation_parcelles_remises_en_etat_periode * 0.705 * (1 - 0.252)) as bigint) as situation_parcelles_remises_en_etat_periode,
+  periode, nb_parcels, nb_parcels_in_ze
+from evo""", *_EVO_FX))
+def q_corrected_estimates(spark, sf_dir):
+    return cohort.corrected_estimates(_evo_epci(Fixtures(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- C6, C7, C17, C18: commune report and scores
+def _evo_commune(fx: Fixtures):
+    return cohort.evolution_commune(_pv(fx), fx.fx_det_tagged, fx.fx_mapping, _parcel_stats(fx, "commune"))
+
+
+def _oracle_evo_commune() -> str:
+    def new(y, base):
+        return f"""(select geozone_id, count(*) as n from (
+    select distinct id_parcellaire, geozone_id from fx_det_tagged where batch_year = {y} and id_parcellaire is not null
+    except select distinct id_parcellaire, geozone_id from fx_det_tagged where batch_year in ({base}) and id_parcellaire is not null) t group by geozone_id)"""
+
+    def cleared(a, b):
+        return f"""(select t.geozone_id, count(distinct t.id_parcellaire) as n from fx_det_tagged t where t.batch_year = {a}
+    and t.id_parcellaire is not null and not exists (select 1 from fx_det_tagged u where u.batch_year = {b}
+    and u.id_parcellaire = t.id_parcellaire and u.geozone_id = t.geozone_id) group by t.geozone_id)"""
+
+    ids = "278, 171, 259, 195, 261, 138, 313, 281, 330, 118, 255, 111, 288, 226, 248"
+
+    def part(label, pvcol, a, b, nw, cl, group):
+        return f"""select m.department_name, m.geozone_code, cast(pv.geozone_id as bigint) as geozone_id, cast(pv.{pvcol} as bigint) as nb_pv_period,
+    cast(s1.n as bigint) as situation_parcelles_cabanisees_debut_periode, cast(s2.n as bigint) as situation_parcelles_cabanisees_fin_periode,
+    cast(nw.n as bigint) as situation_nouvelles_parcelles_cabanisees_periode, cast(cl.n as bigint) as situation_parcelles_remises_en_etat_periode,
+    {group} as groupe, '{label}' as periode, spa.nb_parcels, spa.nb_parcels_in_ze
+  from pvp pv left join stc s1 on s1.geozone_id = pv.geozone_id and s1.batch_year = {a}
+  left join stc s2 on s2.geozone_id = pv.geozone_id and s2.batch_year = {b}
+  left join {nw} nw on nw.geozone_id = pv.geozone_id left join {cl} cl on cl.geozone_id = pv.geozone_id
+  left join fx_mapping m on m.id = pv.geozone_id left join spa on spa.geozone_id = pv.geozone_id
+  where s1.n is not null"""
+
+    g1 = f"case when m.department_name = 'gard' then 'lutte avec données aigle' when m.id in ({ids}) then 'pas d engagement' else 'lutte avec aigle' end"
+    g2 = f"case when m.id in ({ids}) then 'pas d engagement' else 'lutte sans outils' end"
+    return ORACLE_PV_COUNTS + f""",
+{_oracle_spa('commune')},
+pvp as (select geozone_id, sum(case when year >= 2018 and year <= 2020 then nb_pv else 0 end) as pv_a,
+  sum(case when year >= 2021 and year <= 2023 then nb_pv else 0 end) as pv_b from stats_pv group by geozone_id),
+stc as (select geozone_id, batch_year, count(distinct id_parcellaire) as n from fx_det_tagged group by geozone_id, batch_year),
+evoc as (
+{part('2021-2023', 'pv_b', 2021, 2024, new(2024, '2021, 2018'), cleared(2021, 2024), g1)}
+union
+{part('2018-2020', 'pv_a', 2018, 2021, new(2021, '2018'), cleared(2018, 2021), g2)})
+"""
+
+
+_EVOC_FX = ("fx_pv", "fx_commune_ref", "fx_det_tagged", "fx_mapping", "fx_parcel", "fx_risk")
+
+
+@register("C6_evolution_commune", with_fixtures(_oracle_evo_commune() + "select * from evoc", *_EVOC_FX))
+def q_evolution_commune(spark, sf_dir):
+    return _evo_commune(Fixtures(spark, sf_dir))
+
+
+@register("C7_engagement_group", with_fixtures(_oracle_evo_commune() + "select geozone_id, periode, groupe from evoc", *_EVOC_FX))
+def q_engagement_group(spark, sf_dir):
+    return _evo_commune(Fixtures(spark, sf_dir)).select("geozone_id", "periode", "groupe")
+
+
+def _scores(fx: Fixtures):
+    wide = cohort.commune_report_wide(_parcel_stats(fx, "commune"), _evo_commune(fx), _pv(fx))
+    return cohort.zone_scores(wide)
+
+
+def _div(a: str, b: str) -> str:
+    return f"(case when ({b}) = 0 then null else cast({a} as double) / cast({b} as double) end)"
+
+
+ORACLE_SCORES = _oracle_evo_commune() + f""",
+wide as (
+  select spa.geozone_id, spa.nb_parcels, spa.nb_parcels_in_ze, e.situation_parcelles_cabanisees_debut_periode as s21,
+    e.situation_parcelles_cabanisees_fin_periode as s24, e.situation_nouvelles_parcelles_cabanisees_periode as n24,
+    e.situation_parcelles_remises_en_etat_periode as c24, pvp.pv_a, pvp.pv_b
+  from spa left join (select * from evoc where periode = '2021-2023') e on e.geozone_id = spa.geozone_id
+  left join pvp on pvp.geozone_id = spa.geozone_id),
+scores as (
+  select geozone_id,
+    {_div('nb_parcels_in_ze', 'nb_parcels')} as score_commune_potentiel_cabanisation,
+    {_div('pv_b + pv_a', 's21')} as score_action_cabanisation,
+    {_div('pv_b + pv_a', 'nb_parcels_in_ze')} as score_action_parcel,
+    {_div('s21', 'nb_parcels_in_ze')} as score_etat_cabanisation,
+    {_div('n24', 'nb_parcels_in_ze')} as score_nouvelles_cabanisation,
+    {_div('c24', 'nb_parcels_in_ze')} as score_remises_en_etat,
+    {_div('s24 - s21', 'nb_parcels_in_ze')} as score_evolution_cabanisation
+  from wide)
+"""
+
+
+@register("C17_zone_scores", with_fixtures(ORACLE_SCORES + "select * from scores", *_EVOC_FX))
+def q_zone_scores(spark, sf_dir):
+    return _scores(Fixtures(spark, sf_dir))
+
+
+def _oracle_corr() -> str:
+    cols = cohort.SCORE_COLUMNS
+    def r(a, b):
+        den = f"(stddev_pop(case when {b} is not null then {a} end) * stddev_pop(case when {a} is not null then {b} end))"
+        return f"round(case when {den} = 0 then null else covar_pop({a}, {b}) / {den} end, 9)"
+
+    parts = [f"select '{a}' as a, '{b}' as b, {r(a, b)} as r from scores" for a in cols for b in cols]
+    return ORACLE_SCORES + "\n union all ".join(parts)
+
+
+@register("C18_score_correlation", with_fixtures(_oracle_corr(), *_EVOC_FX))
+def q_score_correlation(spark, sf_dir):
+    return cohort.score_correlation(_scores(Fixtures(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- C11: unprescribed parcels (over S9)
+def _history(fx: Fixtures):
+    return spatial.prescribed_by_history(_loaded(fx), CELL)
+
+
+ORACLE_HISTORY = ORACLE_LOADED + f""",
+hist as (
+  select a.id, a.batch_year, a.id_parcellaire, cast(count(distinct b.batch_year) as bigint) as count_histo_6y_detection
+  from stats_det a left join stats_det b on a.id_parcellaire = b.id_parcellaire and a.batch_year - b.batch_year >= 6
+    and {_overlap('a', 'b')} / nullif({_area('a')}, 0) >= 0.5
+  where a.object_type in ('construction en dur', 'piscine')
+  group by a.id, a.batch_year, a.id_parcellaire, a.object_type, a.geozone_id),
+per as (select batch_year, id_parcellaire, cast(sum(count_histo_6y_detection) as bigint) as nb_prescripted_detection from hist group by batch_year, id_parcellaire)
+"""
+_LOAD_FX = ("fx_detection", "fx_commune", "fx_risk", "fx_parcel")
+
+
+@register("C11_unprescribed_parcels", with_fixtures(ORACLE_HISTORY + """
+select batch_year, cast(count(distinct id_parcellaire) * 0.705 * (1 - 0.252) as bigint) as nb_unprescripted_parcels
+from per where nb_prescripted_detection = 0 and batch_year > 2018 group by batch_year""", *_LOAD_FX))
+def q_unprescribed_parcels(spark, sf_dir):
+    return cohort.unprescribed_parcels(_history(Fixtures(spark, sf_dir)))
+
+
+@register("C11_unprescribed_parcel_list", with_fixtures(ORACLE_HISTORY + """
+select batch_year, id_parcellaire, nb_prescripted_detection from per where nb_prescripted_detection = 0 and batch_year = 2024""", *_LOAD_FX))
+def q_unprescribed_parcel_list(spark, sf_dir):
+    return cohort.unprescribed_parcels(_history(Fixtures(spark, sf_dir)), year=2024)
