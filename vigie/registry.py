@@ -448,3 +448,155 @@ def q_unprescribed_parcels(spark, sf_dir):
 select batch_year, id_parcellaire, nb_prescripted_detection from per where nb_prescripted_detection = 0 and batch_year = 2024""", *_LOAD_FX))
 def q_unprescribed_parcel_list(spark, sf_dir):
     return cohort.unprescribed_parcels(_history(Fixtures(spark, sf_dir)), year=2024)
+
+
+# ---------------------------------------------------------------- W1–W6: workflow mining (W7 seeds are their inputs)
+from vigie.operators import workflow  # noqa: E402
+from vigie.sources import seeds  # noqa: E402
+
+SQL_CASE_STEPS = seeds.values_sql([(c, o, lbl, i) for i, (c, o, lbl) in enumerate(seeds.CASE_STEPS)], ["step_code", "step_order", "step_label", "ordinal"])
+SQL_REVIEW_STEPS = seeds.values_sql([(c, o, lbl, i) for i, (c, o, lbl) in enumerate(seeds.REVIEW_STEPS)], ["step_code", "step_order", "step_label", "ordinal"])
+SQL_MAPPING = seeds.values_sql(seeds.REVIEW_STATUS_MAPPING, ["step_code", "status_code"])
+SQL_CASE_TRANS = seeds.values_sql(seeds.CASE_TRANSITIONS, ["from_step", "to_step"])
+SQL_REVIEW_TRANS = seeds.values_sql(seeds.REVIEW_TRANSITIONS, ["from_step", "to_step"])
+
+
+def _case_flow(spark, fx):
+    return workflow.case_transitions(fx.fx_case_log, seeds.workflow_steps(spark, "case"))
+
+
+ORACLE_CASE_FLOW = f"""
+with ordered as (
+  select *, lead(action_type) over (partition by dossier_id order by id) as next_action_type,
+    lead(action_date) over (partition by dossier_id order by id) as next_action_date from fx_case_log),
+case_flow as (
+  select o.*, s1.step_code as source_step, s2.step_code as target_step from ordered o
+  left join {SQL_CASE_STEPS} s1 on lower(strip_accents(rtrim(o.action_type))) = lower(strip_accents(rtrim(s1.step_label)))
+  left join {SQL_CASE_STEPS} s2 on lower(strip_accents(rtrim(o.next_action_type))) = lower(strip_accents(rtrim(s2.step_label)))
+  where o.next_action_date is not null)
+"""
+
+
+@register("W1_case_transitions", with_fixtures(ORACLE_CASE_FLOW + "select * from case_flow", "fx_case_log"))
+def q_case_transitions(spark, sf_dir):
+    return _case_flow(spark, Fixtures(spark, sf_dir))
+
+
+ORACLE_REVIEW = """
+with imp0 as (
+  select t.id as detection_id, h.id as detection_data_id, h.history_id, h.history_date, t.parcel_id,
+    'admin_import@beta.gouv.fr' as email, 'Admin import' as group_name, h.changed_fields,
+    'IMPORTED' as old_pre_status, 'IMPORTED' as old_val_status, 'IMPORTED' as old_ctl_status,
+    case when h.detection_prescription_status is null and t.auto_prescribed is not true then 'NOT_PRESCRIBED'
+      when h.detection_prescription_status is null and t.auto_prescribed is true then 'PRESCRIBED' else h.detection_prescription_status end as new_pre_status,
+    coalesce(h.detection_validation_status, 'DETECTED_NOT_VERIFIED') as new_val_status,
+    coalesce(h.detection_control_status, 'NOT_CONTROLLED') as new_ctl_status
+  from fx_history h join fx_hist_det t on h.id = t.detection_data_id
+  where t.tile_set_id = 19 and t.score > 0.3 and (h.history_type = '+' or (h.history_type = '~' and h.changed_fields is null))),
+imp1 as (select *, old_val_status || '.' || old_ctl_status || '.' || old_pre_status as old_status,
+  new_val_status || '.' || new_ctl_status || '.' || new_pre_status as new_status from imp0),
+baseline as (select * exclude (rn) from (select *, row_number() over (partition by detection_data_id, old_status
+  order by history_id desc, detection_id asc, parcel_id asc nulls last) as rn from imp1) where rn = 1),
+app0 as (
+  select t.id as detection_id, h.id as detection_data_id, h.changed_fields, h.detection_validation_status, h.detection_control_status,
+    h.detection_prescription_status, h.history_id, h.history_date, t.parcel_id, u.email, u.group_name
+  from fx_history h join fx_hist_det t on h.id = t.detection_data_id join fx_user u on u.id = h.history_user_id
+  where t.tile_set_id = 19 and t.score > 0.3 and h.changed_fields is not null),
+app1 as (select * exclude (rn) from (select *, row_number() over (partition by detection_id, detection_data_id, history_id
+  order by parcel_id desc nulls first) as rn from app0) where rn = 1),
+elems as (select a.detection_id, a.detection_data_id, a.history_id, e.v ->> 'field' as field_name, e.v ->> 'old_value' as old_raw
+  from app1 a, lateral (select unnest(json_extract(a.changed_fields, '$[*]')) as v) e),
+olds as (select detection_id, detection_data_id, history_id,
+    max(case when field_name = 'detection_validation_status' then old_raw end) as ov,
+    max(case when field_name = 'detection_control_status' then old_raw end) as oc,
+    max(case when field_name = 'detection_prescription_status' then old_raw end) as op
+  from elems where field_name in ('detection_validation_status', 'detection_control_status', 'detection_prescription_status')
+  group by detection_id, detection_data_id, history_id),
+changes0 as (select a.detection_id, a.detection_data_id, a.history_id, a.history_date, a.parcel_id, a.email, a.group_name,
+    a.detection_validation_status as new_val_status, a.detection_control_status as new_ctl_status, a.detection_prescription_status as new_pre_status,
+    coalesce(o.ov, a.detection_validation_status) as old_val_status, coalesce(o.oc, a.detection_control_status) as old_ctl_status,
+    coalesce(o.op, a.detection_prescription_status) as old_pre_status
+  from app1 a join olds o using (detection_id, detection_data_id, history_id)),
+changes as (select *, old_val_status || '.' || old_ctl_status || '.' || old_pre_status as old_status,
+  new_val_status || '.' || new_ctl_status || '.' || new_pre_status as new_status from changes0),
+"""
+ORACLE_FLOW = ORACLE_REVIEW + f"""
+flow as (
+  select c.detection_id, c.detection_data_id, c.old_status, c.new_status, mo.step_code as source_step, mn.step_code as target_step,
+    c.history_date, c.parcel_id, 'app' as process
+  from changes c join {SQL_MAPPING} mo on c.old_status = mo.status_code join {SQL_MAPPING} mn on c.new_status = mn.status_code
+  where mo.step_code <> mn.step_code
+  union
+  select c.detection_id, c.detection_data_id, c.old_status, c.new_status, mo.step_code, mn.step_code, c.history_date, c.parcel_id, 'import'
+  from baseline c join {SQL_MAPPING} mo on c.old_status = mo.status_code join {SQL_MAPPING} mn on c.new_status = mn.status_code
+  where mo.step_code <> mn.step_code)
+"""
+_W_FX = ("fx_history", "fx_hist_det", "fx_user")
+
+
+def _baseline(fx):
+    return workflow.import_baseline(fx.fx_history, fx.fx_hist_det)
+
+
+def _changes(fx):
+    return workflow.review_changes(fx.fx_history, fx.fx_hist_det, fx.fx_user)
+
+
+def _flow(spark, fx):
+    return workflow.status_flow(_baseline(fx), _changes(fx), seeds.status_mapping(spark))
+
+
+@register("W2_import_baseline", with_fixtures(ORACLE_REVIEW.rstrip().rstrip(",") + "\nselect * from baseline", *_W_FX))
+def q_import_baseline(spark, sf_dir):
+    return _baseline(Fixtures(spark, sf_dir))
+
+
+@register("W3_review_changes", with_fixtures(ORACLE_REVIEW.rstrip().rstrip(",") + "\nselect * from changes", *_W_FX))
+def q_review_changes(spark, sf_dir):
+    return _changes(Fixtures(spark, sf_dir)).drop("fields")
+
+
+@register("W4_status_flow", with_fixtures(ORACLE_FLOW + "select * from flow", *_W_FX))
+def q_status_flow(spark, sf_dir):
+    return _flow(spark, Fixtures(spark, sf_dir))
+
+
+@register("W5_unknown_transitions", with_fixtures(ORACLE_FLOW + f"""
+select source_step || '_' || target_step as transition_code, old_status, new_status, count(*) as nb_transitions from flow
+where source_step || '_' || target_step not in (select from_step || '_' || to_step from {SQL_REVIEW_TRANS} t)
+  and source_step || '_' || target_step is not null and old_status is not null and new_status is not null
+group by 1, 2, 3""", *_W_FX))
+def q_unknown_transitions(spark, sf_dir):
+    return workflow.unknown_transitions(_flow(spark, Fixtures(spark, sf_dir)), seeds.workflow_transitions(spark, "review"), ["old_status", "new_status"])
+
+
+@register("W5_unknown_case_transitions", with_fixtures(ORACLE_CASE_FLOW + f"""
+select source_step || '_' || target_step as transition_code, action_type, next_action_type, count(*) as nb_transitions from case_flow
+where source_step || '_' || target_step not in (select from_step || '_' || to_step from {SQL_CASE_TRANS} t)
+  and source_step || '_' || target_step is not null and action_type is not null and next_action_type is not null
+group by 1, 2, 3""", "fx_case_log"))
+def q_unknown_case_transitions(spark, sf_dir):
+    return workflow.unknown_transitions(_case_flow(spark, Fixtures(spark, sf_dir)), seeds.workflow_transitions(spark, "case"),
+                                        ["action_type", "next_action_type"])
+
+
+def _oracle_links(flow: str, steps: str, trans: str, strict: bool) -> str:
+    allowed = f"and source_step || '_' || target_step in (select from_step || '_' || to_step from {trans} t)" if strict else ""
+    return f"""
+select g.transition_code, g.source_step, g.target_step, g.nb_transitions, st.ordinal as target, ss.ordinal as source from (
+  select source_step || '_' || target_step as transition_code, source_step, target_step, count(*) as nb_transitions from {flow}
+  where source_step is not null and target_step is not null {allowed} group by 1, 2, 3) g
+left join {steps} st on st.step_code = g.target_step left join {steps} ss on ss.step_code = g.source_step
+where st.ordinal is not null"""
+
+
+@register("W6_transition_flow", with_fixtures(ORACLE_FLOW + _oracle_links("flow", SQL_REVIEW_STEPS, SQL_REVIEW_TRANS, True), *_W_FX))
+def q_transition_flow(spark, sf_dir):
+    return workflow.transition_flow(_flow(spark, Fixtures(spark, sf_dir)), seeds.workflow_steps(spark, "review"),
+                                    seeds.workflow_transitions(spark, "review"), strict=True)
+
+
+@register("W6_case_transition_flow", with_fixtures(ORACLE_CASE_FLOW + _oracle_links("case_flow", SQL_CASE_STEPS, SQL_CASE_TRANS, False), "fx_case_log"))
+def q_case_transition_flow(spark, sf_dir):
+    return workflow.transition_flow(_case_flow(spark, Fixtures(spark, sf_dir)), seeds.workflow_steps(spark, "case"),
+                                    seeds.workflow_transitions(spark, "case"), strict=False)
