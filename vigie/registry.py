@@ -600,3 +600,195 @@ def q_transition_flow(spark, sf_dir):
 def q_case_transition_flow(spark, sf_dir):
     return workflow.transition_flow(_case_flow(spark, Fixtures(spark, sf_dir)), seeds.workflow_steps(spark, "case"),
                                     seeds.workflow_transitions(spark, "case"), strict=False)
+
+
+# ---------------------------------------------------------------- C10, C12, C14, C15, C16: status and deployment KPIs
+def _risk_ids(fx: Fixtures):
+    """Ids of detections within at least one risk zone (S1 over the risk layer)."""
+    return spatial.zone_tag(layers.detection_layer(fx.fx_detection), layers.risk_layer(fx.fx_risk), CELL).select("id").distinct()
+
+
+def _thresholds(spark):
+    # Minimum score of a not-yet-verified detection per tileset: (1−0.3)×0.6, (1−0.3)×0.3, 0.3
+    return spark.createDataFrame([(1, 0.42), (2, 0.21), (17, 0.3)], "tile_set_id int, min_score double")
+
+
+@register("C10_parcel_status", with_fixtures(f"""
+with inrisk as (select distinct d.id from fx_detection d join fx_risk r on {_within_risk('d', 'r')}),
+th as (select * from (values (1, 0.42), (2, 0.21), (17, 0.3)) t(tile_set_id, min_score)),
+base as (
+  select d.tile_set_id, o.commune_id, o.parcel_id, dd.detection_validation_status as v from fx_detection d
+  join th on th.tile_set_id = d.tile_set_id
+  left join fx_detdata dd on d.detection_data_id = dd.id left join fx_object o on d.detection_object_id = o.id
+  left join fx_type ty on o.object_type_id = ty.id
+  where d.id in (select id from inrisk) and ty.name_n in ('Construction en dur', 'Piscine', 'Mobil-home', 'Caravane', 'Installation Legere')
+    and (dd.detection_validation_status in ('SUSPECT', 'LEGITIMATE') or (dd.detection_validation_status = 'DETECTED_NOT_VERIFIED'
+      and d.score > th.min_score and (dd.detection_prescription_status is null or dd.detection_prescription_status <> 'PRESCRIBED')))),
+flags as (select tile_set_id, commune_id, parcel_id, bool_or(v = 'SUSPECT') as has_suspect, bool_or(v = 'LEGITIMATE') as has_legitimate,
+  bool_or(v = 'DETECTED_NOT_VERIFIED') as has_dnv from base group by tile_set_id, commune_id, parcel_id)
+select z.name as commune_name, f.tile_set_id, f.commune_id,
+  count(distinct f.parcel_id) filter (where has_suspect) as parcels_with_suspect,
+  count(distinct f.parcel_id) filter (where has_dnv) as parcels_with_dnv,
+  count(distinct f.parcel_id) filter (where has_legitimate) as parcels_with_legit,
+  count(distinct f.parcel_id) filter (where not has_suspect and (has_legitimate or has_dnv)) as parcels_with_legit_and_dnv_no_suspect
+from flags f left join fx_zone z on z.id = f.commune_id group by z.name, f.tile_set_id, f.commune_id""",
+                                          "fx_detection", "fx_risk", "fx_detdata", "fx_object", "fx_type", "fx_zone"))
+def q_parcel_status(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return cohort.parcel_status(fx.fx_detection, fx.fx_detdata, fx.fx_object, fx.fx_type, fx.fx_zone, _risk_ids(fx), _thresholds(spark))
+
+
+def _oracle_yearly(column, value, tileset, year, name):
+    return f"""
+select cast(o.commune_id as bigint) as geozone_id, {year} as year, cast(count(*) // 3 as bigint) as {name}
+from fx_detection d join fx_detdata dd on d.detection_data_id = dd.id join fx_object o on d.detection_object_id = o.id
+where d.tile_set_id = {tileset} and dd.{column} = '{value}' and o.commune_id in (select geozone_ptr_id from fx_commune_ref)
+group by o.commune_id"""
+
+
+@register("C12_yearly_legitimate", with_fixtures(_oracle_yearly("detection_validation_status", "LEGITIMATE", 2, 2021, "nb_status_updates"),
+                                                 "fx_detection", "fx_detdata", "fx_object", "fx_commune_ref"))
+def q_yearly_legitimate(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return cohort.yearly_average_status(fx.fx_detection, fx.fx_detdata, fx.fx_object, fx.fx_commune_ref,
+                                        "detection_validation_status", "LEGITIMATE", tileset=2, year=2021)
+
+
+@register("C12_yearly_controls", with_fixtures(_oracle_yearly("detection_control_status", "CONTROLLED_FIELD", 1, 2021, "nb_controls"),
+                                               "fx_detection", "fx_detdata", "fx_object", "fx_commune_ref"))
+def q_yearly_controls(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return cohort.yearly_average_status(fx.fx_detection, fx.fx_detdata, fx.fx_object, fx.fx_commune_ref,
+                                        "detection_control_status", "CONTROLLED_FIELD", tileset=1, year=2021, name="nb_controls")
+
+
+@register("C14_parcels_per_department", with_fixtures("""
+select z.name, d.insee_code, count(*) as nb_parcels from fx_parcel p
+join fx_commune_ref c on c.geozone_ptr_id = p.commune_id join fx_department d on d.geozone_ptr_id = c.department_id
+join fx_zone z on z.id = d.geozone_ptr_id group by z.name, d.insee_code""", "fx_parcel", "fx_commune_ref", "fx_department", "fx_zone"))
+def q_parcels_per_department(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return cohort.parcels_per_department(fx.fx_parcel, fx.fx_commune_ref, fx.fx_department, fx.fx_zone)
+
+
+def _planned(spark):
+    return spark.createDataFrame([(d, 0) for d in cohort.PLANNED_DEPARTMENTS], "dep_geozone_id long, nb_collectivity long")
+
+
+def _groups_via_communes(fx: Fixtures):
+    """User groups → their zones → the zones' departments (the left-join chain of the deployment report)."""
+    return fx.fx_group_zone.select("name", "user_group_type", "geozone_id").join(
+        fx.fx_commune_ref.select(F.col("geozone_ptr_id").alias("geozone_id"), F.col("department_id").alias("dep_geozone_id")), "geozone_id", "left")
+
+
+def _oracle_deploy(groups: str) -> str:
+    return f"""
+with dep as (select name, case when name = 'Cabanisation Pic Saint Loup' then 2 else dep_geozone_id end as dep_geozone_id
+  from {groups} where geozone_id is not null and user_group_type = 'COLLECTIVITY' and geozone_id <> 1613),
+agg as (select cast(dep_geozone_id as bigint) as dep_geozone_id, cast(count(distinct name) as bigint) as nb_collectivity from dep group by dep_geozone_id),
+syn as (select * from (values (1540, 0), (1547, 0), (1551, 0), (1580, 0), (36156, 0)) s(dep_geozone_id, nb_collectivity)),
+deployment as (select * from agg union all
+  select cast(dep_geozone_id as bigint), cast(nb_collectivity as bigint) from syn where dep_geozone_id not in (select dep_geozone_id from agg))
+"""
+
+
+_GROUPS_VIA = "(select g.name, g.user_group_type, g.geozone_id, c.department_id as dep_geozone_id from fx_group_zone g left join fx_commune_ref c on c.geozone_ptr_id = g.geozone_id)"
+
+
+@register("C15_deployment_by_department", with_fixtures(_oracle_deploy(_GROUPS_VIA) + "select * from deployment", "fx_group_zone", "fx_commune_ref"))
+def q_deployment(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return cohort.deployment_by_department(_groups_via_communes(fx), _planned(spark))
+
+
+@register("C15_deployment_null_department", with_fixtures(_oracle_deploy("fx_group_zone") + "select * from deployment", "fx_group_zone"))
+def q_deployment_null(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return cohort.deployment_by_department(fx.fx_group_zone, _planned(spark))
+
+
+# ---------------------------------------------------------------- S4, S11, S12, S15, C16: edge-table operators
+def _departments(fx: Fixtures):
+    """Department boundaries: communes dissolved by department (S4), keyed by the department zone id."""
+    groups = fx.fx_commune_ref.select(F.col("geozone_ptr_id").cast("long").alias("id"), F.col("department_id").cast("long").alias("group_id"))
+    return spatial.dissolve(layers.commune_layer(fx.fx_commune), groups).withColumnRenamed("group_id", "id")
+
+
+@register("S4_dissolve", with_fixtures("""
+with c as (select n.*, r.department_id from fx_commune n join fx_commune_ref r on r.geozone_ptr_id = n.geozone_id),
+shared as (select a.department_id, count(*) * 200 as len from c a join c b on a.department_id = b.department_id
+  and ((a.maxx = b.minx and a.miny = b.miny) or (a.maxy = b.miny and a.minx = b.minx)) group by a.department_id)
+select cast(c.department_id as bigint) as id, cast(sum((maxx - minx) * (maxy - miny)) as double) as area,
+  cast(sum(2 * (maxx - minx) + 2 * (maxy - miny)) - 2 * coalesce(max(s.len), 0) as double) as perimeter
+from c left join shared s on s.department_id = c.department_id group by c.department_id""", "fx_commune", "fx_commune_ref"))
+def q_dissolve(spark, sf_dir):
+    m = spatial.edge_measures(_departments(Fixtures(spark, sf_dir)), "id")
+    return m.select(F.col("id").cast("long").alias("id"), "area", "perimeter")
+
+
+def _lonlat_communes(fx: Fixtures):
+    """Communes placed on the globe: lon = x/100, lat = 40 + y/100 (fixture convention)."""
+    c = fx.fx_commune.select("geozone_id", (F.col("minx") / 100).alias("minx"), (F.col("miny") / 100 + 40).alias("miny"),
+                             (F.col("maxx") / 100).alias("maxx"), (F.col("maxy") / 100 + 40).alias("maxy"))
+    return layers.box_layer(c, "geozone_id")
+
+
+@register("S11_zone_surface", with_fixtures("""
+with b as (select geozone_id, minx / 100 as x0, miny / 100 + 40 as y0, maxx / 100 as x1, maxy / 100 + 40 as y1 from fx_commune)
+select cast(geozone_id as bigint) as id, round((6378137.0 * radians(x1) - 6378137.0 * radians(x0))
+  * (6378137.0 * ln(tan(pi() / 4 + radians(y1) / 2)) - 6378137.0 * ln(tan(pi() / 4 + radians(y0) / 2))) / 1e6, 3) as surface_km2
+from b""", "fx_commune"))
+def q_zone_surface(spark, sf_dir):
+    s = spatial.zone_surface(_lonlat_communes(Fixtures(spark, sf_dir)))
+    return s.select("id", F.round("surface_km2", 3).alias("surface_km2"))
+
+
+ORACLE_CENTROIDS = """
+with c as (select n.*, r.department_id from fx_commune n join fx_commune_ref r on r.geozone_ptr_id = n.geozone_id),
+cen as (select department_id as id, sum((minx + maxx) / 2.0 * (maxx - minx) * (maxy - miny)) / sum((maxx - minx) * (maxy - miny)) as cx,
+  sum((miny + maxy) / 2.0 * (maxx - minx) * (maxy - miny)) / sum((maxx - minx) * (maxy - miny)) as cy from c group by department_id),
+ov as (select * from (values (36155, 51.0), (36156, 49.0), (36160, 45.0), (36161, 43.0)) t(id, o_lat)),
+coords as (select cast(z.id as bigint) as id, z.name, case when ov.id is not null then -7.223655 else cen.cx end as lon,
+  coalesce(ov.o_lat, cen.cy) as lat
+  from fx_zone z join cen on cen.id = z.id left join ov on ov.id = z.id
+  where z.id in (select geozone_ptr_id from fx_department) and z.name <> 'Guyane')
+"""
+
+
+def _centroids(fx: Fixtures):
+    sel = fx.fx_department.select(F.col("geozone_ptr_id").alias("id"))
+    return spatial.zone_centroids(_departments(fx), fx.fx_zone, sel)
+
+
+@register("S12_zone_centroids", with_fixtures(ORACLE_CENTROIDS + "select * from coords", "fx_commune", "fx_commune_ref", "fx_zone", "fx_department"))
+def q_zone_centroids(spark, sf_dir):
+    return _centroids(Fixtures(spark, sf_dir))
+
+
+@register("S15_tile_cover", with_fixtures("""
+with b as (select geozone_id, minx / 100 as x0, miny / 100 + 40 as y0, maxx / 100 as x1, maxy / 100 + 40 as y1 from fx_commune)
+select cast(geozone_id as bigint) as id,
+  cast(floor((x0 + 180) / 360 * pow(2, 19)) as bigint) as min_x_tile,
+  cast(floor((1 - ln(tan(radians(y1)) + 1 / cos(radians(y1))) / pi()) / 2 * pow(2, 19)) as bigint) as min_y_tile,
+  cast(floor((x1 + 180) / 360 * pow(2, 19)) as bigint) as max_x_tile,
+  cast(floor((1 - ln(tan(radians(y0)) + 1 / cos(radians(y0))) / pi()) / 2 * pow(2, 19)) as bigint) as max_y_tile
+from b""", "fx_commune"))
+def q_tile_cover(spark, sf_dir):
+    return spatial.tile_cover(_lonlat_communes(Fixtures(spark, sf_dir)), zoom=19)
+
+
+@register("C16_deployment_state", with_fixtures(ORACLE_CENTROIDS + "," + _oracle_deploy(_GROUPS_VIA).strip()[5:] + """,
+st as (select c.id as dep_geozone_id, d.nb_collectivity as n, c.lat, c.lon from coords c left join deployment d on d.dep_geozone_id = c.id)
+select f.geozone_ptr_id as dep_geozone_id, z.name, cast(coalesce(n, -1) as bigint) as nb_collectivity,
+  case when n is null then 'Non planifié' when n = 0 then 'Déploiements à venir' when n > 0 and n < 3 then 'Communes pilotes'
+    when n >= 3 and n <= 5 then 'Généralisation en cours' else 'Généralisation avancée' end as deployment_state,
+  case when n is null then '#f0f0f0' when n = 0 then '#ffcc99' when n > 0 and n < 3 then '#cceeff' when n >= 3 and n <= 5 then '#99ddff' else '#3399ff' end as color,
+  st.lat, st.lon,
+  case when coalesce(n, -1) > -1 then case when n = 0 then z.name else z.name || ' : ' || cast(n as varchar) end else '' end as label
+from fx_department f join fx_zone z on z.id = f.geozone_ptr_id join st on st.dep_geozone_id = f.geozone_ptr_id""",
+                                             "fx_commune", "fx_commune_ref", "fx_zone", "fx_department", "fx_group_zone"))
+def q_deployment_state(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    deployment = cohort.deployment_by_department(_groups_via_communes(fx), _planned(spark))
+    feats = fx.fx_department.select(F.col("geozone_ptr_id").cast("long").alias("id")).join(fx.fx_zone.select("id", "name"), "id")
+    return cohort.deployment_state(_centroids(fx), deployment, feats)
