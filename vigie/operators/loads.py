@@ -40,3 +40,99 @@ def pv_counts(log: DataFrame, communes: DataFrame, department_id: int = 2, first
         name="id", offset=first_id,
     )
     return with_ids.select("id", "geozone_id", F.col("year").cast("int").alias("year"), F.col("nb_pv").cast("long").alias("nb_pv"))
+
+
+# ---------------------------------------------------------------- P1: legacy extract
+# Control status codes, dataset → batch label of the legacy database.
+LEGACY_CONTROL = {1: "NOT_CONTROLLED", 2: "SIGNALED_COMMUNE", 3: "SIGNALED_COLLECTIVITY", 4: "CONTROLLED_FIELD", 5: "REHABILITATED", 6: "VERBALIZED"}
+LEGACY_BATCH = {7: "sia_2012", 4: "sia_2015", 5: "sia_2018", 8: "sia_2021"}
+
+
+def legacy_detections(det: DataFrame, types: DataFrame, tiles: DataFrame) -> DataFrame:
+    """Legacy detections → application detection rows, sorted by score descending (NULLs first).
+
+    score 1 when drawn by hand or missing; control: field flag wins, then codes 1–6, else NULL; validation by ordered
+    three-valued rules; class from the type id, or from the validation id when validated; dataset → batch label;
+    only the four known datasets.
+    """
+    c = F.col
+    control = F.when(c("signale_terrain"), "CONTROLLED_FIELD")
+    for code, label in LEGACY_CONTROL.items():
+        control = control.when(c("control_status_id") == code, label)
+    vl, vp, fp = c("vrai_legitime"), c("vrai_positif"), c("faux_positif")
+    validation = (
+        F.when(c("validation") == 0, "INVALIDATED")
+        .when(vl & vp & ~fp, "LEGITIMATE")
+        .when(~vl & vp & ~fp, "SUSPECT")
+        .when(~vl & ~vp & fp, "INVALIDATED")
+        .when(~vl & ~vp & ~fp, "DETECTED_NOT_VERIFIED")
+        .otherwise("DETECTED_NOT_VERIFIED")
+    )
+    batch = None
+    for ds, label in LEGACY_BATCH.items():
+        batch = (F.when if batch is None else batch.when)(c("dataset_id") == ds, label)
+    type_key = F.when(c("validation").isNull() | (c("validation") == 0), c("type_id")).otherwise(c("validation"))
+    d = det.withColumn("_type", type_key).join(types.select(F.col("id").alias("_type"), "name_n"), "_type") \
+        .join(tiles.select(F.col("id").alias("tile_id"), "dataset_id"), "tile_id").where(c("dataset_id").isin(list(LEGACY_BATCH)))
+    out = d.select(
+        "id",
+        F.when(c("dessine_interface"), F.lit(1.0)).when(c("score").isNull(), F.lit(1.0)).otherwise(c("score")).alias("score"),
+        F.lit(None).cast("string").alias("address"),
+        c("name_n").alias("object_type"),
+        F.when(c("dessine_interface"), "INTERFACE_DRAWN").otherwise("ANALYSIS").alias("detection_source"),
+        control.alias("detection_control_status"),
+        validation.alias("detection_validation_status"),
+        F.when(c("prescrit_manuel"), "PRESCRIBED").otherwise("NOT_PRESCRIBED").alias("detection_prescription_status"),
+        c("validation").isNotNull().alias("user_reviewed"),
+        F.lit(None).cast("long").alias("tile_x"),
+        F.lit(None).cast("long").alias("tile_y"),
+        batch.alias("batch_id"),
+    )
+    return out.orderBy(F.col("score").desc_nulls_first())
+
+
+# ---------------------------------------------------------------- P3: parcel load
+def load_parcels(raw: DataFrame, communes: DataFrame, refreshed_at: str = "2025-01-01") -> DataFrame:
+    """Department parcel rows → parcel table rows.
+
+    Commune by ``code_dep || code_com`` = commune iso code (unmatched rows dropped); number without leading zeros as
+    int; contenance defaults to 0; constant flags and refresh date; ``created_at``/``uuid`` are generated per run.
+    """
+    c = F.col
+    key = F.concat(c("code_dep"), c("code_com"))
+    d = raw.join(communes.select(c("iso_code"), c("geozone_ptr_id").alias("commune_id")), key == c("iso_code"))
+    return d.select(
+        F.lit(False).alias("arpente"),
+        "commune_id",
+        F.coalesce(c("contenance"), F.lit(0)).cast("long").alias("contenance"),
+        F.current_timestamp().alias("created_at"),
+        F.lit(False).alias("deleted"),
+        F.lit(None).cast("timestamp").alias("deleted_at"),
+        c("idu").alias("id_parcellaire"),
+        F.expr("cast(trim(leading '0' from numero) as int)").alias("num_parcel"),
+        (c("com_abs") if "com_abs" in raw.columns else F.lit(None).cast("string")).alias("prefix"),
+        F.to_date(F.lit(refreshed_at)).alias("refreshed_at"),
+        "section",
+        F.current_timestamp().alias("updated_at"),
+        F.expr("uuid()").alias("uuid"),
+    )
+
+
+# ---------------------------------------------------------------- P6 / P7: batch purge and orphan cascade
+def orphan_cascade(detections: DataFrame, data: DataFrame, objects: DataFrame, links: DataFrame) -> dict[str, DataFrame]:
+    """Survivors after detections were removed, in the reference order: data rows without a detection, zone links
+    of existing objects without a detection, then objects without a detection. Links to unknown objects or with a NULL
+    object id are kept (the reference deletes by ``IN`` over existing orphan objects)."""
+    det_data = detections.select(F.col("detection_data_id").alias("id")).where(F.col("id").isNotNull())
+    det_obj = detections.select(F.col("detection_object_id").alias("id")).where(F.col("id").isNotNull())
+    data_s = data.join(det_data, "id", "left_semi")
+    orphan_obj = objects.select("id").join(det_obj, "id", "left_anti")
+    links_s = links.join(orphan_obj.withColumnRenamed("id", "detectionobject_id"), "detectionobject_id", "left_anti")
+    objects_s = objects.join(det_obj, "id", "left_semi")
+    return {"detection": detections, "detectiondata": data_s, "detectionobject_geo_custom_zones": links_s, "detectionobject": objects_s}
+
+
+def purge_batch(detections: DataFrame, data: DataFrame, objects: DataFrame, links: DataFrame, batch_id: str) -> dict[str, DataFrame]:
+    """Remove the detections of one batch (NULL batch ids are kept), then cascade."""
+    kept = detections.where(~F.col("batch_id").eqNullSafe(F.lit(batch_id)))
+    return orphan_cascade(kept, data, objects, links)

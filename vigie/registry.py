@@ -792,3 +792,69 @@ def q_deployment_state(spark, sf_dir):
     deployment = cohort.deployment_by_department(_groups_via_communes(fx), _planned(spark))
     feats = fx.fx_department.select(F.col("geozone_ptr_id").cast("long").alias("id")).join(fx.fx_zone.select("id", "name"), "id")
     return cohort.deployment_state(_centroids(fx), deployment, feats)
+
+
+# ---------------------------------------------------------------- P1, P3, P6, P7: loads and retention
+@register("P1_legacy_detections", with_fixtures("""
+select l.id, case when l.dessine_interface then 1.0 when l.score is null then 1.0 else l.score end as score, cast(null as varchar) as address,
+  t.name_n as object_type, case when l.dessine_interface then 'INTERFACE_DRAWN' else 'ANALYSIS' end as detection_source,
+  case when l.signale_terrain then 'CONTROLLED_FIELD' when l.control_status_id = 1 then 'NOT_CONTROLLED' when l.control_status_id = 2 then 'SIGNALED_COMMUNE'
+    when l.control_status_id = 3 then 'SIGNALED_COLLECTIVITY' when l.control_status_id = 4 then 'CONTROLLED_FIELD'
+    when l.control_status_id = 5 then 'REHABILITATED' when l.control_status_id = 6 then 'VERBALIZED' end as detection_control_status,
+  case when l.validation = 0 then 'INVALIDATED' when l.vrai_legitime and l.vrai_positif and not l.faux_positif then 'LEGITIMATE'
+    when not l.vrai_legitime and l.vrai_positif and not l.faux_positif then 'SUSPECT'
+    when not l.vrai_legitime and not l.vrai_positif and l.faux_positif then 'INVALIDATED'
+    when not l.vrai_legitime and not l.vrai_positif and not l.faux_positif then 'DETECTED_NOT_VERIFIED' else 'DETECTED_NOT_VERIFIED' end as detection_validation_status,
+  case when l.prescrit_manuel then 'PRESCRIBED' else 'NOT_PRESCRIBED' end as detection_prescription_status,
+  l.validation is not null as user_reviewed, cast(null as bigint) as tile_x, cast(null as bigint) as tile_y,
+  case when ti.dataset_id = 7 then 'sia_2012' when ti.dataset_id = 4 then 'sia_2015' when ti.dataset_id = 5 then 'sia_2018' when ti.dataset_id = 8 then 'sia_2021' end as batch_id
+from fx_legacy_detection l join fx_type t on (case when l.validation is null or l.validation = 0 then l.type_id else l.validation end) = t.id
+join fx_tile ti on ti.id = l.tile_id where ti.dataset_id in (4, 5, 7, 8)""", "fx_legacy_detection", "fx_type", "fx_tile"))
+def q_legacy_detections(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return loads.legacy_detections(fx.fx_legacy_detection, fx.fx_type, fx.fx_tile)
+
+
+@register("P3_load_parcels", with_fixtures("""
+select false as arpente, c.geozone_ptr_id as commune_id, cast(coalesce(r.contenance, 0) as bigint) as contenance, false as deleted,
+  r.idu as id_parcellaire, cast(ltrim(r.numero, '0') as integer) as num_parcel, cast(null as varchar) as prefix,
+  cast(date '2025-01-01' as varchar) as refreshed_at, r.section
+from fx_parcel_raw r join fx_commune_ref c on c.iso_code = r.code_dep || r.code_com""", "fx_parcel_raw", "fx_commune_ref"))
+def q_load_parcels(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    out = loads.load_parcels(fx.fx_parcel_raw, fx.fx_commune_ref).drop("created_at", "updated_at", "uuid", "deleted_at")
+    return out.withColumn("refreshed_at", F.col("refreshed_at").cast("string"))
+
+
+def _purged(fx: Fixtures):
+    return loads.purge_batch(fx.fx_det_batch, fx.fx_detdata, fx.fx_object, fx.fx_zone_link, "sia_2021")
+
+
+_PURGE_SQL = """
+with det as (select * from fx_det_batch where batch_id is distinct from 'sia_2021'),
+orphan_obj as (select o.id from fx_object o left join det d on o.id = d.detection_object_id where d.detection_object_id is null)
+"""
+_PURGE_FX = ("fx_det_batch", "fx_detdata", "fx_object", "fx_zone_link")
+
+
+@register("P6_purge_batch", with_fixtures(_PURGE_SQL + "select id, batch_id from det", *_PURGE_FX))
+def q_purge_batch(spark, sf_dir):
+    return _purged(Fixtures(spark, sf_dir))["detection"].select("id", "batch_id")
+
+
+@register("P7_orphan_data", with_fixtures(_PURGE_SQL + """
+select * from fx_detdata where id not in (select dd.id from fx_detdata dd left join det d on dd.id = d.detection_data_id where d.detection_data_id is null)""",
+                                          *_PURGE_FX))
+def q_orphan_data(spark, sf_dir):
+    return _purged(Fixtures(spark, sf_dir))["detectiondata"]
+
+
+@register("P7_orphan_links", with_fixtures(_PURGE_SQL + """
+select * from fx_zone_link where not coalesce(detectionobject_id in (select id from orphan_obj), false)""", *_PURGE_FX))
+def q_orphan_links(spark, sf_dir):
+    return _purged(Fixtures(spark, sf_dir))["detectionobject_geo_custom_zones"]
+
+
+@register("P7_orphan_objects", with_fixtures(_PURGE_SQL + "select * from fx_object where id not in (select id from orphan_obj)", *_PURGE_FX))
+def q_orphan_objects(spark, sf_dir):
+    return _purged(Fixtures(spark, sf_dir))["detectionobject"]

@@ -159,3 +159,14 @@ def with_fixtures(sql: str, *names: str) -> str:
     if body.lower().startswith("with "):
         return f"with {ctes},\n{body[5:]}"
     return f"with {ctes}\n{body}"
+
+FIXTURE_SQL.update({
+    # custom-zone links of detection objects (orphan objects included)
+    "fx_zone_link": """
+select event_id as detectionobject_id, 351 + event_id % 2 as geocustomzone_id from events where event_id % 3 <> 1
+union all select event_id + 1000000, 351 from events where event_id % 100 = 0""",
+    # detections with a batch label (for purges)
+    "fx_det_batch": """
+select event_id as id, concat('sia_', cast(2015 + 3 * (event_id % 4) as string)) as batch_id, event_id as detection_data_id,
+ event_id as detection_object_id from events""",
+})
