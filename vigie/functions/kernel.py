@@ -353,3 +353,57 @@ def simplify_ring(ring: np.ndarray, tol: float) -> np.ndarray:
             stack.append((idx, e))
     out = closed[keep][:-1]
     return out if len(out) >= 3 else ring
+
+
+def overlap_area_union(P: list[np.ndarray], Qs: list[list[np.ndarray]]) -> float:
+    """Area of P ∩ (Q1 ∪ … ∪ Qk) without building the union: slabs cut at all vertices and all pairwise crossings,
+    per slab the union of the Qs' cross-section intervals is intersected with P's."""
+    Qs = [q for q in Qs if q]
+    if not P or not Qs:
+        return 0.0
+    ep = edges_of(P)
+    eqs = [edges_of(q) for q in Qs]
+    allq = np.vstack(eqs)
+    ox, oy = ep[:, [0, 2]].min(), ep[:, [1, 3]].min()
+    shift = np.array([ox, oy, ox, oy])
+    ep = ep - shift
+    eqs = [e - shift for e in eqs]
+    allq = allq - shift
+    xhi = ep[:, [0, 2]].max()
+    cuts = [ep[:, 0], ep[:, 2], allq[:, 0], allq[:, 2], _crossing_xs(ep, allq), [0.0, xhi]]
+    for i in range(len(eqs)):
+        for j in range(i + 1, len(eqs)):
+            cuts.append(_crossing_xs(eqs[i], eqs[j]))
+    xs = np.concatenate(cuts)
+    xs = np.unique(xs[(xs >= 0.0) & (xs <= xhi)])
+    if len(xs) < 2:
+        return 0.0
+    xm = 0.5 * (xs[:-1] + xs[1:])
+    w = np.diff(xs)
+    yp = _cross_section(ep, xm)
+    total = 0.0
+    sections = [_cross_section(e, xm) for e in eqs]
+    for k in range(len(xm)):
+        row = yp[k][~np.isnan(yp[k])]
+        p_iv = list(zip(row[0::2], row[1::2]))
+        if not p_iv:
+            continue
+        q_iv = []
+        for sec in sections:
+            r = sec[k][~np.isnan(sec[k])]
+            q_iv.extend(zip(r[0::2], r[1::2]))
+        if not q_iv:
+            continue
+        q_iv.sort()
+        merged = []
+        for a, b in q_iv:
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], b)
+            else:
+                merged.append([a, b])
+        length = 0.0
+        for a, b in p_iv:
+            for c, d in merged:
+                length += max(0.0, min(b, d) - max(a, c))
+        total += w[k] * length
+    return float(total)

@@ -281,3 +281,144 @@ def tile_cover(layer: DataFrame, zoom: int = 19, explode: bool = False) -> DataF
         return t
     return t.select("id", F.explode(F.sequence("min_x_tile", "max_x_tile")).alias("x"), "min_y_tile", "max_y_tile").select(
         "id", "x", F.explode(F.sequence("min_y_tile", "max_y_tile")).alias("y"))
+
+
+# ---------------------------------------------------------------- S5: containment in the union of a tileset's zones
+def _covered_batches(rows):
+    import numpy as np
+    import pandas as pd
+
+    from vigie.functions import kernel as K
+
+    for pdf in rows:
+        out = np.zeros(len(pdf))
+        for k in range(len(pdf)):
+            P = K.to_rings(pdf["rings"].iat[k])
+            pieces = pdf["pieces"].iat[k]
+            Qs = []
+            for pc in pieces:
+                if pc["kind"] == 2:
+                    Qs.append(K.to_rings(pc["q_rings"]))
+                else:
+                    Qs.append([K.box_ring(pc["q_minx"], pc["q_miny"], pc["q_maxx"], pc["q_maxy"])])
+            out[k] = K.overlap_area_union(P, Qs)
+        yield pd.DataFrame({"id": pdf["id"].to_numpy(), "covered": out})
+
+
+def outside_bounds(det: DataFrame, tileset_zones: DataFrame, zones: DataFrame, cell: float) -> DataFrame:
+    """Detections to remove — their tileset has no zones, or they are not contained in the union of the tileset's
+    zones (a straddler of two adjacent zones is inside). With a zoned tileset a NULL geometry is kept; with an
+    un-zoned one it is removed.
+
+    ``det``: layer with keep column tile_set_id. ``tileset_zones``: (tileset_id, geozone_id). The union is never built:
+    per (detection, cell) the zone pieces of the detection's tileset are gathered (bounded by the zones overlapping
+    one cell) and the covered area is computed by the union kernel, then summed per detection.
+    """
+    from vigie.plans import cells as C
+
+    links = tileset_zones.select(F.col("tileset_id").alias("tile_set_id"), F.col("geozone_id").cast("long").alias("zone_id"))
+    zoned = links.select("tile_set_id").distinct()
+    no_zone = det.join(zoned, "tile_set_id", "left_anti").select("id")
+    d = det.join(zoned, "tile_set_id", "left_semi").where(F.col("rings").isNotNull())
+    pieces = C.zone_cells(zones.join(links.select(F.col("zone_id").alias("id")).distinct(), "id", "left_semi"), cell)
+    fc = C.cells_of(d.select("id", "tile_set_id", "rings", "minx", "miny", "maxx", "maxy"), cell)
+    cand = fc.join(pieces, ["cx", "cy"]).join(links, ["tile_set_id", "zone_id"], "left_semi").where(
+        (F.col("minx") <= F.col("q_maxx")) & (F.col("q_minx") <= F.col("maxx")) & (F.col("miny") <= F.col("q_maxy")) & (F.col("q_miny") <= F.col("maxy"))
+    )
+    grouped = cand.groupBy("id", "cx", "cy").agg(
+        F.first("rings").alias("rings"),
+        F.collect_list(F.struct("kind", "q_minx", "q_miny", "q_maxx", "q_maxy", "q_rings")).alias("pieces"),
+    )
+    covered = grouped.mapInPandas(_covered_batches, "id long, covered double").groupBy("id").agg(F.sum("covered").alias("covered"))
+    inside = d.join(covered, "id", "left").where(F.col("covered") >= F.col("area") * (1 - 1e-9)).select("id")
+    outside = d.select("id").join(inside, "id", "left_anti")
+    return no_zone.unionByName(outside)
+
+
+# ---------------------------------------------------------------- S6, S7, S10, S16
+def extract_in_collectivities(det: DataFrame, data: DataFrame, objects: DataFrame, types: DataFrame, users: DataFrame,
+                              tiles: DataFrame, communes: DataFrame, names: DataFrame, batch_id: str, excluded_email: str,
+                              cell: float) -> DataFrame:
+    """Review extract of detections intersecting the union of the named communes (= intersecting any of them),
+    joined to data/object/type/user/tile; the default reviewer (and a NULL e-mail) is excluded; type name normalized."""
+    from vigie.functions.text import normalize_text
+    from vigie.plans import cells as C
+
+    named = communes.join(names.select(F.col("name").alias("_n")), F.col("name") == F.col("_n"), "left_semi")
+    hit = C.intersect_pairs(det, named, cell).select(F.col("fid").alias("id")).distinct()
+    d = (
+        det.join(hit, "id", "left_semi")
+        .join(data.select(F.col("id").alias("detection_data_id"), "detection_control_status", "detection_prescription_status",
+                          "detection_validation_status", "user_last_update_id"), "detection_data_id")
+        .join(objects.select(F.col("id").alias("detection_object_id"), "object_type_id", *(["address"] if "address" in objects.columns else [])),
+              "detection_object_id")
+        .join(types.select(F.col("id").alias("object_type_id"), "name_n"), "object_type_id")
+        .join(users.select(F.col("id").alias("user_last_update_id"), "email"), "user_last_update_id")
+        .join(tiles.select(F.col("id").alias("tile_id"), F.col("x").alias("tile_x"), F.col("y").alias("tile_y")), "tile_id")
+        .where(F.col("email") != excluded_email)
+    )
+    return d.select(
+        (F.col("address") if "address" in d.columns else F.lit(None).cast("string")).alias("address"),
+        F.lit(batch_id).alias("batch_id"), "detection_control_status", "detection_prescription_status", "detection_validation_status",
+        "id", normalize_text(F.col("name_n")).alias("object_type"), "score", "tile_x", "tile_y", F.lit(True).alias("user_reviewed"),
+    )
+
+
+def sync_zone_links(links: DataFrame, det: DataFrame, custom_zones: DataFrame, cell: float) -> DataFrame:
+    """(object, custom zone) pairs for objects having a detection within the zone, minus the existing links
+    (existing pairs untouched: an append-only, idempotent sync)."""
+    tagged = zone_tag(det.select("id", "rings", "minx", "miny", "maxx", "maxy", "is_rect", "area"), custom_zones, cell)
+    pairs = tagged.join(det.select("id", "detection_object_id"), "id").select(
+        F.col("detection_object_id").alias("detectionobject_id"), F.col("zone_id").alias("geocustomzone_id")).distinct()
+    return pairs.join(links, ["detectionobject_id", "geocustomzone_id"], "left_anti")
+
+
+def parcel_zone_flags(parcels: DataFrame, det: DataFrame, zones: DataFrame, zone_cols: dict, year: int, cell: float,
+                      precision: str = "0.705", bias: str = "0.252") -> DataFrame:
+    """Parcels referenced by detections of ``year``: one flag per risk zone (bool_or over the parcel's
+    geometries), then per zone the corrected count of flagged parcels, rounded half away from zero. Zones may overlap,
+    so the per-zone totals need not add up."""
+    from decimal import Decimal
+
+    refs = det.where(F.col("batch_year") == year).select("id_parcellaire").distinct()
+    p = parcels.join(refs, "id_parcellaire", "left_semi")
+    tags = zone_tag(p, zones.where(F.col("id").isin(list(zone_cols.values()))), cell)
+    flags = p.select("id", "id_parcellaire").join(tags, "id", "left").groupBy("id_parcellaire").agg(
+        *[F.max((F.col("zone_id") == z).cast("int")).alias(name) for name, z in zone_cols.items()]
+    )
+    factor = F.lit(Decimal(precision)) * (F.lit(Decimal(1)) - F.lit(Decimal(bias)))
+    return flags.agg(*[
+        F.round(F.sum(F.coalesce(F.col(name), F.lit(0))).cast("decimal(20,0)") * factor, 0).cast("int").alias(name)
+        for name in zone_cols
+    ])
+
+
+def detections_in_risk(det: DataFrame, data: DataFrame, objects: DataFrame, types: DataFrame, communes: DataFrame,
+                       risk: DataFrame, thresholds: DataFrame, cell: float, classes=None) -> DataFrame:
+    """Reviewable detections within a risk zone, with their centroid.
+
+    ``thresholds``: (tile_set_id, iso_code, min_score) with iso_code NULL meaning every commune of the tileset; the
+    reviewable rule is SUSPECT, LEGITIMATE, or DETECTED_NOT_VERIFIED above the matching threshold and not prescribed.
+    Detections of tilesets/communes without a threshold row are not reported.
+    """
+    from vigie.functions import geo
+    from vigie.operators.cohort import STATUS_CLASSES, reviewable
+    from vigie.plans.broadcast import bounded
+
+    classes = classes or STATUS_CLASSES
+    inrisk = zone_tag(det.select("id", "rings", "minx", "miny", "maxx", "maxy", "is_rect", "area"), risk, cell).select("id").distinct()
+    d = (
+        det.join(inrisk, "id", "left_semi")
+        .join(data.select(F.col("id").alias("detection_data_id"), "detection_validation_status", "detection_prescription_status"), "detection_data_id", "left")
+        .join(objects.select(F.col("id").alias("detection_object_id"), "object_type_id", "parcel_id", "commune_id"), "detection_object_id", "left")
+        .join(types.select(F.col("id").alias("object_type_id"), "name_n"), "object_type_id", "left")
+        .where(F.col("name_n").isin(list(classes)))
+        .join(communes.select(F.col("geozone_ptr_id").alias("commune_id"), "iso_code"), "commune_id", "left")
+    )
+    th = bounded(thresholds.select("tile_set_id", F.col("iso_code").alias("th_iso"), "min_score"))
+    m = d.join(th, (d["tile_set_id"] == th["tile_set_id"]) & (th["th_iso"].isNull() | (th["th_iso"] == d["iso_code"]))).drop(th["tile_set_id"])
+    ok = m.where(reviewable(F.col("score"), F.col("detection_validation_status"), F.col("detection_prescription_status"), F.col("min_score")))
+    ok = ok.select("id").distinct()
+    cx, cy = geo.centroid("rings")
+    return d.join(ok, "id", "left_semi").select("id", "tile_set_id", "commune_id", "parcel_id", cx.alias("cx"), cy.alias("cy"),
+                                                "detection_validation_status")

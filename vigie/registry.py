@@ -858,3 +858,85 @@ def q_orphan_links(spark, sf_dir):
 @register("P7_orphan_objects", with_fixtures(_PURGE_SQL + "select * from fx_object where id not in (select id from orphan_obj)", *_PURGE_FX))
 def q_orphan_objects(spark, sf_dir):
     return _purged(Fixtures(spark, sf_dir))["detectionobject"]
+
+
+# ---------------------------------------------------------------- S5, S6, S7, S10, S16
+@register("S5_outside_bounds", with_fixtures(f"""
+with cov as (select d.id, sum({_overlap('d', 'c')}) as covered from fx_detection d
+  join fx_tileset_zone tz on tz.tileset_id = d.tile_set_id join fx_commune c on c.geozone_id = tz.geozone_id group by d.id)
+select d.id from fx_detection d where d.tile_set_id not in (select tileset_id from fx_tileset_zone)
+union all
+select d.id from fx_detection d left join cov on cov.id = d.id
+where d.tile_set_id in (select tileset_id from fx_tileset_zone) and coalesce(cov.covered, 0) < {_area('d')}""",
+                                              "fx_detection", "fx_tileset_zone", "fx_commune"))
+def q_outside_bounds(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    det = layers.detection_layer(fx.fx_detection, keep=("tile_set_id",))
+    return spatial.outside_bounds(det, fx.fx_tileset_zone, layers.commune_layer(fx.fx_commune), CELL)
+
+
+@register("S6_extract_in_collectivities", with_fixtures(r"""
+with named as (select c.* from fx_commune c where c.name in (select name from fx_commune_ref where department_id = 102)),
+hit as (select distinct d.id from fx_detection d join named c on d.minx <= c.maxx and c.minx <= d.maxx and d.miny <= c.maxy and c.miny <= d.maxy)
+select cast(null as varchar) as address, 'preprod_import' as batch_id, dd.detection_control_status, dd.detection_prescription_status,
+  dd.detection_validation_status, d.id,
+  regexp_replace(lower(regexp_replace(strip_accents(t.name_n), '[^a-zA-Z0-9\n. ]', ' ', 'g')), '\s+', ' ', 'g') as object_type,
+  d.score, ti.x as tile_x, ti.y as tile_y, true as user_reviewed
+from fx_detection d join fx_detdata dd on dd.id = d.detection_data_id join fx_object o on o.id = d.detection_object_id
+join fx_type t on t.id = o.object_type_id join fx_user u on u.id = dd.user_last_update_id join fx_tile ti on ti.id = 1 + d.id % 10
+where d.id in (select id from hit) and u.email <> 'user3@example.org'""",
+                                                         "fx_detection", "fx_commune", "fx_commune_ref", "fx_detdata", "fx_object", "fx_type", "fx_user", "fx_tile"))
+def q_extract_in_collectivities(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    det = layers.detection_layer(fx.fx_detection.withColumn("tile_id", 1 + F.col("id") % 10),
+                                 keep=("detection_data_id", "detection_object_id", "score", "tile_id"))
+    communes = layers.box_layer(fx.fx_commune, "geozone_id", keep=("name",))
+    names = fx.fx_commune_ref.where(F.col("department_id") == 102).select("name")
+    return spatial.extract_in_collectivities(det, fx.fx_detdata, fx.fx_object, fx.fx_type, fx.fx_user, fx.fx_tile, communes, names,
+                                             "preprod_import", "user3@example.org", CELL)
+
+
+@register("S7_sync_zone_links", with_fixtures(f"""
+select distinct d.detection_object_id as detectionobject_id, cast(r.zone_id as bigint) as geocustomzone_id
+from fx_detection d join fx_risk r on {_within_risk('d', 'r')}
+except select detectionobject_id, geocustomzone_id from fx_zone_link""", "fx_detection", "fx_risk", "fx_zone_link"))
+def q_sync_zone_links(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    det = layers.detection_layer(fx.fx_detection, keep=("detection_object_id",))
+    return spatial.sync_zone_links(fx.fx_zone_link, det, layers.risk_layer(fx.fx_risk), CELL)
+
+
+S10_ZONES = {"parcels_in_zan": 351, "parcels_in_zrf": 352, "parcels_in_zfee": 361}
+
+
+@register("S10_parcel_zone_flags", with_fixtures(ORACLE_LOADED + f""",
+refs as (select distinct id_parcellaire from stats_det where batch_year = 2024 and object_type in ('construction en dur', 'piscine')),
+pf as (select p.id_parcellaire,
+  max(case when exists (select 1 from fx_risk r where r.zone_id = 351 and {_within_risk('p', 'r')}) then 1 else 0 end) as zan,
+  max(case when exists (select 1 from fx_risk r where r.zone_id = 352 and {_within_risk('p', 'r')}) then 1 else 0 end) as zrf,
+  max(case when exists (select 1 from fx_risk r where r.zone_id = 361 and {_within_risk('p', 'r')}) then 1 else 0 end) as zfee
+  from fx_parcel p where p.id_parcellaire in (select id_parcellaire from refs) group by p.id_parcellaire)
+select cast(sum(zan) * 0.705 * (1 - 0.252) as integer) as parcels_in_zan, cast(sum(zrf) * 0.705 * (1 - 0.252) as integer) as parcels_in_zrf,
+  cast(sum(zfee) * 0.705 * (1 - 0.252) as integer) as parcels_in_zfee from pf""", *_LOAD_FX))
+def q_parcel_zone_flags(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    det = _loaded(fx).where(F.col("object_type").isin(spatial.HISTORY_CLASSES))
+    return spatial.parcel_zone_flags(layers.parcel_layer(fx.fx_parcel), det, layers.risk_layer(fx.fx_risk), S10_ZONES, 2024, CELL)
+
+
+@register("S16_detections_in_risk", with_fixtures(f"""
+with inrisk as (select distinct d.id from fx_detection d join fx_risk r on {_within_risk('d', 'r')}),
+base as (select d.*, dd.detection_validation_status as v, dd.detection_prescription_status as pres, o.commune_id, o.parcel_id, c.iso_code
+  from fx_detection d left join fx_detdata dd on dd.id = d.detection_data_id left join fx_object o on o.id = d.detection_object_id
+  left join fx_type t on t.id = o.object_type_id left join fx_commune_ref c on c.geozone_ptr_id = o.commune_id
+  where d.id in (select id from inrisk) and t.name_n in ('Construction en dur', 'Piscine', 'Mobil-home', 'Caravane', 'Installation Legere')),
+ok as (select distinct b.id from base b join fx_threshold th on th.tile_set_id = b.tile_set_id and (th.iso_code is null or th.iso_code = b.iso_code)
+  where b.v in ('SUSPECT', 'LEGITIMATE') or (b.v = 'DETECTED_NOT_VERIFIED' and b.score > th.min_score and (b.pres is null or b.pres <> 'PRESCRIBED')))
+select b.id, b.tile_set_id, b.commune_id, b.parcel_id, (b.minx + b.maxx) / 2.0 as cx, (b.miny + b.maxy) / 2.0 as cy, b.v as detection_validation_status
+from base b where b.id in (select id from ok)""",
+                                                   "fx_detection", "fx_risk", "fx_detdata", "fx_object", "fx_type", "fx_commune_ref", "fx_threshold"))
+def q_detections_in_risk(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    det = layers.detection_layer(fx.fx_detection, keep=("tile_set_id", "score", "detection_data_id", "detection_object_id"))
+    return spatial.detections_in_risk(det, fx.fx_detdata, fx.fx_object, fx.fx_type, fx.fx_commune_ref, layers.risk_layer(fx.fx_risk),
+                                      fx.fx_threshold, CELL)

@@ -170,3 +170,15 @@ union all select event_id + 1000000, 351 from events where event_id % 100 = 0"""
 select event_id as id, concat('sia_', cast(2015 + 3 * (event_id % 4) as string)) as batch_id, event_id as detection_data_id,
  event_id as detection_object_id from events""",
 })
+
+FIXTURE_SQL.update({
+    # tileset ↔ zone links: tileset 1 covers commune rows 0–2, tileset 2 rows 2–4 (tileset 3 has no zone)
+    "fx_tileset_zone": """
+select 1 as tileset_id, n_nationkey as geozone_id from nation where n_nationkey < 15
+union all select 2, n_nationkey from nation where n_nationkey >= 10""",
+    # score thresholds of reviewable detections: per commune for tileset 1, one for every commune of tileset 2
+    "fx_threshold": """
+select 1 as tile_set_id, iso_code, case department_id % 3 when 0 then 0.21 when 1 then 0.35 else 0.42 end as min_score from (
+ select concat('34', lpad(cast(n_nationkey as string), 3, '0')) as iso_code, 100 + n_regionkey as department_id from nation) t
+union all select 2, null, 0.21""",
+})
