@@ -136,3 +136,68 @@ def purge_batch(detections: DataFrame, data: DataFrame, objects: DataFrame, link
     """Remove the detections of one batch (NULL batch ids are kept), then cascade."""
     kept = detections.where(~F.col("batch_id").eqNullSafe(F.lit(batch_id)))
     return orphan_cascade(kept, data, objects, links)
+
+
+# ---------------------------------------------------------------- P5: custom-zone geometry refresh
+def refresh_custom_geometry(zones: DataFrame, staging: DataFrame, zone_type: str = "CUSTOM") -> DataFrame:
+    """P5: replace the geometry of zones of ``zone_type`` by the staging row of the same name (several staging rows of
+    one name: the smallest staging id wins); other zones unchanged. ``zones``/``staging``: name + geometry columns
+    (``rings`` and bbox); staging has a ``sid`` order key."""
+    from pyspark.sql import Window
+
+    geo_cols = [c for c in ("rings", "minx", "miny", "maxx", "maxy") if c in staging.columns]
+    w = Window.partitionBy("name").orderBy("sid")
+    st = staging.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select("name", *[F.col(c).alias("_s_" + c) for c in geo_cols])
+    j = zones.join(st, "name", "left")
+    hit = (F.col("zone_type") == zone_type) & F.col("_s_" + geo_cols[0]).isNotNull()
+    return j.select(*[F.when(hit, F.col("_s_" + c)).otherwise(F.col(c)).alias(c) if c in geo_cols else F.col(c) for c in zones.columns])
+
+
+def find_zones(zones: DataFrame, pattern: str, zone_type: str = "CUSTOM") -> DataFrame:
+    """P5 lookup: zones of a type whose name matches a case-insensitive LIKE pattern."""
+    return zones.where(F.col("name").ilike(pattern) & (F.col("zone_type") == zone_type)).select("name", "id")
+
+
+# ---------------------------------------------------------------- P2 / S17: collectivity upsert
+def geometry_match(a: DataFrame, b: DataFrame, a_key: str, b_key: str) -> DataFrame:
+    """Pairs (a_key, b_key) of rows with equal geometry: equi-join on a hash of the rings, exact ring equality as
+    the residual (no spatial predicate needed)."""
+    ah = a.select(F.col(a_key), F.col("rings").alias("_ra"), F.xxhash64("rings").alias("_h"))
+    bh = b.select(F.col(b_key), F.col("rings").alias("_rb"), F.xxhash64("rings").alias("_h"))
+    return ah.join(bh, "_h").where(F.col("_ra") == F.col("_rb")).select(a_key, b_key)
+
+
+def upsert_collectivities(zones: DataFrame, child: DataFrame, source: DataFrame, level: str, parents: DataFrame | None = None):
+    """P2 for one level: refresh geometries of known codes, insert zones for unknown codes (null-aware NOT IN) with a
+    normalized name, then create child rows for zones of the level that have none, matched to the source by geometry
+    equality (S17), with the parent id looked up by code.
+
+    zones: id, name, name_normalized, zone_type, rings, minx..maxy; child: geozone_ptr_id, code;
+    source: code, name, parent_code, rings, minx..maxy; parents: geozone_ptr_id, insee_code.
+    Returns (zones, new_child_rows).
+    """
+    from vigie.functions.text import normalize_text
+    from vigie.plans.ids import surrogate_ids
+
+    geo_cols = ["rings", "minx", "miny", "maxx", "maxy"]
+    src_by_code = source.select("code", *[F.col(c).alias("_s_" + c) for c in geo_cols])
+    known = child.select(F.col("geozone_ptr_id").alias("id"), "code").join(src_by_code, "code")
+    refreshed = zones.join(known.drop("code"), "id", "left").select(
+        *[F.coalesce(F.col("_s_" + c), F.col(c)).alias(c) if c in geo_cols else F.col(c) for c in zones.columns]
+    )
+    spark = zones.sparkSession
+    new_src = spark.sql("select * from {s} where code not in (select code from {c})", s=source, c=child)
+    max_id = zones.agg(F.max("id").alias("_m"))
+    numbered = surrogate_ids(new_src, [F.col("code")], name="_rank", offset=1).crossJoin(F.broadcast(max_id))
+    inserted = numbered.select(
+        (F.col("_m") + F.col("_rank")).cast(zones.schema["id"].dataType).alias("id"), F.col("name"),
+        normalize_text(F.col("name")).alias("name_normalized"), F.lit(level).alias("zone_type"), *geo_cols,
+    )
+    all_zones = refreshed.unionByName(inserted.select(*zones.columns))
+    orphans = all_zones.where(F.col("zone_type") == level).join(child.select(F.col("geozone_ptr_id").alias("id")), "id", "left_anti")
+    pairs = geometry_match(orphans, source, "id", "code")
+    new_child = pairs.join(source.select("code", "parent_code"), "code")
+    if parents is not None:
+        new_child = new_child.join(parents.select(F.col("insee_code").alias("parent_code"), F.col("geozone_ptr_id").alias("parent_id")),
+                                   "parent_code", "left")
+    return all_zones, new_child.select(F.col("id").alias("geozone_ptr_id"), "code", *(["parent_id"] if parents is not None else []))

@@ -422,3 +422,95 @@ def detections_in_risk(det: DataFrame, data: DataFrame, objects: DataFrame, type
     cx, cy = geo.centroid("rings")
     return d.join(ok, "id", "left_semi").select("id", "tile_set_id", "commune_id", "parcel_id", cx.alias("cx"), cy.alias("cy"),
                                                 "detection_validation_status")
+
+
+# ---------------------------------------------------------------- S13: layer ingest
+def ingest_layer(layers_df: DataFrame, name: str, default_srid: int = 2154) -> tuple[DataFrame, DataFrame]:
+    """A folder of decoded source layers (file, srid, rings) → one named zone.
+
+    The SRID is probed per file (0 or absent → ``default_srid``); Lambert-93 rows are reprojected to lon/lat with
+    vertex-wise Column math, lon/lat rows pass as is, other SRIDs and invalid rings (fewer than 3 vertices or zero
+    area) are quarantined instead of repaired; the valid polygons are dissolved (S4) into the zone's boundary.
+    Returns (zone: name, area, boundary edge count, bbox; quarantine: file, reason).
+    """
+    from vigie.functions import geo
+
+    srid = layers_df.groupBy("file").agg(F.first("srid", ignorenulls=True).alias("_srid")).select(
+        "file", F.when(F.col("_srid").isNull() | (F.col("_srid") == 0), F.lit(default_srid)).otherwise(F.col("_srid")).alias("layer_srid"))
+    d = layers_df.join(srid, "file").withColumn("_pid", F.monotonically_increasing_id())
+    valid_ring = F.forall("rings", lambda r: F.size(F.array_distinct(r)) >= 3)
+    proj = F.when(F.col("layer_srid") == 2154, geo.lambert93_to_wgs84(F.col("rings"))).when(F.col("layer_srid") == 4326, F.col("rings"))
+    d = d.withColumn("rings", proj)
+    bad = d.where(F.col("rings").isNull() | ~valid_ring).select(
+        "file", F.when(F.col("rings").isNull(), F.lit("unsupported srid")).otherwise(F.lit("invalid ring")).alias("reason"))
+    good = d.where(F.col("rings").isNotNull() & valid_ring).select(F.col("_pid").alias("id"), "rings")
+    good = good.withColumn("_a", geo.area("rings")).where(F.col("_a") != 0).drop("_a")
+    boundary = dissolve(good)
+    m = edge_measures(boundary.withColumnRenamed("group_id", "gid"), "gid")
+    bb = boundary.agg(F.count(F.lit(1)).alias("boundary_edges"), F.least(F.min("x1"), F.min("x2")).alias("minx"),
+                      F.least(F.min("y1"), F.min("y2")).alias("miny"), F.greatest(F.max("x1"), F.max("x2")).alias("maxx"),
+                      F.greatest(F.max("y1"), F.max("y2")).alias("maxy"))
+    zone = m.crossJoin(bb).select(F.lit(name).alias("name"), "area", "boundary_edges", "minx", "miny", "maxx", "maxy")
+    return zone, bad
+
+
+# ---------------------------------------------------------------- S14: web-map features
+# Anchor points of overseas departments on the map (code, lat, lon).
+OVERSEAS_ANCHORS = [("971", 51.0, -7.223655), ("972", 49.0, -7.223655), ("973", 47.0, -7.223655), ("974", 45.0, -7.223655), ("976", 43.0, -7.223655)]
+OVERSEAS_PREFIX, OVERSEAS_SKIPPED = "97", "973"
+
+
+def _geojson_batches(tol: float):
+    import json
+
+    import numpy as np
+    import pandas as pd
+
+    from vigie.functions import kernel as K
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for row in pdf.itertuples(index=False):
+                polys = []
+                for r in K.to_rings(row.rings):
+                    s = K.simplify_ring(r, tol)
+                    ring = np.vstack([s, s[:1]]).round(9).tolist()
+                    if K.signed_area(s) >= 0 or not polys:
+                        polys.append([ring])
+                    else:
+                        polys[-1].append(ring)
+                geom = {"type": "Polygon", "coordinates": polys[0]} if len(polys) == 1 else {"type": "MultiPolygon", "coordinates": polys}
+                feat = {"type": "Feature", "id": int(row.feature_id), "geometry": geom,
+                        "properties": {"id": None if pd.isna(row.id) else int(row.id), "name": row.name,
+                                       "name_normalized": row.name_normalized, "insee_code": row.insee_code}}
+                out.append(json.dumps(feat, ensure_ascii=False))
+            yield pd.DataFrame({"feature_id": pdf["feature_id"].to_numpy(), "geojson": out})
+
+    return run
+
+
+def zone_features(layer: DataFrame, anchors: DataFrame | None = None, tol: float = 0.01) -> DataFrame:
+    """Department features for a web map, one GeoJSON Feature per row (the FeatureCollection is the file of
+    lines, never one aggregated document). Metropolitan codes as is; overseas codes (97x except 973) translated so
+    their centroid sits on the anchor (codes without an anchor are dropped); rings simplified (Douglas–Peucker, ``tol``).
+
+    ``layer``: id, name, name_normalized, insee_code, rings. Returns id, name, insee_code, translated bbox, geojson.
+    """
+    from vigie.functions import geo
+    from vigie.plans.broadcast import seed
+
+    spark = layer.sparkSession
+    anchors = anchors if anchors is not None else spark.createDataFrame(OVERSEAS_ANCHORS, "insee_code string, a_lat double, a_lon double")
+    code = F.col("insee_code")
+    metro = layer.where(~code.like(OVERSEAS_PREFIX + "%"))
+    cx, cy = geo.centroid("rings")
+    over = layer.where(code.like(OVERSEAS_PREFIX + "%") & ~(code == OVERSEAS_SKIPPED)).join(seed(anchors), "insee_code") \
+        .withColumn("rings", geo.translate(F.col("rings"), F.col("a_lon") - cx, F.col("a_lat") - cy)).drop("a_lat", "a_lon")
+    cols = ["id", "name", "name_normalized", "insee_code", "rings"]
+    allz = metro.select(*cols).unionByName(over.select(*cols))
+    allz = allz.withColumn("feature_id", F.coalesce(F.col("id").cast("long"), F.monotonically_increasing_id() + 1))
+    allz = allz.select("*", *geo.bbox_cols("rings"))
+    gj = allz.select("feature_id", "id", "name", "name_normalized", "insee_code", "rings").mapInPandas(
+        _geojson_batches(tol), "feature_id long, geojson string")
+    return allz.drop("rings").join(gj, "feature_id")

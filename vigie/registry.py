@@ -940,3 +940,134 @@ def q_detections_in_risk(spark, sf_dir):
     det = layers.detection_layer(fx.fx_detection, keep=("tile_set_id", "score", "detection_data_id", "detection_object_id"))
     return spatial.detections_in_risk(det, fx.fx_detdata, fx.fx_object, fx.fx_type, fx.fx_commune_ref, layers.risk_layer(fx.fx_risk),
                                       fx.fx_threshold, CELL)
+
+
+# ---------------------------------------------------------------- P2, S17, P5, Q1, S13, S14
+from vigie.functions import geo as G  # noqa: E402
+from vigie.operators import quality  # noqa: E402
+
+
+def _upsert(fx: Fixtures):
+    zl = layers.commune_layer(fx.fx_commune).select("id", "rings", "minx", "miny", "maxx", "maxy")
+    zones = fx.fx_zone.select(F.col("id").cast("long").alias("id"), "name", "name_normalized", "zone_type").join(zl, "id", "left")
+    child = fx.fx_commune_ref.select(F.col("geozone_ptr_id").cast("long").alias("geozone_ptr_id"), F.col("iso_code").alias("code"))
+    src = layers.box_layer(fx.fx_commune_src, "minx", keep=("insee_com", "nom", "insee_dep")).select(
+        F.col("insee_com").alias("code"), F.col("nom").alias("name"), F.col("insee_dep").alias("parent_code"), "rings", "minx", "miny", "maxx", "maxy")
+    return loads.upsert_collectivities(zones, child, src, "COMMUNE", parents=fx.fx_department)
+
+
+_UPSERT_SQL = r"""
+with src as (select * from fx_commune_src),
+zgeo as (select z.id, z.name, z.name_normalized, z.zone_type, c.minx, c.miny, c.maxx, c.maxy from fx_zone z left join fx_commune c on c.geozone_id = z.id),
+refreshed as (select z.id, z.name, z.name_normalized, z.zone_type, coalesce(s.minx, z.minx) as minx, coalesce(s.miny, z.miny) as miny,
+  coalesce(s.maxx, z.maxx) as maxx, coalesce(s.maxy, z.maxy) as maxy
+  from zgeo z left join fx_commune_ref r on r.geozone_ptr_id = z.id left join src s on s.insee_com = r.iso_code),
+ins as (select (select max(id) from fx_zone) + row_number() over (order by insee_com) as id, nom as name,
+  regexp_replace(lower(regexp_replace(replace(replace(strip_accents(nom), 'Œ', 'OE'), 'œ', 'oe'), '[^a-zA-Z0-9\n. ]', ' ', 'g')), '\s+', ' ', 'g') as name_normalized,
+  'COMMUNE' as zone_type, minx, miny, maxx, maxy, insee_com, insee_dep
+  from src where insee_com not in (select iso_code from fx_commune_ref)),
+upserted as (select cast(id as bigint) as id, name, name_normalized, zone_type, cast(minx as double) as minx, cast(miny as double) as miny,
+  cast(maxx as double) as maxx, cast(maxy as double) as maxy from refreshed
+  union all select cast(id as bigint), name, name_normalized, zone_type, cast(minx as double), cast(miny as double), cast(maxx as double), cast(maxy as double) from ins)
+"""
+_UPSERT_FX = ("fx_commune_src", "fx_zone", "fx_commune", "fx_commune_ref", "fx_department")
+
+
+@register("P2_upsert_collectivities", with_fixtures(_UPSERT_SQL + "select * from upserted", *_UPSERT_FX))
+def q_upsert(spark, sf_dir):
+    zones, _ = _upsert(Fixtures(spark, sf_dir))
+    return zones.select("id", "name", "name_normalized", "zone_type", "minx", "miny", "maxx", "maxy")
+
+
+@register("S17_geometry_match_new", with_fixtures(_UPSERT_SQL + """
+select cast(u.id as bigint) as geozone_ptr_id, s.insee_com as code, d.geozone_ptr_id as parent_id
+from upserted u join src s on s.minx = u.minx and s.miny = u.miny and s.maxx = u.maxx and s.maxy = u.maxy
+left join fx_department d on d.insee_code = s.insee_dep
+where u.zone_type = 'COMMUNE' and u.id not in (select geozone_ptr_id from fx_commune_ref)""", *_UPSERT_FX))
+def q_geometry_match(spark, sf_dir):
+    _, child = _upsert(Fixtures(spark, sf_dir))
+    return child
+
+
+def _custom(fx: Fixtures):
+    zones = layers.box_layer(fx.fx_custom_zone, "id", keep=("name", "zone_type"))
+    staging = layers.box_layer(fx.fx_custom_staging, "sid", keep=("name",)).withColumnRenamed("id", "sid")
+    return loads.refresh_custom_geometry(zones, staging)
+
+
+@register("P5_refresh_custom_geometry", with_fixtures("""
+with st as (select * from (select *, row_number() over (partition by name order by sid) as rn from fx_custom_staging) where rn = 1)
+select cast(z.id as bigint) as id, z.name, z.zone_type,
+  cast(case when z.zone_type = 'CUSTOM' and st.sid is not null then st.minx else z.minx end as double) as minx,
+  cast(case when z.zone_type = 'CUSTOM' and st.sid is not null then st.miny else z.miny end as double) as miny,
+  cast(case when z.zone_type = 'CUSTOM' and st.sid is not null then st.maxx else z.maxx end as double) as maxx,
+  cast(case when z.zone_type = 'CUSTOM' and st.sid is not null then st.maxy else z.maxy end as double) as maxy
+from fx_custom_zone z left join st on st.name = z.name""", "fx_custom_zone", "fx_custom_staging"))
+def q_refresh_custom(spark, sf_dir):
+    return _custom(Fixtures(spark, sf_dir)).select("id", "name", "zone_type", "minx", "miny", "maxx", "maxy")
+
+
+@register("P5_find_zones", with_fixtures("""
+select name, cast(id as bigint) as id from fx_custom_zone where name ilike '%supplier#0000000_1%' and zone_type = 'CUSTOM'""", "fx_custom_zone"))
+def q_find_zones(spark, sf_dir):
+    return loads.find_zones(_custom(Fixtures(spark, sf_dir)), "%supplier#0000000_1%")
+
+
+@register("Q1_constraint_report", with_fixtures("""
+select 'fx_detection' as table_name, 'pk(id)' as rule, cast(count(*) - count(distinct id) + count(*) filter (where id is null) as bigint) as violations from fx_detection
+union all select 'fx_det_tagged', 'pk(id)', cast((select count(*) from (select id from fx_det_tagged group by id having count(*) > 1)) as bigint)
+union all select 'fx_history', 'pk(history_id)', cast((select count(*) from (select history_id from fx_history group by history_id having count(*) > 1)) as bigint)
+union all select 'fx_object', 'fk(parcel_id -> fx_parcel.id)', cast(count(*) as bigint) from fx_object o where o.parcel_id is not null and o.parcel_id not in (select id from fx_parcel)
+union all select 'fx_detdata', 'not_null(user_last_update_id)', cast(count(*) filter (where user_last_update_id is null) as bigint) from fx_detdata
+union all select 'fx_hist_det', 'not_null(parcel_id)', cast(count(*) filter (where parcel_id is null) as bigint) from fx_hist_det""",
+                                              "fx_detection", "fx_det_tagged", "fx_history", "fx_object", "fx_parcel", "fx_detdata", "fx_hist_det"))
+def q_constraint_report(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return quality.constraint_report([
+        quality.primary_key(fx.fx_detection, "fx_detection", ["id"]),
+        quality.primary_key(fx.fx_det_tagged, "fx_det_tagged", ["id"]),
+        quality.primary_key(fx.fx_history, "fx_history", ["history_id"]),
+        quality.foreign_key(fx.fx_object, "fx_object", "parcel_id", fx.fx_parcel, "id", "fx_parcel"),
+        quality.not_null(fx.fx_detdata, "fx_detdata", "user_last_update_id"),
+        quality.not_null(fx.fx_hist_det, "fx_hist_det", "parcel_id"),
+    ])
+
+
+def _l93_layers(fx: Fixtures):
+    """Source layers in Lambert-93 metres (one file per region; odd files declare SRID 0 → default)."""
+    c = fx.fx_commune.select(
+        F.concat(F.lit("layer_"), F.col("epci_id").cast("string")).alias("file"),
+        F.when(F.col("epci_id") % 2 == 0, F.lit(2154)).otherwise(F.lit(0)).alias("srid"),
+        G.box_rings(700000 + F.col("minx") * 100, 6600000 + F.col("miny") * 100, 700000 + F.col("maxx") * 100, 6600000 + F.col("maxy") * 100).alias("rings"),
+    )
+    return c
+
+
+@register("S13_ingest_layer")
+def q_ingest_layer(spark, sf_dir):
+    zone, _ = spatial.ingest_layer(_l93_layers(Fixtures(spark, sf_dir)), "study area")
+    return zone
+
+
+@register("S14_zone_features", with_fixtures("""
+with anchors as (select * from (values ('971', 51.0, -7.223655), ('972', 49.0, -7.223655), ('973', 47.0, -7.223655),
+  ('974', 45.0, -7.223655), ('976', 43.0, -7.223655)) t(insee_code, lat, lon))
+select cast(id as bigint) as id, name, insee_code, round(minx, 9) as minx, round(miny, 9) as miny, round(maxx, 9) as maxx, round(maxy, 9) as maxy
+from fx_map_zone where insee_code not like '97%'
+union all
+select cast(z.id as bigint), z.name, z.insee_code, round(z.minx + (a.lon - (z.minx + z.maxx) / 2), 9), round(z.miny + (a.lat - (z.miny + z.maxy) / 2), 9),
+  round(z.maxx + (a.lon - (z.minx + z.maxx) / 2), 9), round(z.maxy + (a.lat - (z.miny + z.maxy) / 2), 9)
+from fx_map_zone z join anchors a on a.insee_code = z.insee_code where z.insee_code like '97%' and z.insee_code <> '973'""", "fx_map_zone"))
+def q_zone_features(spark, sf_dir):
+    f = _map_features(Fixtures(spark, sf_dir))
+    return f.select(F.col("id").cast("long").alias("id"), "name", "insee_code", *[F.round(c, 9).alias(c) for c in ("minx", "miny", "maxx", "maxy")])
+
+
+def _map_features(fx: Fixtures):
+    layer = layers.box_layer(fx.fx_map_zone, "id", keep=("name", "name_normalized", "insee_code"))
+    return spatial.zone_features(layer.select("id", "name", "name_normalized", "insee_code", "rings"))
+
+
+@register("S14_zone_features_geojson")
+def q_zone_features_geojson(spark, sf_dir):
+    return _map_features(Fixtures(spark, sf_dir)).select("feature_id", "geojson")

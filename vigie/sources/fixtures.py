@@ -182,3 +182,26 @@ select 1 as tile_set_id, iso_code, case department_id % 3 when 0 then 0.21 when
  select concat('34', lpad(cast(n_nationkey as string), 3, '0')) as iso_code, 100 + n_regionkey as department_id from nation) t
 union all select 2, null, 0.21""",
 })
+
+FIXTURE_SQL.update({
+    # source communes of a reference-data refresh: codes 34000–34039 (25 known, the rest new), accented names
+    "fx_commune_src": """
+select distinct concat('34', lpad(cast(s_suppkey % 40 as string), 3, '0')) as insee_com,
+ concat('Saint-Étienne-d''Œuf ', cast(s_suppkey % 40 as string)) as nom, concat('3', cast((s_suppkey % 40) % 5 as string)) as insee_dep,
+ ((s_suppkey % 40) % 8) * 100 as minx, cast(floor((s_suppkey % 40) / 8) as int) * 100 as miny,
+ ((s_suppkey % 40) % 8) * 100 + 100 as maxx, cast(floor((s_suppkey % 40) / 8) as int) * 100 + 100 as maxy
+from supplier""",
+    # custom zones and a staging table of new custom geometries (duplicate staging names: smallest staging id wins)
+    "fx_custom_zone": """
+select s_suppkey as id, s_name as name, case when s_suppkey % 3 = 0 then 'CUSTOM' else 'COMMUNE' end as zone_type,
+ s_nationkey as minx, 0 as miny, s_nationkey + 1 as maxx, 1 as maxy from supplier""",
+    "fx_custom_staging": """
+select p_partkey as sid, concat('Supplier#', lpad(cast(1 + p_partkey % 120 as string), 9, '0')) as name,
+ p_size as minx, 0 as miny, p_size + 2 as maxx, 2 as maxy from part""",
+    # departments and overseas territories for the web-map features (codes 97x for the last five communes)
+    "fx_map_zone": """
+select n_nationkey as id, n_name as name, lower(n_name) as name_normalized,
+ case when n_nationkey >= 20 then concat('97', cast(n_nationkey - 19 as string)) else lpad(cast(n_nationkey as string), 2, '0') end as insee_code,
+ (n_nationkey % 5) * 2.0 as minx, 40 + cast(floor(n_nationkey / 5) as int) * 2.0 as miny,
+ (n_nationkey % 5) * 2.0 + 2 as maxx, 40 + cast(floor(n_nationkey / 5) as int) * 2.0 + 2 as maxy from nation""",
+})
