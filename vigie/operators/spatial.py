@@ -113,7 +113,7 @@ MERGED_INTO = "construction en dur"
 
 
 def load_detections(inference: DataFrame, parcels: DataFrame, zones: DataFrame, configs: DataFrame, cell: float,
-                    min_score: float = LOAD_MIN_SCORE, classes=LOAD_CLASSES) -> DataFrame:
+                    min_score: float = LOAD_MIN_SCORE, classes=LOAD_CLASSES, pair_cell: float | None = None) -> DataFrame:
     """The detection load for every (territory, batch) configuration in one plan.
 
     ``inference``: layer with keep columns score, object_type, batch_id. ``configs``: geozone_id, batch_id, batch_year,
@@ -150,11 +150,12 @@ def load_detections(inference: DataFrame, parcels: DataFrame, zones: DataFrame,
     )
     loaded = materialize(cand.join(keys, ["id", "load_seq"], "left_semi"))
     ids = loaded.select("id", "rings", "minx", "miny", "maxx", "maxy", "is_rect", "area").dropDuplicates(["id"])
-    parcel = match_parcel(ids, parcels, cell).select("id", "id_parcellaire")
+    pair_cell = pair_cell or cell
+    parcel = match_parcel(ids, parcels, pair_cell).select("id", "id_parcellaire")
     rows = materialize(loaded.join(parcel, "id", "left").withColumn(
         "object_type", F.when(F.col("object_type").isin(MERGED_CLASSES), F.lit(MERGED_INTO)).otherwise(F.col("object_type"))
     ))
-    flagged = first_detection(rows, cell, seq_col="load_seq")
+    flagged = first_detection(rows, pair_cell, seq_col="load_seq")
     return materialize(flagged.select(
         "id", "score", "object_type", F.col("geozone_id").cast("long").alias("geozone_id"), "batch_year", "id_parcellaire",
         "first_detection", "load_seq", "rings", "minx", "miny", "maxx", "maxy", "is_rect", "area",

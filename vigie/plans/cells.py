@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from vigie.functions import geo
 from vigie.functions import kernel as K
+from vigie.plans.materialize import materialize
 
 ZONE_CELL_SCHEMA = (
     "zone_id long, cx long, cy long, kind int, q_minx double, q_miny double, q_maxx double, q_maxy double, "
@@ -121,6 +122,11 @@ def _measure_batches(with_touch: bool):
     return run
 
 
+def _has_general(df: DataFrame) -> bool:
+    """Bounded probe: does at least one row exist (decides whether the Python kernel branch is planned)."""
+    return df.limit(1).count() > 0
+
+
 def _closed_bbox_overlap(ax0, ay0, ax1, ay1, bx0, by0, bx1, by1) -> Column:
     return (ax0 <= bx1) & (bx0 <= ax1) & (ay0 <= by1) & (by0 <= ay1)
 
@@ -133,19 +139,23 @@ def zone_measures(features: DataFrame, zones: DataFrame, cell: float, with_touch
     """
     c = F.col
     fc = cells_of(features.select(c("id").alias("fid"), "rings", "minx", "miny", "maxx", "maxy", "is_rect"), cell)
-    zc = zone_pieces if zone_pieces is not None else zone_cells(zones, cell)
+    zc = zone_pieces if zone_pieces is not None else materialize(zone_cells(zones, cell))
     cand = fc.join(zc, ["cx", "cy"]).where(
         _closed_bbox_overlap(c("minx"), c("miny"), c("maxx"), c("maxy"), c("q_minx"), c("q_miny"), c("q_maxx"), c("q_maxy"))
     )
     fast = c("is_rect") & (c("kind") < 2)
     ox = F.least(c("maxx"), c("q_maxx")) - F.greatest(c("minx"), c("q_minx"))
     oy = F.least(c("maxy"), c("q_maxy")) - F.greatest(c("miny"), c("q_miny"))
-    # rectangle pairs are measured here in the JVM; only the others ship their rings to the Python kernel
-    fast_area = F.when(fast, F.when((ox > 0) & (oy > 0), ox * oy).otherwise(F.lit(0.0)))
-    measured = cand.select(
-        "fid", "zone_id", fast_area.alias("fast_area"), F.when(~fast, c("rings")).alias("rings"), "kind",
-        "q_minx", "q_miny", "q_maxx", "q_maxy", F.when(~fast, c("q_rings")).alias("q_rings"), F.when(~fast, c("q_segs")).alias("q_segs"),
-    ).mapInPandas(_measure_batches(with_touch), MEASURE_SCHEMA)
+    rect_area = F.when((ox > 0) & (oy > 0), ox * oy).otherwise(F.lit(0.0))
+    # rectangle pairs are measured in the JVM; only if some pair is not rectangular (bounded probes on the inputs)
+    # does a second branch ship rings to the Python kernel
+    measured = cand.where(fast).select("fid", "zone_id", rect_area.alias("area_in"), F.lit(True).alias("touch"))
+    if _has_general(features.where(~c("is_rect"))) or _has_general(zc.where(c("kind") == 2)):
+        general = cand.where(~fast).select(
+            "fid", "zone_id", F.lit(None).cast("double").alias("fast_area"), "rings", "kind",
+            "q_minx", "q_miny", "q_maxx", "q_maxy", "q_rings", "q_segs",
+        ).mapInPandas(_measure_batches(with_touch), MEASURE_SCHEMA)
+        measured = measured.unionByName(general)
     per_pair = measured.groupBy("fid", "zone_id").agg(
         F.sum("area_in").alias("area_in"), F.max(F.col("touch").cast("int")).cast("boolean").alias("touch")
     )
@@ -217,12 +227,13 @@ def feature_pairs(a: DataFrame, b: DataFrame, cell: float, with_touch: bool = Fa
     fast = c("a_is_rect") & c("b_is_rect")
     ox = F.least(c("a_maxx"), c("b_maxx")) - lox
     oy = F.least(c("a_maxy"), c("b_maxy")) - loy
-    fast_area = F.when(fast, F.when((ox > 0) & (oy > 0), ox * oy).otherwise(F.lit(0.0)))
-    sel = j.select("a_id", "b_id", fast_area.alias("fast_area"), F.when(~fast, c("a_rings")).alias("a_rings"),
-                   F.when(~fast, c("b_rings")).alias("b_rings"), *keep_names)
-    keep_schema = ", ".join(f"{fld.name} {fld.dataType.simpleString()}" for fld in sel.select(*keep_names).schema.fields)
-    schema = PAIR_SCHEMA + (", " + keep_schema if keep_schema else "")
-    out = sel.mapInPandas(_pair_batches(with_touch, keep_names), schema)
+    rect_area = F.when((ox > 0) & (oy > 0), ox * oy).otherwise(F.lit(0.0))
+    out = j.where(fast).select("a_id", "b_id", rect_area.alias("area_ab"), F.lit(True).alias("touch"), *keep_names)
+    if _has_general(a.where(~c("is_rect"))) or _has_general(b.where(~c("is_rect"))):
+        sel = j.where(~fast).select("a_id", "b_id", F.lit(None).cast("double").alias("fast_area"), "a_rings", "b_rings", *keep_names)
+        keep_schema = ", ".join(f"{fld.name} {fld.dataType.simpleString()}" for fld in sel.select(*keep_names).schema.fields)
+        schema = PAIR_SCHEMA + (", " + keep_schema if keep_schema else "")
+        out = out.unionByName(sel.mapInPandas(_pair_batches(with_touch, keep_names), schema))
     if with_touch:
         return out.where(c("touch"))
     return out.where(c("area_ab") > 0)

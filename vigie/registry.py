@@ -121,6 +121,7 @@ from vigie.operators import spatial  # noqa: E402
 from vigie.sources import layers  # noqa: E402
 
 CELL = layers.FIXTURE_CELL
+PAIR_CELL = layers.FIXTURE_PAIR_CELL
 
 
 def _within_box(a: str, b: str) -> str:
@@ -163,7 +164,7 @@ left join fx_parcel p2 on p2.id = m.pid""", "fx_detection", "fx_parcel"))
 def q_match_parcel(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     det = layers.detection_layer(fx.fx_detection)
-    return spatial.match_parcel(det, layers.parcel_layer(fx.fx_parcel), CELL).select("id", "id_parcellaire")
+    return spatial.match_parcel(det, layers.parcel_layer(fx.fx_parcel), PAIR_CELL).select("id", "id_parcellaire")
 
 
 @register("S3_first_detection", with_fixtures(f"""
@@ -172,7 +173,7 @@ from fx_detection t""", "fx_detection"))
 def q_first_detection(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     det = layers.detection_layer(fx.fx_detection, keep=("batch_year",))
-    return spatial.first_detection(det, CELL, seq_col="batch_year").select("id", "first_detection")
+    return spatial.first_detection(det, PAIR_CELL, seq_col="batch_year").select("id", "first_detection")
 
 
 def load_configs(fx_commune):
@@ -189,7 +190,7 @@ def load_configs(fx_commune):
 def _loaded(fx: Fixtures):
     inf = layers.detection_layer(fx.fx_detection.withColumnRenamed("batch_year", "batch_id"), keep=("score", "object_type", "batch_id"))
     return spatial.load_detections(inf, layers.parcel_layer(fx.fx_parcel), layers.zone_layer(fx.fx_commune, fx.fx_risk),
-                                   load_configs(fx.fx_commune), CELL)
+                                   load_configs(fx.fx_commune), CELL, pair_cell=PAIR_CELL)
 
 
 ORACLE_LOADED = f"""
@@ -231,7 +232,7 @@ from stats_det a left join stats_det b on a.id_parcellaire = b.id_parcellaire an
 where a.object_type in ('construction en dur', 'piscine')
 group by a.id, a.batch_year, a.id_parcellaire, a.object_type, a.geozone_id""", "fx_detection", "fx_commune", "fx_risk", "fx_parcel"))
 def q_prescribed_by_history(spark, sf_dir):
-    h = spatial.prescribed_by_history(_loaded(Fixtures(spark, sf_dir)), CELL)
+    h = spatial.prescribed_by_history(_loaded(Fixtures(spark, sf_dir)), PAIR_CELL)
     return h.select("id", "batch_year", "id_parcellaire", "object_type", "geozone_id", "count_histo_6y_detection", "prescripted_detection")
 
 
@@ -422,7 +423,7 @@ def q_score_correlation(spark, sf_dir):
 
 # ---------------------------------------------------------------- C11: unprescribed parcels (over S9)
 def _history(fx: Fixtures):
-    return spatial.prescribed_by_history(_loaded(fx), CELL)
+    return spatial.prescribed_by_history(_loaded(fx), PAIR_CELL)
 
 
 ORACLE_HISTORY = ORACLE_LOADED + f""",

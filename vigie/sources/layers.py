@@ -11,6 +11,9 @@ from vigie.plans.cells import as_layer, box_layer
 # Cell size of the fixture world (≈1,000 × 1,000 units). Deliberately not a divisor of the 200-unit commune grid or
 # the risk-zone corners, so both the rectangle path and the general polygon kernel are exercised.
 FIXTURE_CELL = 64.0
+# Cell of feature × feature pairs (detections 6 wide, parcels 25 wide): a few feature extents, so a cell holds few
+# candidates per feature while a feature spans few cells.
+FIXTURE_PAIR_CELL = 24.0
 
 
 def risk_rings(c=F.col) -> F.Column:
