@@ -9,7 +9,9 @@ from tests.conftest import SMALL
 
 
 def _norm(v):
-    if v is None:
+    import pandas as pd
+
+    if v is None or (not hasattr(v, "__len__") and pd.isna(v)):
         return None
     if isinstance(v, float):
         return "nan" if math.isnan(v) else round(v, 6)
@@ -24,7 +26,7 @@ def _rows(pdf):
     cols = sorted(pdf.columns)
     out = []
     for r in pdf[cols].astype(object).itertuples(index=False):
-        out.append(tuple(_norm(None if (isinstance(x, float) and math.isnan(x)) else x) if x is not None else None for x in r))
+        out.append(tuple(_norm(x) for x in r))
     return cols, sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
