@@ -13,7 +13,12 @@ from pyspark.sql import functions as F
 
 def surrogate_ids(df: DataFrame, order_cols: list, name: str = "id", offset: int = 1, partitions: int | None = None) -> DataFrame:
     """Add ``name`` = offset + 0-based position of the row in ``order_cols`` order (which must be total)."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = partitions
+    if n is None:
+        try:
+            n = df.sparkSession.sparkContext.defaultParallelism
+        except Exception:  # Spark Connect: no SparkContext
+            n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
     ranged = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
     local = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order_cols)))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
