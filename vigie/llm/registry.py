@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from vigie.llm.queries import op10
+from vigie.llm.queries import op5, op7, op10
 
-MODULES = [op10]
+MODULES = [op5, op7, op10]
 QUERIES = {m.NAME: m.query for m in MODULES}
 ORACLE = {m.NAME: m.ORACLE for m in MODULES if getattr(m, "ORACLE", None)}
