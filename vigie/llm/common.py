@@ -60,3 +60,10 @@ def components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> Data
     else:
         raise RuntimeError("components did not settle")
     return cur.selectExpr("u as node", "v as component").union(cur.selectExpr("v as node", "v as component").distinct())
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where the installed vocabulary file lies; every worker has the same package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
