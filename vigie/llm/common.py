@@ -37,20 +37,20 @@ def crc_mod(col: str, modulus: int):
 def components(edges: DataFrame, name: str = "cc", max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a, b)`` as ``(node, component)`` with the smallest reachable node.
 
-    Alternating large-star and small-star rounds; each round is a groupBy on one end and is written to the shared
-    folder. Isolated nodes do not appear. Hub nodes are safe: a star round only needs ``min`` per node, which is
-    combined before the shuffle, and a join that Spark may split.
+    Alternating large-star and small-star rounds, each written to the shared folder. Isolated nodes do not appear. Hub
+    nodes are safe: a star round only needs ``min`` per node, which is combined before the shuffle, and the join with these
+    (a stored table, so it has an exchange of its own on either side) is one that Spark may split.
     """
     cur = stored(edges.where("a <> b").selectExpr("greatest(a, b) as u", "least(a, b) as v").distinct(), name)
     last = None
     for _ in range(max_rounds):
         # large star: every larger neighbour of a node is tied to the smallest of its neighbourhood
         both = cur.union(cur.selectExpr("v as u", "u as v"))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) as m")
+        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).selectExpr("u", "least(u, m) as m"), name)
         large = both.where("v > u").join(low, "u").selectExpr("v as u", "m as v")
         large = stored(large.distinct(), name)
         # small star: a node and its smaller neighbours are tied to the smallest of these
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), name)
         small = large.join(low, "u").selectExpr("v as u", "m as v").where("u <> v").union(low.selectExpr("u", "m as v"))
         cur = stored(small.distinct(), name)
         state = cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
