@@ -115,13 +115,13 @@ def thresholds(sketch: DataFrame, group: tuple[str, ...] = ("lang", "source"), f
     cut = hist.select("level", lang, source, "measure", "total", quant(1).alias("q1"), quant(3).alias("q3")).withColumn(
         "cut", F.col("q3") + F.lit(fence) * F.greatest(F.col("q3") - F.col("q1"), margin)
     )
-    wide = cut.groupBy("level", lang, source).agg(F.max("total").alias("total"), *[F.max(F.when(F.col("measure") == k, F.col("cut"))).alias(k) for k in margins])
+    wide = cut.groupBy("level", lang, source, F.lit(1).alias("one")).agg(F.max("total").alias("total"), *[F.max(F.when(F.col("measure") == k, F.col("cut"))).alias(k) for k in margins])
     own, by_lang, glob = (wide.where(F.col("level") == i).drop("level") for i in range(3))
     pick = lambda k: F.when(F.col("o.total") >= min_group, F.col(f"o.{k}")).when(F.col("l.total") >= min_group, F.col(f"l.{k}")).otherwise(F.col(f"g.{k}"))
     return (
         own.alias("o")
         .join(by_lang.alias("l"), F.col(f"o.{lang}").eqNullSafe(F.col(f"l.{lang}")), "left")
-        .join(glob.alias("g"), F.lit(True), "left")  # one row
+        .join(glob.alias("g"), F.col("o.one") == F.col("g.one"), "left")
         .select(F.col(f"o.{lang}"), F.col(f"o.{source}"), *[pick(k).alias(k) for k in margins])
     )
 
