@@ -30,9 +30,10 @@ from pyspark.sql import functions as F
 from vigie.llm.common import stored
 
 ORDER = 3
-MAX_CONTEXTS = 1 << 14
-#: Bytes counted at once in a task.
-CHUNK = 1 << 24
+MAX_CONTEXTS = 1 << 12
+#: Bytes counted or coded at once in a task, and distinct grams a task holds before it hands them on.
+CHUNK = 1 << 20
+MOST_HELD = 1 << 20
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -60,36 +61,44 @@ def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), starts, lens
 
 
+def _merged(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of two sorted (gram, count) tables."""
+    grams, where = np.unique(np.concatenate([one[0], two[0]]), return_inverse=True)
+    return grams, np.bincount(where, weights=np.concatenate([one[1], two[1]])).astype(np.int64)
+
+
 def gram_counts(train: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """``(lang, gram, n)`` over all rows of ``train`` whose ``lang`` and ``text`` are not null."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
+        sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         size = 0
 
-        def flush():
-            names, grams, counts = [], [], []
+        def add():
             for name, texts in held.items():
-                # texts end to end; a text shorter than the order sees zeros only through the masks of its start
                 data, starts, lens = _joined(texts)
-                if not len(data):
-                    continue
-                g, c = np.unique(_grams(data, starts[lens > 0]), return_counts=True)
-                names.append(pa.array([name] * len(g)))
-                grams.append(pa.array(g.astype(np.int64)))
-                counts.append(pa.array(c.astype(np.int64)))
+                if len(data):
+                    new = np.unique(_grams(data, starts[lens > 0]), return_counts=True)
+                    sums[name] = _merged(sums[name], new) if name in sums else new
             held.clear()
-            for n, g, c in zip(names, grams, counts):
-                yield pa.RecordBatch.from_arrays([n, g, c], ["lang", "gram", "n"])
+
+        def flush():
+            for name, (g, c) in sums.items():
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(g)), pa.array(g.astype(np.int64)), pa.array(c.astype(np.int64))], ["lang", "gram", "n"])
+            sums.clear()
 
         for b in batches:
-            for name, t in zip(b.column(0).to_pylist(), b.column(1)):
+            for name, t in zip(b.column(0), b.column(1)):
                 t = t.as_py()
-                held.setdefault(name, []).append(t)
+                held.setdefault(name.as_py(), []).append(t)
                 size += len(t)
                 if size >= CHUNK:
-                    yield from flush()
+                    add()
                     size = 0
+                    if sum(len(g) for g, _ in sums.values()) > MOST_HELD:
+                        yield from flush()
+        add()
         yield from flush()
 
     rows = train.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text"))
@@ -191,13 +200,13 @@ def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
     lo = 0
     while lo < len(texts):
         hi, size = lo, 0
-        while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= CHUNK // 8):
+        while hi < len(texts) and (hi == lo or size + len(texts[hi]) <= CHUNK // 4):
             size += len(texts[hi])
             hi += 1
         data, starts, lens = _joined(texts[lo:hi])
         # a text longer than a chunk is coded in pieces that see the bytes before them
-        for at in range(0, max(len(data), 1), CHUNK // 8):
-            begin, end = max(0, at - ORDER), min(len(data), at + CHUNK // 8)
+        for at in range(0, max(len(data), 1), CHUNK // 4):
+            begin, end = max(0, at - ORDER), min(len(data), at + CHUNK // 4)
             sym = model.alphabet[data[begin:end]]
             ctx = np.zeros((ORDER, len(sym)), np.int64)
             zero = model.alphabet[0]
@@ -232,7 +241,7 @@ def predict(df: DataFrame, model: Model, text: str = "text", columns: tuple[str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in batches:
+        for b in (x.slice(lo, 500) for x in batches for lo in range(0, x.num_rows, 500)):
             texts = b.column(n).to_pylist()
             known = np.array([bool(m.langs) and t is not None and LETTER.search(t) is not None for t in texts], bool)
             preds, score, rate = ["und"] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
