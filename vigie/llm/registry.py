@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from vigie.llm.queries import op2, op4, op5, op6, op7, op8, op10
+from vigie.llm.queries import op2, op3, op4, op5, op6, op7, op8, op9, op10
 
-MODULES = [op2, op4, op5, op6, op7, op8, op10]
+MODULES = [op2, op3, op4, op5, op6, op7, op8, op9, op10]
 QUERIES = {m.NAME: m.query for m in MODULES}
 ORACLE = {m.NAME: m.ORACLE for m in MODULES if getattr(m, "ORACLE", None)}
