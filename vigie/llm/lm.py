@@ -7,7 +7,8 @@
   Bigram counts over all training texts give its prior tables (bounded by ``attention.HEAD`` squared). Its weights are trained in
   rounds: in each round every worker runs Adam over its own windows, starting from the common weights, which are then
   averaged. Of every training text one window in ``TRAIN_EVERY`` is trained on, picked by a hash, so training grows with the
-  corpus and is spread over all of it (more often in a corpus with fewer than ``TRAIN_EVERY * LEAST_WINDOWS`` windows).
+  corpus and is spread over all of it. A corpus of fewer than ``TRAIN_EVERY * LEAST_WINDOWS`` windows gives more of them, and
+  one of fewer than ``LEAST_WINDOWS`` repeats them in each round, at most ``MOST_PASSES`` times.
 * Scoring runs over overlapping windows: each id is predicted once, with at least half a window of context before it where
   the text has it, in batches with one causal mask.
 
@@ -38,8 +39,9 @@ VOCAB = 50257
 END_WORD = xxhash.xxh3_64_intdigest(b" end")  # no word holds a space
 TRAIN_EVERY = 16
 LEAST_WINDOWS = 60_000
+MOST_PASSES = 3
 ROUNDS = 6
-RATE = 0.004
+RATE = 0.01
 #: Windows a worker takes per round at least, and the most workers there are.
 WORKER_WINDOWS = 2048
 MOST_WORKERS = 256
@@ -284,7 +286,9 @@ def fit(texts: DataFrame, every: int = TRAIN_EVERY, rounds: int = ROUNDS, rate:
     tables = prior_tables(stored(bigram_counts(texts), "pairs"), head)
     total = texts.agg(F.sum(F.ceil(F.octet_length("ids") / (2 * attention.STRIDE)))).first()[0] or 0
     rows = stored(training_windows(texts, max(1, min(every, total // LEAST_WINDOWS)), rounds), "windows")
-    workers = max(1, min(MOST_WORKERS, rows.count() // (rounds * WORKER_WINDOWS)))
+    picked = rows.count()
+    workers = max(1, min(MOST_WORKERS, picked // (rounds * WORKER_WINDOWS)))
+    passes = max(1, min(MOST_PASSES, LEAST_WINDOWS // max(picked, 1)))
     params, losses = attention.init(tables), []
     context = texts.sparkSession.sparkContext
     shared_tables = context.broadcast(tables)
@@ -292,7 +296,7 @@ def fit(texts: DataFrame, every: int = TRAIN_EVERY, rounds: int = ROUNDS, rate:
         shared = context.broadcast(params)
         lr = rate * (1 - turn / (rounds + 1))
         own = rows.where(F.col("turn") == turn).withColumn("worker", F.col("key") % workers)
-        done = own.select("worker", "ids").groupBy("worker").applyInPandas(_train(shared, shared_tables, lr, turn), "worker long, n long, loss double, params binary")
+        done = own.select("worker", "ids").groupBy("worker").applyInPandas(_train(shared, shared_tables, lr, turn, passes), "worker long, n long, loss double, params binary")
         # averaged in two steps, so the driver gets a few weights however many workers there are
         part = done.groupBy(F.col("worker") % 16).applyInPandas(_mean, "n long, loss double, params binary").toPandas()
         shared.unpersist()
@@ -302,10 +306,10 @@ def fit(texts: DataFrame, every: int = TRAIN_EVERY, rounds: int = ROUNDS, rate:
     return params, tables, losses
 
 
-def _train(shared, tables, rate: float, seed: int):
+def _train(shared, tables, rate: float, seed: int, passes: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         rows = np.stack([np.frombuffer(x, np.int32) for x in sorted(group["ids"])])
-        params, loss = attention.train(shared.value, tables.value, rows, rate, seed=seed)
+        params, loss = attention.train(shared.value, tables.value, np.tile(rows, (passes, 1)), rate, seed=seed)
         return pd.DataFrame({"worker": group["worker"].iloc[:1], "n": [len(rows)], "loss": [loss], "params": [_packed(params)]})
 
     return run
