@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from vigie.llm import jaccard, langid, lines, packing, quality  # noqa: E402
-from vigie.llm.common import documents, stored, tokenizer_path  # noqa: E402
+from vigie.llm.common import documents, shielded, stored, tokenizer_path  # noqa: E402
 
 #: Code length in bits a byte from which a text is no text of any learned language: a plain copy takes 8.
 MOST_BITS = 8.0
@@ -23,7 +23,8 @@ MOST_BITS = 8.0
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that pass the base rule and their group's adaptive thresholds (operator 10)."""
-    return quality.quality_rules(docs).where("_q_kept").select(*docs.columns)
+    rows, names = shielded(docs, ("text", "lang", "source"))
+    return quality.quality_rules(rows).where("_q_kept").select(*names).toDF(*docs.columns)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,16 +36,18 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = langid.fit(langid.gram_counts(docs))
     if not model.langs:
         return docs
-    out = langid.predict(docs, model, columns=tuple(docs.columns))
-    return out.where((F.col("_lang_pred") != "und") & (F.col("_lang_bits") < MOST_BITS)).select(*docs.columns)
+    rows, names = shielded(docs, ("text",))
+    out = langid.predict(rows, model, columns=tuple(names))
+    return out.where((F.col("_lang_pred") != "und") & (F.col("_lang_bits") < MOST_BITS)).select(*names).toDF(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, rid of lines an earlier document owns (operator 7); ``n_chars`` follows the new text."""
-    out = lines.line_dedup(docs)
-    if "n_chars" in docs.columns:
+    rows, names = shielded(docs, ("doc_id", "text", "n_chars"))
+    out = lines.line_dedup(rows)
+    if "n_chars" in names:
         out = out.withColumn("n_chars", F.when(F.col("_n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out.select(*names).toDF(*docs.columns)
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,6 +30,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shielded(df: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, list[str]]:
+    """``df`` with all columns but ``used`` renamed to names no operator uses, and the renamed columns in order.
+
+    ``result.select(*names).toDF(*df.columns)`` brings the names back.
+    """
+    names = [c if c in used else f"_other_{i}_" for i, c in enumerate(df.columns)]
+    return df.toDF(*names), names
+
+
 def crc_mod(col: str, modulus: int):
     return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(modulus))
 

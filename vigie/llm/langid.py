@@ -12,8 +12,8 @@ the top are complete.
 
 A document's language is the one with the shortest code. ``score`` is its share of the posterior under equal priors.
 Null text or text without a letter: ``und`` with score 0. An empty training set predicts ``und`` for every row. Null
-``lang`` rows are not learned from. Rows are scored one by one, so repeated rows get equal results; extra columns are
-ignored by ``predict`` and kept by ``with_language``.
+``lang`` rows are not learned from. Rows are scored one by one, so repeated rows get equal results. Extra columns are ignored
+unless named in ``columns``; one that has the name of an appended column is replaced by it.
 """
 
 from __future__ import annotations
@@ -235,7 +235,7 @@ def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
 def predict(df: DataFrame, model: Model, text: str = "text", columns: tuple[str, ...] = ()) -> DataFrame:
     """``columns`` of ``df`` plus ``_lang_pred``, ``_lang_score`` and ``_lang_bits`` (bits a byte of the best code)."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    columns = tuple(columns)
+    columns = tuple(c for c in columns if c not in ("_lang_pred", "_lang_score", "_lang_bits"))
     schema = df.select(*columns, F.lit("").alias("_lang_pred"), F.lit(0.0).alias("_lang_score"), F.lit(0.0).alias("_lang_bits")).schema
     n = len(columns)
 

@@ -243,6 +243,7 @@ def drop_lists(repeated: DataFrame) -> DataFrame:
 
 def apply_drops(df: DataFrame, drops: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """``df`` with ``text`` rid of the lines in ``drops``, plus ``_n_lines`` and ``_n_dropped``. A null text stays null."""
+    df = df.drop("_n_lines", "_n_dropped", "_gone_id", "_gone_keys")
     schema = df.select(*df.columns, F.lit(0).cast("long").alias("_n_lines"), F.lit(0).cast("long").alias("_n_dropped")).schema
     names = df.columns
     at, n_cols = names.index(text), len(names)

@@ -9,8 +9,7 @@ the sketch of its language, and a small language that of all documents; both are
 A document is kept when the fixed base rule passes and no measure is above its group's threshold.
 
 Null or empty text: no words, base rule fails. Null ``lang`` or ``source``: a group of its own (null-safe join).
-Repeated rows are judged one by one. Extra columns are ignored by ``measures(..., keep=())`` and passed through by
-``judged``.
+Repeated rows are judged one by one. Extra columns pass through; one that has the name of an appended column is replaced by it.
 """
 
 from __future__ import annotations
@@ -29,23 +28,24 @@ BASE_MIN_WORDS = 50
 
 def measures(df: DataFrame, text: str = "text", prefix: str = "_q_") -> DataFrame:
     """Append the measures to ``df`` as ``prefix`` + name; every other column stays as it is."""
-    p = prefix
+    p, w, ln = prefix, f"{prefix}words_of_text", f"{prefix}lines_of_text"
+    df = df.drop(w, ln)
     trimmed = F.coalesce(F.btrim(F.col(text), F.lit(SPACE_CHARS)), F.lit(""))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_CLASS + "+"))
     lines = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != "")
-    out = df.withColumn(f"{p}words", words).withColumn(f"{p}lines", lines)
-    joined = F.array_join(f"{p}words", "")
+    out = df.withColumn(w, words).withColumn(ln, lines)
+    joined = F.array_join(w, "")
     out = out.withColumns(
         {
-            f"{p}n_words": F.size(f"{p}words").cast("long"),
+            f"{p}n_words": F.size(w).cast("long"),
             f"{p}word_chars": F.length(joined).cast("long"),
             f"{p}n_symbols": F.regexp_count(joined, F.lit(r"[#*$%&|<>]")).cast("long"),
             f"{p}n_upper": F.regexp_count(joined, F.lit(r"\p{Lu}")).cast("long"),
-            f"{p}n_lines": F.size(f"{p}lines").cast("long"),
-            f"{p}n_dup_lines": (F.size(f"{p}lines") - F.size(F.array_distinct(f"{p}lines"))).cast("long"),
-            f"{p}n_repeat_words": _repeat_words(f"{p}words"),
+            f"{p}n_lines": F.size(ln).cast("long"),
+            f"{p}n_dup_lines": (F.size(ln) - F.size(F.array_distinct(ln))).cast("long"),
+            f"{p}n_repeat_words": _repeat_words(w),
         }
-    ).drop(f"{p}words", f"{p}lines")
+    ).drop(w, ln)
     rate = lambda part, whole: F.coalesce(F.expr(f"try_divide({p}{part} * 1000, {p}{whole})").cast("long"), F.lit(0).cast("long"))
     return out.withColumns(
         {
