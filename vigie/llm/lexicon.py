@@ -142,9 +142,8 @@ class Lexicon:
 
     def lookup(self, words: list[bytes]) -> list:
         at = self.find(words)
-        lo = np.where(at > 0, self.ends[at - 1], 0)
-        hi = self.ends[at] if len(self.ends) else lo
-        return [self.ids[a:b] if p >= 0 else None for p, a, b in zip(at, lo, hi)]
+        ends = np.concatenate([[0], self.ends])
+        return [self.ids[a:b] if p >= 0 else None for p, a, b in zip(at, ends[np.maximum(at, 0)], ends[np.minimum(at + 1, len(ends) - 1)])]
 
 
 # ---- Spark side -----------------------------------------------------------------------------------------------------
@@ -176,7 +175,13 @@ def word_counts(df: DataFrame, text: str, path: str) -> DataFrame:
 
 def corpus_lexicon(df: DataFrame, path: str, text: str = "text", size: int = LEXICON_WORDS) -> bytes:
     """The packed automaton of the corpus's most frequent words."""
-    top = stored(word_counts(df, text, path).orderBy(F.desc("n"), "word").limit(size), "lexicon")
+    counts = stored(word_counts(df, text, path), "words")
+    # how many words occur at least 1, 2, 4, ... times says where to cut before the sort, which one task ends
+    tiers = {r["tier"]: r["count"] for r in counts.groupBy(F.length(F.bin("n")).alias("tier")).count().collect()}
+    tier, above = max(tiers, default=1), 0
+    while tier > 1 and above + tiers.get(tier, 0) < size:
+        above, tier = above + tiers.get(tier, 0), tier - 1
+    top = stored(counts.where(F.col("n") >= 2 ** (tier - 1)).orderBy(F.desc("n"), "word").limit(size), "lexicon")
     words = sorted(bytes(r["word"]) for r in top.select("word").toLocalIterator())
     ids, lens = WordEncoder(path).word_ids(words)
     ends = np.cumsum(lens)

@@ -130,7 +130,8 @@ def search(x: np.ndarray, links: list[np.ndarray], threshold: float, at_once: in
         sim = np.full((len(q), BEAM), -3.0)
         opened = np.ones((len(q), BEAM), bool)
         beam[:, 0], sim[:, 0], opened[:, 0], seen[:, start] = start, x[q] @ x[start], False, True
-        hits_q, hits_n = [], []
+        at_start = rows[sim[:, 0] >= threshold]
+        hits_q, hits_n = [at_start], [np.full(len(at_start), start)]
         active = rows
         while len(active):
             b = np.where(opened[active], -4.0, sim[active]).argmax(1)
