@@ -52,7 +52,7 @@ MOST_WORDS = 400_000
 
 ENCODED = (
     "doc_id long, text_hash long, train boolean, n_tokens long, ids binary, "
-    "part int, block long, docs binary, counts binary, words binary, times binary"
+    "part int, block long, words binary, times binary, who binary"
 )
 
 
@@ -98,10 +98,11 @@ class Words:
 def encoded(df: DataFrame, path: str, train, parts: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Two kinds of rows (``ENCODED``): one per document with its subword ids, and packed word counts by hash partition.
 
-    ``train`` is a boolean column; the sign of a document's counts in ``times`` says whether it is a training document.
+    ``train`` is a boolean column; the sign of a document's counts in ``times`` says whether it is a training document, and
+    ``who`` which document of the block a count is from. A row with a negative ``part`` holds the keys of a block's documents.
     """
     names = [c.split()[0] for c in ENCODED.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+    types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
     def rows(values: list[tuple], first: int) -> pa.RecordBatch:
         cols = [pa.nulls(len(values), t) for t in types]
@@ -114,15 +115,13 @@ def encoded(df: DataFrame, path: str, train, parts: int, doc_id: str = "doc_id",
         block = int.from_bytes(hashlib.blake2b(docs, digest_size=8).digest(), "little", signed=True)
         lens = np.fromiter((len(h) for h, _ in held), np.int64, len(held))
         word, times = (np.concatenate(x) for x in zip(*held))
-        who = np.repeat(np.arange(len(held)), lens)
+        who = np.repeat(np.arange(len(held), dtype=np.uint16), lens)
         part = ((word >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         word, times, who = word[order], times[order], who[order]
         cuts = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
-        out = []
-        for p, (a, b) in enumerate(zip(cuts, cuts[1:])):
-            if b > a:
-                out.append((p, block, docs, np.bincount(who[a:b], minlength=len(held)).astype(np.uint32).tobytes(), word[a:b].tobytes(), times[a:b].tobytes()))
+        out = [(p, block, word[a:b].tobytes(), times[a:b].tobytes(), who[a:b].tobytes()) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+        out.append((-1 - block % parts, block, docs, b"", b""))
         return rows(out, 5)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,34 +159,38 @@ def base_scores(dealt: DataFrame) -> DataFrame:
     """``(doc_id, text_hash, train_tokens, n_known, base_score)`` once per document key."""
 
     def part(group: pd.DataFrame) -> pd.DataFrame:
+        if group["part"].iloc[0] < 0:  # the documents pass
+            return pd.DataFrame({"block": group["block"], "docs": group["words"], "who": b"", "sums": b"", "hits": b"", "n": 0, "v": 0})
         word = [np.frombuffer(x, np.uint64) for x in group["words"]]
-        times = [np.frombuffer(x, np.int32) for x in group["times"]]
+        times = np.concatenate([np.frombuffer(x, np.int32) for x in group["times"]])
         _, inverse = np.unique(np.concatenate(word), return_inverse=True)
-        flat = np.concatenate(times)
-        count = np.bincount(inverse, weights=np.maximum(flat, 0))
-        log, known = np.log10(count + 1)[inverse] * np.abs(flat), (count > 0)[inverse] * np.abs(flat)
+        count = np.bincount(inverse, weights=np.maximum(times, 0))
+        log, known = np.log10(count + 1)[inverse] * np.abs(times), (count > 0)[inverse] * np.abs(times)
         cuts = np.cumsum([0, *map(len, word)])
-        sums, hits = [], []
-        for x, a, b in zip(group["counts"], cuts, cuts[1:]):
-            n = np.frombuffer(x, np.uint32)
-            who = np.repeat(np.arange(len(n)), n)
-            sums.append(np.bincount(who, weights=log[a:b], minlength=len(n)).tobytes())
-            hits.append(np.bincount(who, weights=known[a:b], minlength=len(n)).astype(np.uint32).tobytes())
+        out = []
+        for x, a, b in zip(group["who"], cuts, cuts[1:]):
+            who = np.frombuffer(x, np.uint16)
+            own = np.flatnonzero(np.bincount(who))
+            out.append((own.astype(np.uint16).tobytes(), np.bincount(who, weights=log[a:b])[own].tobytes(), np.bincount(who, weights=known[a:b])[own].astype(np.uint32).tobytes()))
         first = np.arange(len(group)) == 0  # the partition's own sums stand on its first row
-        return pd.DataFrame({"block": group["block"], "docs": group["docs"], "sums": sums, "hits": hits, "n": np.where(first, int(count.sum()), 0), "v": np.where(first, int((count > 0).sum()), 0)})
+        sums = {"n": np.where(first, int(count.sum()), 0), "v": np.where(first, int((count > 0).sum()), 0)}
+        return pd.DataFrame({"block": group["block"], "docs": None} | {k: [r[i] for r in out] for i, k in enumerate(("who", "sums", "hits"))} | sums)
 
     def block(group: pd.DataFrame) -> pd.DataFrame:
-        docs = np.frombuffer(group["docs"].iloc[0], np.int64).reshape(-1, 3)
-        sums = np.sum([np.frombuffer(x, np.float64) for x in group["sums"]], axis=0)
-        hits = np.sum([np.frombuffer(x, np.uint32) for x in group["hits"]], axis=0, dtype=np.int64)
+        docs = np.frombuffer(group["docs"].dropna().iloc[0], np.int64).reshape(-1, 3)
+        sums, hits = np.zeros(len(docs)), np.zeros(len(docs), np.int64)
+        for x, s, h in zip(group["who"], group["sums"], group["hits"]):
+            who = np.frombuffer(x, np.uint16)  # a document stands once in a row
+            sums[who] += np.frombuffer(s, np.float64)
+            hits[who] += np.frombuffer(h, np.uint32)
         ids = pd.array(docs[:, 0], "Int64")
         ids[docs[:, 1] == 1] = pd.NA
         return pd.DataFrame({"doc_id": ids, "text_hash": docs[:, 2], "log_sum": sums, "n_known": hits})
 
-    back = stored(dealt.groupBy("part").applyInPandas(part, "block long, docs binary, sums binary, hits binary, n long, v long"), "base")
+    back = stored(dealt.groupBy("part").applyInPandas(part, "block long, docs binary, who binary, sums binary, hits binary, n long, v long"), "base")
     total = back.agg(F.sum("n"), F.sum("v")).first()
     n, v = total[0] or 0, total[1] or 0
-    out = back.select("block", "docs", "sums", "hits").groupBy("block").applyInPandas(block, "doc_id long, text_hash long, log_sum double, n_known long")
+    out = back.select("block", "docs", "who", "sums", "hits").groupBy("block").applyInPandas(block, "doc_id long, text_hash long, log_sum double, n_known long")
     return out.dropDuplicates(["doc_id", "text_hash"]).withColumns({"train_tokens": F.lit(n).cast("long"), "log_all": F.lit(float(np.log10(n + v + 1)))})
 
 
@@ -338,7 +341,7 @@ def lm_scores(df: DataFrame, path: str, train=None, doc_id: str = "doc_id", text
     on = crc_mod(doc_id, 7) != 2 if train is None else train
     size = df.select(F.sum(F.octet_length(text))).first()[0] or 0
     every = stored(encoded(df, path, on, max(4, -(-size // (8 * PART_TOKENS))), doc_id, text), "encoded")
-    base = stored(base_scores(every.where("part is not null").select("part", "block", "docs", "counts", "words", "times")), "scores")
+    base = stored(base_scores(every.where("part is not null").select("part", "block", "words", "times", "who")), "scores")
     texts = every.where("part is null").select("doc_id", "text_hash", "train", "n_tokens", "ids")
     params, tables, _ = fit(texts.where("train"), **model)
     out = scored(texts, params, tables, ("doc_id", "text_hash", "train", "n_tokens"))
