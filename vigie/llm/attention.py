@@ -71,7 +71,7 @@ def _classes(table: np.ndarray, classes: int, rounds: int = 15) -> np.ndarray:
         p = np.sqrt(m / np.maximum(m.sum(1, keepdims=True), 1))
         basis = np.linalg.qr(p @ rng.standard_normal((k, 40)))[0]
         basis = np.linalg.qr(p @ (p.T @ basis))[0]
-        feats.append(p @ (p.T @ basis) @ np.eye(40))
+        feats.append(p @ (p.T @ basis))
     x = np.concatenate(feats, 1)
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
     weight = np.sqrt(table.sum(0) + 1)
