@@ -41,7 +41,7 @@ PERCENT = 80
 #: Documents in one block of packed rows.
 BLOCK_DOCS = 4096
 #: Shingles a hash partition holds on average.
-PART_SHINGLES = 4_000_000
+PART_SHINGLES = 1_000_000
 TILE_DOCS = 512
 BITS = 1024
 
@@ -79,18 +79,14 @@ def sets(df: DataFrame, n: int = N, doc_id: str = "doc_id", text: str = "text",
     return rows.mapInArrow(run, "doc_id long, size long, digest binary" + ", items binary" * with_set)
 
 
-def _least(size: int, percent: int) -> int:
-    """The smallest overlap a set of this size can link with."""
-    return -(-percent * size // 100)
-
-
 # ---- how often shingles occur ---------------------------------------------------------------------------------------
 
 
 def _deal(rows: DataFrame, parts: int, n: int | None) -> DataFrame:
-    """Packed rows ``(part, block, docs, counts, items)``: the shingles of one block of documents in one hash partition.
+    """Packed rows ``(part, block, items, who)``: the shingles of one block of documents in one hash partition.
 
-    ``rows`` has ``doc_id`` and either ``items`` or, with ``n``, a text to take them from.
+    ``rows`` has ``doc_id`` and either ``items`` or, with ``n``, a text to take them from. ``who`` says which document of
+    the block each shingle is from. One more row per block, with a negative ``part``, holds the documents and their sizes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,24 +94,21 @@ def _deal(rows: DataFrame, parts: int, n: int | None) -> DataFrame:
         held: list[np.ndarray] = []
 
         def flush():
-            docs = np.array(ids, np.int64).tobytes()
-            block = int.from_bytes(hashlib.blake2b(docs, digest_size=8).digest(), "little", signed=True)
             lens = np.fromiter(map(len, held), np.int64, len(held))
+            docs, sizes = np.array(ids, np.int64).tobytes(), lens.tobytes()
+            block = int.from_bytes(hashlib.blake2b(docs, digest_size=8).digest(), "little", signed=True)
             flat = np.concatenate(held)
             # the partition is taken from the high bits; 32 other bits stand for the shingle inside it
             part = ((flat >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-            who = np.repeat(np.arange(len(held)), lens)
+            who = np.repeat(np.arange(len(held), dtype=np.uint16), lens)
             order = np.argsort(part, kind="stable")
             low, who = flat[order].astype(np.uint32), who[order]
             cuts = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=parts))])
-            out = [
-                (p, block, docs, np.bincount(who[a:b], minlength=len(held)).astype(np.uint32).tobytes(), low[a:b].tobytes())
-                for p, (a, b) in enumerate(zip(cuts, cuts[1:]))
-                if b > a
-            ]
+            out = [(p, block, low[a:b].tobytes(), who[a:b].tobytes()) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+            out.append((-1 - block % parts, block, docs, sizes))
             ids.clear(), held.clear()
-            types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], ["part", "block", "docs", "counts", "items"])
+            types = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], ["part", "block", "items", "who"])
 
         size = 0
         for b in batches:
@@ -131,67 +124,73 @@ def _deal(rows: DataFrame, parts: int, n: int | None) -> DataFrame:
         if ids:
             yield flush()
 
-    return rows.mapInArrow(run, "part int, block long, docs binary, counts binary, items binary")
+    return rows.mapInArrow(run, "part int, block long, items binary, who binary")
+
+
+ANSWER = "block long, part int, who binary, items binary, freq binary"
 
 
-def _frequency(group: pd.DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
-    """The packed items of each row, and how often each item occurs in the whole partition, end to end."""
+def _frequent(group: pd.DataFrame) -> pd.DataFrame:
+    """``ANSWER``: of every row of a partition the shingles that occur more than once in it, with how often (65,535: at
+    least that often; an order by it is the same for all documents). Rows that hold documents pass."""
+    if group["part"].iloc[0] < 0:
+        return pd.DataFrame({"block": group["block"], "part": group["part"], "who": group["who"], "items": group["items"], "freq": b""})
     items = [np.frombuffer(x, np.uint32) for x in group["items"]]
     _, inverse, counts = np.unique(np.concatenate(items), return_inverse=True, return_counts=True)
-    return items, counts[inverse]
+    freq = np.minimum(counts, 65535).astype(np.uint16)[inverse]
+    cuts = np.cumsum([0, *map(len, items)])
+    out = []
+    for own, who, a, b in zip(items, group["who"], cuts, cuts[1:]):
+        keep = freq[a:b] > 1
+        out.append((np.frombuffer(who, np.uint16)[keep].tobytes(), own[keep].tobytes(), freq[a:b][keep].tobytes()))
+    return pd.DataFrame({"block": group["block"], "part": group["part"]} | {k: [r[i] for r in out] for i, k in enumerate(("who", "items", "freq"))})
+
+
+def _counted(group: pd.DataFrame) -> pd.DataFrame:
+    """``_frequent`` with nothing but how many such shingles each document has: ``who`` lists documents, ``items`` counts."""
+    out = _frequent(group)
+    if group["part"].iloc[0] >= 0:
+        pairs = [np.unique(np.frombuffer(w, np.uint16), return_counts=True) for w in out["who"]]
+        out["who"], out["items"], out["freq"] = [w.tobytes() for w, _ in pairs], [n.astype(np.uint32).tobytes() for _, n in pairs], b""
+    return out
 
 
-def _docs(row) -> np.ndarray:
-    return np.frombuffer(row.docs, np.int64)
+def _block(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, pd.DataFrame]:
+    """A block's documents, their sizes, and its answers."""
+    own = group[group["part"] < 0].iloc[0]
+    return np.frombuffer(own["items"], np.int64), np.frombuffer(own["who"], np.int64), group[group["part"] >= 0]
 
 
 def shared_counts(dealt: DataFrame) -> DataFrame:
     """``(doc_id, shared)``: how many shingles of each document occur in another one as well."""
 
-    def part(group: pd.DataFrame) -> pd.DataFrame:
-        items, freq = _frequency(group)
-        cuts = np.cumsum([0, *map(len, items)])
-        found = []
-        for row, a, b in zip(group.itertuples(), cuts, cuts[1:]):
-            counts = np.frombuffer(row.counts, np.uint32)
-            who = np.repeat(np.arange(len(counts)), counts)
-            found.append(np.bincount(who, weights=freq[a:b] > 1, minlength=len(counts)).astype(np.uint32).tobytes())
-        return pd.DataFrame({"block": group["block"], "docs": group["docs"], "shared": found})
-
     def block(group: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(x, np.uint32) for x in group["shared"]], axis=0, dtype=np.int64)
-        return pd.DataFrame({"doc_id": np.frombuffer(group["docs"].iloc[0], np.int64), "shared": total})
+        docs, _, rows = _block(group)
+        total = np.zeros(len(docs), np.int64)
+        for who, n in zip(rows["who"], rows["items"]):
+            total[np.frombuffer(who, np.uint16)] += np.frombuffer(n, np.uint32)  # a document stands once in a row
+        return pd.DataFrame({"doc_id": docs, "shared": total})
 
-    back = dealt.groupBy("part").applyInPandas(part, "block long, docs binary, shared binary")
-    return back.groupBy("block").applyInPandas(block, "doc_id long, shared long")
+    return dealt.groupBy("part").applyInPandas(_counted, ANSWER).groupBy("block").applyInPandas(block, "doc_id long, shared long")
 
 
 def prefix_rows(dealt: DataFrame, percent: int) -> DataFrame:
     """``(token, doc_id)``: each document's prefix in the order (frequency, token), without what no other document has."""
 
-    def part(group: pd.DataFrame) -> pd.DataFrame:
-        items, freq = _frequency(group)
-        cuts = np.cumsum([0, *map(len, items)])
-        out = {"block": group["block"], "docs": group["docs"], "counts": group["counts"], "part": group["part"], "items": group["items"]}
-        return pd.DataFrame(out | {"freq": [freq[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts, cuts[1:])]})
-
     def block(group: pd.DataFrame) -> pd.DataFrame:
-        who, token, freq = [], [], []
-        for row in group.itertuples():
-            counts = np.frombuffer(row.counts, np.uint32)
-            who.append(np.repeat(np.arange(len(counts)), counts))
-            token.append(np.int64(row.part) << 32 | np.frombuffer(row.items, np.uint32).astype(np.int64))
-            freq.append(np.frombuffer(row.freq, np.uint32))
-        who, token, freq = map(np.concatenate, (who, token, freq))
+        docs, size, rows = _block(group)
+        empty = np.zeros(0, np.int64)
+        who = np.concatenate([empty, *[np.frombuffer(x, np.uint16) for x in rows["who"]]])
+        freq = np.concatenate([empty, *[np.frombuffer(x, np.uint16) for x in rows["freq"]]])
+        token = np.concatenate([empty, *[np.int64(p) << 32 | np.frombuffer(x, np.uint32).astype(np.int64) for p, x in zip(rows["part"], rows["items"])]])
         order = np.lexsort((token, freq, who))
-        who, token, freq = who[order], token[order], freq[order]
-        size = np.bincount(who)
-        place = np.arange(len(who)) - np.repeat(np.cumsum(size) - size, size)
-        keep = (place <= (size - -(-percent * size // 100))[who]) & (freq > 1)
-        return pd.DataFrame({"token": token[keep], "doc_id": np.frombuffer(group["docs"].iloc[0], np.int64)[who[keep]]})
-
-    back = dealt.groupBy("part").applyInPandas(part, "block long, docs binary, counts binary, part int, items binary, freq binary")
-    return back.groupBy("block").applyInPandas(block, "token long, doc_id long")
+        who, token = who[order], token[order]
+        shared = np.bincount(who, minlength=len(docs))
+        place = np.arange(len(who)) - np.repeat(np.cumsum(shared) - shared, shared) + (size - shared)[who]  # the others come first
+        keep = place <= (size - -(-percent * size // 100))[who]
+        return pd.DataFrame({"token": token[keep], "doc_id": docs[who[keep]]})
+
+    return dealt.groupBy("part").applyInPandas(_frequent, ANSWER).groupBy("block").applyInPandas(block, "token long, doc_id long")
 
 
 # ---- tiles ----------------------------------------------------------------------------------------------------------
