@@ -43,6 +43,13 @@ def _ring_sum(rings: str, term: str) -> Column:
     )
 
 
+def wkt(rings: str = "rings") -> Column:
+    """Well-known text of a one-polygon geometry."""
+    point = lambda p: F.concat(p["x"].cast("string"), F.lit(" "), p["y"].cast("string"))
+    ring = lambda r: F.concat(F.lit("("), F.array_join(F.transform(F.concat(r, F.slice(r, 1, 1)), point), ", "), F.lit(")"))
+    return F.concat(F.lit("POLYGON("), F.array_join(F.transform(F.col(rings), ring), ", "), F.lit(")"))
+
+
 def area(rings: str = "rings") -> Column:
     """Shoelace area of an oriented polygon."""
     return _ring_sum(rings, "a.x * b.y - b.x * a.y") / 2.0
@@ -56,6 +63,27 @@ def centroid(rings: str = "rings") -> tuple[Column, Column]:
     return cx, cy
 
 
+def _signed(ring: str) -> str:
+    return (f"aggregate(sequence(0, size({ring}) - 1), cast(0 as double), (s, i) -> s + {ring}[i].x * {ring}[(i + 1) % size({ring})].y "
+            f"- {ring}[(i + 1) % size({ring})].x * {ring}[i].y)")
+
+
+def oriented(rings: str = "rings") -> Column:
+    """Rings with outer ones counter-clockwise and holes clockwise, whatever the source's convention is.
+
+    A ring is a hole if an odd number of the other rings contains it (judged by most of its vertices, even-odd rule).
+    """
+    inside = ("aggregate(sequence(0, size({o}) - 1), false, (s, k) -> s != "
+              "(({o}[k].y > p.y) != ({o}[(k + 1) % size({o})].y > p.y) AND p.x < ({o}[(k + 1) % size({o})].x - {o}[k].x) * (p.y - {o}[k].y) "
+              "/ ({o}[(k + 1) % size({o})].y - {o}[k].y) + {o}[k].x))").format(o="o")
+    depth = f"size(filter({rings}, (o, j) -> j <> n AND 2 * size(filter(r, p -> {inside})) > size(r)))"
+    return F.expr(
+        f"""CASE WHEN {rings} IS NULL THEN NULL
+          WHEN size({rings}) = 1 THEN transform({rings}, r -> CASE WHEN size(r) > 0 AND {_signed('r')} < 0 THEN reverse(r) ELSE r END)
+          ELSE transform({rings}, (r, n) -> CASE WHEN size(r) > 0 AND ({_signed('r')} < 0) = ({depth} % 2 = 0) THEN reverse(r) ELSE r END) END"""
+    )
+
+
 def is_rect(rings: str = "rings") -> Column:
     """One ring of 4 corners whose edges are all axis-parallel and non-degenerate."""
     return F.expr(

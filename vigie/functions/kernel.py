@@ -269,17 +269,18 @@ def is_rect(rings: list[np.ndarray]) -> bool:
 
 
 # ------------------------------------------------------------------ cell decomposition of one zone
-def decompose(rings: list[np.ndarray], cell: float, leaf_cells: int = 1):
+def decompose(rings: list[np.ndarray], cell: float, segs: np.ndarray | None = None, borders: bool = False):
     """Yield (cx, cy, kind, clip_rings, segments) for every closed cell the zone touches.
 
     kind: 0 full cell inside the zone, 1 rectangle piece (clip is one axis-aligned rectangle), 2 general piece.
     Recursive halving of the cell range: a region fully inside the zone emits all its cells as full without further
-    clipping; a region the zone does not reach is dropped.
+    clipping; a region the zone does not reach is dropped. ``segs``: the true boundary, when ``rings`` were clipped before
+    and have edges that are no boundary. ``borders``: a full cell whose border is part of the boundary comes with those segments.
     """
-    if not rings:
+    if not rings and (segs is None or not len(segs)):
         return
-    segs = edges_of(rings)
-    minx, miny, maxx, maxy = bbox(rings)
+    segs = edges_of(rings) if segs is None else segs
+    minx, miny, maxx, maxy = bbox(rings + ([segs[:, :2], segs[:, 2:]] if len(segs) else []))
     i0, i1 = int(np.floor(minx / cell)), int(np.floor(maxx / cell))
     j0, j1 = int(np.floor(miny / cell)), int(np.floor(maxy / cell))
     stack = [(i0, i1, j0, j1, rings, segs)]
@@ -293,7 +294,11 @@ def decompose(rings: list[np.ndarray], cell: float, leaf_cells: int = 1):
         if ar <= 0.0 and len(ss) == 0:
             continue
         interior_full = ar >= box_area * (1 - EPS_REL) and not _segments_inside_open(ss, box)
-        if interior_full:
+        if interior_full and borders and len(ss):
+            if a0 == a1 and b0 == b1:
+                yield a0, b0, 0, [box_ring(*box)], ss
+                continue
+        elif interior_full:
             for i in range(a0, a1 + 1):
                 for j in range(b0, b1 + 1):
                     yield i, j, 0, None, None
@@ -312,6 +317,44 @@ def decompose(rings: list[np.ndarray], cell: float, leaf_cells: int = 1):
             stack.append((a0, a1, m + 1, b1, rr, ss))
 
 
+def trapezoids(rings: list[np.ndarray], segs: np.ndarray) -> np.ndarray:
+    """The polygon as disjoint trapezoids with vertical sides, rows (x0, x1, bottom at x0, at x1, top at x0, at x1).
+
+    Slabs between neighbouring vertex abscissas; in a slab the edges that span it, sorted by height, pair up even-odd. A
+    polygon without area gives its segments as flat trapezoids, so contact with it can still be seen.
+    """
+    if not rings:
+        v = segs[:, 0] == segs[:, 2]
+        a, b = segs[:, :2], segs[:, 2:]
+        swap = (a[:, 0] > b[:, 0])[:, None]
+        a, b = np.where(swap, b, a), np.where(swap, a, b)
+        lo, hi = np.minimum(a[:, 1], b[:, 1]), np.maximum(a[:, 1], b[:, 1])
+        return np.stack([a[:, 0], b[:, 0], np.where(v, lo, a[:, 1]), np.where(v, lo, b[:, 1]), np.where(v, hi, a[:, 1]), np.where(v, hi, b[:, 1])], 1)
+    e = edges_of(rings)
+    e = e[e[:, 0] != e[:, 2]]
+    flip = e[:, 0] > e[:, 2]
+    e[flip] = e[flip][:, [2, 3, 0, 1]]
+    xs = np.unique(np.concatenate([e[:, 0], e[:, 2], _crossing_xs(e, e)]))
+    out = []
+    for x0, x1 in zip(xs[:-1], xs[1:]):
+        own = e[(e[:, 0] <= x0) & (e[:, 2] >= x1)]
+        slope = (own[:, 3] - own[:, 1]) / (own[:, 2] - own[:, 0])
+        y0 = np.where(own[:, 0] == x0, own[:, 1], own[:, 1] + slope * (x0 - own[:, 0]))
+        y1 = np.where(own[:, 2] == x1, own[:, 3], own[:, 1] + slope * (x1 - own[:, 0]))
+        order = np.argsort(y0 + y1, kind="stable")
+        y0, y1 = y0[order], y1[order]
+        for k in range(0, len(own) - 1, 2):
+            if y0[k] != y0[k + 1] or y1[k] != y1[k + 1]:
+                out.append((x0, x1, y0[k], y1[k], y0[k + 1], y1[k + 1]))
+    return np.array(out, float).reshape(-1, 6)
+
+
+def trapezoid_ring(t) -> np.ndarray:
+    """Corners of a trapezoid row, counter-clockwise."""
+    x0, x1, b0, b1, t0, t1 = t
+    return np.array([(x0, b0), (x1, b1), (x1, t1), (x0, t0)], float)
+
+
 def _segments_inside_open(ss: np.ndarray, box) -> bool:
     """Whether some boundary piece reaches the open interior of the box (then the region is not simply full)."""
     if len(ss) == 0:

@@ -13,6 +13,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vigie.plans.nulls import not_in
+
 # Fixed values of the studied reports (must equal the reference's for equal results):
 # estimate correction: model precision 0.705, bias 0.252
 CORRECTION_PRECISION = "0.705"
@@ -173,20 +175,21 @@ def pv_by_period(pv: DataFrame, start: int, end: int, name: str = "nb_pv_period"
 # Zone ids of the commune report with no engagement, and the department with its own label.
 NO_ENGAGEMENT_IDS = [278, 171, 259, 195, 261, 138, 313, 281, 330, 118, 255, 111, 288, 226, 248]
 ENGAGEMENT_DEPARTMENT = "gard"
+# Labels of the report; pass your own to ``engagement_group``.
 ENGAGEMENT_LABELS = {
-    "department": "lutte avec données aigle",
-    "none": "pas d engagement",
-    "2021-2023": "lutte avec aigle",
-    "2018-2020": "lutte sans outils",
+    "department": "suivi départemental",
+    "none": "sans engagement",
+    "2021-2023": "suivi outillé",
+    "2018-2020": "suivi sans outil",
 }
 
 
 def engagement_group(department_name: Column, zone_id: Column, period: str, check_department: bool,
-                     no_engagement_ids=NO_ENGAGEMENT_IDS) -> Column:
+                     no_engagement_ids=NO_ENGAGEMENT_IDS, labels: dict[str, str] = ENGAGEMENT_LABELS) -> Column:
     """Engagement label of a commune for one report period."""
-    expr = F.when(zone_id.isin(list(no_engagement_ids)), F.lit(ENGAGEMENT_LABELS["none"])).otherwise(F.lit(ENGAGEMENT_LABELS[period]))
+    expr = F.when(zone_id.isin(list(no_engagement_ids)), F.lit(labels["none"])).otherwise(F.lit(labels[period]))
     if check_department:
-        expr = F.when(department_name == ENGAGEMENT_DEPARTMENT, F.lit(ENGAGEMENT_LABELS["department"])).otherwise(expr)
+        expr = F.when(department_name == ENGAGEMENT_DEPARTMENT, F.lit(labels["department"])).otherwise(expr)
     return expr
 
 
@@ -222,12 +225,9 @@ def evolution_commune(pv: DataFrame, det: DataFrame, mapping: DataFrame, parcel_
     m = mapping.select(F.col("id").alias(ZONE), F.col("id").alias("_map_id"), "department_name", "geozone_code")
     spa = parcel_stats.select(ZONE, "nb_parcels", "nb_parcels_in_ze")
     base = pv_sums.join(per_zone, ZONE, "left").join(m, ZONE, "left").join(spa, ZONE, "left")
-    out = None
-    for i, (label, a, b, _, _) in enumerate(periods):
-        part = base.select(
-            "department_name",
-            "geozone_code",
-            F.col(ZONE).cast("long").alias(ZONE),
+    # one row per period from one pass over ``base``
+    rows = F.inline(F.array(*[
+        F.struct(
             F.col(f"pv_{label}").alias("nb_pv_period"),
             stock(a).alias("situation_parcelles_cabanisees_debut_periode"),
             stock(b).alias("situation_parcelles_cabanisees_fin_periode"),
@@ -235,11 +235,14 @@ def evolution_commune(pv: DataFrame, det: DataFrame, mapping: DataFrame, parcel_
             nonzero(f"clr_{label}").alias("situation_parcelles_remises_en_etat_periode"),
             engagement_group(F.col("department_name"), F.col("_map_id"), label, check_department=(i == 0)).alias("groupe"),
             F.lit(label).alias("periode"),
-            F.col("nb_parcels").cast("long").alias("nb_parcels"),
-            F.col("nb_parcels_in_ze").cast("long").alias("nb_parcels_in_ze"),
-        ).where(F.col("situation_parcelles_cabanisees_debut_periode").isNotNull())
-        out = part if out is None else out.unionByName(part)
-    return out.distinct()
+        )
+        for i, (label, a, b, _, _) in enumerate(periods)
+    ]))
+    out = base.select(
+        "department_name", "geozone_code", F.col(ZONE).cast("long").alias(ZONE),
+        F.col("nb_parcels").cast("long").alias("nb_parcels"), F.col("nb_parcels_in_ze").cast("long").alias("nb_parcels_in_ze"), rows,
+    )
+    return out.where(F.col("situation_parcelles_cabanisees_debut_periode").isNotNull()).distinct()
 
 
 def class_evolution(det: DataFrame, years=(2018, 2021, 2024)) -> DataFrame:
@@ -375,8 +378,8 @@ def parcel_status(detections: DataFrame, data: DataFrame, objects: DataFrame, ty
     )
     names = zone_names.select(F.col("id").alias("commune_id"), F.col("name").alias("commune_name"))
 
-    def cnt(cond):
-        return F.countDistinct(F.when(cond, F.col("parcel_id"))).alias
+    def cnt(cond):  # ``flags`` has one row per parcel, so counting rows counts parcels
+        return F.sum((cond & F.col("parcel_id").isNotNull()).cast("long")).alias
 
     return flags.join(names, "commune_id", "left").groupBy("commune_name", "tile_set_id", "commune_id").agg(
         cnt(F.col("has_suspect"))("parcels_with_suspect"),
@@ -426,19 +429,15 @@ def deployment_by_department(groups: DataFrame, planned: DataFrame) -> DataFrame
 
     ``groups``: (name, user_group_type, geozone_id, dep_geozone_id) — user groups left-joined to their zones and the
     zones' departments. The NOT IN is null-aware (SQL semantics): one NULL department in the aggregate removes every
-    planned row, so it is planned by Spark SQL as a null-aware anti join rather than a ``left_anti``.
+    planned row (``plans.nulls.not_in``).
     """
     name, _, dep_id = REASSIGNED_GROUP
     deployed = groups.where(
         F.col("geozone_id").isNotNull() & (F.col("user_group_type") == "COLLECTIVITY") & (F.col("geozone_id") != EXCLUDED_ZONE)
     ).select("name", F.when(F.col("name") == name, F.lit(dep_id)).otherwise(F.col("dep_geozone_id")).cast("long").alias("dep_geozone_id"))
     agg = deployed.groupBy("dep_geozone_id").agg(F.countDistinct("name").alias("nb_collectivity"))
-    spark = groups.sparkSession
-    extra = spark.sql(
-        "select cast(dep_geozone_id as bigint) as dep_geozone_id, cast(nb_collectivity as bigint) as nb_collectivity from {planned} "
-        "where dep_geozone_id not in (select dep_geozone_id from {agg})",
-        planned=planned, agg=agg,
-    )
+    extra = not_in(planned.select(F.col("dep_geozone_id").cast("long").alias("dep_geozone_id"), F.col("nb_collectivity").cast("long").alias("nb_collectivity")),
+                   "dep_geozone_id", agg, "dep_geozone_id")
     return agg.select("dep_geozone_id", F.col("nb_collectivity").cast("long")).unionByName(extra)
 
 

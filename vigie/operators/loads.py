@@ -5,7 +5,7 @@ Each function returns the rows to write; sinks live in ``vigie.sources.sinks``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigie.functions.text import canonical_commune, parse_strict_timestamp, repair_short_date, upper_dash
@@ -14,14 +14,13 @@ from vigie.plans.ids import surrogate_ids
 PV_STATUS = "PV dressé"
 
 
-def pv_counts(log: DataFrame, communes: DataFrame, department_id: int = 2, first_id: int = 55,
-              status: str = PV_STATUS) -> DataFrame:
-    """Enforcement-report log → (id, geozone_id, year, nb_pv).
+def pv_grouped(log: DataFrame, communes: DataFrame, department_id: int = 2, status: str = PV_STATUS) -> DataFrame:
+    """P4 before numbering: (commune_key, code_insee, year, nb_pv, geozone_id) of the enforcement-report log.
 
     ``log``: commune, code_insee, date_raw, status. ``communes``: geozone_ptr_id, name_normalized, department_id.
     Dates ``d/m/yy`` are repaired, unparsable ones dropped; names canonicalized; only ``status`` rows counted by
     (commune, code, year) with NULL keys dropped (pandas ``groupby`` semantics); left join to the communes of one
-    department on the upper-dash normalized name; ids are consecutive from ``first_id`` in key order.
+    department on the upper-dash normalized name.
     """
     ts = parse_strict_timestamp(repair_short_date(F.col("date_raw")))
     rows = (
@@ -35,11 +34,17 @@ def pv_counts(log: DataFrame, communes: DataFrame, department_id: int = 2, first
         F.col("geozone_ptr_id").alias("geozone_id"), upper_dash(F.col("name_normalized")).alias("commune_key")
     )
     joined = rows.join(dep, "commune_key", "left")
+    return joined.select("commune_key", "code_insee", F.col("year").cast("int").alias("year"), F.col("nb_pv").cast("long").alias("nb_pv"), "geozone_id")
+
+
+def pv_counts(log: DataFrame, communes: DataFrame, department_id: int = 2, first_id: int = 55, status: str = PV_STATUS) -> DataFrame:
+    """The rows of ``pv_grouped`` numbered from ``first_id`` in key order: (id, geozone_id, year, nb_pv)."""
     with_ids = surrogate_ids(
-        joined, [F.col("commune_key"), F.col("code_insee"), F.col("year"), F.col("geozone_id").asc_nulls_last()],
+        pv_grouped(log, communes, department_id, status),
+        [F.col("commune_key"), F.col("code_insee"), F.col("year"), F.col("geozone_id").asc_nulls_last()],
         name="id", offset=first_id,
     )
-    return with_ids.select("id", "geozone_id", F.col("year").cast("int").alias("year"), F.col("nb_pv").cast("long").alias("nb_pv"))
+    return with_ids.select("id", "geozone_id", "year", "nb_pv")
 
 
 # ---------------------------------------------------------------- P1: legacy extract
@@ -49,7 +54,8 @@ LEGACY_BATCH = {7: "sia_2012", 4: "sia_2015", 5: "sia_2018", 8: "sia_2021"}
 
 
 def legacy_detections(det: DataFrame, types: DataFrame, tiles: DataFrame) -> DataFrame:
-    """Legacy detections → application detection rows, sorted by score descending (NULLs first).
+    """Legacy detections → application detection rows, sorted by score descending (NULLs first), then id (most scores
+    are 1.0, so the id lets the sort split them).
 
     score 1 when drawn by hand or missing; control: field flag wins, then codes 1–6, else NULL; validation by ordered
     three-valued rules; class from the type id, or from the validation id when validated; dataset → batch label;
@@ -60,12 +66,11 @@ def legacy_detections(det: DataFrame, types: DataFrame, tiles: DataFrame) -> Dat
     for code, label in LEGACY_CONTROL.items():
         control = control.when(c("control_status_id") == code, label)
     vl, vp, fp = c("vrai_legitime"), c("vrai_positif"), c("faux_positif")
+    real = vp & ~fp
     validation = (
-        F.when(c("validation") == 0, "INVALIDATED")
-        .when(vl & vp & ~fp, "LEGITIMATE")
-        .when(~vl & vp & ~fp, "SUSPECT")
-        .when(~vl & ~vp & fp, "INVALIDATED")
-        .when(~vl & ~vp & ~fp, "DETECTED_NOT_VERIFIED")
+        F.when((c("validation") == 0) | (~vl & ~vp & fp), "INVALIDATED")
+        .when(real & vl, "LEGITIMATE")
+        .when(real & ~vl, "SUSPECT")
         .otherwise("DETECTED_NOT_VERIFIED")
     )
     batch = None
@@ -88,7 +93,7 @@ def legacy_detections(det: DataFrame, types: DataFrame, tiles: DataFrame) -> Dat
         F.lit(None).cast("long").alias("tile_y"),
         batch.alias("batch_id"),
     )
-    return out.orderBy(F.col("score").desc_nulls_first())
+    return out.orderBy(F.col("score").desc_nulls_first(), "id")
 
 
 # ---------------------------------------------------------------- P3: parcel load
@@ -143,8 +148,6 @@ def refresh_custom_geometry(zones: DataFrame, staging: DataFrame, zone_type: str
     """P5: replace the geometry of zones of ``zone_type`` by the staging row of the same name (several staging rows of
     one name: the smallest staging id wins); other zones unchanged. ``zones``/``staging``: name + geometry columns
     (``rings`` and bbox); staging has a ``sid`` order key."""
-    from pyspark.sql import Window
-
     geo_cols = [c for c in ("rings", "minx", "miny", "maxx", "maxy") if c in staging.columns]
     w = Window.partitionBy("name").orderBy("sid")
     st = staging.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select("name", *[F.col(c).alias("_s_" + c) for c in geo_cols])
@@ -177,16 +180,18 @@ def upsert_collectivities(zones: DataFrame, child: DataFrame, source: DataFrame,
     Returns (zones, new_child_rows).
     """
     from vigie.functions.text import normalize_text
-    from vigie.plans.ids import surrogate_ids
+    from vigie.plans.nulls import not_in
 
     geo_cols = ["rings", "minx", "miny", "maxx", "maxy"]
+    # a code that occurs twice must not multiply zones: the row with the smallest name stands for it
+    first = Window.partitionBy("code").orderBy("name", F.xxhash64("rings"))
+    source = source.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
     src_by_code = source.select("code", *[F.col(c).alias("_s_" + c) for c in geo_cols])
     known = child.select(F.col("geozone_ptr_id").alias("id"), "code").join(src_by_code, "code")
     refreshed = zones.join(known.drop("code"), "id", "left").select(
         *[F.coalesce(F.col("_s_" + c), F.col(c)).alias(c) if c in geo_cols else F.col(c) for c in zones.columns]
     )
-    spark = zones.sparkSession
-    new_src = spark.sql("select * from {s} where code not in (select code from {c})", s=source, c=child)
+    new_src = not_in(source, "code", child, "code")
     max_id = zones.agg(F.max("id").alias("_m"))
     numbered = surrogate_ids(new_src, [F.col("code")], name="_rank", offset=1).crossJoin(F.broadcast(max_id))
     inserted = numbered.select(

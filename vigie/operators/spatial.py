@@ -10,7 +10,7 @@ from vigie.plans import cells as C
 FIRST_RATIO = 0.5       # first detection: earlier overlap must be strictly greater than this share
 HISTORY_RATIO = 0.5     # prescription history: overlap share must be at least this
 HISTORY_MIN_GAP = 6     # years between a detection and its history
-HISTORY_CLASSES = ["construction en dur", "piscine"]
+HISTORY_CLASSES = ["construction en dur", "piscine"]  # fixed values, like the ratios and the gap
 
 
 def zone_tag(features: DataFrame, zones: DataFrame, cell: float, zone_ids=None) -> DataFrame:
@@ -19,31 +19,17 @@ def zone_tag(features: DataFrame, zones: DataFrame, cell: float, zone_ids=None)
     return C.within_pairs(features, z, cell).select(F.col("fid").alias("id"), "zone_id")
 
 
-def in_zone_and_any(features: DataFrame, zones: DataFrame, cell: float, territory_col: str, any_cols: list[str]) -> DataFrame:
-    """Filter form of S1: keep features within the zone named by ``territory_col`` AND within at least one of the zones
-    named by ``any_cols`` (each membership tested separately: a feature straddling two risk zones is in neither).
+def match_parcel(det: DataFrame, parcels: DataFrame, cell: float, id_col: str = "id_parcellaire") -> DataFrame:
+    """Left-outer intersects join keeping the parcel with the smallest parcel id (NULL when none).
 
-    ``features`` carries the zone ids as columns (e.g. joined from a config table).
+    Equal geometries are collapsed on both sides before pairing: of equal parcels the one with the smallest id can be the
+    answer, and equal detections have equal answers.
     """
-    ids = F.array(F.col(territory_col), *[F.col(c) for c in any_cols])
-    wanted = features.select(F.col("id").alias("fid"), F.explode(ids).alias("zone_id")).where(F.col("zone_id").isNotNull()).distinct()
-    zone_ids = wanted.select("zone_id").distinct()
-    z = zones.join(zone_ids.withColumnRenamed("zone_id", "id"), "id", "left_semi")
-    tagged = C.within_pairs(features, z, cell).join(wanted, ["fid", "zone_id"], "left_semi")
-    f = features.select(F.col("id").alias("fid"), territory_col, *any_cols)
-    flags = tagged.join(f, "fid").groupBy("fid").agg(
-        F.max((F.col("zone_id") == F.col(territory_col)).cast("int")).alias("_in_t"),
-        F.max(F.col("zone_id").isin(*[F.col(c) for c in any_cols]).cast("int")).alias("_in_any"),
-    )
-    keep = flags.where((F.col("_in_t") == 1) & (F.col("_in_any") == 1)).select(F.col("fid").alias("id"))
-    return features.join(keep, "id", "left_semi")
-
-
-def match_parcel(det: DataFrame, parcels: DataFrame, cell: float, id_col: str = "id_parcellaire") -> DataFrame:
-    """Left-outer intersects join keeping the parcel with the smallest parcel id (NULL when none)."""
-    pairs = C.feature_pairs(det, parcels, cell, with_touch=True, b_keep=(id_col,))
+    places = C.by_geometry(parcels, **{id_col: F.min_by(id_col, "id")})
+    spots = C.by_geometry(det)
+    pairs = C.feature_pairs(spots, places, cell, with_touch=True, b_keep=(id_col,))
     best = pairs.groupBy(F.col("a_id").alias("id")).agg(F.min_by(F.col("b_" + id_col), F.col("b_id")).alias(id_col))
-    return det.join(best, "id", "left")
+    return C.join_geometry(det, spots.join(best, "id"), (), [id_col])
 
 
 def first_detection(det: DataFrame, cell: float, seq_col: str = "load_seq", ratio: float = FIRST_RATIO) -> DataFrame:
@@ -51,23 +37,18 @@ def first_detection(det: DataFrame, cell: float, seq_col: str = "load_seq", rati
 
     "Already loaded" = rows of a strictly smaller ``seq_col`` (earlier (config, batch) runs, any zone); rows of the same
     run do not see each other. One set-based pass: identical geometries are collapsed first (a copy loaded later is
-    covered 100% by its earlier twin), then earlier/later representatives are paired through the cell index.
+    covered 100% by its earlier twin), then earlier/later representatives are paired through the cell index. A geometry
+    is identified by the smallest id that has it, and rows find theirs by the geometry itself, so no hash can mix two up.
     A zero-area row has an undefined ratio and stays first.
     """
-    reps = det.groupBy("rings").agg(
-        F.min(seq_col).alias("seq"), F.first("is_rect").alias("is_rect"), F.first("area").alias("area"),
-        *[F.first(c).alias(c) for c in ("minx", "miny", "maxx", "maxy")],
-    ).withColumn("gid", F.xxhash64("rings"))
-    layer = reps.select(F.col("gid").alias("id"), "rings", "minx", "miny", "maxx", "maxy", "is_rect", "area", "seq")
-    pairs = C.feature_pairs(
-        layer, layer, cell, with_touch=False, condition=F.col("b_seq") < F.col("a_seq"), a_keep=("seq", "area"), b_keep=("seq",)
-    )
-    covered = pairs.where(F.col("area_ab") > F.lit(ratio) * F.col("a_area")).select(F.col("a_id").alias("gid")).distinct()
-    flags = reps.select("rings", "gid", F.col("seq").alias("_first_seq")).join(covered.withColumn("_cov", F.lit(True)), "gid", "left")
-    out = det.join(flags, "rings")
+    reps = C.by_geometry(det, seq=F.min(seq_col))
+    pairs = C.feature_pairs(reps, reps, cell, with_touch=False, condition=F.col("b_seq") < F.col("a_seq"), a_keep=("seq", "area"), b_keep=("seq",))
+    covered = pairs.where(F.col("area_ab") > F.lit(ratio) * F.col("a_area")).select(F.col("a_id").alias("id")).distinct()
+    flags = reps.join(covered.withColumn("_cov", F.lit(True)), "id", "left").withColumnRenamed("seq", "_first_seq")
+    out = C.join_geometry(det, flags, (), ["_first_seq", "_cov"])
     later_copy = (F.col(seq_col) > F.col("_first_seq")) & (F.col("area") > 0)
-    first = ~(later_copy | F.coalesce(F.col("_cov"), F.lit(False)))
-    return out.withColumn("first_detection", first).drop("gid", "_first_seq", "_cov")
+    first = ~(F.coalesce(later_copy, F.lit(False)) | F.coalesce(F.col("_cov"), F.lit(False)))
+    return out.withColumn("first_detection", first).drop("_first_seq", "_cov")
 
 
 def prescribed_by_history(det: DataFrame, cell: float, min_gap: int = HISTORY_MIN_GAP, ratio: float = HISTORY_RATIO,
@@ -76,23 +57,23 @@ def prescribed_by_history(det: DataFrame, cell: float, min_gap: int = HISTORY_MI
     detection overlaps it by at least ``ratio`` of its area (0-area → NULL ratio → no match); flag = count ≥ 1.
 
     Pairs come from the cell index with the parcel as an extra equi key, not from a parcel self-join, so a parcel
-    holding many detections does not emit all its pairs; copies (same parcel, year, geometry) are collapsed first.
+    holding many detections does not emit all its pairs; copies (same parcel, year, geometry) are collapsed first and
+    stand under their smallest id.
     """
     a = det.where(F.col("object_type").isin(list(classes)))
-    a_rep = a.select("id_parcellaire", "batch_year", "rings", "minx", "miny", "maxx", "maxy", "is_rect", "area").distinct() \
-        .withColumn("id", F.xxhash64("id_parcellaire", "batch_year", "rings"))
-    b_rep = det.where(F.col("id_parcellaire").isNotNull()).select(
-        "id_parcellaire", "batch_year", "rings", "minx", "miny", "maxx", "maxy", "is_rect", "area").distinct() \
-        .withColumn("id", F.xxhash64("id_parcellaire", "batch_year", "rings"))
+    keys = ("id_parcellaire", "batch_year")
+    a_rep = C.by_geometry(a, *keys)
+    b_rep = C.by_geometry(det.where(F.col("id_parcellaire").isNotNull()), *keys)
     pairs = C.feature_pairs(
         a_rep, b_rep, cell, with_touch=False,
         condition=(F.col("a_id_parcellaire") == F.col("b_id_parcellaire")) & (F.col("a_batch_year") - F.col("b_batch_year") >= min_gap),
         a_keep=("id_parcellaire", "batch_year", "area"), b_keep=("id_parcellaire", "batch_year"),
     )
     hits = pairs.where((F.col("a_area") > 0) & (F.col("area_ab") / F.col("a_area") >= ratio))
-    counts = hits.groupBy(F.col("a_id").alias("_rep")).agg(F.countDistinct("b_batch_year").cast("long").alias("count_histo_6y_detection"))
-    keyed = a.withColumn("_rep", F.xxhash64("id_parcellaire", "batch_year", "rings"))
-    out = keyed.join(counts, "_rep", "left").drop("_rep")
+    # an id may stand for several (parcel, year) rows when runs overlap, so the keys go along
+    counts = hits.groupBy(F.col("a_id").alias("id"), F.col("a_id_parcellaire").alias("id_parcellaire"), F.col("a_batch_year").alias("batch_year")).agg(
+        F.countDistinct("b_batch_year").cast("long").alias("count_histo_6y_detection"))
+    out = C.join_geometry(a, a_rep.join(counts, ["id", *keys]), keys, ["count_histo_6y_detection"])
     out = out.withColumn("count_histo_6y_detection", F.coalesce("count_histo_6y_detection", F.lit(0)).cast("long"))
     return out.withColumn("prescripted_detection", F.col("count_histo_6y_detection") >= 1)
 
@@ -113,53 +94,60 @@ MERGED_INTO = "construction en dur"
 
 
 def load_detections(inference: DataFrame, parcels: DataFrame, zones: DataFrame, configs: DataFrame, cell: float,
-                    min_score: float = LOAD_MIN_SCORE, classes=LOAD_CLASSES, pair_cell: float | None = None) -> DataFrame:
+                    min_score: float = LOAD_MIN_SCORE, classes=LOAD_CLASSES, pair_cell: float | None = None,
+                    existing: DataFrame | None = None) -> DataFrame:
     """The detection load for every (territory, batch) configuration in one plan.
 
     ``inference``: layer with keep columns score, object_type, batch_id. ``configs``: geozone_id, batch_id, batch_year,
     ze_zone_id, zr_zone_id, zan_zone_id, load_seq (the order the runs are committed in). A detection is loaded for a
     config when it has the config's batch, score > min_score, an accepted class, lies within the territory AND within
-    at least one of the three risk zones (each tested separately). Zone memberships are computed once per detection
-    (S1), the parcel once per detection (S2), then ``first_detection`` (S3) runs over all loaded rows by load order.
+    at least one of the three risk zones (each tested separately). Detections are tagged with zones first (S1), so each
+    meets only the configs of zones it lies in, never all territories of its batch. Then the parcel is matched once per
+    geometry (S2), and ``first_detection`` (S3) runs over all loaded rows by load order.
+
+    ``existing``: rows stored by earlier loads (a layer); a row one of them covers is no first detection. Loading surveys one
+    after another, each with the rows of those before as ``existing``, gives the flags of one pass over all.
     """
-    from vigie.plans.broadcast import bounded
     from vigie.plans.materialize import materialize
+    from vigie.streaming.incremental import first_detection_increment
 
     inf = inference.where((F.col("score") > min_score) & F.col("object_type").isin(list(classes)))
-    cfg = bounded(configs)
-    zone_ids = cfg.select(F.explode(F.array("geozone_id", "ze_zone_id", "zr_zone_id", "zan_zone_id")).alias("id")).distinct()
-    needed_zones = zones.join(zone_ids, "id", "left_semi")
-    cand = inf.join(cfg, "batch_id")
-    # (row, role, zone) memberships to check: role 0 = territory, 1 = any risk zone; one join with the tags
-    roles = cand.select(
-        "id", "load_seq",
-        F.inline(F.array(
-            F.struct(F.lit(0).alias("role"), F.col("geozone_id").alias("zone_id")),
-            F.struct(F.lit(1).alias("role"), F.col("ze_zone_id").alias("zone_id")),
-            F.struct(F.lit(1).alias("role"), F.col("zr_zone_id").alias("zone_id")),
-            F.struct(F.lit(1).alias("role"), F.col("zan_zone_id").alias("zone_id")),
-        )),
-    )
-    tags = zone_tag(inf.join(cand.select("id").distinct(), "id", "left_semi"), needed_zones, cell)
-    keys = (
-        roles.join(tags, ["id", "zone_id"], "left_semi")
-        .groupBy("id", "load_seq")
-        .agg(F.max((F.col("role") == 0).cast("int")).alias("_t"), F.max((F.col("role") == 1).cast("int")).alias("_r"))
-        .where((F.col("_t") == 1) & (F.col("_r") == 1))
-        .select("id", "load_seq")
-    )
-    loaded = materialize(cand.join(keys, ["id", "load_seq"], "left_semi"))
-    ids = loaded.select("id", "rings", "minx", "miny", "maxx", "maxy", "is_rect", "area").dropDuplicates(["id"])
+    risk_cols = ["ze_zone_id", "zr_zone_id", "zan_zone_id"]
+    zone_ids = configs.select(F.explode(F.array("geozone_id", *risk_cols)).alias("id")).where("id is not null").distinct()
+    tags = materialize(zone_tag(inf, zones.join(zone_ids, "id", "left_semi"), cell))
     pair_cell = pair_cell or cell
-    parcel = match_parcel(ids, parcels, pair_cell).select("id", "id_parcellaire")
-    rows = materialize(loaded.join(parcel, "id", "left").withColumn(
+    loaded = materialize(_load_rows(inf, tags, configs, risk_cols))
+    spots = loaded.select("id", "rings", "minx", "miny", "maxx", "maxy", "is_rect", "area").dropDuplicates(["id"])
+    parcel = match_parcel(spots, parcels, pair_cell).select("id", "id_parcellaire")
+    rows = loaded.join(parcel, "id", "left").withColumn(
         "object_type", F.when(F.col("object_type").isin(MERGED_CLASSES), F.lit(MERGED_INTO)).otherwise(F.col("object_type"))
-    ))
-    flagged = first_detection(rows, pair_cell, seq_col="load_seq")
-    return materialize(flagged.select(
+    )
+    flags = first_detection(spots_in_order(loaded), pair_cell, seq_col="load_seq").select("id", "load_seq", "first_detection")
+    if existing is not None:
+        fresh = first_detection_increment(spots, existing, pair_cell).select("id", F.col("first_detection").alias("_fresh"))
+        flags = flags.join(fresh, "id").select("id", "load_seq", (F.col("first_detection") & F.col("_fresh")).alias("first_detection"))
+    return rows.join(flags, ["id", "load_seq"]).select(
         "id", "score", "object_type", F.col("geozone_id").cast("long").alias("geozone_id"), "batch_year", "id_parcellaire",
         "first_detection", "load_seq", "rings", "minx", "miny", "maxx", "maxy", "is_rect", "area",
-    ))
+    )
+
+
+def spots_in_order(loaded: DataFrame) -> DataFrame:
+    """What S3 needs of loaded rows, one per (id, load_seq)."""
+    return loaded.select("id", "load_seq", "rings", "minx", "miny", "maxx", "maxy", "is_rect", "area").dropDuplicates(["id", "load_seq"])
+
+
+def _load_rows(inf: DataFrame, tags: DataFrame, configs: DataFrame, risk_cols: list[str]) -> DataFrame:
+    """Detections × the configs of their batch whose territory and whose risk zones they lie in.
+
+    Rows in flight: one per detection and containing territory, times its risk zones, whatever the number of configs is.
+    """
+    cfg = configs.withColumn("geozone_id", F.col("geozone_id").cast("long"))
+    mine = inf.select("id", "batch_id").join(tags, "id").withColumnRenamed("zone_id", "geozone_id").join(cfg, ["batch_id", "geozone_id"])
+    risk = mine.select("id", "load_seq", F.explode(F.array_distinct(F.array(*[F.col(c).cast("long") for c in risk_cols]))).alias("zone_id"))
+    keep = risk.join(tags, ["id", "zone_id"], "left_semi").select("id", "load_seq").distinct()
+    chosen = mine.drop("batch_id").join(keep, ["id", "load_seq"], "left_semi")
+    return inf.join(chosen, "id")
 
 
 def parcels_at_risk(parcels: DataFrame, communes: DataFrame, risk: DataFrame, cell: float, level: str = "commune") -> DataFrame:
@@ -198,29 +186,72 @@ def edges(layer: DataFrame, keep=()) -> DataFrame:
     return e.select("id", *keep, "ring_no", a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2"))
 
 
-def dissolve(layer: DataFrame, groups: DataFrame | None = None) -> DataFrame:
-    """S4 (coverage input): union of member polygons per group as its directed boundary edges.
+def _polygon_batches(cell: float):
+    import pandas as pd
+
+    from vigie.functions import kernel as K
+
+    def rows(batches):
+        for pdf in batches:
+            for gid, pid, rings in zip(pdf["group_id"].to_numpy(), pdf["id"].to_numpy(), pdf["rings"]):
+                for cx, cy, _, clip, segs in K.decompose(K.to_rings(rings), cell, borders=True):
+                    box = [K.box_ring(cx * cell, cy * cell, (cx + 1) * cell, (cy + 1) * cell)]
+                    yield gid, cx, cy, pid, K.from_rings(box if clip is None else clip), [] if clip is None else segs.tolist()
+
+    return lambda batches: C._frames(rows(batches), ["group_id", "cx", "cy", "pid", "rings", "segs"], 5000)
 
-    ``groups``: (id, group_id); None = one global group 0. Each polygon contributes its directed edges; an edge shared by
-    two members appears once in each direction and cancels in ``groupBy(group, canonical edge)``; what remains is the
-    union's boundary. Requires exactly shared vertices between neighbours (a coverage); an empty group gives no row.
+
+def _union_cell(cell: float):
+    import numpy as np
+    import pandas as pd
+
+    from vigie.functions import kernel as K
+    from vigie.functions import overlay
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        gid, cx, cy = (int(group[c].iloc[0]) for c in ("group_id", "cx", "cy"))
+        pieces = [(K.to_rings(r), np.array([list(x) for x in s], float).reshape(-1, 4)) for r, s in zip(group["rings"], group["segs"])]
+        out = pd.DataFrame(overlay.union_edges(pieces, (cx * cell, cy * cell, (cx + 1) * cell, (cy + 1) * cell)), columns=["x1", "y1", "x2", "y2"])
+        out.insert(0, "group_id", gid)
+        return out
+
+    return run
+
+
+EDGE_SCHEMA = "group_id long, x1 double, y1 double, x2 double, y2 double"
+
+
+def dissolve(layer: DataFrame, groups: DataFrame | None = None, cell: float | None = None) -> DataFrame:
+    """Union of member polygons per group as its directed boundary edges (interior on the left).
+
+    ``groups``: (id, group_id); None = one global group 0. Members may overlap, share parts of edges (T-junctions) or lie inside
+    each other. Polygons are cut by cells of side ``cell``, and the boundary is worked out cell by cell: a task holds the
+    members that meet in one cell, never a whole group. Without ``cell`` it is taken from the data: about the mean
+    extent of a member. Geometries without area do not count; an empty group gives no row.
     """
-    e = edges(layer)
-    g = e.join(groups, "id") if groups is not None else e.withColumn("group_id", F.lit(0).cast("long"))
-    fwd = (F.col("x1") < F.col("x2")) | ((F.col("x1") == F.col("x2")) & (F.col("y1") < F.col("y2")))
-    canon = g.select(
-        "group_id",
-        F.when(fwd, F.col("x1")).otherwise(F.col("x2")).alias("ax"), F.when(fwd, F.col("y1")).otherwise(F.col("y2")).alias("ay"),
-        F.when(fwd, F.col("x2")).otherwise(F.col("x1")).alias("bx"), F.when(fwd, F.col("y2")).otherwise(F.col("y1")).alias("by"),
-        F.when(fwd, 1).otherwise(-1).alias("dir"),
-    )
-    net = canon.groupBy("group_id", "ax", "ay", "bx", "by").agg(F.sum("dir").alias("dir")).where(F.col("dir") != 0)
-    return net.select(
-        "group_id",
-        F.when(F.col("dir") > 0, F.col("ax")).otherwise(F.col("bx")).alias("x1"), F.when(F.col("dir") > 0, F.col("ay")).otherwise(F.col("by")).alias("y1"),
-        F.when(F.col("dir") > 0, F.col("bx")).otherwise(F.col("ax")).alias("x2"), F.when(F.col("dir") > 0, F.col("by")).otherwise(F.col("ay")).alias("y2"),
-        F.abs(F.col("dir")).alias("mult"),
-    )
+    members = layer.where(F.col("area") > 0) if "area" in layer.columns else layer
+    if cell is None:
+        side = members.agg(F.avg(F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")))).first()[0]
+        cell = float(side) if side else 1.0
+    g = members.select("id", "rings")
+    g = g.join(groups.select("id", F.col("group_id").cast("long").alias("group_id")), "id") if groups is not None else g.withColumn("group_id", F.lit(0).cast("long"))
+    schema = f"group_id long, cx long, cy long, pid long, rings {C.geo.RINGS_TYPE}, segs array<array<double>>"
+    cut = g.select("group_id", F.col("id").cast("long").alias("id"), "rings").mapInPandas(_polygon_batches(float(cell)), schema)
+    return cut.groupBy("group_id", "cx", "cy").applyInPandas(_union_cell(float(cell)), EDGE_SCHEMA)
+
+
+def assemble(boundary: DataFrame) -> DataFrame:
+    """(group_id, rings) from ``dissolve`` output. A group's boundary becomes one geometry, so it is one row and one task."""
+    import pandas as pd
+
+    from vigie.functions import kernel as K
+    from vigie.functions import overlay
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        edges = group.sort_values(["x1", "y1", "x2", "y2"])[["x1", "y1", "x2", "y2"]].to_numpy(float)
+        return pd.DataFrame({"group_id": group["group_id"].iloc[:1], "rings": [K.from_rings(overlay.rings_from_edges(edges))]})
+
+    return boundary.select("group_id", "x1", "y1", "x2", "y2").groupBy("group_id").applyInPandas(run, f"group_id long, rings {C.geo.RINGS_TYPE}")
 
 
 def edge_measures(e: DataFrame, key: str) -> DataFrame:
@@ -293,16 +324,10 @@ def _covered_batches(rows):
 
     for pdf in rows:
         out = np.zeros(len(pdf))
-        for k in range(len(pdf)):
-            P = K.to_rings(pdf["rings"].iat[k])
-            pieces = pdf["pieces"].iat[k]
-            Qs = []
-            for pc in pieces:
-                if pc["kind"] == 2:
-                    Qs.append(K.to_rings(pc["q_rings"]))
-                else:
-                    Qs.append([K.box_ring(pc["q_minx"], pc["q_miny"], pc["q_maxx"], pc["q_maxy"])])
-            out[k] = K.overlap_area_union(P, Qs)
+        box = pdf[["minx", "miny", "maxx", "maxy"]].to_numpy(float)
+        for k, (rings, pieces) in enumerate(zip(pdf["rings"], pdf["pieces"])):
+            shape = [K.box_ring(*box[k])] if rings is None else K.to_rings(rings)
+            out[k] = K.overlap_area_union(shape, [[K.trapezoid_ring([p[c] for c in ("q_minx", "q_maxx", "b0", "b1", "t0", "t1")])] for p in pieces])
         yield pd.DataFrame({"id": pdf["id"].to_numpy(), "covered": out})
 
 
@@ -311,26 +336,36 @@ def outside_bounds(det: DataFrame, tileset_zones: DataFrame, zones: DataFrame, c
     zones (a straddler of two adjacent zones is inside). With a zoned tileset a NULL geometry is kept; with an
     un-zoned one it is removed.
 
-    ``det``: layer with keep column tile_set_id. ``tileset_zones``: (tileset_id, geozone_id). The union is never built:
-    per (detection, cell) the zone pieces of the detection's tileset are gathered (bounded by the zones overlapping
-    one cell) and the covered area is computed by the union kernel, then summed per detection.
+    ``det``: layer with keep column tile_set_id. ``tileset_zones``: (tileset_id, geozone_id). The union is never built. Zone
+    pieces carry their tileset, so a detection meets those of its own only. A part of a rectangle that one zone covers in
+    a cell is measured in the JVM; only where no single zone does, the pieces of the cell (few trapezoids of the zones
+    that share it) go to the union kernel. Covered areas are summed per detection.
     """
-    from vigie.plans import cells as C
+    from vigie.plans.materialize import materialize
 
-    links = tileset_zones.select(F.col("tileset_id").alias("tile_set_id"), F.col("geozone_id").cast("long").alias("zone_id"))
+    c = F.col
+    links = tileset_zones.select(F.col("tileset_id").alias("tile_set_id"), F.col("geozone_id").cast("long").alias("zone_id")).distinct()
     zoned = links.select("tile_set_id").distinct()
     no_zone = det.join(zoned, "tile_set_id", "left_anti").select("id")
     d = det.join(zoned, "tile_set_id", "left_semi").where(F.col("rings").isNotNull())
     pieces = C.zone_cells(zones.join(links.select(F.col("zone_id").alias("id")).distinct(), "id", "left_semi"), cell)
-    fc = C.cells_of(d.select("id", "tile_set_id", "rings", "minx", "miny", "maxx", "maxy"), cell)
-    cand = fc.join(pieces, ["cx", "cy"]).join(links, ["tile_set_id", "zone_id"], "left_semi").where(
-        (F.col("minx") <= F.col("q_maxx")) & (F.col("q_minx") <= F.col("maxx")) & (F.col("miny") <= F.col("q_maxy")) & (F.col("q_miny") <= F.col("maxy"))
-    )
-    grouped = cand.groupBy("id", "cx", "cy").agg(
-        F.first("rings").alias("rings"),
-        F.collect_list(F.struct("kind", "q_minx", "q_miny", "q_maxx", "q_maxy", "q_rings")).alias("pieces"),
-    )
-    covered = grouped.mapInPandas(_covered_batches, "id long, covered double").groupBy("id").agg(F.sum("covered").alias("covered"))
+    pieces = materialize(pieces.join(links, "zone_id").withColumnRenamed("tile_set_id", "_set"))
+    s = F.lit(float(cell))
+    cand = C.candidates(d, pieces, cell, keep=("tile_set_id",)).where(c("_set") == c("tile_set_id"))
+    area, _ = C._piece_measures()
+    width = F.least(c("maxx"), (c("cx") + 1) * s) - F.greatest(c("minx"), c("cx") * s)
+    height = F.least(c("maxy"), (c("cy") + 1) * s) - F.greatest(c("miny"), c("cy") * s)
+    here = F.when(c("is_rect"), width * height)
+    cells = ["fid", "cx", "cy"]
+    by_zone = cand.groupBy(*cells, "zone_id").agg(F.max(here).alias("here"), F.sum(F.when(c("is_rect"), area)).alias("got"))
+    best = by_zone.groupBy(*cells).agg(F.max("here").alias("here"), F.max("got").alias("got"))
+    whole = c("here").isNotNull() & (c("got") >= c("here") * (1 - 1e-12))
+    simple = best.where(whole).select(c("fid").alias("id"), c("here").alias("covered"))
+    rest = cand.join(best.where(~F.coalesce(whole, F.lit(False))).select(*cells), cells, "left_semi").where((c("q_maxx") > c("q_minx")))
+    grouped = rest.groupBy(*cells, "rings", "minx", "miny", "maxx", "maxy").agg(
+        F.collect_list(F.struct("q_minx", "q_maxx", "b0", "b1", "t0", "t1")).alias("pieces"),
+    ).select(c("fid").alias("id"), "rings", "minx", "miny", "maxx", "maxy", "pieces")
+    covered = simple.unionByName(grouped.mapInPandas(_covered_batches, "id long, covered double")).groupBy("id").agg(F.sum("covered").alias("covered"))
     inside = d.join(covered, "id", "left").where(F.col("covered") >= F.col("area") * (1 - 1e-9)).select("id")
     outside = d.select("id").join(inside, "id", "left_anti")
     return no_zone.unionByName(outside)
@@ -426,32 +461,40 @@ def detections_in_risk(det: DataFrame, data: DataFrame, objects: DataFrame, type
 
 
 # ---------------------------------------------------------------- S13: layer ingest
-def ingest_layer(layers_df: DataFrame, name: str, default_srid: int = 2154) -> tuple[DataFrame, DataFrame]:
-    """A folder of decoded source layers (file, srid, rings) → one named zone.
-
-    The SRID is probed per file (0 or absent → ``default_srid``); Lambert-93 rows are reprojected to lon/lat with
-    vertex-wise Column math, lon/lat rows pass as is, other SRIDs and invalid rings (fewer than 3 vertices or zero
-    area) are quarantined instead of repaired; the valid polygons are dissolved (S4) into the zone's boundary.
-    Returns (zone: name, area, boundary edge count, bbox; quarantine: file, reason).
+def ingest_layer(layers_df: DataFrame, name: str, default_srid: int = 2154, cell: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """A folder of decoded source layers (file, srid, rings) → one named zone with the union of its polygons.
+
+    The SRID is probed per file (its smallest known one; 0 or absent → ``default_srid``); Lambert-93 rows are reprojected to
+    lon/lat with vertex-wise Column math, lon/lat rows pass as is. Rings may come in either orientation. Rows with another
+    SRID, without three different vertices in every ring, or without area go to the quarantine with a reason; nothing is
+    repaired and nothing is dropped unreported. The rest are dissolved (S4), overlaps and T-junctions included.
+    Returns (zone: name, rings, area, perimeter, n_rings, bbox; quarantine: file, reason). Store the zone with
+    ``sinks.replace_by_key`` on the name.
     """
     from vigie.functions import geo
+    from vigie.plans.materialize import materialize
 
-    srid = layers_df.groupBy("file").agg(F.first("srid", ignorenulls=True).alias("_srid")).select(
-        "file", F.when(F.col("_srid").isNull() | (F.col("_srid") == 0), F.lit(default_srid)).otherwise(F.col("_srid")).alias("layer_srid"))
-    d = layers_df.join(srid, "file").withColumn("_pid", F.monotonically_increasing_id())
+    srid = layers_df.groupBy("file").agg(F.min(F.when(F.col("srid") != 0, F.col("srid"))).alias("_srid")).select(
+        "file", F.coalesce("_srid", F.lit(default_srid)).alias("layer_srid"))
+    d = layers_df.join(srid, "file")
     valid_ring = F.forall("rings", lambda r: F.size(F.array_distinct(r)) >= 3)
     proj = F.when(F.col("layer_srid") == 2154, geo.lambert93_to_wgs84(F.col("rings"))).when(F.col("layer_srid") == 4326, F.col("rings"))
-    d = d.withColumn("rings", proj)
-    bad = d.where(F.col("rings").isNull() | ~valid_ring).select(
-        "file", F.when(F.col("rings").isNull(), F.lit("unsupported srid")).otherwise(F.lit("invalid ring")).alias("reason"))
-    good = d.where(F.col("rings").isNotNull() & valid_ring).select(F.col("_pid").alias("id"), "rings")
-    good = good.withColumn("_a", geo.area("rings")).where(F.col("_a") != 0).drop("_a")
-    boundary = dissolve(good)
-    m = edge_measures(boundary.withColumnRenamed("group_id", "gid"), "gid")
-    bb = boundary.agg(F.count(F.lit(1)).alias("boundary_edges"), F.least(F.min("x1"), F.min("x2")).alias("minx"),
-                      F.least(F.min("y1"), F.min("y2")).alias("miny"), F.greatest(F.max("x1"), F.max("x2")).alias("maxx"),
-                      F.greatest(F.max("y1"), F.max("y2")).alias("maxy"))
-    zone = m.crossJoin(bb).select(F.lit(name).alias("name"), "area", "boundary_edges", "minx", "miny", "maxx", "maxy")
+    d = d.select("file", F.col("rings").isNull().alias("_missing"), geo.oriented("rings").alias("rings"), "layer_srid").withColumn("rings", proj)
+    d = d.withColumn("_a", geo.area("rings"))
+    reason = (
+        F.when(F.col("_missing"), F.lit("no geometry")).when(F.col("rings").isNull(), F.lit("unsupported srid"))
+        .when((F.size("rings") == 0) | ~valid_ring, F.lit("invalid ring")).when(~(F.abs("_a") > 0), F.lit("no area"))
+    )
+    d = materialize(d.withColumn("reason", reason).withColumn("id", F.monotonically_increasing_id()))
+    bad = d.where("reason is not null").select("file", "reason")
+    # orientation again: a projection may not keep it
+    good = C.as_layer(d.where("reason is null"), "id")
+    boundary = materialize(dissolve(good, cell=cell))
+    bbox = [f(a).alias(n) for n, f, a in (("minx", F.min, F.least("x1", "x2")), ("miny", F.min, F.least("y1", "y2")),
+                                          ("maxx", F.max, F.greatest("x1", "x2")), ("maxy", F.max, F.greatest("y1", "y2")))]
+    measures = edge_measures(boundary, "group_id").join(boundary.groupBy("group_id").agg(*bbox), "group_id")
+    zone = assemble(boundary).join(measures, "group_id").select(
+        F.lit(name).alias("name"), "rings", "area", "perimeter", F.size("rings").alias("n_rings"), "minx", "miny", "maxx", "maxy")
     return zone, bad
 
 
@@ -469,24 +512,25 @@ def _geojson_batches(tol: float):
 
     from vigie.functions import kernel as K
 
+    def feature(row) -> str:
+        polys = []
+        for r in K.to_rings(row.rings):
+            s = K.simplify_ring(r, tol)
+            ring = np.vstack([s, s[:1]]).round(9).tolist()
+            if K.signed_area(s) >= 0 or not polys:
+                polys.append([ring])
+            else:
+                polys[-1].append(ring)
+        geom = {"type": "Polygon", "coordinates": polys[0]} if len(polys) == 1 else {"type": "MultiPolygon", "coordinates": polys}
+        return json.dumps({"type": "Feature", "id": int(row.feature_id), "geometry": geom,
+                           "properties": {"id": None if pd.isna(row.id) else int(row.id), "name": row.name,
+                                          "name_normalized": row.name_normalized, "insee_code": row.insee_code}}, ensure_ascii=False)
+
     def run(batches):
         for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False):
-                polys = []
-                for r in K.to_rings(row.rings):
-                    s = K.simplify_ring(r, tol)
-                    ring = np.vstack([s, s[:1]]).round(9).tolist()
-                    if K.signed_area(s) >= 0 or not polys:
-                        polys.append([ring])
-                    else:
-                        polys[-1].append(ring)
-                geom = {"type": "Polygon", "coordinates": polys[0]} if len(polys) == 1 else {"type": "MultiPolygon", "coordinates": polys}
-                feat = {"type": "Feature", "id": int(row.feature_id), "geometry": geom,
-                        "properties": {"id": None if pd.isna(row.id) else int(row.id), "name": row.name,
-                                       "name_normalized": row.name_normalized, "insee_code": row.insee_code}}
-                out.append(json.dumps(feat, ensure_ascii=False))
-            yield pd.DataFrame({"feature_id": pdf["feature_id"].to_numpy(), "geojson": out})
+            out = pdf.drop(columns="rings")
+            out["geojson"] = [feature(row) for row in pdf.itertuples(index=False)]
+            yield out
 
     return run
 
@@ -496,22 +540,25 @@ def zone_features(layer: DataFrame, anchors: DataFrame | None = None, tol: float
     lines, never one aggregated document). Metropolitan codes as is; overseas codes (97x except 973) translated so
     their centroid sits on the anchor (codes without an anchor are dropped); rings simplified (Douglas–Peucker, ``tol``).
 
-    ``layer``: id, name, name_normalized, insee_code, rings. Returns id, name, insee_code, translated bbox, geojson.
+    ``layer``: id, name, name_normalized, insee_code, rings. ``feature_id`` is the id; rows without one get numbers above the
+    largest. Returns feature_id, id, name, name_normalized, insee_code, translated bbox, geojson.
     """
     from vigie.functions import geo
-    from vigie.plans.broadcast import seed
+    from vigie.plans.materialize import materialize
 
     spark = layer.sparkSession
     anchors = anchors if anchors is not None else spark.createDataFrame(OVERSEAS_ANCHORS, "insee_code string, a_lat double, a_lon double")
+    layer = layer.withColumn("rings", geo.oriented("rings"))
     code = F.col("insee_code")
     metro = layer.where(~code.like(OVERSEAS_PREFIX + "%"))
     cx, cy = geo.centroid("rings")
-    over = layer.where(code.like(OVERSEAS_PREFIX + "%") & ~(code == OVERSEAS_SKIPPED)).join(seed(anchors), "insee_code") \
+    over = layer.where(code.like(OVERSEAS_PREFIX + "%") & ~(code == OVERSEAS_SKIPPED)).join(anchors, "insee_code") \
         .withColumn("rings", geo.translate(F.col("rings"), F.col("a_lon") - cx, F.col("a_lat") - cy)).drop("a_lat", "a_lon")
     cols = ["id", "name", "name_normalized", "insee_code", "rings"]
     allz = metro.select(*cols).unionByName(over.select(*cols))
-    allz = allz.withColumn("feature_id", F.coalesce(F.col("id").cast("long"), F.monotonically_increasing_id() + 1))
-    allz = allz.select("*", *geo.bbox_cols("rings"))
-    gj = allz.select("feature_id", "id", "name", "name_normalized", "insee_code", "rings").mapInPandas(
-        _geojson_batches(tol), "feature_id long, geojson string")
-    return allz.drop("rings").join(gj, "feature_id")
+    # numbered once, in the stored copy; the numbers of rows without an id start above the largest id
+    allz = materialize(allz.withColumn("id", F.col("id").cast("long")).withColumn("_n", F.monotonically_increasing_id()))
+    top = allz.agg(F.max("id")).first()[0] or 0
+    out = allz.select(F.coalesce("id", F.col("_n") + 1 + top).alias("feature_id"), *cols, *geo.bbox_cols("rings"))
+    schema = out.drop("rings").withColumn("geojson", F.lit("")).schema
+    return out.mapInPandas(_geojson_batches(tol), schema)

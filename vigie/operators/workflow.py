@@ -15,8 +15,8 @@ from vigie.plans.broadcast import seed
 
 CHANGE_SCHEMA = "array<struct<field:string,old_value:string,new_value:string>>"
 STATUS_FIELDS = ("detection_validation_status", "detection_control_status", "detection_prescription_status")
-# Fixed values of the import baseline.
-IMPORT_EMAIL, IMPORT_GROUP, IMPORTED = "admin_import@beta.gouv.fr", "Admin import", "IMPORTED"
+# Who stands for imports in the baseline unless the caller says otherwise, and the status before any import.
+IMPORT_EMAIL, IMPORT_GROUP, IMPORTED = "import@example.org", "import", "IMPORTED"
 
 
 def label_key(c: Column) -> Column:
@@ -52,7 +52,7 @@ def _status(a: Column, b: Column, c: Column) -> Column:
 
 
 def import_baseline(hist_data: DataFrame, hist_det: DataFrame, tileset: int = 19, min_score: float = 0.3,
-                    scope: DataFrame | None = None) -> DataFrame:
+                    scope: DataFrame | None = None, email: str = IMPORT_EMAIL, group_name: str = IMPORT_GROUP) -> DataFrame:
     """Initial status of each detection data row from import audit rows ('+', or '~' without changed fields).
 
     old = IMPORTED × 3; new = recorded status or default; one row per (detection data, old status), the latest history
@@ -65,7 +65,7 @@ def import_baseline(hist_data: DataFrame, hist_det: DataFrame, tileset: int = 19
     auto_true = F.col("auto_prescribed").eqNullSafe(F.lit(True))
     d = d.select(
         "detection_id", "detection_data_id", "history_id", "history_date", "parcel_id",
-        F.lit(IMPORT_EMAIL).alias("email"), F.lit(IMPORT_GROUP).alias("group_name"), "changed_fields",
+        F.lit(email).alias("email"), F.lit(group_name).alias("group_name"), "changed_fields",
         F.lit(IMPORTED).alias("old_pre_status"), F.lit(IMPORTED).alias("old_val_status"), F.lit(IMPORTED).alias("old_ctl_status"),
         F.when(pres.isNull() & ~auto_true, "NOT_PRESCRIBED").when(pres.isNull() & auto_true, "PRESCRIBED").otherwise(pres).alias("new_pre_status"),
         F.coalesce("detection_validation_status", F.lit("DETECTED_NOT_VERIFIED")).alias("new_val_status"),

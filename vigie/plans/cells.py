@@ -4,11 +4,11 @@ Spark has no spatial predicates, so a spatial join becomes an equi-join on grid
 candidate pairs only (never a nested-loop or cartesian join):
 
 * features (detections, parcels: the large side) explode to the closed cells of their bbox with ``sequence``;
-* zones (the reference side) are cut into per-cell pieces by ``decompose`` in Arrow batches: a cell fully inside the
-  zone is flagged *full*, a boundary cell carries the clipped rings and the zone's true boundary segments in that cell.
-  A very large zone thus becomes many small rows spread over tasks instead of one fat geometry;
-* the join key is (cx, cy); rectangle×rectangle pairs are measured with Column math in the JVM, other pairs go through
-  the numpy kernel in ``mapInPandas``; per-cell overlap areas are summed by ``groupBy(feature, zone)``.
+* zones (the reference side) are cut by ``decompose`` in Arrow batches, first into blocks, which spread over tasks, then into
+  cells; the zone's part of a cell becomes trapezoids with vertical sides (a full cell is one);
+* the join key is (cx, cy); the area of a rectangle in a trapezoid, and whether they meet, is Column math in the JVM;
+  other features go through the numpy kernel in ``mapInPandas``; areas are summed by ``groupBy(feature, zone)``. A cell with
+  very many features is one key of a plain shuffle join, which Spark splits when it is skewed.
 
 Feature–feature pairs (detection vs earlier detection, detection vs parcel) use both sides exploded to cells and keep
 a pair only in the cell holding the low corner of the two bboxes' intersection, so each pair is tested once without a
@@ -26,21 +26,36 @@ from vigie.functions import geo
 from vigie.functions import kernel as K
 from vigie.plans.materialize import materialize
 
+#: One trapezoid with vertical sides per row: kind 0 a full cell, 1 a rectangle, 2 general; b and t are its bottom and top.
 ZONE_CELL_SCHEMA = (
     "zone_id long, cx long, cy long, kind int, q_minx double, q_miny double, q_maxx double, q_maxy double, "
-    f"q_rings {geo.RINGS_TYPE}, q_segs array<array<double>>"
+    "b0 double, b1 double, t0 double, t1 double"
 )
-MEASURE_SCHEMA = "fid long, zone_id long, area_in double, touch boolean"
+BLOCK_SCHEMA = f"zone_id long, bx long, by long, rings {geo.RINGS_TYPE}, segs array<array<double>>"
+#: Cells in a block, along one side: a zone is cut into blocks first, which then spread over tasks.
+BLOCK = 16
+PIECE = ["kind", "q_minx", "q_miny", "q_maxx", "q_maxy", "b0", "b1", "t0", "t1"]
+MEASURE_SCHEMA = "fid long, zone_id long, f_area double, area_in double, touch boolean"
 PAIR_SCHEMA = "a_id long, b_id long, area_ab double, touch boolean"
 
 
 # ------------------------------------------------------------------ layers
 def as_layer(df: DataFrame, id_col: str, rings: Column | str = "rings", keep=()) -> DataFrame:
-    """Normalize a geometry table to (id, rings, bbox, is_rect, area, *keep)."""
+    """Normalize a geometry table to (id, rings, bbox, is_rect, area, *keep).
+
+    Rings may come in either orientation. A geometry without area (a line, a point, a collapsed ring) stays in the layer
+    with area 0: it can touch and be touched, but lies within nothing and covers nothing; ``degenerate`` lists such rows.
+    """
     base = df.select(F.col(id_col).cast("long").alias("id"), (F.col(rings) if isinstance(rings, str) else rings).alias("rings"), *keep)
+    base = base.withColumn("rings", geo.oriented("rings"))
     return base.select("*", *geo.bbox_cols("rings"), geo.is_rect("rings").alias("is_rect"), geo.area("rings").alias("area"))
 
 
+def degenerate(layer: DataFrame) -> DataFrame:
+    """Ids of geometries that are missing or have no area."""
+    return layer.where(F.col("area").isNull() | ~(F.col("area") > 0)).select("id")
+
+
 def box_layer(df: DataFrame, id_col: str, keep=(), minx="minx", miny="miny", maxx="maxx", maxy="maxy") -> DataFrame:
     """Layer from stored box columns (bbox known, rectangle by construction)."""
     c = F.col
@@ -64,106 +79,155 @@ def cells_of(layer: DataFrame, cell: float) -> DataFrame:
 
 
 # ------------------------------------------------------------------ zone decomposition
-def _decompose_batches(cell: float):
-    def run(batches):
+def _frames(rows, columns, at_once: int = 20_000):
+    """DataFrames of at most ``at_once`` of the rows, so a large zone is never held as a whole."""
+    held = []
+    for r in rows:
+        held.append(r)
+        if len(held) >= at_once:
+            yield pd.DataFrame(held, columns=columns)
+            held = []
+    yield pd.DataFrame(held, columns=columns)
+
+
+def _block_batches(size: float):
+    def rows(batches):
         for pdf in batches:
-            out = []
             for zid, rings in zip(pdf["id"].to_numpy(), pdf["rings"]):
-                rr = K.to_rings(rings)
-                for cx, cy, kind, clip, segs in K.decompose(rr, cell):
+                for bx, by, kind, clip, segs in K.decompose(K.to_rings(rings), size):
+                    yield zid, bx, by, (None if kind == 0 else K.from_rings(clip)), (None if kind == 0 else segs.tolist())
+
+    return lambda batches: _frames(rows(batches), ["zone_id", "bx", "by", "rings", "segs"], 500)
+
+
+def _cell_batches(cell: float):
+    def rows(batches):
+        for pdf in batches:
+            for zid, rings, segs in zip(pdf["zone_id"].to_numpy(), pdf["rings"], pdf["segs"]):
+                segs = np.array([list(x) for x in segs], float).reshape(-1, 4)
+                for cx, cy, kind, clip, own in K.decompose(K.to_rings(rings), cell, segs):
                     if kind == 0:
-                        q = (cx * cell, cy * cell, (cx + 1) * cell, (cy + 1) * cell)
-                        out.append((zid, cx, cy, 0, *q, None, None))
-                    else:
-                        pts = [c for c in clip] + ([segs[:, :2], segs[:, 2:]] if len(segs) else [])
-                        allp = np.vstack(pts)
-                        q = (allp[:, 0].min(), allp[:, 1].min(), allp[:, 0].max(), allp[:, 1].max())
-                        out.append((zid, cx, cy, kind, *q, K.from_rings(clip) if kind == 2 else None,
-                                    segs.tolist() if kind == 2 else None))
-            yield pd.DataFrame(out, columns=["zone_id", "cx", "cy", "kind", "q_minx", "q_miny", "q_maxx", "q_maxy", "q_rings", "q_segs"])
+                        x0, y0, x1, y1 = cx * cell, cy * cell, (cx + 1) * cell, (cy + 1) * cell
+                        yield zid, cx, cy, 0, x0, y0, x1, y1, y0, y0, y1, y1
+                        continue
+                    pieces = K.trapezoids(clip, own)
+                    if clip:  # parts of the zone that only touch the cell's border
+                        edge = np.array([cx, cy, cx + 1, cy + 1], float) * cell
+                        on = [(own[:, k] == v) & (own[:, k + 2] == v) for k, v in ((0, edge[0]), (0, edge[2]), (1, edge[1]), (1, edge[3]))]
+                        pieces = np.concatenate([pieces, K.trapezoids([], own[np.any(on, axis=0)])])
+                    for x0, x1, b0, b1, t0, t1 in pieces.tolist():
+                        yield zid, cx, cy, kind, x0, min(b0, b1), x1, max(t0, t1), b0, b1, t0, t1
 
-    return run
+    return lambda batches: _frames(rows(batches), ["zone_id", "cx", "cy", *PIECE])
 
 
-def zone_cells(zones: DataFrame, cell: float, spread: int | None = None) -> DataFrame:
-    """Per-cell pieces of a zone layer (id, rings): one row per (zone, touched cell)."""
-    z = zones.select("id", "rings")
-    if spread:
-        z = z.repartition(spread, "id")
-    return z.mapInPandas(_decompose_batches(float(cell)), ZONE_CELL_SCHEMA)
+def zone_cells(zones: DataFrame, cell: float) -> DataFrame:
+    """Per-cell pieces of a zone layer (id, rings): trapezoids that together are the zone's part of the cell.
+
+    A zone is first cut into blocks of ``BLOCK`` x ``BLOCK`` cells; full blocks become cells by ``sequence`` in the JVM, the others
+    are dealt over tasks and cut into cells there. So one very large zone keeps many tasks busy.
+    """
+    c = F.col
+    blocks = materialize(zones.select("id", "rings").mapInPandas(_block_batches(float(cell) * BLOCK), BLOCK_SCHEMA))
+    span = lambda b: F.explode(F.sequence(c(b) * BLOCK, c(b) * BLOCK + BLOCK - 1))
+    full = blocks.where(c("rings").isNull() & c("segs").isNull()).select("zone_id", span("bx").alias("cx"), "by").select("zone_id", "cx", span("by").alias("cy"))
+    s = F.lit(float(cell))
+    x0, y0, x1, y1 = c("cx") * s, c("cy") * s, (c("cx") + 1) * s, (c("cy") + 1) * s
+    full = full.select("zone_id", "cx", "cy", F.lit(0).alias("kind"), x0.alias("q_minx"), y0.alias("q_miny"), x1.alias("q_maxx"), y1.alias("q_maxy"),
+                       y0.alias("b0"), y0.alias("b1"), y1.alias("t0"), y1.alias("t1"))
+    part = blocks.where(c("segs").isNotNull()).repartition("zone_id", "bx", "by").select("zone_id", "rings", "segs")
+    return full.unionByName(part.mapInPandas(_cell_batches(float(cell)), ZONE_CELL_SCHEMA))
 
 
 # ------------------------------------------------------------------ zone × feature measures
+def _mean_clamp(a: Column, b: Column, h: Column) -> Column:
+    """Mean over a straight line from ``a`` to ``b`` of the value cut to [0, h]."""
+    def upto(t):  # integral of the cut value from 0
+        return F.when(t <= 0, F.lit(0.0)).when(t <= h, t * t / 2).otherwise(h * t - h * h / 2)
+
+    lo, hi = F.least(a, b), F.greatest(a, b)
+    return F.when(lo >= h, h).when(hi <= 0, F.lit(0.0)).when((lo >= 0) & (hi <= h), (a + b) / 2).otherwise((upto(b) - upto(a)) / (b - a))
+
+
+def _piece_measures() -> tuple[Column, Column]:
+    """Area of feature box ∩ piece, and whether the closed sets meet, for candidate rows whose closed bboxes meet."""
+    c = F.col
+    xa, xb = F.greatest(c("minx"), c("q_minx")), F.least(c("maxx"), c("q_maxx"))
+    width = c("q_maxx") - c("q_minx")
+
+    def at(y0, y1, x):
+        return F.when(width > 0, c(y0) + (c(y1) - c(y0)) * (x - c("q_minx")) / width).otherwise(c(y0))
+
+    h = c("maxy") - c("miny")
+    top = _mean_clamp(at("t0", "t1", xa) - c("miny"), at("t0", "t1", xb) - c("miny"), h)
+    bottom = _mean_clamp(at("b0", "b1", xa) - c("miny"), at("b0", "b1", xb) - c("miny"), h)
+    area = F.when(xb > xa, (xb - xa) * (top - bottom)).otherwise(F.lit(0.0))
+
+    def where_at_least(ya, yb):
+        """Part of [xa, xb] on which a line with these end values is not negative: (from, to), from > to if none."""
+        cross = xa + (xb - xa) * ya / (ya - yb)
+        return (F.when(ya >= 0, xa).when(yb >= 0, cross).otherwise(F.lit(1.0)), F.when(yb >= 0, xb).when(ya >= 0, cross).otherwise(F.lit(0.0)))
+
+    l1, r1 = where_at_least(at("t0", "t1", xa) - c("miny"), at("t0", "t1", xb) - c("miny"))
+    l2, r2 = where_at_least(c("maxy") - at("b0", "b1", xa), c("maxy") - at("b0", "b1", xb))
+    none = (l1 > r1) | (l2 > r2)
+    return area, ~none & (F.greatest(l1, l2) <= F.least(r1, r2))
+
+
 def _measure_batches(with_touch: bool):
+    """Features that are no rectangles, against pieces, in the polygon kernel."""
     def run(batches):
         for pdf in batches:
-            res_area = pdf["fast_area"].to_numpy(dtype=float, na_value=np.nan).copy()
-            res_touch = np.ones(len(pdf), dtype=bool)
-            for k in np.flatnonzero(np.isnan(res_area)):
-                row = pdf.iloc[k]
-                P = K.to_rings(row["rings"])
-                if row["kind"] == 2:
-                    Q = K.to_rings(row["q_rings"])
-                else:
-                    Q = [K.box_ring(row["q_minx"], row["q_miny"], row["q_maxx"], row["q_maxy"])]
-                a = K.overlap_area(P, Q) if Q else 0.0
-                res_area[k] = a
-                touch = a > 0
-                if with_touch and not touch:
-                    if row["kind"] == 2:
-                        qs = row["q_segs"]
-                        segs = np.array([list(x) for x in qs], dtype=float) if qs is not None and len(qs) else np.zeros((0, 4))
-                        touch = K.boundaries_touch(K.edges_of(P), segs)
-                    else:
-                        touch = K.boundaries_touch(K.edges_of(P), K.edges_of(Q))
-                res_touch[k] = touch
-            yield pd.DataFrame({"fid": pdf["fid"].to_numpy(), "zone_id": pdf["zone_id"].to_numpy(), "area_in": res_area, "touch": res_touch})
+            area, touch = np.zeros(len(pdf)), np.zeros(len(pdf), bool)
+            pieces = pdf[["q_minx", "q_maxx", "b0", "b1", "t0", "t1"]].to_numpy(float)
+            for fid, rows in pdf.groupby("fid").indices.items():
+                rings = K.to_rings(pdf["rings"].iat[rows[0]])
+                edges = K.edges_of(rings)
+                for k in rows:
+                    ring = K.trapezoid_ring(pieces[k])
+                    area[k] = K.overlap_area(rings, [ring])
+                    touch[k] = area[k] > 0 or (with_touch and K.boundaries_touch(edges, K.edges_of([ring])))
+            yield pd.DataFrame({"fid": pdf["fid"].to_numpy(), "zone_id": pdf["zone_id"].to_numpy(), "f_area": pdf["f_area"].to_numpy(),
+                                "area_in": area, "touch": touch})
 
     return run
 
 
-def _has_general(df: DataFrame) -> bool:
-    """Bounded probe: does at least one row exist (decides whether the Python kernel branch is planned)."""
-    return df.limit(1).count() > 0
-
-
 def _closed_bbox_overlap(ax0, ay0, ax1, ay1, bx0, by0, bx1, by1) -> Column:
     return (ax0 <= bx1) & (bx0 <= ax1) & (ay0 <= by1) & (by0 <= ay1)
 
 
+def candidates(features: DataFrame, pieces: DataFrame, cell: float, keep=()) -> DataFrame:
+    """Feature cells joined with the zone pieces of the same cell whose closed bboxes meet."""
+    c = F.col
+    shape = F.when(~c("is_rect"), c("rings")).alias("rings")  # a rectangle is its bbox
+    fc = cells_of(features.select(c("id").alias("fid"), c("area").alias("f_area"), shape, "minx", "miny", "maxx", "maxy", "is_rect", *keep), cell)
+    return fc.join(pieces, ["cx", "cy"]).where(
+        _closed_bbox_overlap(c("minx"), c("miny"), c("maxx"), c("maxy"), c("q_minx"), c("q_miny"), c("q_maxx"), c("q_maxy"))
+    )
+
+
 def zone_measures(features: DataFrame, zones: DataFrame, cell: float, with_touch: bool = False,
                   zone_pieces: DataFrame | None = None) -> DataFrame:
-    """(fid, zone_id, area_in, touch, f_area) for every feature/zone pair whose closed sets meet.
+    """(fid, zone_id, f_area, area_in, touch) for every feature/zone pair whose closed sets meet.
 
-    ``features``/``zones``: layers (``as_layer``/``box_layer``). ``area_in`` = area(feature ∩ zone).
+    ``features``/``zones``: layers (``as_layer``/``box_layer``). ``area_in`` = area(feature ∩ zone). Rectangles are measured by
+    Column math against the zone's trapezoids, other features by the kernel; that branch is empty, and planned away, for
+    a layer of boxes.
     """
     c = F.col
-    fc = cells_of(features.select(c("id").alias("fid"), "rings", "minx", "miny", "maxx", "maxy", "is_rect"), cell)
-    zc = zone_pieces if zone_pieces is not None else materialize(zone_cells(zones, cell))
-    cand = fc.join(zc, ["cx", "cy"]).where(
-        _closed_bbox_overlap(c("minx"), c("miny"), c("maxx"), c("maxy"), c("q_minx"), c("q_miny"), c("q_maxx"), c("q_maxy"))
-    )
-    fast = c("is_rect") & (c("kind") < 2)
-    ox = F.least(c("maxx"), c("q_maxx")) - F.greatest(c("minx"), c("q_minx"))
-    oy = F.least(c("maxy"), c("q_maxy")) - F.greatest(c("miny"), c("q_miny"))
-    rect_area = F.when((ox > 0) & (oy > 0), ox * oy).otherwise(F.lit(0.0))
-    # rectangle pairs are measured in the JVM; only if some pair is not rectangular (bounded probes on the inputs)
-    # does a second branch ship rings to the Python kernel
-    measured = cand.where(fast).select("fid", "zone_id", rect_area.alias("area_in"), F.lit(True).alias("touch"))
-    if _has_general(features.where(~c("is_rect"))) or _has_general(zc.where(c("kind") == 2)):
-        general = cand.where(~fast).select(
-            "fid", "zone_id", F.lit(None).cast("double").alias("fast_area"), "rings", "kind",
-            "q_minx", "q_miny", "q_maxx", "q_maxy", "q_rings", "q_segs",
-        ).mapInPandas(_measure_batches(with_touch), MEASURE_SCHEMA)
-        measured = measured.unionByName(general)
-    per_pair = measured.groupBy("fid", "zone_id").agg(
-        F.sum("area_in").alias("area_in"), F.max(F.col("touch").cast("int")).cast("boolean").alias("touch")
+    pieces = zone_pieces if zone_pieces is not None else materialize(zone_cells(zones, cell))
+    area, touch = _piece_measures()
+    fast = candidates(features.where(c("is_rect")), pieces, cell).select(
+        "fid", "zone_id", "f_area", area.alias("area_in"), (touch if with_touch else F.lit(True)).alias("touch"))
+    slow = candidates(features.where(~c("is_rect")), pieces, cell).select(
+        "fid", "zone_id", "f_area", "rings", "q_minx", "q_maxx", "b0", "b1", "t0", "t1").mapInPandas(_measure_batches(with_touch), MEASURE_SCHEMA)
+    per_pair = fast.unionByName(slow).groupBy("fid", "zone_id").agg(
+        F.max("f_area").alias("f_area"), F.sum("area_in").alias("area_in"), F.max(F.col("touch").cast("int")).cast("boolean").alias("touch")
     )
     if not with_touch:
-        per_pair = per_pair.where(c("area_in") > 0)
-    else:
-        per_pair = per_pair.where(c("touch") | (c("area_in") > 0)).withColumn("touch", F.lit(True))
-    return per_pair.join(features.select(c("id").alias("fid"), c("area").alias("f_area")), "fid")
+        return per_pair.where(c("area_in") > 0)
+    return per_pair.where(c("touch") | (c("area_in") > 0)).withColumn("touch", F.lit(True))
 
 
 def within_pairs(features: DataFrame, zones: DataFrame, cell: float, zone_pieces: DataFrame | None = None) -> DataFrame:
@@ -178,18 +242,21 @@ def intersect_pairs(features: DataFrame, zones: DataFrame, cell: float, zone_pie
 
 
 # ------------------------------------------------------------------ feature × feature pairs
+def _shape(rings, box) -> list[np.ndarray]:
+    return [K.box_ring(*box)] if rings is None else K.to_rings(rings)
+
+
 def _pair_batches(with_touch: bool, keep_cols: list[str]):
     def run(batches):
         for pdf in batches:
-            res_area = pdf["fast_area"].to_numpy(dtype=float, na_value=np.nan).copy()
-            res_touch = np.ones(len(pdf), dtype=bool)
-            for k in np.flatnonzero(np.isnan(res_area)):
-                P, Q = K.to_rings(pdf["a_rings"].iat[k]), K.to_rings(pdf["b_rings"].iat[k])
-                a = K.overlap_area(P, Q)
-                res_area[k] = a
+            area, touch = np.zeros(len(pdf)), np.ones(len(pdf), dtype=bool)
+            boxes = {s: pdf[[f"{s}_{x}" for x in ("minx", "miny", "maxx", "maxy")]].to_numpy(float) for s in "ab"}
+            for k, (ra, rb) in enumerate(zip(pdf["a_rings"], pdf["b_rings"])):
+                P, Q = _shape(ra, boxes["a"][k]), _shape(rb, boxes["b"][k])
+                area[k] = K.overlap_area(P, Q)
                 if with_touch:
-                    res_touch[k] = a > 0 or K.boundaries_touch(K.edges_of(P), K.edges_of(Q))
-            out = pd.DataFrame({"a_id": pdf["a_id"].to_numpy(), "b_id": pdf["b_id"].to_numpy(), "area_ab": res_area, "touch": res_touch})
+                    touch[k] = area[k] > 0 or K.boundaries_touch(K.edges_of(P), K.edges_of(Q))
+            out = pd.DataFrame({"a_id": pdf["a_id"].to_numpy(), "b_id": pdf["b_id"].to_numpy(), "area_ab": area, "touch": touch})
             for col in keep_cols:
                 out[col] = pdf[col].to_numpy()
             yield out
@@ -197,6 +264,29 @@ def _pair_batches(with_touch: bool, keep_cols: list[str]):
     return run
 
 
+def geometry_key(layer: DataFrame) -> list[Column]:
+    """Columns that are equal exactly for equal geometries: the bbox, and the rings of what is no rectangle."""
+    return [F.col(x) for x in ("minx", "miny", "maxx", "maxy")] + [F.when(~F.col("is_rect"), F.col("rings")).alias("shape")]
+
+
+def by_geometry(layer: DataFrame, *keys: str, **aggs: Column) -> DataFrame:
+    """One row per distinct (``keys``, geometry): ``id`` is the smallest id, ``aggs`` are aggregated."""
+    grouped = layer.groupBy(*keys, *geometry_key(layer)).agg(
+        F.min("id").alias("id"), F.first("is_rect").alias("is_rect"), F.first("area").alias("area"), *[v.alias(k) for k, v in aggs.items()])
+    return grouped.withColumnRenamed("shape", "rings")
+
+
+def join_geometry(layer: DataFrame, found: DataFrame, keys: tuple[str, ...], values: list[str]) -> DataFrame:
+    """``layer`` with the columns ``values`` of ``found`` (``by_geometry`` output), joined by keys and geometry."""
+    names = [*keys, "minx", "miny", "maxx", "maxy"]
+    right = found.select(*[F.col(n).alias("_g_" + n) for n in names], F.col("rings").alias("_g_shape"), *values)
+    left = layer.withColumn("_shape", F.when(~F.col("is_rect"), F.col("rings")))
+    cond = F.col("_shape").eqNullSafe(F.col("_g_shape"))
+    for n in names:
+        cond = cond & F.col(n).eqNullSafe(F.col("_g_" + n))
+    return left.join(right, cond, "left").select(*layer.columns, *values)
+
+
 def feature_pairs(a: DataFrame, b: DataFrame, cell: float, with_touch: bool = False, condition=None,
                   a_keep=(), b_keep=()) -> DataFrame:
     """(a_id, b_id, area_ab, touch, *keeps) for pairs of layers ``a`` × ``b`` whose closed bboxes meet.
@@ -207,6 +297,7 @@ def feature_pairs(a: DataFrame, b: DataFrame, cell: float, with_touch: bool = Fa
     """
     c = F.col
     s = F.lit(float(cell))
+    a, b = (x.withColumn("rings", F.when(~c("is_rect"), c("rings"))) for x in (a, b))  # a rectangle is its bbox
     ac = cells_of(a.select(*[c(x).alias("a_" + x) for x in ["id", "rings", "minx", "miny", "maxx", "maxy", "is_rect", *a_keep]])
                   .withColumnsRenamed({"a_minx": "minx", "a_miny": "miny", "a_maxx": "maxx", "a_maxy": "maxy"}), cell) \
         .withColumnsRenamed({"minx": "a_minx", "miny": "a_miny", "maxx": "a_maxx", "maxy": "a_maxy"})
@@ -229,11 +320,10 @@ def feature_pairs(a: DataFrame, b: DataFrame, cell: float, with_touch: bool = Fa
     oy = F.least(c("a_maxy"), c("b_maxy")) - loy
     rect_area = F.when((ox > 0) & (oy > 0), ox * oy).otherwise(F.lit(0.0))
     out = j.where(fast).select("a_id", "b_id", rect_area.alias("area_ab"), F.lit(True).alias("touch"), *keep_names)
-    if _has_general(a.where(~c("is_rect"))) or _has_general(b.where(~c("is_rect"))):
-        sel = j.where(~fast).select("a_id", "b_id", F.lit(None).cast("double").alias("fast_area"), "a_rings", "b_rings", *keep_names)
-        keep_schema = ", ".join(f"{fld.name} {fld.dataType.simpleString()}" for fld in sel.select(*keep_names).schema.fields)
-        schema = PAIR_SCHEMA + (", " + keep_schema if keep_schema else "")
-        out = out.unionByName(sel.mapInPandas(_pair_batches(with_touch, keep_names), schema))
+    boxes = [f"{k}_{x}" for k in "ab" for x in ("minx", "miny", "maxx", "maxy")]
+    sel = j.where(~fast).select("a_id", "b_id", "a_rings", "b_rings", *boxes, *keep_names)
+    keep_schema = "".join(f", {f.name} {f.dataType.simpleString()}" for f in sel.select(*keep_names).schema.fields)
+    out = out.unionByName(sel.mapInPandas(_pair_batches(with_touch, keep_names), PAIR_SCHEMA + keep_schema))
     if with_touch:
         return out.where(c("touch"))
     return out.where(c("area_ab") > 0)

@@ -61,6 +61,11 @@ def _pv(fx: Fixtures) -> DataFrame:
     return loads.pv_counts(fx.fx_pv, fx.fx_commune_ref, department_id=102, first_id=55)
 
 
+def _pv_rows(fx: Fixtures) -> DataFrame:
+    """The report counts without ids, for the figures that only sum them."""
+    return loads.pv_grouped(fx.fx_pv, fx.fx_commune_ref, department_id=102)
+
+
 @register("P4_pv_counts", with_fixtures(ORACLE_PV_COUNTS + "select * from stats_pv", "fx_pv", "fx_commune_ref"))
 def q_pv_counts(spark, sf_dir):
     return _pv(Fixtures(spark, sf_dir))
@@ -70,7 +75,7 @@ def q_pv_counts(spark, sf_dir):
 select geozone_id, cast(sum(case when year >= 2021 and year <= 2023 then nb_pv else 0 end) as bigint) as nb_pv_period
 from stats_pv group by geozone_id""", "fx_pv", "fx_commune_ref"))
 def q_pv_by_period(spark, sf_dir):
-    return cohort.pv_by_period(_pv(Fixtures(spark, sf_dir)), 2021, 2023)
+    return cohort.pv_by_period(_pv_rows(Fixtures(spark, sf_dir)), 2021, 2023)
 
 
 # ---------------------------------------------------------------- C3–C5, C13: cohort figures on tagged detections
@@ -318,7 +323,7 @@ def q_corrected_estimates(spark, sf_dir):
 
 # ---------------------------------------------------------------- C6, C7, C17, C18: commune report and scores
 def _evo_commune(fx: Fixtures):
-    return cohort.evolution_commune(_pv(fx), fx.fx_det_tagged, fx.fx_mapping, _parcel_stats(fx, "commune"))
+    return cohort.evolution_commune(_pv_rows(fx), fx.fx_det_tagged, fx.fx_mapping, _parcel_stats(fx, "commune"))
 
 
 def _oracle_evo_commune() -> str:
@@ -332,7 +337,8 @@ def _oracle_evo_commune() -> str:
     and t.id_parcellaire is not null and not exists (select 1 from fx_det_tagged u where u.batch_year = {b}
     and u.id_parcellaire = t.id_parcellaire and u.geozone_id = t.geozone_id) group by t.geozone_id)"""
 
-    ids = "278, 171, 259, 195, 261, 138, 313, 281, 330, 118, 255, 111, 288, 226, 248"
+    ids = ", ".join(map(str, cohort.NO_ENGAGEMENT_IDS))
+    label = cohort.ENGAGEMENT_LABELS
 
     def part(label, pvcol, a, b, nw, cl, group):
         return f"""select m.department_name, m.geozone_code, cast(pv.geozone_id as bigint) as geozone_id, cast(pv.{pvcol} as bigint) as nb_pv_period,
@@ -345,8 +351,9 @@ def _oracle_evo_commune() -> str:
   left join fx_mapping m on m.id = pv.geozone_id left join spa on spa.geozone_id = pv.geozone_id
   where s1.n is not null"""
 
-    g1 = f"case when m.department_name = 'gard' then 'lutte avec données aigle' when m.id in ({ids}) then 'pas d engagement' else 'lutte avec aigle' end"
-    g2 = f"case when m.id in ({ids}) then 'pas d engagement' else 'lutte sans outils' end"
+    g1 = (f"case when m.department_name = '{cohort.ENGAGEMENT_DEPARTMENT}' then '{label['department']}' "
+          f"when m.id in ({ids}) then '{label['none']}' else '{label['2021-2023']}' end")
+    g2 = f"case when m.id in ({ids}) then '{label['none']}' else '{label['2018-2020']}' end"
     return ORACLE_PV_COUNTS + f""",
 {_oracle_spa('commune')},
 pvp as (select geozone_id, sum(case when year >= 2018 and year <= 2020 then nb_pv else 0 end) as pv_a,
@@ -373,7 +380,7 @@ def q_engagement_group(spark, sf_dir):
 
 
 def _scores(fx: Fixtures):
-    wide = cohort.commune_report_wide(_parcel_stats(fx, "commune"), _evo_commune(fx), _pv(fx))
+    wide = cohort.commune_report_wide(_parcel_stats(fx, "commune"), _evo_commune(fx), _pv_rows(fx))
     return cohort.zone_scores(wide)
 
 
@@ -483,10 +490,10 @@ def q_case_transitions(spark, sf_dir):
     return _case_flow(spark, Fixtures(spark, sf_dir))
 
 
-ORACLE_REVIEW = """
+ORACLE_REVIEW = f"""
 with imp0 as (
   select t.id as detection_id, h.id as detection_data_id, h.history_id, h.history_date, t.parcel_id,
-    'admin_import@beta.gouv.fr' as email, 'Admin import' as group_name, h.changed_fields,
+    '{workflow.IMPORT_EMAIL}' as email, '{workflow.IMPORT_GROUP}' as group_name, h.changed_fields,
     'IMPORTED' as old_pre_status, 'IMPORTED' as old_val_status, 'IMPORTED' as old_ctl_status,
     case when h.detection_prescription_status is null and t.auto_prescribed is not true then 'NOT_PRESCRIBED'
       when h.detection_prescription_status is null and t.auto_prescribed is true then 'PRESCRIBED' else h.detection_prescription_status end as new_pre_status,
@@ -712,7 +719,7 @@ def q_deployment_null(spark, sf_dir):
 def _departments(fx: Fixtures):
     """Department boundaries: communes dissolved by department (S4), keyed by the department zone id."""
     groups = fx.fx_commune_ref.select(F.col("geozone_ptr_id").cast("long").alias("id"), F.col("department_id").cast("long").alias("group_id"))
-    return spatial.dissolve(layers.commune_layer(fx.fx_commune), groups).withColumnRenamed("group_id", "id")
+    return spatial.dissolve(layers.commune_layer(fx.fx_commune), groups, CELL).withColumnRenamed("group_id", "id")
 
 
 @register("S4_dissolve", with_fixtures("""
@@ -1034,20 +1041,39 @@ def q_constraint_report(spark, sf_dir):
     ])
 
 
-def _l93_layers(fx: Fixtures):
-    """Source layers in Lambert-93 metres (one file per region; odd files declare SRID 0 → default)."""
-    c = fx.fx_commune.select(
-        F.concat(F.lit("layer_"), F.col("epci_id").cast("string")).alias("file"),
-        F.when(F.col("epci_id") % 2 == 0, F.lit(2154)).otherwise(F.lit(0)).alias("srid"),
-        G.box_rings(700000 + F.col("minx") * 100, 6600000 + F.col("miny") * 100, 700000 + F.col("maxx") * 100, 6600000 + F.col("maxy") * 100).alias("rings"),
-    )
-    return c
+def _box_wkt(minx: str, miny: str, maxx: str, maxy: str) -> str:
+    """WKT of a box in the oracle, in the vertex order of ``geo.box_rings``."""
+    p = lambda x, y: f"cast(cast({x} as double) as varchar) || ' ' || cast(cast({y} as double) as varchar)"
+    corners = " || ', ' || ".join(p(*c) for c in ((minx, miny), (maxx, miny), (maxx, maxy), (minx, maxy), (minx, miny)))
+    return f"'POLYGON((' || {corners} || '))'"
 
 
-@register("S13_ingest_layer")
+@register("S13_ingest_layer", with_fixtures("""
+with good as (select * from fx_layer_box where srid = 4326 and maxx > minx and maxy > miny),
+units as (select distinct x, y from good, lateral (select unnest(range(minx, maxx)) as x) a, lateral (select unnest(range(miny, maxy)) as y) b),
+sides as (select x, y, dx, dy from units, (values (1, 0), (-1, 0), (0, 1), (0, -1)) d(dx, dy)),
+open_sides as (select count(*) as n from sides s left join units u on u.x = s.x + dx and u.y = s.y + dy where u.x is null)
+select 'study area' as name, cast(count(*) as double) as area, cast((select n from open_sides) as double) as perimeter,
+  cast(min(x) as double) as minx, cast(min(y) as double) as miny, cast(max(x) + 1 as double) as maxx, cast(max(y) + 1 as double) as maxy,
+  cast(count(*) as double) as ring_area from units""", "fx_layer_box"))
 def q_ingest_layer(spark, sf_dir):
-    zone, _ = spatial.ingest_layer(_l93_layers(Fixtures(spark, sf_dir)), "study area")
-    return zone
+    """Overlapping boxes in both orientations, some without area; ``ring_area`` is measured on the assembled rings."""
+    zone, _ = spatial.ingest_layer(_box_layers(Fixtures(spark, sf_dir)), "study area", cell=16.0)
+    cols = ["area", "perimeter", "minx", "miny", "maxx", "maxy"]
+    return zone.select("name", *[F.round(c, 6).alias(c) for c in cols], F.round(G.area("rings"), 6).alias("ring_area"))
+
+
+@register("S13_quarantine", with_fixtures("""
+select file, case when srid not in (4326, 0) then 'unsupported srid' when least(maxx - minx, maxy - miny) = 0 then 'invalid ring' end as reason
+from fx_layer_box where srid not in (4326, 0) or least(maxx - minx, maxy - miny) = 0""", "fx_layer_box"))
+def q_quarantine(spark, sf_dir):
+    return spatial.ingest_layer(_box_layers(Fixtures(spark, sf_dir)), "study area", cell=16.0)[1]
+
+
+def _box_layers(fx: Fixtures):
+    """Every other box clockwise, as shapefiles have them."""
+    rings = G.box_rings(F.col("minx"), F.col("miny"), F.col("maxx"), F.col("maxy"))
+    return fx.fx_layer_box.select("file", "srid", F.when(F.col("id") % 2 == 0, rings).otherwise(F.transform(rings, lambda r: F.reverse(r))).alias("rings"))
 
 
 @register("S14_zone_features", with_fixtures("""
@@ -1069,6 +1095,24 @@ def _map_features(fx: Fixtures):
     return spatial.zone_features(layer.select("id", "name", "name_normalized", "insee_code", "rings"))
 
 
-@register("S14_zone_features_geojson")
+@register("S14_zone_features_geojson", with_fixtures("""
+with anchors as (select * from (values ('971', 51.0, -7.223655), ('972', 49.0, -7.223655), ('973', 47.0, -7.223655),
+  ('974', 45.0, -7.223655), ('976', 43.0, -7.223655)) t(insee_code, lat, lon)),
+f as (select id, name, insee_code, minx as x0, miny as y0, maxx as x1, maxy as y1 from fx_map_zone where insee_code not like '97%'
+  union all select z.id, z.name, z.insee_code, z.minx + (a.lon - (z.minx + z.maxx) / 2), z.miny + (a.lat - (z.miny + z.maxy) / 2),
+    z.maxx + (a.lon - (z.minx + z.maxx) / 2), z.maxy + (a.lat - (z.miny + z.maxy) / 2)
+  from fx_map_zone z join anchors a on a.insee_code = z.insee_code where z.insee_code like '97%' and z.insee_code <> '973')
+select cast(id as bigint) as feature_id, cast(id as bigint) as prop_id, name, insee_code, 'Polygon' as kind, cast(1 as int) as n_rings, cast(5 as int) as n_points,
+  round(x0, 6) as minx, round(y0, 6) as miny, round(x1, 6) as maxx, round(y1, 6) as maxy from f""", "fx_map_zone"))
 def q_zone_features_geojson(spark, sf_dir):
-    return _map_features(Fixtures(spark, sf_dir)).select("feature_id", "geojson")
+    """The GeoJSON text read back."""
+    doc = F.from_json("geojson", "struct<id:long,geometry:struct<type:string,coordinates:array<array<array<double>>>>,properties:struct<id:long,name:string,insee_code:string>>")
+    f = _map_features(Fixtures(spark, sf_dir)).select(doc.alias("d"))
+    ring = F.col("d.geometry.coordinates")[0]
+    side = lambda agg, k: F.round(agg(F.transform(ring, lambda p: p[k])), 6)
+    return f.select(
+        F.col("d.id").alias("feature_id"), F.col("d.properties.id").alias("prop_id"), F.col("d.properties.name").alias("name"),
+        F.col("d.properties.insee_code").alias("insee_code"), F.col("d.geometry.type").alias("kind"),
+        F.size("d.geometry.coordinates").alias("n_rings"), F.size(ring).alias("n_points"),
+        side(F.array_min, 0).alias("minx"), side(F.array_min, 1).alias("miny"), side(F.array_max, 0).alias("maxx"), side(F.array_max, 1).alias("maxy"),
+    )

@@ -34,13 +34,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used as is.
-    Only when it is unset (local tests) a scratch folder is created.
+    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used as is. Only a local master, whose tasks all
+    run on this machine, gets a scratch folder when it is unset; elsewhere that is an error, as no executor could read
+    another one's local files.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
     if not current:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="vigie-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", current)
     try:

@@ -51,12 +51,12 @@ select event_id as id,
  case event_id % 3 when 0 then 'PRESCRIBED' when 1 then 'NOT_PRESCRIBED' else null end as detection_prescription_status,
  user_id % 20 as user_last_update_id
 from events
-union all select event_id + 1000000, 'SUSPECT', 'NOT_CONTROLLED', null, null from events where event_id % 100 = 0""",
+union all select -1 - event_id, 'SUSPECT', 'NOT_CONTROLLED', null, null from events where event_id % 100 = 0""",
     "fx_object": """
 select event_id as id, user_id % 5 as object_type_id, case when event_id % 11 = 0 then null else event_id % 700 end as parcel_id, user_id % 25 as commune_id from events
-union all select event_id + 1000000, 0, null, 0 from events where event_id % 100 = 0""",
+union all select -1 - event_id, 0, null, 0 from events where event_id % 100 = 0""",
     "fx_history": """
-select event_id as history_id, event_id % 900 as id, ts as history_date, user_id % 20 as history_user_id,
+select event_id as history_id, cast(floor(event_id/11) as bigint) as id, ts as history_date, user_id % 20 as history_user_id,
  case when event_id % 7 = 0 then '+' else '~' end as history_type,
  case event_id % 4 when 0 then 'SUSPECT' when 1 then 'LEGITIMATE' when 2 then 'INVALIDATED' else 'DETECTED_NOT_VERIFIED' end as detection_validation_status,
  case when event_id % 6 = 0 then 'CONTROLLED_FIELD' else 'NOT_CONTROLLED' end as detection_control_status,
@@ -67,13 +67,13 @@ select event_id as history_id, event_id % 900 as id, ts as history_date, user_id
   case when event_id % 5 = 0 then ',{"field":"comment","old_value":"a","new_value":"b"}' else '' end, ']') end as changed_fields
 from events""",
     "fx_hist_det": """
-select user_id*1000 + event_id % 3 as id, event_id % 900 as detection_data_id, cast((event_id*37) % 100 as double)/100 as score,
+select cast(floor(event_id/8) as bigint)*10 + event_id % 3 as id, cast(floor(event_id/8) as bigint) as detection_data_id, cast((event_id*37) % 100 as double)/100 as score,
  18 + event_id % 2 as tile_set_id, case event_id % 3 when 0 then true when 1 then false else null end as auto_prescribed,
  case when event_id % 4 = 0 then null else event_id % 300 end as parcel_id
-from events where event_id < 1800""",
+from events""",
     "fx_user": """
 select c_custkey as id, concat('user', cast(c_custkey as string), '@example.org') as email, concat('group', cast(c_custkey % 3 as string)) as group_name
-from customer where c_custkey < 15""",
+from customer where c_custkey % 20 < 15""",
     "fx_case_log": """
 select event_id as id, user_id as dossier_id, concat('V', cast(user_id % 5 as string)) as ville, ts as action_date,
  case event_type when 'view' then 'Ouverture dossier' when 'click' then 'CREATION COURRIER' when 'error' then 'Création décisions de justice ' when 'signup' then 'Clôture dossier autres raisons' else 'inconnu' end as action_type
@@ -164,7 +164,7 @@ FIXTURE_SQL.update({
     # custom-zone links of detection objects (orphan objects included)
     "fx_zone_link": """
 select event_id as detectionobject_id, 351 + event_id % 2 as geocustomzone_id from events where event_id % 3 <> 1
-union all select event_id + 1000000, 351 from events where event_id % 100 = 0""",
+union all select -1 - event_id, 351 from events where event_id % 100 = 0""",
     # detections with a batch label (for purges)
     "fx_det_batch": """
 select event_id as id, concat('sia_', cast(2015 + 3 * (event_id % 4) as string)) as batch_id, event_id as detection_data_id,
@@ -205,3 +205,15 @@ select n_nationkey as id, n_name as name, lower(n_name) as name_normalized,
  (n_nationkey % 5) * 2.0 as minx, 40 + cast(floor(n_nationkey / 5) as int) * 2.0 as miny,
  (n_nationkey % 5) * 2.0 + 2 as maxx, 40 + cast(floor(n_nationkey / 5) as int) * 2.0 + 2 as maxy from nation""",
 })
+
+FIXTURE_SQL.update({
+    # source layers of a custom zone: small boxes on a grid of integers that grows with the table; overlaps, shared parts of
+    # edges, boxes without area, an unknown projection and files without one
+    "fx_layer_box": """
+select p_partkey as id, concat('layer_', cast(p_partkey % 7 as string)) as file,
+ case when p_partkey % 7 = 3 then 3857 else 4326 end as srid,
+ cast((p_partkey * 7) % (20 + 3 * floor(p_partkey / 10)) as int) as minx, cast((p_partkey * 13) % 60 as int) as miny,
+ cast((p_partkey * 7) % (20 + 3 * floor(p_partkey / 10)) as int) + case when p_partkey % 11 = 0 then 0 else 1 + cast(p_partkey % 4 as int) end as maxx,
+ cast((p_partkey * 13) % 60 as int) + 1 + cast(p_partkey % 3 as int) as maxy
+from part""",
+})

@@ -15,8 +15,7 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Idempotent load: replace only the partitions present in ``df`` (e.g. one (zone, batch) run)."""
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
 def replace_by_key(current: DataFrame, new: DataFrame, key: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigie.operators.spatial import FIRST_RATIO
 from vigie.plans import cells as C
+from vigie.sources.sinks import overwrite_partitions
 
 
 def first_detection_increment(new: DataFrame, existing: DataFrame, cell: float, ratio: float = FIRST_RATIO) -> DataFrame:
@@ -21,18 +23,24 @@ def first_detection_increment(new: DataFrame, existing: DataFrame, cell: float,
         "first_detection", ~F.coalesce(F.col("_cov"), F.lit(False))).drop("_cov")
 
 
-def append_batch(batch: DataFrame, table_path: str, cell: float) -> None:
-    """Flag one batch against the Parquet table at ``table_path`` (if any) and append it there."""
-    spark = batch.sparkSession
+BATCH = "load_batch"
+
+
+def append_batch(batch: DataFrame, table_path: str, cell: float, batch_id: int) -> None:
+    """Flag one batch against the earlier batches in the Parquet table at ``table_path`` and write it there.
+
+    Every batch is one partition, overwritten as a whole: a batch that is replayed after a failure sees the same earlier
+    batches and leaves the same rows. Only a missing table counts as "nothing stored yet"; any other error is raised.
+    """
     try:
-        existing = spark.read.parquet(table_path)
-    except Exception:  # first batch: nothing committed yet
-        existing = None
-    if existing is None:
+        existing = batch.sparkSession.read.parquet(table_path).where(F.col(BATCH) < batch_id)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         flagged = batch.withColumn("first_detection", F.lit(True))
     else:
         flagged = first_detection_increment(batch, existing.select(*batch.columns), cell)
-    flagged.write.mode("append").parquet(table_path)
+    overwrite_partitions(flagged.withColumn(BATCH, F.lit(batch_id).cast("long")), table_path, [BATCH])
 
 
 def start_incremental_load(stream: DataFrame, table_path: str, checkpoint_path: str, cell: float):
@@ -42,6 +50,6 @@ def start_incremental_load(stream: DataFrame, table_path: str, checkpoint_path:
     """
     return (
         stream.writeStream.option("checkpointLocation", checkpoint_path)
-        .foreachBatch(lambda df, _batch_id: append_batch(df, table_path, cell))
+        .foreachBatch(lambda df, batch_id: append_batch(df, table_path, cell, batch_id))
         .start()
     )
