@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigie.functions.geo import RINGS_TYPE
 from vigie.functions.text import canonical_commune, parse_strict_timestamp, repair_short_date, upper_dash
 from vigie.plans.ids import surrogate_ids
 
@@ -92,6 +93,7 @@ def legacy_detections(det: DataFrame, types: DataFrame, tiles: DataFrame) -> Dat
         F.lit(None).cast("long").alias("tile_x"),
         F.lit(None).cast("long").alias("tile_y"),
         batch.alias("batch_id"),
+        (c("rings") if "rings" in det.columns else F.lit(None).cast(RINGS_TYPE)).alias("geometry"),
     )
     return out.orderBy(F.col("score").desc_nulls_first(), "id")
 
@@ -113,6 +115,7 @@ def load_parcels(raw: DataFrame, communes: DataFrame, refreshed_at: str = "2025-
         F.current_timestamp().alias("created_at"),
         F.lit(False).alias("deleted"),
         F.lit(None).cast("timestamp").alias("deleted_at"),
+        (c("rings") if "rings" in raw.columns else F.lit(None).cast(RINGS_TYPE)).alias("geometry"),
         c("idu").alias("id_parcellaire"),
         F.expr("cast(trim(leading '0' from numero) as int)").alias("num_parcel"),
         (c("com_abs") if "com_abs" in raw.columns else F.lit(None).cast("string")).alias("prefix"),

@@ -150,6 +150,33 @@ def _load_rows(inf: DataFrame, tags: DataFrame, configs: DataFrame, risk_cols: l
     return inf.join(chosen, "id")
 
 
+RISK_COLUMNS = ("ze_zone_id", "zr_zone_id", "zan_zone_id")
+
+
+def parcels_at_risk_by_config(parcels: DataFrame, zones: DataFrame, configs: DataFrame, cell: float, distinct_total: bool = False) -> DataFrame:
+    """S8 as configured: per territory, its parcels and those within one of its own three risk zones, under the id it is
+    reported by.
+
+    ``parcels``: layer with keep columns territory_id, id_parcellaire. ``configs``: geozone_id (the territory), stats_geozone_id
+    (the id reported), ze_zone_id, zr_zone_id, zan_zone_id (NULL: no such zone). A parcel within another territory's risk
+    zone only does not count. ``distinct_total`` counts distinct references instead of rows. A territory without a parcel in
+    a risk zone gives no row. Equal geometries are tagged once.
+    """
+    pairs = configs.select(F.col("geozone_id").cast("long").alias("territory_id"), F.explode(F.array_distinct(F.array(*[F.col(c).cast("long") for c in RISK_COLUMNS]))).alias("zone_id"))
+    pairs = pairs.where("zone_id is not null").distinct()
+    spots = C.by_geometry(parcels)
+    tags = zone_tag(spots, zones.join(pairs.select(F.col("zone_id").alias("id")).distinct(), "id", "left_semi"), cell)
+    places = spots.join(tags.groupBy("id").agg(F.collect_set("zone_id").alias("zone_ids")), "id")  # at most one entry per zone
+    p = C.join_geometry(parcels, places, (), ["zone_ids"])
+    mine = pairs.groupBy("territory_id").agg(F.collect_set("zone_id").alias("mine"))
+    p = p.select(F.col("territory_id").cast("long").alias("territory_id"), "id_parcellaire", "zone_ids").join(mine, "territory_id")
+    hit = F.coalesce(F.arrays_overlap("zone_ids", "mine"), F.lit(False))
+    total = F.countDistinct("id_parcellaire") if distinct_total else F.count("id_parcellaire")
+    counts = p.groupBy("territory_id").agg(total.alias("nb_parcels"), F.countDistinct(F.when(hit, F.col("id_parcellaire"))).alias("nb_parcels_in_ze"), F.max(hit).alias("_any"))
+    reported = configs.select(F.col("geozone_id").cast("long").alias("territory_id"), F.col("stats_geozone_id").cast("long").alias("geozone_id")).distinct()
+    return counts.where("_any").join(reported, "territory_id").select("geozone_id", "nb_parcels", "nb_parcels_in_ze")
+
+
 def parcels_at_risk(parcels: DataFrame, communes: DataFrame, risk: DataFrame, cell: float, level: str = "commune") -> DataFrame:
     """Per territory, parcel count and parcels within at least one risk zone.
 
@@ -159,7 +186,9 @@ def parcels_at_risk(parcels: DataFrame, communes: DataFrame, risk: DataFrame, ce
     nb_parcels_in_ze = distinct parcel references within any risk zone. Driven by the risk side: a territory
     without any parcel row inside a risk zone gives no row.
     """
-    inside = C.within_pairs(parcels, risk, cell).select(F.col("fid").alias("id")).distinct()
+    spots = C.by_geometry(parcels)  # equal geometries are tested once
+    found = C.within_pairs(spots, risk, cell).select(F.col("fid").alias("id")).distinct()
+    inside = C.join_geometry(parcels, spots.join(found.withColumn("_in", F.lit(True)), "id"), (), ["_in"]).where("_in").select("id")
     if level == "commune":
         p = parcels.select("id", F.col("commune_id").alias("geozone_id"), "id_parcellaire")
         total = p.groupBy("geozone_id").agg(F.count("id_parcellaire").alias("nb_parcels"))
@@ -376,7 +405,9 @@ def extract_in_collectivities(det: DataFrame, data: DataFrame, objects: DataFram
                               tiles: DataFrame, communes: DataFrame, names: DataFrame, batch_id: str, excluded_email: str,
                               cell: float) -> DataFrame:
     """Review extract of detections intersecting the union of the named communes (= intersecting any of them),
-    joined to data/object/type/user/tile; the default reviewer (and a NULL e-mail) is excluded; type name normalized."""
+    joined to data/object/type/user/tile; the default reviewer (and a NULL e-mail) is excluded; type name normalized.
+
+    ``det`` may carry ``detection_source``, ``created_at`` and ``updated_at``; the geometry goes along as ``rings``."""
     from vigie.functions.text import normalize_text
     from vigie.plans import cells as C
 
@@ -397,6 +428,7 @@ def extract_in_collectivities(det: DataFrame, data: DataFrame, objects: DataFram
         (F.col("address") if "address" in d.columns else F.lit(None).cast("string")).alias("address"),
         F.lit(batch_id).alias("batch_id"), "detection_control_status", "detection_prescription_status", "detection_validation_status",
         "id", normalize_text(F.col("name_n")).alias("object_type"), "score", "tile_x", "tile_y", F.lit(True).alias("user_reviewed"),
+        F.col("rings").alias("geometry"), *[c for c in ("detection_source", "created_at", "updated_at") if c in d.columns],
     )
 
 
@@ -457,7 +489,7 @@ def detections_in_risk(det: DataFrame, data: DataFrame, objects: DataFrame, type
     ok = ok.select("id").distinct()
     cx, cy = geo.centroid("rings")
     return d.join(ok, "id", "left_semi").select("id", "tile_set_id", "commune_id", "parcel_id", cx.alias("cx"), cy.alias("cy"),
-                                                "detection_validation_status")
+                                                "detection_validation_status", F.col("rings").alias("geometry"))
 
 
 # ---------------------------------------------------------------- S13: layer ingest

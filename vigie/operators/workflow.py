@@ -36,14 +36,28 @@ def case_transitions(log: DataFrame, steps: DataFrame, town: str | None = None,
     return d.where(F.col("next_action_date").isNotNull())
 
 
-def _scoped(hist_data: DataFrame, hist_det: DataFrame, tileset: int, min_score: float, scope: DataFrame | None) -> DataFrame:
-    """History rows joined to their detection rows, restricted to one tileset, a score and an optional id scope
-    (e.g. the ids ``zone_tag`` finds within the study zones)."""
-    det = hist_det.where((F.col("tile_set_id") == tileset) & (F.col("score") > min_score)).select(
-        F.col("id").alias("detection_id"), F.col("detection_data_id"), "auto_prescribed", "parcel_id"
-    )
+def study_scope(versions: DataFrame, zones: DataFrame, territory_id: int, risk_ids: list[int], cell: float) -> DataFrame:
+    """``version_id`` of the detection versions that lie within the territory and within one of the risk zones.
+
+    Each version is tested by its own geometry: a detection that moved out of the area keeps only the versions inside.
+    ``versions``: a layer whose id is the version.
+    """
+    from vigie.operators.spatial import zone_tag
+
+    tags = zone_tag(versions, zones, cell, [territory_id, *risk_ids])
+    inside = tags.groupBy("id").agg(F.max((F.col("zone_id") == territory_id).cast("int")).alias("t"), F.max(F.col("zone_id").isin(risk_ids).cast("int")).alias("r"))
+    return inside.where("t = 1 and r = 1").select(F.col("id").alias("version_id"))
+
+
+def _scoped(hist_data: DataFrame, hist_det: DataFrame, hist_objects: DataFrame, tileset: int, min_score: float, scope: DataFrame | None) -> DataFrame:
+    """History rows joined to the versions of their detections, restricted to one tileset, a score and optionally the
+    versions in ``scope(version_id)``, and left-joined to the history of the detection's object for the parcel."""
+    det = hist_det.where((F.col("tile_set_id") == tileset) & (F.col("score") > min_score))
     if scope is not None:
-        det = det.join(scope.select(F.col("id").alias("detection_id")), "detection_id", "left_semi")
+        det = det.join(scope.select("version_id"), "version_id", "left_semi")
+    det = det.select(F.col("id").alias("detection_id"), "detection_data_id", "detection_object_id", "auto_prescribed")
+    objects = hist_objects.select(F.col("id").alias("detection_object_id"), "parcel_id")
+    det = det.join(objects, "detection_object_id", "left").drop("detection_object_id")
     return hist_data.join(det, hist_data["id"] == det["detection_data_id"]).drop(hist_data["id"])
 
 
@@ -51,14 +65,14 @@ def _status(a: Column, b: Column, c: Column) -> Column:
     return F.concat(a, F.lit("."), b, F.lit("."), c)  # NULL-propagating like ||
 
 
-def import_baseline(hist_data: DataFrame, hist_det: DataFrame, tileset: int = 19, min_score: float = 0.3,
+def import_baseline(hist_data: DataFrame, hist_det: DataFrame, hist_objects: DataFrame, tileset: int = 19, min_score: float = 0.3,
                     scope: DataFrame | None = None, email: str = IMPORT_EMAIL, group_name: str = IMPORT_GROUP) -> DataFrame:
     """Initial status of each detection data row from import audit rows ('+', or '~' without changed fields).
 
     old = IMPORTED × 3; new = recorded status or default; one row per (detection data, old status), the latest history
-    id first, ties broken by detection id then parcel id (NULLs last).
+    id first, ties broken by detection id, parcel id (NULLs last), then the new status.
     """
-    d = _scoped(hist_data, hist_det, tileset, min_score, scope).where(
+    d = _scoped(hist_data, hist_det, hist_objects, tileset, min_score, scope).where(
         (F.col("history_type") == "+") | ((F.col("history_type") == "~") & F.col("changed_fields").isNull())
     )
     pres = F.col("detection_prescription_status")
@@ -75,12 +89,12 @@ def import_baseline(hist_data: DataFrame, hist_det: DataFrame, tileset: int = 19
         "new_status", _status(F.col("new_val_status"), F.col("new_ctl_status"), F.col("new_pre_status"))
     )
     w = Window.partitionBy("detection_data_id", "old_status").orderBy(
-        F.col("history_id").desc(), F.col("detection_id").asc(), F.col("parcel_id").asc_nulls_last()
+        F.col("history_id").desc(), F.col("detection_id").asc(), F.col("parcel_id").asc_nulls_last(), F.col("new_status").asc()
     )
     return d.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def review_changes(hist_data: DataFrame, hist_det: DataFrame, users: DataFrame, tileset: int = 19, min_score: float = 0.3,
+def review_changes(hist_data: DataFrame, hist_det: DataFrame, hist_objects: DataFrame, users: DataFrame, tileset: int = 19, min_score: float = 0.3,
                    scope: DataFrame | None = None, detection_id: int | None = None) -> DataFrame:
     """One row per audited status change.
 
@@ -89,7 +103,7 @@ def review_changes(hist_data: DataFrame, hist_det: DataFrame, users: DataFrame,
     ``new_status`` are the dotted composites, NULL when a part is NULL. ``detection_id`` optionally restricts to one
     detection (the reference's debug filter, off by default).
     """
-    d = _scoped(hist_data, hist_det, tileset, min_score, scope).where(F.col("changed_fields").isNotNull())
+    d = _scoped(hist_data, hist_det, hist_objects, tileset, min_score, scope).where(F.col("changed_fields").isNotNull())
     d = d.join(users.select(F.col("id").alias("history_user_id"), "email", "group_name"), "history_user_id")
     if detection_id is not None:
         d = d.where(F.col("detection_id") == detection_id)
@@ -104,7 +118,10 @@ def review_changes(hist_data: DataFrame, hist_det: DataFrame, users: DataFrame,
     new_val, new_ctl, new_pre = F.col("detection_validation_status"), F.col("detection_control_status"), F.col("detection_prescription_status")
     out = d.select(
         "detection_id", "detection_data_id", "history_id", "history_date", "parcel_id", "email", "group_name",
-        F.to_json("_ch").alias("fields"),
+        F.to_json(
+            F.transform("_ch", lambda e: F.struct(e["field"].alias("field"), e["old_value"].alias("old"), e["new_value"].alias("new"))),
+            {"ignoreNullFields": "false"},
+        ).alias("fields"),
         new_val.alias("new_val_status"), new_ctl.alias("new_ctl_status"), new_pre.alias("new_pre_status"),
         F.coalesce(old(STATUS_FIELDS[0]), new_val).alias("old_val_status"),
         F.coalesce(old(STATUS_FIELDS[1]), new_ctl).alias("old_ctl_status"),

@@ -122,6 +122,7 @@ def q_class_evolution(spark, sf_dir):
 # ---------------------------------------------------------------- spatial: S1, S2, S3, C1, S9
 from pyspark.sql import functions as F  # noqa: E402
 
+from vigie.functions import geo as G  # noqa: E402
 from vigie.operators import spatial  # noqa: E402
 from vigie.sources import layers  # noqa: E402
 
@@ -129,6 +130,18 @@ CELL = layers.FIXTURE_CELL
 PAIR_CELL = layers.FIXTURE_PAIR_CELL
 
 
+def _box_wkt(minx: str, miny: str, maxx: str, maxy: str) -> str:
+    """WKT of a box in the oracle, in the vertex order of ``geo.box_rings``."""
+    p = lambda x, y: f"cast(cast({x} as double) as varchar) || ' ' || cast(cast({y} as double) as varchar)"
+    corners = " || ', ' || ".join(p(*c) for c in ((minx, miny), (maxx, miny), (maxx, maxy), (minx, maxy), (minx, miny)))
+    return f"'POLYGON((' || {corners} || '))'"
+
+
+def _with_rings(df: DataFrame) -> DataFrame:
+    """A fixture table with its box as rings."""
+    return df.withColumn("rings", G.box_rings(F.col("minx"), F.col("miny"), F.col("maxx"), F.col("maxy")))
+
+
 def _within_box(a: str, b: str) -> str:
     return f"({a}.minx >= {b}.minx and {a}.maxx <= {b}.maxx and {a}.miny >= {b}.miny and {a}.maxy <= {b}.maxy)"
 
@@ -491,25 +504,27 @@ def q_case_transitions(spark, sf_dir):
 
 
 ORACLE_REVIEW = f"""
-with imp0 as (
-  select t.id as detection_id, h.id as detection_data_id, h.history_id, h.history_date, t.parcel_id,
+with study as (select t.* from fx_hist_det t, fx_study s where t.tile_set_id = 19 and t.score > 0.3 and {_within_box('t', 's')}
+  and exists (select 1 from fx_risk r where {_within_risk('t', 'r')})),
+imp0 as (
+  select t.id as detection_id, h.id as detection_data_id, h.history_id, h.history_date, c.parcel_id,
     '{workflow.IMPORT_EMAIL}' as email, '{workflow.IMPORT_GROUP}' as group_name, h.changed_fields,
     'IMPORTED' as old_pre_status, 'IMPORTED' as old_val_status, 'IMPORTED' as old_ctl_status,
     case when h.detection_prescription_status is null and t.auto_prescribed is not true then 'NOT_PRESCRIBED'
       when h.detection_prescription_status is null and t.auto_prescribed is true then 'PRESCRIBED' else h.detection_prescription_status end as new_pre_status,
     coalesce(h.detection_validation_status, 'DETECTED_NOT_VERIFIED') as new_val_status,
     coalesce(h.detection_control_status, 'NOT_CONTROLLED') as new_ctl_status
-  from fx_history h join fx_hist_det t on h.id = t.detection_data_id
-  where t.tile_set_id = 19 and t.score > 0.3 and (h.history_type = '+' or (h.history_type = '~' and h.changed_fields is null))),
+  from fx_history h join study t on h.id = t.detection_data_id left join fx_hist_object c on c.id = t.detection_object_id
+  where (h.history_type = '+' or (h.history_type = '~' and h.changed_fields is null))),
 imp1 as (select *, old_val_status || '.' || old_ctl_status || '.' || old_pre_status as old_status,
   new_val_status || '.' || new_ctl_status || '.' || new_pre_status as new_status from imp0),
 baseline as (select * exclude (rn) from (select *, row_number() over (partition by detection_data_id, old_status
-  order by history_id desc, detection_id asc, parcel_id asc nulls last) as rn from imp1) where rn = 1),
+  order by history_id desc, detection_id asc, parcel_id asc nulls last, new_status asc) as rn from imp1) where rn = 1),
 app0 as (
   select t.id as detection_id, h.id as detection_data_id, h.changed_fields, h.detection_validation_status, h.detection_control_status,
-    h.detection_prescription_status, h.history_id, h.history_date, t.parcel_id, u.email, u.group_name
-  from fx_history h join fx_hist_det t on h.id = t.detection_data_id join fx_user u on u.id = h.history_user_id
-  where t.tile_set_id = 19 and t.score > 0.3 and h.changed_fields is not null),
+    h.detection_prescription_status, h.history_id, h.history_date, c.parcel_id, u.email, u.group_name
+  from fx_history h join study t on h.id = t.detection_data_id join fx_user u on u.id = h.history_user_id
+  left join fx_hist_object c on c.id = t.detection_object_id where h.changed_fields is not null),
 app1 as (select * exclude (rn) from (select *, row_number() over (partition by detection_id, detection_data_id, history_id
   order by parcel_id desc nulls first) as rn from app0) where rn = 1),
 elems as (select a.detection_id, a.detection_data_id, a.history_id, e.v ->> 'field' as field_name, e.v ->> 'old_value' as old_raw
@@ -521,6 +536,9 @@ olds as (select detection_id, detection_data_id, history_id,
   from elems where field_name in ('detection_validation_status', 'detection_control_status', 'detection_prescription_status')
   group by detection_id, detection_data_id, history_id),
 changes0 as (select a.detection_id, a.detection_data_id, a.history_id, a.history_date, a.parcel_id, a.email, a.group_name,
+    '[' || array_to_string([('{{"field":"' || (v ->> 'field') || '","old":' || coalesce('"' || (v ->> 'old_value') || '"', 'null') || ',"new":'
+      || coalesce('"' || (v ->> 'new_value') || '"', 'null') || '}}') for v in json_extract(a.changed_fields, '$[*]')
+      if (v ->> 'field') in ('detection_validation_status', 'detection_control_status', 'detection_prescription_status')], ',') || ']' as fields,
     a.detection_validation_status as new_val_status, a.detection_control_status as new_ctl_status, a.detection_prescription_status as new_pre_status,
     coalesce(o.ov, a.detection_validation_status) as old_val_status, coalesce(o.oc, a.detection_control_status) as old_ctl_status,
     coalesce(o.op, a.detection_prescription_status) as old_pre_status
@@ -539,19 +557,28 @@ flow as (
   from baseline c join {SQL_MAPPING} mo on c.old_status = mo.status_code join {SQL_MAPPING} mn on c.new_status = mn.status_code
   where mo.step_code <> mn.step_code)
 """
-_W_FX = ("fx_history", "fx_hist_det", "fx_user")
+_W_FX = ("fx_history", "fx_hist_det", "fx_hist_object", "fx_user", "fx_study", "fx_risk")
+
+
+def _study(fx):
+    """Versions of detections inside the study territory and a risk zone."""
+    zones = layers.risk_layer(fx.fx_risk).unionByName(layers.box_layer(fx.fx_study, "zone_id"))
+    return workflow.study_scope(layers.box_layer(fx.fx_hist_det, "version_id"), zones, 900, [351, 352], CELL)
 
 
-def _baseline(fx):
-    return workflow.import_baseline(fx.fx_history, fx.fx_hist_det)
+def _baseline(fx, scope=None):
+    return workflow.import_baseline(fx.fx_history, fx.fx_hist_det, fx.fx_hist_object, scope=_study(fx) if scope is None else scope)
 
 
-def _changes(fx):
-    return workflow.review_changes(fx.fx_history, fx.fx_hist_det, fx.fx_user)
+def _changes(fx, scope=None):
+    return workflow.review_changes(fx.fx_history, fx.fx_hist_det, fx.fx_hist_object, fx.fx_user, scope=_study(fx) if scope is None else scope)
 
 
 def _flow(spark, fx):
-    return workflow.status_flow(_baseline(fx), _changes(fx), seeds.status_mapping(spark))
+    from vigie.plans.materialize import materialize
+
+    scope = materialize(_study(fx))  # ids only; both parts read it
+    return workflow.status_flow(_baseline(fx, scope), _changes(fx, scope), seeds.status_mapping(spark))
 
 
 @register("W2_import_baseline", with_fixtures(ORACLE_REVIEW.rstrip().rstrip(",") + "\nselect * from baseline", *_W_FX))
@@ -561,7 +588,7 @@ def q_import_baseline(spark, sf_dir):
 
 @register("W3_review_changes", with_fixtures(ORACLE_REVIEW.rstrip().rstrip(",") + "\nselect * from changes", *_W_FX))
 def q_review_changes(spark, sf_dir):
-    return _changes(Fixtures(spark, sf_dir)).drop("fields")
+    return _changes(Fixtures(spark, sf_dir))
 
 
 @register("W4_status_flow", with_fixtures(ORACLE_FLOW + "select * from flow", *_W_FX))
@@ -610,6 +637,18 @@ def q_case_transition_flow(spark, sf_dir):
                                     seeds.workflow_transitions(spark, "case"), strict=False)
 
 
+@register("W6_transition_flow_open", with_fixtures(ORACLE_FLOW + _oracle_links("flow", SQL_REVIEW_STEPS, SQL_REVIEW_TRANS, False), *_W_FX))
+def q_transition_flow_open(spark, sf_dir):
+    return workflow.transition_flow(_flow(spark, Fixtures(spark, sf_dir)), seeds.workflow_steps(spark, "review"),
+                                    seeds.workflow_transitions(spark, "review"), strict=False)
+
+
+@register("W6_case_transition_flow_strict", with_fixtures(ORACLE_CASE_FLOW + _oracle_links("case_flow", SQL_CASE_STEPS, SQL_CASE_TRANS, True), "fx_case_log"))
+def q_case_transition_flow_strict(spark, sf_dir):
+    return workflow.transition_flow(_case_flow(spark, Fixtures(spark, sf_dir)), seeds.workflow_steps(spark, "case"),
+                                    seeds.workflow_transitions(spark, "case"), strict=True)
+
+
 # ---------------------------------------------------------------- C10, C12, C14, C15, C16: status and deployment KPIs
 def _risk_ids(fx: Fixtures):
     """Ids of detections within at least one risk zone (S1 over the risk layer)."""
@@ -815,23 +854,25 @@ select l.id, case when l.dessine_interface then 1.0 when l.score is null then 1.
     when not l.vrai_legitime and not l.vrai_positif and not l.faux_positif then 'DETECTED_NOT_VERIFIED' else 'DETECTED_NOT_VERIFIED' end as detection_validation_status,
   case when l.prescrit_manuel then 'PRESCRIBED' else 'NOT_PRESCRIBED' end as detection_prescription_status,
   l.validation is not null as user_reviewed, cast(null as bigint) as tile_x, cast(null as bigint) as tile_y,
-  case when ti.dataset_id = 7 then 'sia_2012' when ti.dataset_id = 4 then 'sia_2015' when ti.dataset_id = 5 then 'sia_2018' when ti.dataset_id = 8 then 'sia_2021' end as batch_id
+  case when ti.dataset_id = 7 then 'sia_2012' when ti.dataset_id = 4 then 'sia_2015' when ti.dataset_id = 5 then 'sia_2018' when ti.dataset_id = 8 then 'sia_2021' end as batch_id,
+  """ + _box_wkt("l.minx", "l.miny", "l.maxx", "l.maxy") + """ as geometry
 from fx_legacy_detection l join fx_type t on (case when l.validation is null or l.validation = 0 then l.type_id else l.validation end) = t.id
 join fx_tile ti on ti.id = l.tile_id where ti.dataset_id in (4, 5, 7, 8)""", "fx_legacy_detection", "fx_type", "fx_tile"))
 def q_legacy_detections(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return loads.legacy_detections(fx.fx_legacy_detection, fx.fx_type, fx.fx_tile)
+    out = loads.legacy_detections(_with_rings(fx.fx_legacy_detection), fx.fx_type, fx.fx_tile)
+    return out.withColumn("geometry", G.wkt("geometry"))
 
 
 @register("P3_load_parcels", with_fixtures("""
 select false as arpente, c.geozone_ptr_id as commune_id, cast(coalesce(r.contenance, 0) as bigint) as contenance, false as deleted,
   r.idu as id_parcellaire, cast(ltrim(r.numero, '0') as integer) as num_parcel, cast(null as varchar) as prefix,
-  cast(date '2025-01-01' as varchar) as refreshed_at, r.section
+  cast(date '2025-01-01' as varchar) as refreshed_at, r.section, """ + _box_wkt("r.minx", "r.miny", "r.maxx", "r.maxy") + """ as geometry
 from fx_parcel_raw r join fx_commune_ref c on c.iso_code = r.code_dep || r.code_com""", "fx_parcel_raw", "fx_commune_ref"))
 def q_load_parcels(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    out = loads.load_parcels(fx.fx_parcel_raw, fx.fx_commune_ref).drop("created_at", "updated_at", "uuid", "deleted_at")
-    return out.withColumn("refreshed_at", F.col("refreshed_at").cast("string"))
+    out = loads.load_parcels(_with_rings(fx.fx_parcel_raw), fx.fx_commune_ref).drop("created_at", "updated_at", "uuid", "deleted_at")
+    return out.withColumn("refreshed_at", F.col("refreshed_at").cast("string")).withColumn("geometry", G.wkt("geometry"))
 
 
 def _purged(fx: Fixtures):
@@ -889,19 +930,46 @@ hit as (select distinct d.id from fx_detection d join named c on d.minx <= c.max
 select cast(null as varchar) as address, 'preprod_import' as batch_id, dd.detection_control_status, dd.detection_prescription_status,
   dd.detection_validation_status, d.id,
   regexp_replace(lower(regexp_replace(strip_accents(t.name_n), '[^a-zA-Z0-9\n. ]', ' ', 'g')), '\s+', ' ', 'g') as object_type,
-  d.score, ti.x as tile_x, ti.y as tile_y, true as user_reviewed
-from fx_detection d join fx_detdata dd on dd.id = d.detection_data_id join fx_object o on o.id = d.detection_object_id
+  d.score, ti.x as tile_x, ti.y as tile_y, true as user_reviewed, """ + _box_wkt("d.minx", "d.miny", "d.maxx", "d.maxy") + """ as geometry,
+  m.detection_source, cast(m.created_at as varchar) as created_at, cast(m.updated_at as varchar) as updated_at
+from fx_detection d join fx_det_meta m on m.id = d.id join fx_detdata dd on dd.id = d.detection_data_id join fx_object o on o.id = d.detection_object_id
 join fx_type t on t.id = o.object_type_id join fx_user u on u.id = dd.user_last_update_id join fx_tile ti on ti.id = 1 + d.id % 10
 where d.id in (select id from hit) and u.email <> 'user3@example.org'""",
-                                                         "fx_detection", "fx_commune", "fx_commune_ref", "fx_detdata", "fx_object", "fx_type", "fx_user", "fx_tile"))
+                                                         "fx_detection", "fx_commune", "fx_commune_ref", "fx_detdata", "fx_object", "fx_type", "fx_user", "fx_tile", "fx_det_meta"))
 def q_extract_in_collectivities(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    det = layers.detection_layer(fx.fx_detection.withColumn("tile_id", 1 + F.col("id") % 10),
-                                 keep=("detection_data_id", "detection_object_id", "score", "tile_id"))
+    det = layers.detection_layer(fx.fx_detection.join(fx.fx_det_meta, "id").withColumn("tile_id", 1 + F.col("id") % 10),
+                                 keep=("detection_data_id", "detection_object_id", "score", "tile_id", "detection_source", "created_at", "updated_at"))
     communes = layers.box_layer(fx.fx_commune, "geozone_id", keep=("name",))
     names = fx.fx_commune_ref.where(F.col("department_id") == 102).select("name")
-    return spatial.extract_in_collectivities(det, fx.fx_detdata, fx.fx_object, fx.fx_type, fx.fx_user, fx.fx_tile, communes, names,
-                                             "preprod_import", "user3@example.org", CELL)
+    out = spatial.extract_in_collectivities(det, fx.fx_detdata, fx.fx_object, fx.fx_type, fx.fx_user, fx.fx_tile, communes, names,
+                                            "preprod_import", "user3@example.org", CELL)
+    return out.withColumns({"geometry": G.wkt("geometry"), **{c: F.col(c).cast("string") for c in ("created_at", "updated_at")}})
+
+
+@register("S8_parcels_at_risk_by_config", with_fixtures(f"""
+with inside as (select distinct p.commune_id, p.id_parcellaire from fx_parcel p join fx_risk_config c on c.geozone_id = p.commune_id
+  join fx_risk r on r.zone_id in (c.ze_zone_id, c.zr_zone_id, c.zan_zone_id) and {_within_risk('p', 'r')})
+select cast(c.stats_geozone_id as bigint) as geozone_id, (select count(id_parcellaire) from fx_parcel p where p.commune_id = c.geozone_id) as nb_parcels,
+  (select count(distinct id_parcellaire) from inside i where i.commune_id = c.geozone_id) as nb_parcels_in_ze
+from fx_risk_config c where c.geozone_id in (select commune_id from inside)""", "fx_parcel", "fx_risk_config", "fx_risk"))
+def q_parcels_at_risk_by_config(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    parcels = layers.parcel_layer(fx.fx_parcel.withColumn("territory_id", F.col("commune_id")), keep=("id_parcellaire", "territory_id"))
+    return spatial.parcels_at_risk_by_config(parcels, layers.risk_layer(fx.fx_risk), fx.fx_risk_config, CELL)
+
+
+@register("S1_zone_tag_clockwise", with_fixtures(f"""
+select d.id, cast(r.zone_id as bigint) as zone_id from fx_detection d join fx_risk r on {_within_risk('d', 'r')}""", "fx_detection", "fx_risk"))
+def q_zone_tag_clockwise(spark, sf_dir):
+    """S1 with every ring reversed on both sides, as shapefiles have them."""
+    from vigie.plans.cells import as_layer
+
+    fx = Fixtures(spark, sf_dir)
+    turned = lambda rings: F.transform(rings, lambda r: F.reverse(r))
+    det = as_layer(_with_rings(fx.fx_detection), "id", turned(F.col("rings")))
+    risk = as_layer(fx.fx_risk.select("zone_id", turned(layers.risk_rings()).alias("rings")), "zone_id")
+    return spatial.zone_tag(det, risk, CELL)
 
 
 @register("S7_sync_zone_links", with_fixtures(f"""
@@ -940,18 +1008,19 @@ base as (select d.*, dd.detection_validation_status as v, dd.detection_prescript
   where d.id in (select id from inrisk) and t.name_n in ('Construction en dur', 'Piscine', 'Mobil-home', 'Caravane', 'Installation Legere')),
 ok as (select distinct b.id from base b join fx_threshold th on th.tile_set_id = b.tile_set_id and (th.iso_code is null or th.iso_code = b.iso_code)
   where b.v in ('SUSPECT', 'LEGITIMATE') or (b.v = 'DETECTED_NOT_VERIFIED' and b.score > th.min_score and (b.pres is null or b.pres <> 'PRESCRIBED')))
-select b.id, b.tile_set_id, b.commune_id, b.parcel_id, (b.minx + b.maxx) / 2.0 as cx, (b.miny + b.maxy) / 2.0 as cy, b.v as detection_validation_status
+select b.id, b.tile_set_id, b.commune_id, b.parcel_id, (b.minx + b.maxx) / 2.0 as cx, (b.miny + b.maxy) / 2.0 as cy, b.v as detection_validation_status,
+  {_box_wkt("b.minx", "b.miny", "b.maxx", "b.maxy")} as geometry
 from base b where b.id in (select id from ok)""",
                                                    "fx_detection", "fx_risk", "fx_detdata", "fx_object", "fx_type", "fx_commune_ref", "fx_threshold"))
 def q_detections_in_risk(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     det = layers.detection_layer(fx.fx_detection, keep=("tile_set_id", "score", "detection_data_id", "detection_object_id"))
-    return spatial.detections_in_risk(det, fx.fx_detdata, fx.fx_object, fx.fx_type, fx.fx_commune_ref, layers.risk_layer(fx.fx_risk),
-                                      fx.fx_threshold, CELL)
+    out = spatial.detections_in_risk(det, fx.fx_detdata, fx.fx_object, fx.fx_type, fx.fx_commune_ref, layers.risk_layer(fx.fx_risk),
+                                     fx.fx_threshold, CELL)
+    return out.withColumn("geometry", G.wkt("geometry"))
 
 
 # ---------------------------------------------------------------- P2, S17, P5, Q1, S13, S14
-from vigie.functions import geo as G  # noqa: E402
 from vigie.operators import quality  # noqa: E402
 
 
@@ -1027,8 +1096,8 @@ union all select 'fx_det_tagged', 'pk(id)', cast((select count(*) from (select i
 union all select 'fx_history', 'pk(history_id)', cast((select count(*) from (select history_id from fx_history group by history_id having count(*) > 1)) as bigint)
 union all select 'fx_object', 'fk(parcel_id -> fx_parcel.id)', cast(count(*) as bigint) from fx_object o where o.parcel_id is not null and o.parcel_id not in (select id from fx_parcel)
 union all select 'fx_detdata', 'not_null(user_last_update_id)', cast(count(*) filter (where user_last_update_id is null) as bigint) from fx_detdata
-union all select 'fx_hist_det', 'not_null(parcel_id)', cast(count(*) filter (where parcel_id is null) as bigint) from fx_hist_det""",
-                                              "fx_detection", "fx_det_tagged", "fx_history", "fx_object", "fx_parcel", "fx_detdata", "fx_hist_det"))
+union all select 'fx_hist_object', 'not_null(parcel_id)', cast(count(*) filter (where parcel_id is null) as bigint) from fx_hist_object""",
+                                              "fx_detection", "fx_det_tagged", "fx_history", "fx_object", "fx_parcel", "fx_detdata", "fx_hist_object"))
 def q_constraint_report(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return quality.constraint_report([
@@ -1037,17 +1106,10 @@ def q_constraint_report(spark, sf_dir):
         quality.primary_key(fx.fx_history, "fx_history", ["history_id"]),
         quality.foreign_key(fx.fx_object, "fx_object", "parcel_id", fx.fx_parcel, "id", "fx_parcel"),
         quality.not_null(fx.fx_detdata, "fx_detdata", "user_last_update_id"),
-        quality.not_null(fx.fx_hist_det, "fx_hist_det", "parcel_id"),
+        quality.not_null(fx.fx_hist_object, "fx_hist_object", "parcel_id"),
     ])
 
 
-def _box_wkt(minx: str, miny: str, maxx: str, maxy: str) -> str:
-    """WKT of a box in the oracle, in the vertex order of ``geo.box_rings``."""
-    p = lambda x, y: f"cast(cast({x} as double) as varchar) || ' ' || cast(cast({y} as double) as varchar)"
-    corners = " || ', ' || ".join(p(*c) for c in ((minx, miny), (maxx, miny), (maxx, maxy), (minx, maxy), (minx, miny)))
-    return f"'POLYGON((' || {corners} || '))'"
-
-
 @register("S13_ingest_layer", with_fixtures("""
 with good as (select * from fx_layer_box where srid = 4326 and maxx > minx and maxy > miny),
 units as (select distinct x, y from good, lateral (select unnest(range(minx, maxx)) as x) a, lateral (select unnest(range(miny, maxy)) as y) b),

@@ -69,8 +69,22 @@ from events""",
     "fx_hist_det": """
 select cast(floor(event_id/8) as bigint)*10 + event_id % 3 as id, cast(floor(event_id/8) as bigint) as detection_data_id, cast((event_id*37) % 100 as double)/100 as score,
  18 + event_id % 2 as tile_set_id, case event_id % 3 when 0 then true when 1 then false else null end as auto_prescribed,
- case when event_id % 4 = 0 then null else event_id % 300 end as parcel_id
+ event_id as version_id, cast(floor(event_id/8) as bigint) as detection_object_id,
+ (event_id*7919) % 997 as minx, (event_id*6151) % 1009 as miny, (event_id*7919) % 997 + 6 as maxx, (event_id*6151) % 1009 + 6 as maxy
 from events""",
+    "fx_hist_object": """
+select cast(floor(event_id/16) as bigint) as id, event_id as object_version, case when event_id % 4 = 0 then null else event_id % 300 end as parcel_id
+from events where event_id % 8 in (1, 4)""",
+    # the study territory of the review analysis (one box, like the two risk shapes)
+    "fx_study": """
+select * from (values (900, 0, 0, 900, 900)) t(zone_id, minx, miny, maxx, maxy)""",
+    # risk zones and reported id per commune: its own three zones, some missing
+    "fx_risk_config": """
+select n_nationkey as geozone_id, 1000 + n_nationkey as stats_geozone_id, case when n_nationkey % 3 = 0 then null else 351 end as ze_zone_id,
+ case when n_nationkey % 2 = 0 then 352 else null end as zr_zone_id, cast(null as int) as zan_zone_id from nation""",
+    "fx_det_meta": """
+select event_id as id, case when event_id % 6 = 0 then 'INTERFACE_DRAWN' else 'ANALYSIS' end as detection_source,
+ ts as created_at, ts as updated_at from events""",
     "fx_user": """
 select c_custkey as id, concat('user', cast(c_custkey as string), '@example.org') as email, concat('group', cast(c_custkey % 3 as string)) as group_name
 from customer where c_custkey % 20 < 15""",
@@ -90,7 +104,8 @@ from orders""",
 select o_orderkey as id, o_custkey % 5 as type_id, case when o_orderkey % 3 = 0 then null else o_orderkey % 5 end as validation,
  o_orderkey % 9 = 0 as dessine_interface, case when o_orderkey % 8 = 0 then null else cast(o_orderkey % 100 as double)/100 end as score,
  case when o_orderkey % 10 = 0 then null else o_orderkey % 2 = 0 end as vrai_legitime, o_orderkey % 4 < 2 as vrai_positif, o_orderkey % 7 = 0 as faux_positif,
- o_orderkey % 6 = 0 as signale_terrain, o_orderkey % 8 as control_status_id, o_orderkey % 5 = 0 as prescrit_manuel, o_custkey % 100 as tile_id
+ o_orderkey % 6 = 0 as signale_terrain, o_orderkey % 8 as control_status_id, o_orderkey % 5 = 0 as prescrit_manuel, o_custkey % 100 as tile_id,
+ (o_orderkey*7919) % 997 as minx, (o_orderkey*6151) % 1009 as miny, (o_orderkey*7919) % 997 + 6 as maxx, (o_orderkey*6151) % 1009 + 6 as maxy
 from orders""",
     "fx_tile": """
 select s_suppkey as id, s_suppkey % 32 as x, cast(floor(s_suppkey/32) as bigint) as y, 1 + s_suppkey % 9 as dataset_id from supplier""",
@@ -98,7 +113,8 @@ select s_suppkey as id, s_suppkey % 32 as x, cast(floor(s_suppkey/32) as bigint)
 select * from (values (0,'Piscine'),(1,'Mobil-home'),(2,'Caravane'),(3,'Construction en dur'),(4,'Container')) t(id,name_n)""",
     "fx_parcel_raw": """
 select p_partkey as rid, lpad(cast(p_size as string), 4, '0') as numero, '34' as code_dep, lpad(cast(p_partkey % 30 as string), 3, '0') as code_com,
- case when p_partkey % 9 = 0 then null else p_size*10 end as contenance, concat('IDU', cast(p_partkey as string)) as idu, p_brand as section
+ case when p_partkey % 9 = 0 then null else p_size*10 end as contenance, concat('IDU', cast(p_partkey as string)) as idu, p_brand as section,
+ p_partkey % 1000 as minx, cast(floor(p_partkey / 1000) as bigint) as miny, p_partkey % 1000 + 1 as maxx, cast(floor(p_partkey / 1000) as bigint) + 1 as maxy
 from part""",
     "fx_group_zone": """
 select concat('group', cast(s_suppkey % 20 as string)) as name, case when s_suppkey % 4 = 0 then 'ADMIN' else 'COLLECTIVITY' end as user_group_type,
