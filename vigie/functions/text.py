@@ -6,18 +6,32 @@ whole-stage codegen; no Python UDF.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accent folding used by normalize_text (unaccent of Latin letters), as source → target pairs.
-ACCENTED = "ÀÁÂÃÄÅàáâãäåÇçÈÉÊËèéêëÌÍÎÏìíîïÑñÒÓÔÕÖØòóôõöøÙÚÛÜùúûüÝýÿ"
-UNACCENTED = "AAAAAAaaaaaaCcEEEEeeeeIIIIiiiiNnOOOOOOooooooUUUUuuuuYyy"
-# ligatures expanded to two letters
-LIGATURES = [("Œ", "OE"), ("œ", "oe"), ("Æ", "AE"), ("æ", "ae"), ("ß", "ss")]
+# Letters with a stroke, which Unicode does not decompose, and ligatures expanded to two letters.
+STROKED = {"Ø": "O", "ø": "o", "Ł": "L", "ł": "l", "Đ": "D", "đ": "d", "Ħ": "H", "ħ": "h", "Ŧ": "T", "ŧ": "t", "ı": "i"}
+LIGATURES = [("Œ", "OE"), ("œ", "oe"), ("Æ", "AE"), ("æ", "ae"), ("ß", "ss"), ("ẞ", "SS"), ("Þ", "TH"), ("þ", "th"), ("Ĳ", "IJ"), ("ĳ", "ij")]
+
+
+def _folding() -> dict[str, str]:
+    """Every Latin letter that Unicode decomposes into an ASCII letter and marks, with that letter."""
+    out = dict(STROKED)
+    for code in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
+        base, *marks = unicodedata.normalize("NFD", chr(code))
+        if marks and base.isascii():
+            out[chr(code)] = base
+    return out
+
+
+FOLDING = _folding()
 
 
 def unaccent(c: Column) -> Column:
-    out = F.translate(c, ACCENTED, UNACCENTED)
+    """Accented Latin letters to ASCII ones; combining marks go."""
+    out = F.translate(c, "".join(FOLDING) + "".join(map(chr, range(0x300, 0x370))), "".join(FOLDING.values()))
     for src, dst in LIGATURES:
         out = F.replace(out, F.lit(src), F.lit(dst))
     return out

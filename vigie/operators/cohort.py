@@ -359,11 +359,9 @@ def parcel_status(detections: DataFrame, data: DataFrame, objects: DataFrame, ty
     ``in_risk``: ids of detections within at least one risk zone (S1 filter form). ``thresholds``: (tile_set_id,
     min_score) — a tileset absent from it is not reported.
     """
-    from vigie.plans.broadcast import seed
-
     d = (
         detections.select("id", "tile_set_id", "score", "detection_data_id", "detection_object_id")
-        .join(seed(thresholds), "tile_set_id")
+        .join(thresholds, "tile_set_id")
         .join(in_risk, "id", "left_semi")
         .join(data.select(F.col("id").alias("detection_data_id"), "detection_validation_status", "detection_prescription_status"),
               "detection_data_id", "left")

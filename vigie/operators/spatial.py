@@ -471,8 +471,6 @@ def detections_in_risk(det: DataFrame, data: DataFrame, objects: DataFrame, type
     """
     from vigie.functions import geo
     from vigie.operators.cohort import STATUS_CLASSES, reviewable
-    from vigie.plans.broadcast import bounded
-
     classes = classes or STATUS_CLASSES
     inrisk = zone_tag(det.select("id", "rings", "minx", "miny", "maxx", "maxy", "is_rect", "area"), risk, cell).select("id").distinct()
     d = (
@@ -483,7 +481,7 @@ def detections_in_risk(det: DataFrame, data: DataFrame, objects: DataFrame, type
         .where(F.col("name_n").isin(list(classes)))
         .join(communes.select(F.col("geozone_ptr_id").alias("commune_id"), "iso_code"), "commune_id", "left")
     )
-    th = bounded(thresholds.select("tile_set_id", F.col("iso_code").alias("th_iso"), "min_score"))
+    th = thresholds.select("tile_set_id", F.col("iso_code").alias("th_iso"), "min_score")
     m = d.join(th, (d["tile_set_id"] == th["tile_set_id"]) & (th["th_iso"].isNull() | (th["th_iso"] == d["iso_code"]))).drop(th["tile_set_id"])
     ok = m.where(reviewable(F.col("score"), F.col("detection_validation_status"), F.col("detection_prescription_status"), F.col("min_score")))
     ok = ok.select("id").distinct()

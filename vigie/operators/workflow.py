@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigie.functions.text import unaccent
-from vigie.plans.broadcast import seed
 
 CHANGE_SCHEMA = "array<struct<field:string,old_value:string,new_value:string>>"
 STATUS_FIELDS = ("detection_validation_status", "detection_control_status", "detection_prescription_status")
@@ -30,7 +29,7 @@ def case_transitions(log: DataFrame, steps: DataFrame, town: str | None = None,
     d = log if town is None else log.where(F.col("ville") == town)
     w = Window.partitionBy("dossier_id").orderBy(order_col)
     d = d.select("*", F.lead("action_type").over(w).alias("next_action_type"), F.lead("action_date").over(w).alias("next_action_date"))
-    st = seed(steps.select(label_key(F.col("step_label")).alias("_k"), "step_code"))
+    st = steps.select(label_key(F.col("step_label")).alias("_k"), "step_code")
     d = d.join(st.withColumnRenamed("step_code", "source_step"), label_key(F.col("action_type")) == F.col("_k"), "left").drop("_k")
     d = d.join(st.withColumnRenamed("step_code", "target_step"), label_key(F.col("next_action_type")) == F.col("_k"), "left").drop("_k")
     return d.where(F.col("next_action_date").isNotNull())
@@ -138,7 +137,7 @@ FLOW_COLUMNS = ["detection_id", "detection_data_id", "old_status", "new_status",
 def status_flow(baseline: DataFrame, changes: DataFrame, mapping: DataFrame) -> DataFrame:
     """Composite statuses mapped to step codes; unmapped and self transitions dropped; app and import rows are
     tagged with ``process`` and UNION-ed distinct."""
-    m = seed(mapping)
+    m = mapping
 
     def mapped(df, process):
         return (
@@ -157,7 +156,7 @@ def transition_code(source: Column, target: Column) -> Column:
 
 def unknown_transitions(flow: DataFrame, allowed: DataFrame, by: list[str]) -> DataFrame:
     """W5 (conformance): observed transitions absent from the allowed graph, counted per (code, *by); NULL keys dropped."""
-    allowed_codes = seed(allowed.select(transition_code(F.col("from_step"), F.col("to_step")).alias("transition_code")))
+    allowed_codes = allowed.select(transition_code(F.col("from_step"), F.col("to_step")).alias("transition_code"))
     f = flow.withColumn("transition_code", transition_code(F.col("source_step"), F.col("target_step")))
     unknown = f.join(allowed_codes, "transition_code", "left_anti")
     keys = ["transition_code", *by]
@@ -174,12 +173,12 @@ def transition_flow(flow: DataFrame, steps: DataFrame, allowed: DataFrame, stric
     unknown source node is kept with a NULL ordinal."""
     f = flow.withColumn("transition_code", transition_code(F.col("source_step"), F.col("target_step")))
     if strict:
-        codes = seed(allowed.select(transition_code(F.col("from_step"), F.col("to_step")).alias("transition_code")))
+        codes = allowed.select(transition_code(F.col("from_step"), F.col("to_step")).alias("transition_code"))
         f = f.join(codes, "transition_code", "left_semi")
     keys = ["transition_code", "source_step", "target_step"]
     g = f.where(F.col("transition_code").isNotNull() & F.col("source_step").isNotNull() & F.col("target_step").isNotNull()) \
         .groupBy(*keys).agg(F.count(F.lit(1)).alias("nb_transitions"))
-    st = seed(steps.select("step_code", "ordinal"))
+    st = steps.select("step_code", "ordinal")
     g = g.join(st.select(F.col("step_code").alias("target_step"), F.col("ordinal").alias("target")), "target_step", "left")
     g = g.join(st.select(F.col("step_code").alias("source_step"), F.col("ordinal").alias("source")), "source_step", "left")
     return g.where(F.col("target").isNotNull()).select(*keys, "nb_transitions", "target", "source")

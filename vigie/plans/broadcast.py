@@ -1,9 +1,7 @@
-"""Broadcast only behind a size check.
+"""Broadcast hints for tables whose size is fixed by code.
 
-* Literal seed tables (workflow steps, thresholds, configs) have a bound fixed in code: ``seed()`` hints them.
-* Data-dependent small sides (zone layers, mapping tables) go through ``bounded()``: a ``limit(n+1).count()`` probe
-  proves the bound at run time; beyond it the plain DataFrame is returned and Spark plans a shuffle join
-  (AQE may still convert it from measured shuffle sizes).
+Every other small side is left to Spark: it broadcasts what it knows to be small (literal frames, files, measured shuffle
+stages) in bytes, and shuffles the rest.
 """
 
 from __future__ import annotations
@@ -11,15 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_ROWS = 200_000
-
 
 def seed(df: DataFrame) -> DataFrame:
     """Hint a literal table whose size is fixed by code."""
     return F.broadcast(df)
-
-
-def bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows (checked with a bounded probe)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -205,10 +205,16 @@ def load_configs(fx_commune):
     )
 
 
+def _load_inputs(fx: Fixtures) -> dict:
+    det = fx.fx_detection.withColumnRenamed("batch_year", "batch_id")
+    return {
+        "inference": layers.detection_layer(det, keep=("score", "object_type", "batch_id")), "parcels": layers.parcel_layer(fx.fx_parcel),
+        "zones": layers.zone_layer(fx.fx_commune, fx.fx_risk), "configs": load_configs(fx.fx_commune), "cell": CELL, "pair_cell": PAIR_CELL,
+    }
+
+
 def _loaded(fx: Fixtures):
-    inf = layers.detection_layer(fx.fx_detection.withColumnRenamed("batch_year", "batch_id"), keep=("score", "object_type", "batch_id"))
-    return spatial.load_detections(inf, layers.parcel_layer(fx.fx_parcel), layers.zone_layer(fx.fx_commune, fx.fx_risk),
-                                   load_configs(fx.fx_commune), CELL, pair_cell=PAIR_CELL)
+    return spatial.load_detections(**_load_inputs(fx))
 
 
 ORACLE_LOADED = f"""

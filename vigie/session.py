@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -28,9 +29,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_code(spark)
     return spark
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the workers, once per context; needed where it is not installed on them."""
+    context = spark.sparkContext
+    if getattr(context, "_vigie_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="vigie-code-"), "vigie.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    context._vigie_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
