@@ -173,15 +173,18 @@ def geometry_match(a: DataFrame, b: DataFrame, a_key: str, b_key: str) -> DataFr
     return ah.join(bh, "_h").where(F.col("_ra") == F.col("_rb")).select(a_key, b_key)
 
 
-def upsert_collectivities(zones: DataFrame, child: DataFrame, source: DataFrame, level: str, parents: DataFrame | None = None):
+def upsert_collectivities(zones: DataFrame, child: DataFrame, source: DataFrame, level: str, parents: DataFrame | None = None, by: str = "geometry"):
     """P2 for one level: refresh geometries of known codes, insert zones for unknown codes (null-aware NOT IN) with a
     normalized name, then create child rows for zones of the level that have none, matched to the source by geometry
-    equality (S17), with the parent id looked up by code.
+    equality (S17; ``by="geometry"``, as for communes) or by name (``by="name"``, as for regions and departments), with the
+    parent id looked up by code and the surface (S11) of the zone. New zones have ``uuid``, ``created_at``, ``updated_at`` and
+    ``deleted`` if ``zones`` has these columns.
 
     zones: id, name, name_normalized, zone_type, rings, minx..maxy; child: geozone_ptr_id, code;
     source: code, name, parent_code, rings, minx..maxy; parents: geozone_ptr_id, insee_code.
     Returns (zones, new_child_rows).
     """
+    from vigie.functions import geo
     from vigie.functions.text import normalize_text
     from vigie.plans.nulls import not_in
 
@@ -200,12 +203,20 @@ def upsert_collectivities(zones: DataFrame, child: DataFrame, source: DataFrame,
     inserted = numbered.select(
         (F.col("_m") + F.col("_rank")).cast(zones.schema["id"].dataType).alias("id"), F.col("name"),
         normalize_text(F.col("name")).alias("name_normalized"), F.lit(level).alias("zone_type"), *geo_cols,
+        F.expr("uuid()").alias("uuid"), F.current_timestamp().alias("created_at"), F.current_timestamp().alias("updated_at"), F.lit(False).alias("deleted"),
     )
     all_zones = refreshed.unionByName(inserted.select(*zones.columns))
     orphans = all_zones.where(F.col("zone_type") == level).join(child.select(F.col("geozone_ptr_id").alias("id")), "id", "left_anti")
-    pairs = geometry_match(orphans, source, "id", "code")
+    if by == "geometry":
+        pairs = geometry_match(orphans, source, "id", "code")
+    else:
+        pairs = orphans.select("id", "name").join(source.select("name", "code"), "name").select("id", "code")
+    surface = orphans.select("id", geo.to_web_mercator(F.col("rings")).alias("_m")).select("id", (geo.area("_m") / 1e6).alias("surface_km2")) if by == "name" else None
     new_child = pairs.join(source.select("code", "parent_code"), "code")
     if parents is not None:
         new_child = new_child.join(parents.select(F.col("insee_code").alias("parent_code"), F.col("geozone_ptr_id").alias("parent_id")),
                                    "parent_code", "left")
-    return all_zones, new_child.select(F.col("id").alias("geozone_ptr_id"), "code", *(["parent_id"] if parents is not None else []))
+    out = ["code", *(["parent_id"] if parents is not None else [])]
+    if surface is not None:
+        new_child, out = new_child.join(surface, "id"), [*out, "surface_km2"]
+    return all_zones, new_child.select(F.col("id").alias("geozone_ptr_id"), *out)

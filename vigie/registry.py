@@ -1072,6 +1072,23 @@ def q_geometry_match(spark, sf_dir):
     return child
 
 
+@register("P2_upsert_departments", with_fixtures("""
+with ins as (select (select max(id) from fx_zone) + row_number() over (order by insee_dep) as id, * from fx_department_src
+  where insee_dep not in (select insee_code from fx_department))
+select cast(id as bigint) as geozone_ptr_id, insee_dep as code, round((6378137.0 * radians(maxx) - 6378137.0 * radians(minx))
+  * (6378137.0 * ln(tan(pi() / 4 + radians(maxy) / 2)) - 6378137.0 * ln(tan(pi() / 4 + radians(miny) / 2))) / 1e6, 3) as surface_km2
+from ins""", "fx_zone", "fx_department", "fx_department_src"))
+def q_upsert_departments(spark, sf_dir):
+    """New department rows, matched by name, with their surface."""
+    fx = Fixtures(spark, sf_dir)
+    zones = _with_rings(fx.fx_zone.select(F.col("id").cast("long").alias("id"), "name", "name_normalized", "zone_type", *[F.lit(0.0).alias(c) for c in ("minx", "miny", "maxx", "maxy")]))
+    src = _with_rings(fx.fx_department_src).select(F.col("insee_dep").alias("code"), F.col("nom").alias("name"), F.lit(None).cast("string").alias("parent_code"), "rings",
+                                                   *[F.col(c).cast("double").alias(c) for c in ("minx", "miny", "maxx", "maxy")])
+    child = fx.fx_department.select(F.col("geozone_ptr_id").cast("long").alias("geozone_ptr_id"), F.col("insee_code").alias("code"))
+    _, rows = loads.upsert_collectivities(zones, child, src, "DEPARTMENT", by="name")
+    return rows.select("geozone_ptr_id", "code", F.round("surface_km2", 3).alias("surface_km2"))
+
+
 def _custom(fx: Fixtures):
     zones = layers.box_layer(fx.fx_custom_zone, "id", keep=("name", "zone_type"))
     staging = layers.box_layer(fx.fx_custom_staging, "sid", keep=("name",)).withColumnRenamed("id", "sid")

@@ -233,3 +233,12 @@ select p_partkey as id, concat('layer_', cast(p_partkey % 7 as string)) as file,
  cast((p_partkey * 13) % 60 as int) + 1 + cast(p_partkey % 3 as int) as maxy
 from part""",
 })
+
+FIXTURE_SQL.update({
+    # source departments of a reference-data refresh: codes 30–39 (five known, the rest new), on the globe
+    "fx_department_src": """
+select distinct concat('3', cast(s_suppkey % 10 as string)) as insee_dep, concat('Département n°', cast(s_suppkey % 10 as string)) as nom,
+ (s_suppkey % 5) * 1.0 as minx, 40.0 + cast(floor((s_suppkey % 10) / 5) as int) as miny,
+ (s_suppkey % 5) * 1.0 + 1 as maxx, 41.0 + cast(floor((s_suppkey % 10) / 5) as int) as maxy
+from supplier""",
+})
