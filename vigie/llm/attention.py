@@ -114,6 +114,13 @@ def windows(slots: np.ndarray, starts: np.ndarray, ends: np.ndarray, pad: int) -
     return np.where(ok, slots[np.clip(at, 0, max(len(slots) - 1, 0))], pad)
 
 
+def _pairs(x: np.ndarray) -> np.ndarray:
+    """Every block with the one before it, without a copy: (n + 1, STRIDE, d) -> (n, WINDOW, d)."""
+    x = np.ascontiguousarray(x)
+    shape = (len(x) - 1, 2 * x.shape[1], x.shape[2])
+    return np.lib.stride_tricks.as_strided(x, shape, (x.strides[0], x.strides[1], x.strides[2]), writeable=False)
+
+
 _QUERY = np.arange(STRIDE)[:, None] + STRIDE
 _DIST = _QUERY - np.arange(WINDOW)[None]  # how far back a key lies; negative: in the future
 
@@ -155,16 +162,33 @@ class Runner:
         z += self.t["bias"][mine.reshape(-1)]
         return hid, z
 
-    def class_logs(self, w: np.ndarray, target_class: np.ndarray, at_once: int = 128) -> np.ndarray:
-        """Natural-log probability of the class after each right-half input of ``w``, shape (windows, STRIDE)."""
-        out = np.empty((len(w), STRIDE), np.float32)
-        for lo in range(0, len(w), at_once):
-            part = w[lo : lo + at_once]
-            mine = part[:, STRIDE:]
-            _, z = self.logits(mine, self.attend(part)[3])
-            want = z[np.arange(len(z)), target_class[lo : lo + at_once].reshape(-1)]
+    def class_logs(self, blocks: np.ndarray, target_class: np.ndarray, at_once: int = 64) -> np.ndarray:
+        """Natural-log probability of the class after each input of ``blocks``, which lie in the order of the texts.
+
+        A window is a block and the one before it; a text's first block follows one of padding. So a block's keys and values are
+        looked up once for the two windows that hold it.
+        """
+        out = np.zeros((len(blocks), STRIDE), np.float32)
+        value = np.concatenate([self.v, np.ones((len(self.v), 1), np.float32)], 1)  # the last column of the product sums the weights
+        # padding has weight 0: its row of values is 0, the one of the sum included
+        value[self.pad] = 0
+        safe = float(np.linalg.norm(self.q, axis=1).max() * np.linalg.norm(self.k, axis=1).max() + self.p["rel"].max()) < 60
+        ones = np.ones(self.p["out"].shape[1], np.float32)
+        for lo in range(1, len(blocks), at_once):
+            part = blocks[lo - 1 : lo + at_once]
+            mine = part[1:]
+            k, v = _pairs(self.k[part]), _pairs(value[part])
+            s = np.matmul(self.q[mine], k.transpose(0, 2, 1))
+            s += self.mask
+            if not safe:
+                np.minimum(s, 60, out=s)
+            np.exp(s, out=s)
+            o = np.matmul(s, v)
+            o = o[..., :DIM] / np.maximum(o[..., DIM:], 1e-30)
+            _, z = self.logits(mine, o)
+            want = z[np.arange(len(z)), target_class[lo : lo + len(mine)].reshape(-1)]
             np.exp(z, out=z)
-            out[lo : lo + at_once] = (want - np.log(z.sum(1))).reshape(-1, STRIDE)
+            out[lo : lo + len(mine)] = (want - np.log(z @ ones)).reshape(-1, STRIDE)
         return out
 
     def texts(self, ids: list[np.ndarray]) -> np.ndarray:
@@ -180,13 +204,13 @@ class Runner:
         inputs[1:] = target[:-1]
         inputs[starts] = t["slot"][end]
         fine = t["inside"][inputs, target] + t["tail"][flat]
-        w = windows(inputs, starts, ends, self.pad)
-        per = -(-lens // STRIDE)
-        # predictions of one text fill its windows' right halves in order
-        row = np.repeat((np.cumsum(per) - per) * STRIDE - starts, lens) + np.arange(len(flat))
-        classes = np.zeros(len(w) * STRIDE, np.int64)
+        per = -(-lens // STRIDE) + 1  # a block of padding, then the text's own
+        row = np.repeat((np.cumsum(per) - per + 1) * STRIDE - starts, lens) + np.arange(len(flat))
+        blocks = np.full(int(per.sum()) * STRIDE, self.pad)
+        blocks[row] = inputs
+        classes = np.zeros(len(blocks), np.int64)
         classes[row] = t["group"][target]
-        coarse = self.class_logs(w, classes.reshape(-1, STRIDE)).reshape(-1)[row]
+        coarse = self.class_logs(blocks.reshape(-1, STRIDE), classes.reshape(-1, STRIDE)).reshape(-1)[row]
         return np.add.reduceat(fine.astype(np.float64) + coarse, starts) / np.log(10)
 
 
@@ -229,9 +253,12 @@ def gradients(params: dict[str, np.ndarray], tables: dict[str, np.ndarray], w: n
     g["rel"] = np.bincount(_DIST[back], weights=by_place[back], minlength=WINDOW).astype(np.float32)
     e_all = p["e"][w.reshape(-1)]
     g["wq"], g["wk"], g["wv"] = e_own.T @ dq, e_all.T @ dk, e_all.T @ dv
+    d_all = (dk @ p["wk"].T + dv @ p["wv"].T).reshape(len(w), WINDOW, DIM)
+    d_all[:, STRIDE:] += (d_own + dq @ p["wq"].T).reshape(len(w), STRIDE, DIM)
+    order = np.argsort(w.reshape(-1), kind="stable")
+    ids, first = np.unique(w.reshape(-1)[order], return_index=True)
     g["e"] = np.zeros_like(p["e"])
-    np.add.at(g["e"], own, d_own + dq @ p["wq"].T)
-    np.add.at(g["e"], w.reshape(-1), dk @ p["wk"].T + dv @ p["wv"].T)
+    g["e"][ids] = np.add.reduceat(d_all.reshape(-1, DIM)[order], first, axis=0)
     return loss, g
 
 

@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import io
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 from vigie.llm import attention
 from vigie.llm.common import crc_mod, stored
 from vigie.llm.merges import Merges
+from vigie.llm.wordbpe import Codes
 
 END = 50256
 VOCAB = 50257
@@ -67,20 +69,15 @@ class Words:
         self.clear()
 
     def clear(self) -> None:
-        self.code: dict[bytes, int] = {}
+        self.code = Codes()
         self.hash = np.zeros(0, np.uint64)
         self.ids = np.zeros(0, np.uint16)
         self.starts = np.zeros(1, np.int64)
 
     def codes(self, texts: list[list[bytes]]) -> list[np.ndarray]:
-        code, known = self.code, len(self.code)
-        out = []
-        for words in texts:
-            own = [code.get(w, -1) for w in words]
-            if -1 in own:
-                own = [code.setdefault(w, len(code)) for w in words]
-            out.append(np.array(own, np.int64))
-        new = list(code)[known:] if len(code) > known else []
+        known, get = len(self.code), self.code.__getitem__
+        out = [np.fromiter(map(get, words), np.int64, len(words)) for words in texts]
+        new = list(islice(self.code, known, None))
         if new:
             self.hash = np.concatenate([self.hash, np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new))])
             ids, lens = self.merges.encode([b" " + w for w in new])

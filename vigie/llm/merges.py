@@ -31,15 +31,44 @@ class Merges:
         key = np.array([vocab[a] * size + vocab[b] for a, b in pairs], np.int64)
         into = np.array([vocab[a + b] for a, b in pairs], np.int32)
         order = np.argsort(key, kind="stable")
-        self.key, self.rank, self.into, self.size = key[order], order.astype(np.int32), into, size
+        self.into, self.size = into, size
+        self._index(key[order], order.astype(np.int32))
         symbols = _byte_symbols()
         self.inner = np.array([vocab[s] for s in symbols], np.int32)
         self.final = np.array([vocab[s + suffix] for s in symbols], np.int32)
+        # ranks of two bytes inside a word, and of the last two of a word
+        first, second = (x.reshape(-1) for x in np.meshgrid(np.arange(256), np.arange(256), indexing="ij"))
+        self.pair_inner = self._ranks(self.inner[first], self.inner[second])
+        self.pair_final = self._ranks(self.inner[first], self.final[second])
+
+    def _index(self, key: np.ndarray, rank: np.ndarray) -> None:
+        """A hash table with linear probing, at most a quarter full."""
+        self.bits = max(4, int(np.ceil(np.log2(4 * len(key) + 4))))
+        self.slots, self.ranks = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, NONE)
+        at, todo = self._slot(key), np.arange(len(key))
+        while len(todo):
+            free = self.slots[at[todo]] < 0
+            _, first = np.unique(np.where(free, at[todo], -1 - todo), return_index=True)
+            own = first[free[first]]
+            self.slots[at[todo[own]]], self.ranks[at[todo[own]]] = key[todo[own]], rank[todo[own]]
+            todo = np.delete(todo, own)
+            at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
+
+    def _slot(self, q: np.ndarray) -> np.ndarray:
+        return ((q.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         q = a.astype(np.int64) * self.size + b
-        at = np.minimum(np.searchsorted(self.key, q), len(self.key) - 1)
-        return np.where(self.key[at] == q, self.rank[at], NONE)
+        at = self._slot(q)
+        held = self.slots[at]
+        out = np.where(held == q, self.ranks[at], NONE)
+        more = np.flatnonzero((held != q) & (held >= 0))
+        while len(more):
+            at[more] = (at[more] + 1) & ((1 << self.bits) - 1)
+            held = self.slots[at[more]]
+            out[more] = np.where(held == q[more], self.ranks[at[more]], NONE)
+            more = more[(held != q[more]) & (held >= 0)]
+        return out
 
     def encode(self, words: list[bytes], at_once: int = 4096) -> tuple[np.ndarray, np.ndarray]:
         """``words`` as UTF-8 -> (ids end to end, number of ids of each word). No word is empty."""
@@ -57,7 +86,10 @@ class Merges:
         sym[ends - 1] = self.final[data[ends - 1]]
         word = np.repeat(np.arange(n), lens)
         rank = np.full(len(sym), NONE)
-        rank[:-1] = self._ranks(sym[:-1], sym[1:])
+        two = data[:-1].astype(np.int32) * 256 + data[1:]
+        rank[:-1] = self.pair_inner[two]
+        last = ends[lens > 1] - 2
+        rank[last] = self.pair_final[two[last]]
         rank[ends - 1] = NONE
         starts = ends - lens
         done_sym, done_word = [], []

@@ -27,11 +27,11 @@ WORD = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[" + LETTERS + rb"]+|[" + DIGITS +
 LOWER = bytes(32 if c in (0x85, 0xA0) else c + 32 if 65 <= c <= 90 or 192 <= c <= 222 and c != 215 else c for c in range(256))
 
 
-class _Codes(dict):
-    """chunk -> code, numbering new chunks."""
+class Codes(dict):
+    """key -> code, numbering new keys."""
 
-    def __missing__(self, chunk: bytes) -> int:
-        code = self[chunk] = len(self)
+    def __missing__(self, key: bytes) -> int:
+        code = self[key] = len(self)
         return code
 
 
@@ -52,7 +52,7 @@ class WordEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.codes = _Codes()
+        self.codes = Codes()
         self.ids = np.zeros(1 << 16, np.int32)
         self.starts = np.zeros(1, np.int64)  # chunk code -> where its ids start; one more at the end
 
@@ -80,7 +80,7 @@ class WordEncoder:
 
     def _learn(self, new: list[bytes]) -> None:
         """Id lists for new chunks."""
-        code = _Codes()
+        code = Codes()
         found = [[code[w] for w in WORD.findall(c)] for c in new]
         ids, lens = self.word_ids(list(code))
         n_words = np.fromiter(map(len, found), np.int64, len(found))
