@@ -569,7 +569,7 @@ _W_FX = ("fx_history", "fx_hist_det", "fx_hist_object", "fx_user", "fx_study", "
 def _study(fx):
     """Versions of detections inside the study territory and a risk zone."""
     zones = layers.risk_layer(fx.fx_risk).unionByName(layers.box_layer(fx.fx_study, "zone_id"))
-    return workflow.study_scope(layers.box_layer(fx.fx_hist_det, "version_id"), zones, 900, [351, 352], CELL)
+    return workflow.study_scope(layers.box_layer(fx.fx_hist_det, "version_id"), zones, 900, [351, 352, 361], CELL)
 
 
 def _baseline(fx, scope=None):

@@ -36,7 +36,8 @@ select n_nationkey as geozone_id, n_name as name, n_regionkey as epci_id,
  (n_nationkey % 5)*200+200 as maxx, cast(floor(n_nationkey/5) as int)*200+200 as maxy
 from nation""",
     "fx_risk": """
-select * from (values (351,'L',0,0,600,600,300,300,600,600),(352,'O',500,500,1000,1000,650,650,850,850))
+select * from (values (351,'L',0,0,600,600,300,300,600,600),(352,'O',500,500,1000,1000,650,650,850,850),
+ (361,'O',100,650,450,1000,200,750,300,850))
  t(zone_id,shape,minx,miny,maxx,maxy,hx0,hy0,hx1,hy1)""",
     "fx_parcel": """
 with c as (select c_custkey, c_custkey % 1600 as k from customer)
