@@ -162,7 +162,7 @@ class Runner:
         z += self.t["bias"][mine.reshape(-1)]
         return hid, z
 
-    def class_logs(self, blocks: np.ndarray, target_class: np.ndarray, at_once: int = 64) -> np.ndarray:
+    def class_logs(self, blocks: np.ndarray, target_class: np.ndarray, at_once: int = 128) -> np.ndarray:
         """Natural-log probability of the class after each input of ``blocks``, which lie in the order of the texts.
 
         A window is a block and the one before it; a text's first block follows one of padding. So a block's keys and values are
@@ -203,12 +203,14 @@ class Runner:
         inputs = np.empty_like(target)
         inputs[1:] = target[:-1]
         inputs[starts] = t["slot"][end]
-        fine = t["inside"][inputs, target] + t["tail"][flat]
+        fine = np.take(t["inside"].reshape(-1), inputs.astype(np.int64) * t["inside"].shape[1] + target)
+        if (target == t["inside"].shape[1] - 1).any():  # ids outside the head
+            fine = fine + t["tail"][flat]
         per = -(-lens // STRIDE) + 1  # a block of padding, then the text's own
         row = np.repeat((np.cumsum(per) - per + 1) * STRIDE - starts, lens) + np.arange(len(flat))
-        blocks = np.full(int(per.sum()) * STRIDE, self.pad)
+        blocks = np.full(int(per.sum()) * STRIDE, self.pad, np.int32)
         blocks[row] = inputs
-        classes = np.zeros(len(blocks), np.int64)
+        classes = np.zeros(len(blocks), np.int32)
         classes[row] = t["group"][target]
         coarse = self.class_logs(blocks.reshape(-1, STRIDE), classes.reshape(-1, STRIDE)).reshape(-1)[row]
         return np.add.reduceat(fine.astype(np.float64) + coarse, starts) / np.log(10)
@@ -221,16 +223,15 @@ def gradients(params: dict[str, np.ndarray], tables: dict[str, np.ndarray], w: n
     mine = w[:, STRIDE:]
     s, total, v, o = r.attend(w)
     hid, z = r.logits(mine, o)
-    z -= z.max(1, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
+    np.exp(np.minimum(z, 80, out=z), out=z)
+    z /= (z @ np.ones((z.shape[1], 1), z.dtype))
     flat = classes.reshape(-1)
     valid = flat >= 0
     count = max(1, int(valid.sum()))
     at = np.flatnonzero(valid)
     loss = -float(np.log(np.maximum(z[at, flat[at]], 1e-30)).sum()) / count
     z[at, flat[at]] -= 1
-    z *= (valid / count).astype(np.float32)[:, None]
+    z *= (valid / count).astype(z.dtype)[:, None]
     g = {"out": hid.T @ z}
     dh = z @ p["out"].T
     dh *= hid > 0

@@ -51,6 +51,7 @@ BLOCK_DOCS = 4096
 BLOCK_TOKENS = 1_500_000
 PART_TOKENS = 6_000_000
 MOST_WORDS = 400_000
+MOST_PAIRS = 4_000_000
 
 ENCODED = (
     "doc_id long, text_hash long, train boolean, n_tokens long, ids binary, "
@@ -198,26 +199,35 @@ def bigram_counts(texts: DataFrame) -> DataFrame:
     """``(pair, n)`` over all rows of ``texts(ids)``: previous id * 65536 + next id, ends included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        held, size = [], 0
+        end = np.array([END], np.uint16)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        held, size, distinct = [], 0, 0
 
-        def add(sums):
-            end = np.array([END], np.uint16)
+        def add():
             flat = np.concatenate([x for one in held for x in (end, one)] + [end]).astype(np.uint32)
-            new = np.unique(flat[:-1] << np.uint32(16) | flat[1:], return_counts=True)
-            pair, where = np.unique(np.concatenate([sums[0], new[0]]), return_inverse=True)
             held.clear()
-            return pair, np.bincount(where, weights=np.concatenate([sums[1], new[1]])).astype(np.int64)
+            parts.append(np.unique(flat[:-1] << np.uint32(16) | flat[1:], return_counts=True))
+            return len(parts[-1][0])
+
+        def flush():
+            pair, where = np.unique(np.concatenate([p for p, _ in parts]), return_inverse=True)
+            n = np.bincount(where, weights=np.concatenate([c for _, c in parts])).astype(np.int64)
+            parts.clear()
+            return pa.RecordBatch.from_arrays([pa.array(pair.astype(np.int64)), pa.array(n)], ["pair", "n"])
 
         for b in batches:
             for x in b.column(0):
                 held.append(np.frombuffer(x.as_py(), np.uint16))
                 size += len(held[-1]) + 1
                 if size >= BLOCK_TOKENS:
-                    sums, size = add(sums), 0
+                    distinct, size = distinct + add(), 0
+                    if distinct > MOST_PAIRS:
+                        distinct = 0
+                        yield flush()
         if held:
-            sums = add(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(sums[0].astype(np.int64)), pa.array(sums[1])], ["pair", "n"])
+            add()
+        if parts:
+            yield flush()
 
     return texts.select("ids").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
 
@@ -242,23 +252,29 @@ def training_windows(texts: DataFrame, every: int = TRAIN_EVERY, rounds: int = R
     size, stride = attention.WINDOW, attention.STRIDE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            turn, key, ids = [], [], []
-            for doc, t, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                flat = np.concatenate([[END], np.frombuffer(x.as_py(), np.uint16), [END]]).astype(np.int64)
-                starts = np.arange(0, len(flat) - 1, stride)
-                mix = (np.uint64(t & (2**64 - 1)) ^ np.uint64((doc or 0) & (2**64 - 1))) + starts.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                mix ^= mix >> np.uint64(31)
-                mix *= np.uint64(0xBF58476D1CE4E5B9)
-                mix ^= mix >> np.uint64(33)
-                pick = mix % np.uint64(every) == 0
-                at = starts[pick, None] + np.arange(-stride, size - stride + 1)[None]
-                rows = np.where((at >= 0) & (at < len(flat)), flat[np.clip(at, 0, len(flat) - 1)], -1).astype(np.int32)
-                mix = mix[pick] // np.uint64(every)
-                turn += (mix % np.uint64(rounds)).astype(int).tolist()
-                key += (mix // np.uint64(rounds) % np.uint64(2**31)).astype(int).tolist()
-                ids += [r.tobytes() for r in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(turn, pa.int32()), pa.array(key, pa.int64()), pa.array(ids, pa.binary())], ["turn", "key", "ids"])
+        end = np.array([END], np.uint16)
+        for b in (x.slice(lo, 1000) for x in batches for lo in range(0, x.num_rows, 1000)):
+            texts = [np.frombuffer(x.as_py(), np.uint16) for x in b.column(2)]
+            flat = np.concatenate([y for x in texts for y in (end, x, end)])
+            lens = np.fromiter(map(len, texts), np.int64, len(texts)) + 2
+            first = np.cumsum(lens) - lens
+            per = -(-(lens - 1) // stride)
+            text = np.repeat(np.arange(len(texts)), per)
+            start = (np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per)) * stride
+            seed = b.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) ^ b.column(1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            mix = seed[text] + start.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            mix ^= mix >> np.uint64(31)
+            mix *= np.uint64(0xBF58476D1CE4E5B9)
+            mix ^= mix >> np.uint64(33)
+            pick = np.flatnonzero(mix % np.uint64(every) == 0)
+            at = start[pick, None] + np.arange(-stride, size - stride + 1)[None]
+            ok = (at >= 0) & (at < lens[text[pick], None])
+            rows = np.where(ok, flat[np.where(ok, at + first[text[pick], None], 0)].astype(np.int32), np.int32(-1))
+            mix = mix[pick] // np.uint64(every)
+            turn, key = (mix % np.uint64(rounds)).astype(np.int32), (mix // np.uint64(rounds) % np.uint64(2**31)).astype(np.int64)
+            width = rows.shape[1] * 4
+            ids = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(rows), [None, pa.py_buffer(np.ascontiguousarray(rows).tobytes())]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(turn), pa.array(key), ids], ["turn", "key", "ids"])
 
     return texts.select("doc_id", "text_hash", "ids").mapInArrow(run, "turn int, key long, ids binary")
 

@@ -96,7 +96,8 @@ class Merges:
         while len(sym):
             low = np.minimum.reduceat(rank, starts)
             over = low == NONE
-            if over.any():
+            n_over = int(over.sum())
+            if 4 * n_over >= len(over):  # finished words leave together
                 out = np.repeat(over, lens)
                 done_sym.append(sym[out])
                 done_word.append(word[out])
@@ -106,22 +107,27 @@ class Merges:
                 if not len(sym):
                     break
                 starts = np.cumsum(lens) - lens
+                n_over = 0
+            if n_over:
+                low[over] = -1  # matches no rank
             hits = np.flatnonzero(rank == np.repeat(low, lens))
             first = np.ones(len(hits), bool)
             first[1:] = word[hits[1:]] != word[hits[:-1]]
             at = hits[first]  # one a word, in the order of the words
-            sym[at] = self.into[low]
+            own = np.flatnonzero(low >= 0) if n_over else slice(None)
+            sym[at] = self.into[low[own]]
             stay = np.ones(len(sym), bool)
             stay[at + 1] = False
             at = at - np.arange(len(at))  # places after the removals
             sym, word, rank = sym[stay], word[stay], rank[stay]
-            lens = lens - 1
+            lens = lens.copy()
+            lens[own] -= 1
             starts = np.cumsum(lens) - lens
-            last = starts + lens - 1
+            begin, last = starts[own], (starts + lens - 1)[own]
             right = np.minimum(at + 1, len(sym) - 1)
             rank[at] = np.where(at < last, self._ranks(sym[at], sym[right]), NONE)
             left = np.maximum(at - 1, 0)
-            rank[left] = np.where(at > starts, self._ranks(sym[left], sym[at]), rank[left])
+            rank[left] = np.where(at > begin, self._ranks(sym[left], sym[at]), rank[left])
         sym, word = np.concatenate(done_sym), np.concatenate(done_word)
         order = np.argsort(word, kind="stable")
         return sym[order], np.bincount(word, minlength=n)
