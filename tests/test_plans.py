@@ -5,7 +5,9 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SMALL
 
-SPATIAL = ["S1_zone_tag", "S2_match_parcel", "S3_first_detection", "S8_parcels_at_risk"]
+SPATIAL = ["S1_zone_tag", "S1_zone_tag_clockwise", "S2_match_parcel", "S3_first_detection", "S5_outside_bounds", "S7_sync_zone_links", "S8_parcels_at_risk",
+           "S8_parcels_at_risk_by_config", "S9_prescribed_by_history", "S10_parcel_zone_flags", "S16_detections_in_risk", "C1_load_detections",
+           "P2_upsert_collectivities", "C15_deployment_by_department"]
 
 
 @pytest.mark.parametrize("key", SPATIAL)
@@ -16,6 +18,12 @@ def test_no_nested_loop_or_cartesian(spark, key):
     assert "CartesianProduct" not in plan
 
 
+def test_zone_tag_scans_the_features_once(spark):
+    plan = E.queries()["S1_zone_tag"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    # boxes need no kernel: its branch stands over an empty table
+    assert plan.count("FileScan parquet") == 1 and "LocalTableScan <empty>" in plan
+
+
 def test_cohort_report_scans_detections_once_per_pass(spark):
     df = E.queries()["C8_evolution_epci"](spark, SMALL)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
