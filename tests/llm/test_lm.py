@@ -150,3 +150,31 @@ def test_training_windows_follow_the_texts(spark, every):
     assert all(len(g) == attention.WINDOW + 1 for g in got)
     total = sum(-(-(len(x) + 1) // attention.STRIDE) for x in ids)
     assert len(got) == total if every == 1 else 0 < len(got) < total
+
+
+@pytest.mark.parametrize("texts", [3, 400])
+def test_every_window_is_trained_once_at_every_size(spark, monkeypatch, tmp_path, texts):
+    monkeypatch.setattr(lm, "WORKER_WINDOWS", 8)
+    monkeypatch.setattr(lm, "LEAST_WINDOWS", 100, raising=False)  # where a smaller share of the windows began
+    real, folder = lm._train, str(tmp_path)
+
+    def seen(*args):
+        run = real(*args)
+
+        def noted(group):
+            got = run(group)
+            with open(f"{folder}/{args[3]}-{got['worker'].iloc[0]}", "wb") as f:
+                f.write(b"".join(np.frombuffer(x, np.uint16 if len(x) == 2 * attention.WINDOW + 2 else np.int32).astype(np.int32).tobytes() for x in group["ids"]))
+            return got
+
+        return noted
+
+    monkeypatch.setattr(lm, "_train", seen)
+    rng = np.random.default_rng(0)
+    ids = [rng.integers(0, 300, 100 + i % 60).astype(np.uint16) for i in range(texts)]
+    df = spark.createDataFrame([(i, i * 1000003, bytearray(x.tobytes())) for i, x in enumerate(ids)], "doc_id long, text_hash long, ids binary").cache()
+    lm.fit(df, rounds=2, head=64)
+    trained = np.concatenate([np.frombuffer(p.read_bytes(), np.int32).reshape(-1, attention.WINDOW + 1) for p in tmp_path.iterdir()])
+    trained = np.where(trained == 0xFFFF, -1, trained)
+    want = np.stack([np.frombuffer(r["ids"], np.int32) for r in lm.training_windows(df, 1).collect()])
+    assert sorted(map(tuple, trained)) == sorted(map(tuple, want))

@@ -6,9 +6,8 @@
 * The model works on subword ids: each word, with a space before it, by the merges of a public byte-level vocabulary.
   Bigram counts over all training texts give its prior tables (bounded by ``attention.HEAD`` squared). Its weights are trained in
   rounds: in each round every worker runs Adam over its own windows, starting from the common weights, which are then
-  averaged. Of every training text one window in ``TRAIN_EVERY`` is trained on, picked by a hash, so training grows with the
-  corpus and is spread over all of it. A corpus of fewer than ``TRAIN_EVERY * LEAST_WINDOWS`` windows gives more of them, and
-  one of fewer than ``LEAST_WINDOWS`` repeats them in each round, at most ``MOST_PASSES`` times.
+  averaged. Every window of every training text is trained on exactly once, whatever the size of the corpus: a hash deals it to
+  a round and a worker. Windows are cut again in each round and never stored.
 * Scoring runs over overlapping windows: each id is predicted once, with at least half a window of context before it where
   the text has it, in batches with one causal mask.
 
@@ -39,14 +38,12 @@ from vigie.llm.wordbpe import Codes
 END = 50256
 VOCAB = 50257
 END_WORD = xxhash.xxh3_64_intdigest(b" end")  # no word holds a space
-TRAIN_EVERY = 16
-LEAST_WINDOWS = 60_000
-MOST_PASSES = 3
 ROUNDS = 6
 RATE = 0.01
-#: Windows a worker takes per round at least, and the most workers there are.
+#: Windows a worker takes per round at least; from ``MANY_WORKERS`` on workers take more, up to ``MOST_WINDOWS`` on average.
 WORKER_WINDOWS = 2048
-MOST_WORKERS = 256
+MANY_WORKERS = 256
+MOST_WINDOWS = 1 << 17
 BLOCK_DOCS = 4096
 BLOCK_TOKENS = 1_500_000
 PART_TOKENS = 6_000_000
@@ -247,8 +244,11 @@ def prior_tables(pairs: DataFrame, head: int = attention.HEAD) -> dict[str, np.n
     return attention.prior(rows["prev"].to_numpy() * 65536 + rows["next"].to_numpy(), rows["n"].to_numpy(), VOCAB, END, head)
 
 
-def training_windows(texts: DataFrame, every: int = TRAIN_EVERY, rounds: int = ROUNDS) -> DataFrame:
-    """``(turn, key, ids)`` of the windows picked from ``texts(text_hash, doc_id, ids)``; ``ids`` is packed int32, -1 pads."""
+def training_windows(texts: DataFrame, every: int = 1, rounds: int = ROUNDS, only: int | None = None, kind: type = np.int32) -> DataFrame:
+    """``(turn, key, ids)`` of the windows of ``texts(text_hash, doc_id, ids)``; ``ids`` is packed ``kind``, -1 pads.
+
+    ``every``: one window in so many; ``only``: the windows of one turn.
+    """
     size, stride = attention.WINDOW, attention.STRIDE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,13 +266,14 @@ def training_windows(texts: DataFrame, every: int = TRAIN_EVERY, rounds: int = R
             mix ^= mix >> np.uint64(31)
             mix *= np.uint64(0xBF58476D1CE4E5B9)
             mix ^= mix >> np.uint64(33)
-            pick = np.flatnonzero(mix % np.uint64(every) == 0)
+            turns = (mix // np.uint64(every) % np.uint64(rounds)).astype(np.int32)
+            pick = np.flatnonzero((mix % np.uint64(every) == 0) & (True if only is None else turns == only))
             at = start[pick, None] + np.arange(-stride, size - stride + 1)[None]
             ok = (at >= 0) & (at < lens[text[pick], None])
-            rows = np.where(ok, flat[np.where(ok, at + first[text[pick], None], 0)].astype(np.int32), np.int32(-1))
+            rows = np.where(ok, flat[np.where(ok, at + first[text[pick], None], 0)].astype(np.int32), np.int32(-1)).astype(kind)
             mix = mix[pick] // np.uint64(every)
-            turn, key = (mix % np.uint64(rounds)).astype(np.int32), (mix // np.uint64(rounds) % np.uint64(2**31)).astype(np.int64)
-            width = rows.shape[1] * 4
+            turn, key = turns[pick], (mix // np.uint64(rounds) % np.uint64(2**31)).astype(np.int64)
+            width = rows.shape[1] * rows.itemsize
             ids = pa.FixedSizeBinaryArray.from_buffers(pa.binary(width), len(rows), [None, pa.py_buffer(np.ascontiguousarray(rows).tobytes())]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(turn), pa.array(key), ids], ["turn", "key", "ids"])
 
@@ -297,22 +298,19 @@ def _mean(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"n": [int(weight.sum())], "loss": [float((group["loss"] * weight).sum() / weight.sum())], "params": [_packed(mean)]})
 
 
-def fit(texts: DataFrame, every: int = TRAIN_EVERY, rounds: int = ROUNDS, rate: float = RATE, head: int = attention.HEAD) -> tuple[dict, dict, list[float]]:
+def fit(texts: DataFrame, rounds: int = ROUNDS, rate: float = RATE, head: int = attention.HEAD) -> tuple[dict, dict, list[float]]:
     """Weights, prior tables and the mean loss of each round, from ``texts(doc_id, text_hash, ids)``."""
     tables = prior_tables(stored(bigram_counts(texts), "pairs"), head)
-    total = texts.agg(F.sum(F.ceil(F.octet_length("ids") / (2 * attention.STRIDE)))).first()[0] or 0
-    rows = stored(training_windows(texts, max(1, min(every, total // LEAST_WINDOWS)), rounds), "windows")
-    picked = rows.count()
-    workers = max(1, min(MOST_WORKERS, picked // (rounds * WORKER_WINDOWS)))
-    passes = max(1, min(MOST_PASSES, LEAST_WINDOWS // max(picked, 1)))
+    total = texts.agg(F.sum(F.ceil((F.octet_length("ids") / 2 + 1) / attention.STRIDE))).first()[0] or 0
+    workers = max(1, min(MANY_WORKERS, total // (rounds * WORKER_WINDOWS)), -(-total // (rounds * MOST_WINDOWS)))
     params, losses = attention.init(tables), []
     context = texts.sparkSession.sparkContext
     shared_tables = context.broadcast(tables)
     for turn in range(rounds):
         shared = context.broadcast(params)
         lr = rate * (1 - turn / (rounds + 1))
-        own = rows.where(F.col("turn") == turn).withColumn("worker", F.col("key") % workers)
-        done = own.select("worker", "ids").groupBy("worker").applyInPandas(_train(shared, shared_tables, lr, turn, passes), "worker long, n long, loss double, params binary")
+        own = training_windows(texts, rounds=rounds, only=turn, kind=np.uint16).withColumn("worker", F.col("key") % workers)
+        done = own.select("worker", "ids").groupBy("worker").applyInPandas(_train(shared, shared_tables, lr, turn), "worker long, n long, loss double, params binary")
         # averaged in two steps, so the driver gets a few weights however many workers there are
         part = done.groupBy(F.col("worker") % 16).applyInPandas(_mean, "n long, loss double, params binary").toPandas()
         shared.unpersist()
@@ -322,10 +320,11 @@ def fit(texts: DataFrame, every: int = TRAIN_EVERY, rounds: int = ROUNDS, rate:
     return params, tables, losses
 
 
-def _train(shared, tables, rate: float, seed: int, passes: int):
+def _train(shared, tables, rate: float, seed: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        rows = np.stack([np.frombuffer(x, np.int32) for x in sorted(group["ids"])])
-        params, loss = attention.train(shared.value, tables.value, np.tile(rows, (passes, 1)), rate, seed=seed)
+        rows = np.stack([np.frombuffer(x, np.uint16) for x in sorted(group["ids"])]).astype(np.int32)
+        rows[rows == 0xFFFF] = -1  # no id is that large
+        params, loss = attention.train(shared.value, tables.value, rows, rate, seed=seed)
         return pd.DataFrame({"worker": group["worker"].iloc[:1], "n": [len(rows)], "loss": [loss], "params": [_packed(params)]})
 
     return run
