@@ -93,3 +93,20 @@ def test_query_accuracy_on_held_out_rows(spark):
     got = op5.query(spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out")
     right, n = got.agg(F.sum((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
     assert n > 20 and right >= 0.95 * n
+
+
+def test_every_top_context_is_held(spark):
+    """More contexts than any cap had; those of a small language beside a large one are coded by the definition."""
+    rng = random.Random(4)
+    alphabet = "abcdefghijklmnopqrstuvwxyz0123456789"
+    large = ["".join(rng.choice(alphabet) for _ in range(3000)) for _ in range(12)]
+    small = ["qxz zqx xzq qzx " * 3]
+    df = spark.createDataFrame([(t, "large") for t in large] + [(t, "small") for t in small], "text string, lang string")
+    counts = langid.gram_counts(df)
+    contexts = {int(r["c"]).to_bytes(3, "big") for r in counts.select(F.shiftright("gram", 8).alias("c")).distinct().collect()}
+    assert len(contexts) > 16384
+    model = langid.fit(counts)
+    train = {"large": [t.encode() for t in large], "small": [t.encode() for t in small]}
+    for t in (b"qxz zqx xzq", large[5][100:160].encode(), b"qqq!zz"):
+        want = brute_bits(train, t, contexts)
+        assert np.allclose(langid.code_lengths(model, [t])[0], [want[x] for x in model.langs], rtol=1e-5, atol=1e-3), t

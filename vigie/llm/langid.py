@@ -6,9 +6,9 @@ are counted once, over all training documents, and then frozen. A byte seen in a
 in proportion to their probability in the next shorter context, without those seen (exclusion). So the probabilities of a
 context add up to one and code lengths are exact. Below order 0 stands the uniform code over 256 bytes.
 
-Which contexts of the top order the trees hold is decided by their count over all languages: the ``MAX_CONTEXTS`` most
-frequent. That bounds the model (contexts x bytes x languages), which is the only thing sent to every task; orders below
-the top are complete.
+The trees hold every context of every order. The top order is kept as the grams that occur (a code length per language) and
+the contexts that occur (an escape length per language), so the model, which is the only thing sent to every task, grows with
+the distinct grams of the training documents and not with their number. The driver builds it in one piece.
 
 A document's language is the one with the shortest code. ``score`` is its share of the posterior under equal priors.
 Null text or text without a letter: ``und`` with score 0. An empty training set predicts ``und`` for every row. Null
@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from vigie.llm.common import stored
 
 ORDER = 3
-MAX_CONTEXTS = 1 << 12
 #: Bytes counted or coded at once in a task, and distinct grams a task holds before it hands them on.
 CHUNK = 1 << 20
 MOST_HELD = 1 << 20
@@ -110,26 +109,53 @@ def gram_counts(train: DataFrame, text: str = "text", lang: str = "lang") -> Dat
 
 @dataclass
 class Model:
-    """``node[c3, c2, c1]`` is the row of the longest context held; ``bits[row, byte, lang]`` its code lengths."""
+    """``bits[row, byte, lang]`` are the code lengths below the top order, ``node[c2, c1]`` the row of a context.
+
+    ``grams`` (sorted, as ``((c3 * width + c2) * width + c1) * width + byte``) and ``contexts`` (sorted, without the byte) are
+    those seen in any language. ``seen[gram, lang]`` is the code length in the top order; a byte not seen after a context costs
+    ``escape[context, lang]`` more than below (0 where the language does not know the context).
+    """
 
     langs: list[str]
     alphabet: np.ndarray  # byte -> index; bytes never seen share the last index
     node: np.ndarray
     bits: np.ndarray
     width: int
-
-
-def fit(counts: DataFrame, max_contexts: int = MAX_CONTEXTS) -> Model:
-    """The frozen model from ``(lang, gram, n)``.
-
-    The driver gets the counts below the held contexts of the top order only (at most ``max_contexts`` contexts) and the
-    sums of all others by their shorter context, which the number of distinct byte triples bounds.
+    grams: np.ndarray
+    seen: np.ndarray
+    contexts: np.ndarray
+    escape: np.ndarray
+
+    def lengths(self, above: np.ndarray, sym: np.ndarray) -> np.ndarray:
+        """Bits of each ``sym`` after its context ``above`` under every language."""
+        row = self.node[above % (self.width * self.width)].astype(np.int64)
+        out = self.bits.reshape(-1, len(self.langs))[row * self.width + sym]
+        if not len(self.grams):
+            return out
+        gram = above * self.width + sym
+        at = np.minimum(np.searchsorted(self.grams, gram), len(self.grams) - 1)
+        hit = self.grams[at] == gram
+        out[hit] = self.seen[at[hit]]
+        miss = np.flatnonzero(~hit)
+        at = np.minimum(np.searchsorted(self.contexts, above[miss]), len(self.contexts) - 1)
+        known = self.contexts[at] == above[miss]
+        out[miss[known]] += self.escape[at[known]]
+        return out
+
+
+def fit(counts: DataFrame, max_contexts: int | None = None) -> Model:
+    """The frozen model from ``(lang, gram, n)``; ``max_contexts`` holds only so many contexts of the top order (None: all).
+
+    The driver gets a row per distinct gram of a language, and the sums by the shorter context.
     """
     counts = stored(counts, "grams")
-    ctx = F.shiftright("gram", 8)
-    top = counts.groupBy(ctx.alias("ctx")).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "ctx").limit(max_contexts)
-    top = stored(top.select("ctx"), "contexts")
-    held = counts.withColumn("ctx", ctx).join(F.broadcast(top), "ctx").select("lang", "gram", "n").toPandas()
+    held = counts
+    if max_contexts is not None:
+        ctx = F.shiftright("gram", 8)
+        top = counts.groupBy(ctx.alias("ctx")).agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "ctx").limit(max_contexts)
+        top = stored(top.select("ctx"), "contexts")
+        held = counts.withColumn("ctx", ctx).join(F.broadcast(top), "ctx")
+    held = held.select("lang", "gram", "n").toPandas()
     lower = counts.groupBy("lang", F.col("gram").bitwiseAND(0xFFFFFF).alias("gram")).agg(F.sum("n").alias("n")).toPandas()
     return _build(held, lower)
 
@@ -137,7 +163,7 @@ def fit(counts: DataFrame, max_contexts: int = MAX_CONTEXTS) -> Model:
 def _build(held, lower) -> Model:
     langs = sorted(lower["lang"].unique())
     if not langs:
-        return Model([], np.zeros(256, np.int64), np.zeros(0, np.int32), np.zeros((0, 0, 0), np.float32), 0)
+        return Model([], np.zeros(256, np.int64), np.zeros(0, np.int32), np.zeros((0, 0, 0), np.float32), 0, np.zeros(0, np.int64), np.zeros((0, 0), np.float32), np.zeros(0, np.int64), np.zeros((0, 0), np.float32))
     g = lower["gram"].to_numpy()
     seen = np.unique(np.concatenate([g & 255, g >> 8 & 255, g >> 16 & 255, [0]]))
     width = len(seen) + 1
@@ -176,22 +202,34 @@ def _build(held, lower) -> Model:
     c2 = np.zeros((n_lang, len(pairs), width), np.float64)
     np.add.at(c2, (lg, where, b[0]), n)
     p2 = blend(c2, p1[:, pairs % width])
-    h, m, hl = cols(held)
     row2 = np.full(width * width, -1, np.int64)
     row2[pairs] = np.arange(len(pairs))
-    triples, where = np.unique((h[3] * width + h[2]) * width + h[1], return_inverse=True)
-    c3 = np.zeros((n_lang, len(triples), width), np.float64)
-    np.add.at(c3, (hl, where, h[0]), m)
-    p3 = blend(c3, p2[:, row2[triples % (width * width)]])
-    prob = np.concatenate([p1, p2, p3], axis=1)  # rows: order 1, order 2, order 3
+    # the top order: only what occurs, a gram in one language needs its length in all of them
+    h, m, hl = cols(held)
+    gram, gram_at = np.unique(((h[3] * width + h[2]) * width + h[1]) * width + h[0], return_inverse=True)
+    context, context_at = np.unique(gram // width, return_inverse=True)
+    c3 = np.zeros((len(gram), n_lang))
+    np.add.at(c3, (gram_at, hl), m)
+    below = p2[:, row2[gram // width % (width * width)], gram % width].T
+    hit = c3 > 0
+    total, distinct, used = (np.zeros((len(context), n_lang)) for _ in range(3))
+    for sums, x in ((total, c3), (distinct, hit), (used, np.where(hit, below, 0))):
+        np.add.at(sums, context_at, x)
+    rest = 1 - used
+    full = rest <= 1e-12
+    denom = np.maximum(total + np.where(full, 0, distinct), 1e-300)
+    escape = np.where(total > 0, np.where(full, 0, distinct / denom / np.maximum(rest, 1e-300)), 1)
+    p3 = np.where(hit, c3 / denom[context_at], escape[context_at] * below)
+    last = gram % width == width - 1
+    p3[last] /= max(unseen, 1)
+    prob = np.concatenate([p1, p2], axis=1)  # rows: order 1, order 2
     prob[..., -1] /= max(unseen, 1)  # one of the bytes behind the last index
-    bits = -np.log2(np.maximum(prob, 1e-30)).transpose(1, 2, 0).astype(np.float32)
-    node = np.empty((width, width, width), np.int32)
-    node[:] = np.arange(width)[None, None, :]
-    two = np.where(row2 >= 0, width + row2, -1).reshape(width, width)
-    node[:] = np.where(two >= 0, two, np.arange(width)[None, :])[None]
-    node.reshape(-1)[triples] = width + len(pairs) + np.arange(len(triples))
-    return Model(langs, alphabet, node.reshape(-1), np.ascontiguousarray(bits), width)
+
+    def length(p: np.ndarray) -> np.ndarray:
+        return -np.log2(np.maximum(p, 1e-30)).astype(np.float32)
+
+    node = np.where(row2 >= 0, width + row2, np.arange(width * width) % width).astype(np.int32)
+    return Model(langs, alphabet, node, np.ascontiguousarray(length(prob.transpose(1, 2, 0))), width, gram, length(p3), context, length(escape))
 
 
 def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
@@ -218,8 +256,7 @@ def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
                 for j in range(k):
                     p = own + j
                     ctx[k - 1, p[(p >= 0) & (p < len(sym))]] = zero
-            row = model.node[(ctx[2] * model.width + ctx[1]) * model.width + ctx[0]]
-            bits = model.bits.reshape(-1, len(model.langs))[row.astype(np.int64) * model.width + sym][at - begin :]
+            bits = model.lengths((ctx[2] * model.width + ctx[1]) * model.width + ctx[0], sym)[at - begin :]
             inside = np.flatnonzero(lens > 0)
             inside = inside[(starts[inside] < end) & (starts[inside] + lens[inside] > at)]
             if len(inside) and len(bits):
