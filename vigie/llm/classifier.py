@@ -22,7 +22,9 @@ gives no rows.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 from itertools import islice
 
 import numpy as np
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 
 from vigie.llm.common import stored
 from vigie.llm.wordbpe import Codes
+from vigie.session import ensure_checkpoint_dir
 
 BITS = 18
 WORKERS = 8
@@ -49,7 +52,7 @@ SAME = np.uint64(xxhash.xxh3_64_intdigest(b" same"))  # no token holds a space
 ODD, PAIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 CHUNK_BYTES = 1 << 20
 MOST_TOKENS = 400_000
-TRAIN = "part int, turn long, places binary, counts binary, target double"
+TRAIN = "turn long, n int, gaps binary, counts binary, target double, part int"
 STATE = "span int, places binary, z binary, n binary"
 SPAN_BITS = 14
 
@@ -99,6 +102,16 @@ class Features:
         return (keys & ((1 << self.bits) - 1)).astype(np.int32), counts.astype(np.int32), ends
 
 
+def narrow(x: np.ndarray) -> bytes:
+    """Whole numbers in the fewest bytes each (1, 2 or 4) that hold the largest."""
+    most = x.max(initial=0)
+    return x.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32).tobytes()
+
+
+def widen(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, {1: np.uint8, 2: np.uint16, 4: np.uint32}[len(data) // n if n else 1]).astype(np.int64)
+
+
 def values(counts: np.ndarray) -> np.ndarray:
     return SCALE * np.sqrt(counts / counts.sum()) if len(counts) else np.zeros(0)
 
@@ -146,24 +159,35 @@ def training_rows(docs: DataFrame, labels: DataFrame, train: Column, doc_id: str
     chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")  # at most about ``most`` ids
     rows = rows.dropDuplicates(["doc_id", "text"])
-    rows = rows.select(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(WORKERS)).cast("int"), F.xxhash64("doc_id", "text"), F.col("text").cast("binary"), "target")
+    rows = rows.select(F.xxhash64("doc_id", "text"), F.col("text").cast("binary"), "target", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(WORKERS)).cast("int"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(bits)
         for b in batches:
-            texts = [t.as_py() or b"" for t in b.column(2)]
+            texts = [t.as_py() or b"" for t in b.column(1)]
             for lo, hi in chunks(texts):
                 places, counts, ends = features(texts[lo:hi])
                 cut = list(zip(ends, ends[1:]))
-                cols = [b.column(k).slice(lo, hi - lo) for k in (0, 1, 3)]
-                packed = [pa.array([v[i:j].tobytes() for i, j in cut], pa.binary()) for v in (places, counts)]
-                yield pa.RecordBatch.from_arrays([*cols[:2], *packed, cols[2]], [c.split()[0] for c in TRAIN.split(", ")])
+                turn, target, part = (b.column(k).slice(lo, hi - lo) for k in (0, 2, 3))
+                gaps = pa.array([narrow(np.diff(places[i:j], prepend=0)) for i, j in cut], pa.binary())
+                counts = pa.array([narrow(counts[i:j]) for i, j in cut], pa.binary())
+                cols = [turn, pa.array(np.diff(ends).astype(np.int32)), gaps, counts, target, part]
+                yield pa.RecordBatch.from_arrays(cols, [c.split()[0] for c in TRAIN.split(", ")])
+
+    return rows.mapInArrow(run, TRAIN)
+
 
-    return stored(rows.mapInArrow(run, TRAIN), "features")
+def dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` stored by part, in hashed order; each part becomes one partition, so no round shuffles them again."""
+    spark = rows.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vigie-llm/features-{uuid.uuid4().hex}"
+    rows.repartition(WORKERS, "part").sortWithinPartitions("part", "turn").write.partitionBy("part").parquet(path)
+    back = spark.read.schema(rows.schema).parquet(path)
+    return reduce(DataFrame.union, [back.where(F.col("part") == k).coalesce(1) for k in range(WORKERS)])
 
 
-def one_round(rows: DataFrame, state: Leader, bits: int) -> Leader:
-    """Every part goes on from ``state``; the mean of the parts, coordinate by coordinate."""
+def one_round(rows: DataFrame, state: Leader) -> Leader:
+    """Every part (a partition of ``rows``) goes on from ``state``; the mean of the parts, coordinate by coordinate."""
     shared = rows.sparkSession.sparkContext.broadcast((state.z, state.n))
 
     def out(own: Leader) -> pa.RecordBatch:
@@ -171,18 +195,15 @@ def one_round(rows: DataFrame, state: Leader, bits: int) -> Leader:
         span = touched >> SPAN_BITS
         cuts = np.searchsorted(span, np.arange(int(span[-1]) + 2 if len(span) else 1))
         parts = [(k, touched[a:b].astype(np.int32)) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
-        cols = [[k for k, _ in parts], [p.tobytes() for _, p in parts], [own.z[p].tobytes() for _, p in parts], [own.n[p].tobytes() for _, p in parts]]
+        cols = [[k for k, _ in parts], [p.tobytes() for _, p in parts], [own.z[p].astype(np.float32).tobytes() for _, p in parts], [own.n[p].astype(np.float32).tobytes() for _, p in parts]]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], ["span", "places", "z", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, own = None, None
+        own = None
         for b in batches:
-            for k, places, counts, target in zip(b.column(0).to_pylist(), b.column(2), b.column(3), b.column(4).to_pylist()):
-                if k != part:
-                    if own is not None:
-                        yield out(own)
-                    part, own = k, Leader(*shared.value)
-                own.learn(np.frombuffer(places.as_py(), np.int32), values(np.frombuffer(counts.as_py(), np.int32)), target)
+            for n, gaps, counts, target in zip(b.column(1).to_pylist(), b.column(2), b.column(3), b.column(4).to_pylist()):
+                own = own or Leader(*shared.value)
+                own.learn(np.cumsum(widen(gaps.as_py(), n)), values(widen(counts.as_py(), n)), target)
         if own is not None:
             yield out(own)
 
@@ -190,12 +211,11 @@ def one_round(rows: DataFrame, state: Leader, bits: int) -> Leader:
         places = np.concatenate([np.frombuffer(x, np.int32) for x in group["places"]])
         at, inverse = np.unique(places, return_inverse=True)
         met = np.bincount(inverse)
-        z, n = (np.bincount(inverse, weights=np.concatenate([np.frombuffer(x) for x in group[c]])) / met for c in ("z", "n"))
+        z, n = (np.bincount(inverse, weights=np.concatenate([np.frombuffer(x, np.float32) for x in group[c]])) / met for c in ("z", "n"))
         return pd.DataFrame({"span": [group["span"].iloc[0]], "places": [at.astype(np.int32).tobytes()], "z": [z.tobytes()], "n": [n.tobytes()]})
 
-    ordered = rows.repartition(WORKERS, "part").sortWithinPartitions("part", "turn")
     merged = Leader(state.z, state.n)
-    for r in ordered.mapInArrow(run, STATE).groupBy("span").applyInPandas(mean, STATE).collect():  # at most 2 ** BITS + 1 places
+    for r in rows.mapInArrow(run, STATE).groupBy("span").applyInPandas(mean, STATE).collect():  # at most 2 ** BITS + 1 places
         at = np.frombuffer(r["places"], np.int32)
         merged.z[at], merged.n[at] = np.frombuffer(r["z"]), np.frombuffer(r["n"])
     shared.unpersist()
@@ -204,10 +224,11 @@ def one_round(rows: DataFrame, state: Leader, bits: int) -> Leader:
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, doc_id: str = "doc_id", text: str = "text", target: str = "quality", bits: int = BITS, rounds: int | None = None, most: int = MOST_LABELLED) -> np.ndarray:
     """Weights learned from the labelled rows for which ``train`` (a condition on ``doc_id``) holds; the bias is the last."""
-    rows = training_rows(docs, labels, F.lit(True) if train is None else F.coalesce(train, F.lit(False)), doc_id, text, target, bits, most)
+    train = F.lit(True) if train is None else F.coalesce(train, F.lit(False))
+    rows = dealt(training_rows(docs, labels, train, doc_id, text, target, bits, most))
     state = Leader.blank(bits)
     for _ in range(rounds or ROUNDS):
-        state = one_round(rows, state, bits)
+        state = one_round(rows, state)
     return state.weights()
 
 
