@@ -89,6 +89,14 @@ def test_odd_labels_and_repeated_rows(spark):
     assert sorted(r["target"] for r in rows) == [0.5, 1.0]
 
 
+def test_each_part_is_a_partition(spark):
+    docs = spark.range(400).selectExpr("id as doc_id", "concat('word', id) as text")
+    rows = classifier.training_rows(docs, docs.selectExpr("doc_id", "1 as quality"), F.lit(True), "doc_id", "text", "quality", 18, 1000)
+    parts = classifier.dealt(rows).groupBy(F.spark_partition_id()).agg(F.collect_set("part").alias("p"), F.count("*").alias("n")).collect()
+    assert sorted(p for r in parts for p in r["p"]) == list(range(classifier.WORKERS)) and len(parts) == classifier.WORKERS
+    assert sum(r["n"] for r in parts) == 400
+
+
 def test_sample_bound(spark):
     docs = spark.range(4000).selectExpr("id as doc_id", "concat('word', id) as text")
     labels = docs.selectExpr("doc_id", "1 as quality")

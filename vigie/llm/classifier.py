@@ -183,7 +183,8 @@ def dealt(rows: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vigie-llm/features-{uuid.uuid4().hex}"
     rows.repartition(WORKERS, "part").sortWithinPartitions("part", "turn").write.partitionBy("part").parquet(path)
     back = spark.read.schema(rows.schema).parquet(path)
-    return reduce(DataFrame.union, [back.where(F.col("part") == k).coalesce(1) for k in range(WORKERS)])
+    # Spark lays single partitions of a union upon each other, into one task; a leg of another kind (no such part) keeps them apart
+    return reduce(DataFrame.union, [back.where(F.col("part") == k).coalesce(1) for k in range(WORKERS)], back.where("part < 0"))
 
 
 def one_round(rows: DataFrame, state: Leader) -> Leader:
