@@ -118,6 +118,23 @@ def test_base_matches_brute_force(docs, rows):
     assert on is not None
 
 
+def test_base_of_a_file_stored_twice(spark, tmp_path):
+    rows = [(i, f"a{i} b c{i % 3}") for i in range(1, 21)]
+    for name in ("one", "two"):  # two tasks hold the same rows in the same order
+        spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/{name}")
+    df = spark.read.parquet(f"{tmp_path}/one").union(spark.read.parquet(f"{tmp_path}/two"))
+    every = lm.encoded(df, PATH, lm.crc_mod("doc_id", 7) != 2, 4).cache()
+    held = [(i, t) for i, t in rows * 2]
+    train = Counter(w for i, t in held if zlib.crc32(str(i).encode()) % 7 != 2 for w in tokens(t))
+    n, v = sum(train.values()), len(train)
+    got = {r["doc_id"]: r for r in lm.base_scores(every.where("part is not null").select("part", "block", "words", "times", "who")).collect()}
+    for i, t in rows:
+        own = tokens(t)
+        r = got[i]
+        assert r["train_tokens"] == n and r["n_known"] == sum(train[w] > 0 for w in own)
+        assert r["log_sum"] - len(own) * r["log_all"] == pytest.approx(sum(math.log10((train[w] + 1) / (n + v + 1)) for w in own))
+
+
 def test_empty_and_untrained(spark, docs, empty):
     assert lm.lm_scores(empty, PATH, rounds=1).count() == 0
     few = docs.where("doc_id in (1, 103)")

@@ -21,12 +21,13 @@ from __future__ import annotations
 import hashlib
 import io
 from collections.abc import Iterator
-from itertools import islice
+from itertools import count, islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -105,9 +106,10 @@ def encoded(df: DataFrame, path: str, train, parts: int, doc_id: str = "doc_id",
             cols[first + k] = pa.array([v[k] for v in values], types[first + k])
         return pa.RecordBatch.from_arrays(cols, names)
 
-    def deal(keys: list[tuple], held: list[tuple]) -> pa.RecordBatch:
+    def deal(keys: list[tuple], held: list[tuple], numbers: Iterator[int]) -> pa.RecordBatch:
         docs = np.array(keys, np.int64).tobytes()
-        block = int.from_bytes(hashlib.blake2b(docs, digest_size=8).digest(), "little", signed=True)
+        at = np.array([TaskContext.get().partitionId(), next(numbers)], np.int64).tobytes()  # equal blocks of two tasks stay apart
+        block = int.from_bytes(hashlib.blake2b(at + docs, digest_size=8).digest(), "little", signed=True)
         lens = np.fromiter((len(h) for h, _ in held), np.int64, len(held))
         word, times = (np.concatenate(x) for x in zip(*held))
         who = np.repeat(np.arange(len(held), dtype=np.uint16), lens)
@@ -121,6 +123,7 @@ def encoded(df: DataFrame, path: str, train, parts: int, doc_id: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(path)
+        numbers = count()
         keys: list[tuple] = []
         held: list[tuple] = []
         size = 0
@@ -138,11 +141,11 @@ def encoded(df: DataFrame, path: str, train, parts: int, doc_id: str = "doc_id",
                 held.append((np.append(words.hash[own], np.uint64(END_WORD)), times if on else -times))
                 size += len(times)
                 if len(keys) >= BLOCK_DOCS or size >= BLOCK_TOKENS:
-                    yield deal(keys, held)
+                    yield deal(keys, held, numbers)
                     keys, held, size = [], [], 0
             yield rows(out, 0)
         if keys:
-            yield deal(keys, held)
+            yield deal(keys, held, numbers)
 
     return df.select(F.col(doc_id).cast("long"), F.col(text).cast("binary"), F.coalesce(train, F.lit(True))).mapInArrow(run, ENCODED)
 
