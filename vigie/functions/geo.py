@@ -92,6 +92,60 @@ def is_rect(rings: str = "rings") -> Column:
     )
 
 
+TRAPEZOIDS_TYPE = "array<struct<x0:double,x1:double,b0:double,b1:double,t0:double,t1:double>>"
+
+
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with ``value`` worked out once."""
+    return F.transform(F.array(value), then)[0]
+
+
+def trapezoids(rings: str = "rings") -> Column:
+    """The polygon as disjoint trapezoids with vertical sides: array of (x0, x1, bottom at x0, at x1, top at x0, at x1).
+
+    Slabs between neighbouring vertex abscissas; in a slab the edges that span it, sorted by height, pair up (even-odd). Rings must
+    not cross. A polygon without area gives its segments as flat trapezoids, so contact with it can still be seen.
+    """
+    none = F.array().cast(TRAPEZOIDS_TYPE)
+
+    def edge(p: Column, q: Column) -> Column:
+        lo, hi = F.when(p["x"] <= q["x"], p).otherwise(q), F.when(p["x"] <= q["x"], q).otherwise(p)
+        return F.struct(lo["x"].alias("xl"), lo["y"].alias("yl"), hi["x"].alias("xr"), hi["y"].alias("yr"))
+
+    def at(e: Column, x: Column) -> Column:
+        inside = e["yl"] + (e["yr"] - e["yl"]) * ((x - e["xl"]) / (e["xr"] - e["xl"]))
+        return F.when(e["xl"] == x, e["yl"]).when(e["xr"] == x, e["yr"]).otherwise(inside)
+
+    def paired(lines: Column, x0: Column, x1: Column) -> Column:
+        def piece(j: Column) -> Column:
+            low, high = lines[j * 2 - 2], lines[j * 2 - 1]
+            return F.struct(x0.alias("x0"), x1.alias("x1"), low["y0"].alias("b0"), low["y1"].alias("b1"), high["y0"].alias("t0"), high["y1"].alias("t1"))
+
+        pieces = F.transform(F.sequence(F.lit(1), F.floor(F.size(lines) / 2).cast("int")), piece)
+        return F.when(F.size(lines) >= 2, F.filter(pieces, lambda t: (t["b0"] != t["t0"]) | (t["b1"] != t["t1"]))).otherwise(none)
+
+    def slab(es: Column, x0: Column, x1: Column) -> Column:
+        span = F.filter(es, lambda e: (e["xl"] <= x0) & (e["xr"] >= x1))
+        lines = F.array_sort(F.transform(span, lambda e: F.struct((at(e, x0) + at(e, x1)).alias("mid"), at(e, x0).alias("y0"), at(e, x1).alias("y1"))))
+        return _let(lines, lambda one: paired(one, x0, x1))
+
+    def slabs(es: Column) -> Column:
+        ends = F.array_sort(F.array_distinct(F.flatten(F.transform(es, lambda e: F.array(e["xl"], e["xr"])))))
+        every = lambda xs: F.flatten(F.transform(F.sequence(F.lit(1), F.size(xs) - 1), lambda k: slab(es, xs[k - 1], xs[k])))
+        return _let(ends, lambda xs: F.when(F.size(xs) >= 2, every(xs)).otherwise(none))
+
+    def flat(e: Column) -> Column:
+        upright = e["xl"] == e["xr"]
+        low, high = F.when(upright, F.least(e["yl"], e["yr"])), F.when(upright, F.greatest(e["yl"], e["yr"]))
+        sides = (F.coalesce(low, e["yl"]).alias("b0"), F.coalesce(low, e["yr"]).alias("b1"), F.coalesce(high, e["yl"]).alias("t0"), F.coalesce(high, e["yr"]).alias("t1"))
+        return F.struct(e["xl"].alias("x0"), e["xr"].alias("x1"), *sides)
+
+    round_trip = lambda r: F.transform(F.sequence(F.lit(0), F.size(r) - 1), lambda i: edge(r[i], r[(i + 1) % F.size(r)]))
+    edges = F.flatten(F.transform(F.filter(F.col(rings), lambda r: F.size(r) >= 2), round_trip))
+    cut = lambda es: _let(slabs(F.filter(es, lambda e: e["xl"] < e["xr"])), lambda t: F.when(F.size(t) > 0, t).otherwise(F.transform(es, flat)))
+    return _let(edges, cut)
+
+
 def map_vertices(rings: Column, fx, fy) -> Column:
     """Apply ``fx(x, y)``, ``fy(x, y)`` to every vertex."""
     return F.transform(rings, lambda r: F.transform(r, lambda p: F.struct(fx(p["x"], p["y"]).alias("x"), fy(p["x"], p["y"]).alias("y"))))

@@ -349,6 +349,32 @@ def trapezoids(rings: list[np.ndarray], segs: np.ndarray) -> np.ndarray:
     return np.array(out, float).reshape(-1, 6)
 
 
+def union_trapezoids(t: np.ndarray) -> np.ndarray:
+    """Disjoint trapezoids of the union of trapezoids (rows as in ``trapezoids``).
+
+    Slabs between all ends and all crossings of sides; in a slab nothing crosses, so the pieces that span it are merged by
+    their heights in its middle.
+    """
+    t = t[t[:, 1] > t[:, 0]]
+    lines = np.concatenate([t[:, [0, 2, 1, 3]], t[:, [0, 4, 1, 5]]])
+    xs = np.unique(np.concatenate([t[:, 0], t[:, 1], _crossing_xs(lines, lines)]))
+    out = []
+    for x0, x1 in zip(xs[:-1], xs[1:]):
+        own = t[(t[:, 0] <= x0) & (t[:, 1] >= x1)]
+        width = own[:, 1] - own[:, 0]
+        at = lambda lo, hi, x: own[:, lo] + (own[:, hi] - own[:, lo]) * ((x - own[:, 0]) / width)  # noqa: E731, B023
+        b0, b1, t0, t1 = at(2, 3, x0), at(2, 3, x1), at(4, 5, x0), at(4, 5, x1)
+        held: list[list[float]] = []
+        for k in np.argsort(b0 + b1, kind="stable"):
+            if held and b0[k] + b1[k] <= held[-1][2] + held[-1][3]:
+                if t0[k] + t1[k] > held[-1][2] + held[-1][3]:
+                    held[-1][2:] = [t0[k], t1[k]]
+            else:
+                held.append([b0[k], b1[k], t0[k], t1[k]])
+        out += [(x0, x1, *h) for h in held if h[2] + h[3] > h[0] + h[1]]
+    return np.array(out, float).reshape(-1, 6)
+
+
 def trapezoid_ring(t) -> np.ndarray:
     """Corners of a trapezoid row, counter-clockwise."""
     x0, x1, b0, b1, t0, t1 = t

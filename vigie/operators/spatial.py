@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigie.plans import cells as C
+from vigie.plans.materialize import materialize
 
 FIRST_RATIO = 0.5       # first detection: earlier overlap must be strictly greater than this share
 HISTORY_RATIO = 0.5     # prescription history: overlap share must be at least this
@@ -23,11 +24,11 @@ def match_parcel(det: DataFrame, parcels: DataFrame, cell: float, id_col: str =
     """Left-outer intersects join keeping the parcel with the smallest parcel id (NULL when none).
 
     Equal geometries are collapsed on both sides before pairing: of equal parcels the one with the smallest id can be the
-    answer, and equal detections have equal answers.
+    answer, and equal detections have equal answers. Cells that hold many of them are split (``cells.cell_tree``).
     """
-    places = C.by_geometry(parcels, **{id_col: F.min_by(id_col, "id")})
-    spots = C.by_geometry(det)
-    pairs = C.feature_pairs(spots, places, cell, with_touch=True, b_keep=(id_col,))
+    places = materialize(C.by_geometry(parcels, **{id_col: F.min_by(id_col, "id")}))
+    spots = materialize(C.by_geometry(det))
+    pairs = C.feature_pairs(spots, places, cell, with_touch=True, b_keep=(id_col,), tree=C.cell_tree([spots, places], cell))
     best = pairs.groupBy(F.col("a_id").alias("id")).agg(F.min_by(F.col("b_" + id_col), F.col("b_id")).alias(id_col))
     return C.join_geometry(det, spots.join(best, "id"), (), [id_col])
 
@@ -39,10 +40,11 @@ def first_detection(det: DataFrame, cell: float, seq_col: str = "load_seq", rati
     run do not see each other. One set-based pass: identical geometries are collapsed first (a copy loaded later is
     covered 100% by its earlier twin), then earlier/later representatives are paired through the cell index. A geometry
     is identified by the smallest id that has it, and rows find theirs by the geometry itself, so no hash can mix two up.
-    A zero-area row has an undefined ratio and stays first.
+    A zero-area row has an undefined ratio and stays first. Cells that hold many geometries are split (``cells.cell_tree``).
     """
-    reps = C.by_geometry(det, seq=F.min(seq_col))
-    pairs = C.feature_pairs(reps, reps, cell, with_touch=False, condition=F.col("b_seq") < F.col("a_seq"), a_keep=("seq", "area"), b_keep=("seq",))
+    reps = materialize(C.by_geometry(det, seq=F.min(seq_col)))
+    pairs = C.feature_pairs(reps, reps, cell, with_touch=False, condition=F.col("b_seq") < F.col("a_seq"), a_keep=("seq", "area"), b_keep=("seq",),
+                            tree=C.cell_tree([reps], cell))
     covered = pairs.where(F.col("area_ab") > F.lit(ratio) * F.col("a_area")).select(F.col("a_id").alias("id")).distinct()
     flags = reps.join(covered.withColumn("_cov", F.lit(True)), "id", "left").withColumnRenamed("seq", "_first_seq")
     out = C.join_geometry(det, flags, (), ["_first_seq", "_cov"])
@@ -62,8 +64,8 @@ def prescribed_by_history(det: DataFrame, cell: float, min_gap: int = HISTORY_MI
     """
     a = det.where(F.col("object_type").isin(list(classes)))
     keys = ("id_parcellaire", "batch_year")
-    a_rep = C.by_geometry(a, *keys)
-    b_rep = C.by_geometry(det.where(F.col("id_parcellaire").isNotNull()), *keys)
+    a_rep = materialize(C.by_geometry(a, *keys))
+    b_rep = materialize(C.by_geometry(det.where(F.col("id_parcellaire").isNotNull()), *keys))
     pairs = C.feature_pairs(
         a_rep, b_rep, cell, with_touch=False,
         condition=(F.col("a_id_parcellaire") == F.col("b_id_parcellaire")) & (F.col("a_batch_year") - F.col("b_batch_year") >= min_gap),
@@ -95,7 +97,7 @@ MERGED_INTO = "construction en dur"
 
 def load_detections(inference: DataFrame, parcels: DataFrame, zones: DataFrame, configs: DataFrame, cell: float,
                     min_score: float = LOAD_MIN_SCORE, classes=LOAD_CLASSES, pair_cell: float | None = None,
-                    existing: DataFrame | None = None) -> DataFrame:
+                    existing: DataFrame | None = None, with_first: bool = True) -> DataFrame:
     """The detection load for every (territory, batch) configuration in one plan.
 
     ``inference``: layer with keep columns score, object_type, batch_id. ``configs``: geozone_id, batch_id, batch_year,
@@ -106,9 +108,9 @@ def load_detections(inference: DataFrame, parcels: DataFrame, zones: DataFrame,
     geometry (S2), and ``first_detection`` (S3) runs over all loaded rows by load order.
 
     ``existing``: rows stored by earlier loads (a layer); a row one of them covers is no first detection. Loading surveys one
-    after another, each with the rows of those before as ``existing``, gives the flags of one pass over all.
+    after another, each with the rows of those before as ``existing``, gives the flags of one pass over all. Without
+    ``with_first`` S3 is not run and there is no column ``first_detection``.
     """
-    from vigie.plans.materialize import materialize
     from vigie.streaming.incremental import first_detection_increment
 
     inf = inference.where((F.col("score") > min_score) & F.col("object_type").isin(list(classes)))
@@ -122,14 +124,15 @@ def load_detections(inference: DataFrame, parcels: DataFrame, zones: DataFrame,
     rows = loaded.join(parcel, "id", "left").withColumn(
         "object_type", F.when(F.col("object_type").isin(MERGED_CLASSES), F.lit(MERGED_INTO)).otherwise(F.col("object_type"))
     )
+    columns = ["id", "score", "object_type", F.col("geozone_id").cast("long").alias("geozone_id"), "batch_year", "id_parcellaire",
+               "load_seq", "rings", "minx", "miny", "maxx", "maxy", "is_rect", "area"]
+    if not with_first:
+        return rows.select(*columns)
     flags = first_detection(spots_in_order(loaded), pair_cell, seq_col="load_seq").select("id", "load_seq", "first_detection")
     if existing is not None:
         fresh = first_detection_increment(spots, existing, pair_cell).select("id", F.col("first_detection").alias("_fresh"))
         flags = flags.join(fresh, "id").select("id", "load_seq", (F.col("first_detection") & F.col("_fresh")).alias("first_detection"))
-    return rows.join(flags, ["id", "load_seq"]).select(
-        "id", "score", "object_type", F.col("geozone_id").cast("long").alias("geozone_id"), "batch_year", "id_parcellaire",
-        "first_detection", "load_seq", "rings", "minx", "miny", "maxx", "maxy", "is_rect", "area",
-    )
+    return rows.join(flags, ["id", "load_seq"]).select(*columns[:6], "first_detection", *columns[6:])
 
 
 def spots_in_order(loaded: DataFrame) -> DataFrame:
@@ -345,57 +348,24 @@ def tile_cover(layer: DataFrame, zoom: int = 19, explode: bool = False) -> DataF
 
 
 # ---------------------------------------------------------------- S5: containment in the union of a tileset's zones
-def _covered_batches(rows):
-    import numpy as np
-    import pandas as pd
-
-    from vigie.functions import kernel as K
-
-    for pdf in rows:
-        out = np.zeros(len(pdf))
-        box = pdf[["minx", "miny", "maxx", "maxy"]].to_numpy(float)
-        for k, (rings, pieces) in enumerate(zip(pdf["rings"], pdf["pieces"])):
-            shape = [K.box_ring(*box[k])] if rings is None else K.to_rings(rings)
-            out[k] = K.overlap_area_union(shape, [[K.trapezoid_ring([p[c] for c in ("q_minx", "q_maxx", "b0", "b1", "t0", "t1")])] for p in pieces])
-        yield pd.DataFrame({"id": pdf["id"].to_numpy(), "covered": out})
-
-
 def outside_bounds(det: DataFrame, tileset_zones: DataFrame, zones: DataFrame, cell: float) -> DataFrame:
     """Detections to remove — their tileset has no zones, or they are not contained in the union of the tileset's
     zones (a straddler of two adjacent zones is inside). With a zoned tileset a NULL geometry is kept; with an
     un-zoned one it is removed.
 
-    ``det``: layer with keep column tile_set_id. ``tileset_zones``: (tileset_id, geozone_id). The union is never built. Zone
-    pieces carry their tileset, so a detection meets those of its own only. A part of a rectangle that one zone covers in
-    a cell is measured in the JVM; only where no single zone does, the pieces of the cell (few trapezoids of the zones
-    that share it) go to the union kernel. Covered areas are summed per detection.
+    ``det``: layer with keep column tile_set_id. ``tileset_zones``: (tileset_id, geozone_id). The zones of a tileset are united cell by
+    cell into disjoint pieces, and a detection meets those of its own tileset only, so the parts covered simply add up; only
+    cells shared by several zones are worked out in Python, once for each cell and never for a detection.
     """
-    from vigie.plans.materialize import materialize
-
-    c = F.col
     links = tileset_zones.select(F.col("tileset_id").alias("tile_set_id"), F.col("geozone_id").cast("long").alias("zone_id")).distinct()
     zoned = links.select("tile_set_id").distinct()
     no_zone = det.join(zoned, "tile_set_id", "left_anti").select("id")
     d = det.join(zoned, "tile_set_id", "left_semi").where(F.col("rings").isNotNull())
     pieces = C.zone_cells(zones.join(links.select(F.col("zone_id").alias("id")).distinct(), "id", "left_semi"), cell)
-    pieces = materialize(pieces.join(links, "zone_id").withColumnRenamed("tile_set_id", "_set"))
-    s = F.lit(float(cell))
-    cand = C.candidates(d, pieces, cell, keep=("tile_set_id",)).where(c("_set") == c("tile_set_id"))
-    area, _ = C._piece_measures()
-    width = F.least(c("maxx"), (c("cx") + 1) * s) - F.greatest(c("minx"), c("cx") * s)
-    height = F.least(c("maxy"), (c("cy") + 1) * s) - F.greatest(c("miny"), c("cy") * s)
-    here = F.when(c("is_rect"), width * height)
-    cells = ["fid", "cx", "cy"]
-    by_zone = cand.groupBy(*cells, "zone_id").agg(F.max(here).alias("here"), F.sum(F.when(c("is_rect"), area)).alias("got"))
-    best = by_zone.groupBy(*cells).agg(F.max("here").alias("here"), F.max("got").alias("got"))
-    whole = c("here").isNotNull() & (c("got") >= c("here") * (1 - 1e-12))
-    simple = best.where(whole).select(c("fid").alias("id"), c("here").alias("covered"))
-    rest = cand.join(best.where(~F.coalesce(whole, F.lit(False))).select(*cells), cells, "left_semi").where((c("q_maxx") > c("q_minx")))
-    grouped = rest.groupBy(*cells, "rings", "minx", "miny", "maxx", "maxy").agg(
-        F.collect_list(F.struct("q_minx", "q_maxx", "b0", "b1", "t0", "t1")).alias("pieces"),
-    ).select(c("fid").alias("id"), "rings", "minx", "miny", "maxx", "maxy", "pieces")
-    covered = simple.unionByName(grouped.mapInPandas(_covered_batches, "id long, covered double")).groupBy("id").agg(F.sum("covered").alias("covered"))
-    inside = d.join(covered, "id", "left").where(F.col("covered") >= F.col("area") * (1 - 1e-9)).select("id")
+    pieces = materialize(C.union_pieces(pieces.join(links, "zone_id"), "tile_set_id"))
+    overlaps = C.piece_overlaps(d, pieces, cell, (), ("tile_set_id",), with_touch=False)
+    covered = overlaps.groupBy(F.col("fid").alias("id")).agg(F.sum("area_in").alias("covered"))
+    inside = d.join(covered, "id").where(F.col("covered") >= F.col("area") * (1 - 1e-9)).select("id")
     outside = d.select("id").join(inside, "id", "left_anti")
     return no_zone.unionByName(outside)
 
@@ -502,8 +472,6 @@ def ingest_layer(layers_df: DataFrame, name: str, default_srid: int = 2154, cell
     ``sinks.replace_by_key`` on the name.
     """
     from vigie.functions import geo
-    from vigie.plans.materialize import materialize
-
     srid = layers_df.groupBy("file").agg(F.min(F.when(F.col("srid") != 0, F.col("srid"))).alias("_srid")).select(
         "file", F.coalesce("_srid", F.lit(default_srid)).alias("layer_srid"))
     d = layers_df.join(srid, "file")
@@ -574,8 +542,6 @@ def zone_features(layer: DataFrame, anchors: DataFrame | None = None, tol: float
     largest. Returns feature_id, id, name, name_normalized, insee_code, translated bbox, geojson.
     """
     from vigie.functions import geo
-    from vigie.plans.materialize import materialize
-
     spark = layer.sparkSession
     anchors = anchors if anchors is not None else spark.createDataFrame(OVERSEAS_ANCHORS, "insee_code string, a_lat double, a_lon double")
     layer = layer.withColumn("rings", geo.oriented("rings"))

@@ -6,17 +6,23 @@ candidate pairs only (never a nested-loop or cartesian join):
 * features (detections, parcels: the large side) explode to the closed cells of their bbox with ``sequence``;
 * zones (the reference side) are cut by ``decompose`` in Arrow batches, first into blocks, which spread over tasks, then into
   cells; the zone's part of a cell becomes trapezoids with vertical sides (a full cell is one);
-* the join key is (cx, cy); the area of a rectangle in a trapezoid, and whether they meet, is Column math in the JVM;
-  other features go through the numpy kernel in ``mapInPandas``; areas are summed by ``groupBy(feature, zone)``. A cell with
-  very many features is one key of a plain shuffle join, which Spark splits when it is skewed.
+* the join key is (cx, cy); features that are no rectangles are cut into trapezoids too, once per feature. The area of a
+  rectangle or trapezoid in a trapezoid, and whether they meet, is Column math in the JVM, so no pair ever reaches Python; areas
+  are summed by ``groupBy(feature, zone)``. A cell with very many features is one key of a plain shuffle join, which Spark splits
+  when it is skewed.
 
 Feature–feature pairs (detection vs earlier detection, detection vs parcel) use both sides exploded to cells and keep
 a pair only in the cell holding the low corner of the two bboxes' intersection, so each pair is tested once without a
-``distinct`` shuffle.
+``distinct`` shuffle. There the work in a cell grows with the square of what it holds, so cells that hold much are split: a
+``CellTree`` halves them until each leaf holds few features, and both sides are addressed by the leaves.
 """
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -35,8 +41,14 @@ BLOCK_SCHEMA = f"zone_id long, bx long, by long, rings {geo.RINGS_TYPE}, segs ar
 #: Cells in a block, along one side: a zone is cut into blocks first, which then spread over tasks.
 BLOCK = 16
 PIECE = ["kind", "q_minx", "q_miny", "q_maxx", "q_maxy", "b0", "b1", "t0", "t1"]
-MEASURE_SCHEMA = "fid long, zone_id long, f_area double, area_in double, touch boolean"
-PAIR_SCHEMA = "a_id long, b_id long, area_ab double, touch boolean"
+#: A feature's piece: left and right end, bottom at both, top at both. Columns of these names, with a prefix.
+SIDES = ("x0", "x1", "b0", "b1", "t0", "t1")
+#: Contact of slanted sides is seen within this share of the coordinates' size.
+TOUCH_SLACK = 1e-12
+#: Features a leaf of a cell tree may hold, the deepest leaf (halvings of a cell), and the most splits that are broadcast.
+MOST_IN_LEAF = 256
+DEEPEST = 8
+MOST_SPLITS_SENT = 20_000
 
 
 # ------------------------------------------------------------------ layers
@@ -78,6 +90,122 @@ def cells_of(layer: DataFrame, cell: float) -> DataFrame:
     )
 
 
+# ------------------------------------------------------------------ cell tree
+@dataclass
+class CellTree:
+    """Which cells are split. ``splits``: (level, lx, ly) of the split cells, level 0 being the grid; ``depth`` levels at most."""
+
+    cell: float
+    depth: int
+    splits: DataFrame
+    n_splits: int
+
+    def side(self, level: Column) -> Column:
+        return F.lit(float(self.cell)) / F.pow(F.lit(2.0), level)
+
+
+def cell_tree(layers: list[DataFrame], cell: float, most: int = MOST_IN_LEAF) -> CellTree | None:
+    """Quadtree of the cells in which more than ``most`` features of ``layers`` begin; None if there is no such cell.
+
+    A feature counts where its bbox has its low corner; all features are counted. The first pass counts on the grid itself; only if a
+    cell holds too many, a second counts all levels at once, combined before its shuffle. Cells are halved until a leaf holds at most
+    ``most``, but not below the mean extent of the layer whose features are smallest: smaller leaves would only repeat every
+    feature. Copies of one geometry may count, so layers need not be collapsed first; they cost a split more, no pair.
+    """
+    c = F.col
+    extent = F.greatest(c("maxx") - c("minx"), c("maxy") - c("miny"))
+    rows = reduce(DataFrame.unionByName, [x.select(F.lit(i).alias("layer"), "minx", "miny", extent.alias("extent")) for i, x in enumerate(layers)])
+    rows = rows.where(c("minx").isNotNull())
+    at = lambda level: [F.floor(c(v) / (F.lit(float(cell)) / F.pow(F.lit(2.0), level))).alias(k) for v, k in (("minx", "lx"), ("miny", "ly"))]
+    sizes = [F.sum(F.when(c("layer") == i, c("extent"))).alias(f"e{i}") for i in range(len(layers))] + [F.count(F.when(c("layer") == i, c("extent"))).alias(f"n{i}") for i in range(len(layers))]
+    whole = rows.groupBy(*at(F.lit(0))).agg(F.count("*").alias("n"), *sizes).agg(F.max("n"), *[(F.sum(f"e{i}") / F.sum(f"n{i}")) for i in range(len(layers))]).first()
+    means = [m for m in whole[1:] if m]
+    depth = max(0, min(DEEPEST, math.floor(math.log2(cell / min(means))))) if means else DEEPEST
+    if (whole[0] or 0) <= most or not depth:
+        return None
+    deep = rows.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(depth - 1))))
+    splits = materialize(deep.groupBy("level", *at(c("level"))).agg(F.count("*").alias("n")).where(c("n") > most).select("level", "lx", "ly"))
+    return CellTree(float(cell), depth, splits, splits.count())
+
+
+def leaves_of(layer: DataFrame, cell: float, tree: CellTree | None) -> DataFrame:
+    """Explode a layer to the leaves (level, lx, ly) its bbox meets; without a tree, to the cells of the grid (level 0)."""
+    c = F.col
+    rows = cells_of(layer, cell).withColumn("level", F.lit(0)).withColumnsRenamed({"cx": "lx", "cy": "ly"})
+    if tree is None:
+        return rows
+    split = tree.splits.withColumn("_split", F.lit(True))
+    if tree.n_splits <= MOST_SPLITS_SENT:
+        split = F.broadcast(split)  # counted: at most this many rows of three numbers
+    for _ in range(tree.depth):
+        half = tree.side(c("level") + 1)
+        span = lambda axis: F.sequence(F.greatest(c(f"l{axis}") * 2, F.floor(c(f"min{axis}") / half)), F.least(c(f"l{axis}") * 2 + 1, F.floor(c(f"max{axis}") / half)))
+        rows = rows.join(split, ["level", "lx", "ly"], "left")
+        inside = F.flatten(F.transform(span("x"), lambda x: F.transform(span("y"), lambda y: F.struct((c("level") + 1).alias("level"), x.alias("lx"), y.alias("ly")))))
+        leaf = F.when(c("_split"), inside).otherwise(F.array(F.struct("level", "lx", "ly")))
+        rows = rows.withColumn("_leaf", F.explode(leaf)).drop("_split", "level", "lx", "ly").select("*", "_leaf.level", "_leaf.lx", "_leaf.ly").drop("_leaf")
+    return rows
+
+
+# ------------------------------------------------------------------ features as trapezoids
+def feature_pieces(layer: DataFrame, prefix: str = "") -> DataFrame:
+    """``layer`` without its rings, one row per piece: a rectangle is one piece, other features are cut into trapezoids.
+
+    minx … maxy become the bbox of the piece; ``prefix`` + ``SIDES`` hold the trapezoid. A feature without area gives its segments.
+    Features without geometry give no row. For a layer of boxes the second branch is planned away.
+    """
+    c = F.col
+    keep = [x for x in layer.columns if x not in ("rings", "minx", "miny", "maxx", "maxy")]
+    whole = {"x0": "minx", "x1": "maxx", "b0": "miny", "b1": "miny", "t0": "maxy", "t1": "maxy"}
+    plain = layer.where(c("is_rect")).select(*keep, *[c(v).alias(prefix + k) for k, v in whole.items()], "minx", "miny", "maxx", "maxy")
+    cut = layer.where(~c("is_rect")).select(*keep, F.explode(geo.trapezoids("rings")).alias("_t")).select(*keep, *[c("_t")[k].alias(prefix + k) for k in SIDES])
+    side = lambda k: c(prefix + k)
+    cut = cut.withColumns({"minx": side("x0"), "miny": F.least(side("b0"), side("b1")), "maxx": side("x1"), "maxy": F.greatest(side("t0"), side("t1"))})
+    return plain.unionByName(cut)
+
+
+def with_overlap(df: DataFrame, a: dict[str, str], b: dict[str, str]) -> DataFrame:
+    """``df`` with ``area_ab`` and ``touch`` of the trapezoids named by ``a`` and ``b`` (``SIDES`` → column).
+
+    Both lie over [xa, xb] between straight lines. The lower of the two tops changes at most once there, and so does the higher
+    of the two bottoms; between these places the height in common is linear, so its positive part has a closed area. The sets
+    meet if it is not below zero everywhere.
+    """
+    c = F.col
+
+    def at(t: dict[str, str], lo: str, hi: str, x: Column) -> Column:
+        width = c(t["x1"]) - c(t["x0"])
+        inside = c(t[lo]) + (c(t[hi]) - c(t[lo])) * ((x - c(t["x0"])) / width)
+        return F.when(x <= c(t["x0"]), c(t[lo])).when(x >= c(t["x1"]), c(t[hi])).otherwise(inside)
+
+    def crossing(u: str) -> Column:
+        """Share of [xa, xb] at which the difference ``u`` of two lines changes sign, 0 if it doesn't."""
+        return F.when(c(u + "0") * c(u + "1") < 0, c(u + "0") / (c(u + "0") - c(u + "1"))).otherwise(F.lit(0.0))
+
+    def height(s: Column) -> Column:
+        line = lambda u: c(u + "0") + (c(u + "1") - c(u + "0")) * s
+        return F.least(line("_ta"), line("_tb")) - F.greatest(line("_ba"), line("_bb"))
+
+    def positive(u: Column, v: Column, share: Column) -> Column:
+        hi, lo = F.greatest(u, v), F.least(u, v)
+        return share * F.when(lo >= 0, (u + v) / 2).when(hi <= 0, F.lit(0.0)).otherwise(hi * hi / (2 * (hi - lo)))
+
+    # one select: a name stands for a column made before it, each step becoming a projection
+    steps = {"_xa": F.greatest(c(a["x0"]), c(b["x0"])), "_xb": F.least(c(a["x1"]), c(b["x1"]))}
+    for who, t in (("a", a), ("b", b)):
+        for line in "bt":
+            steps |= {f"_{line}{who}{end}": at(t, line + "0", line + "1", c("_x" + x)) for end, x in (("0", "a"), ("1", "b"))}
+    steps |= {f"_d{k}{end}": c(f"_{k}a{end}") - c(f"_{k}b{end}") for k in "bt" for end in "01"}
+    steps |= {"_ct": crossing("_dt"), "_cb": crossing("_db")}
+    steps |= {"_s1": F.least(c("_ct"), c("_cb")), "_s2": F.greatest(c("_ct"), c("_cb"))}
+    steps |= {"_u0": height(F.lit(0.0)), "_u1": height(c("_s1")), "_u2": height(c("_s2")), "_u3": height(F.lit(1.0))}
+    area = positive(c("_u0"), c("_u1"), c("_s1")) + positive(c("_u1"), c("_u2"), c("_s2") - c("_s1")) + positive(c("_u2"), c("_u3"), 1 - c("_s2"))
+    slack = F.greatest(*[F.abs(c(x)) for x in ("_ta0", "_tb0", "_ba1", "_bb1")]) * TOUCH_SLACK
+    steps["area_ab"] = F.when(c("_xb") > c("_xa"), (c("_xb") - c("_xa")) * area).otherwise(F.lit(0.0))
+    steps["touch"] = (c("_xa") <= c("_xb")) & (F.greatest(c("_u0"), c("_u1"), c("_u2"), c("_u3")) >= -slack)
+    return df.select(*df.columns, *[v.alias(k) for k, v in steps.items()]).select(*df.columns, "area_ab", "touch")
+
+
 # ------------------------------------------------------------------ zone decomposition
 def _frames(rows, columns, at_once: int = 20_000):
     """DataFrames of at most ``at_once`` of the rows, so a large zone is never held as a whole."""
@@ -174,55 +302,47 @@ def _piece_measures() -> tuple[Column, Column]:
     return area, ~none & (F.greatest(l1, l2) <= F.least(r1, r2))
 
 
-def _measure_batches(with_touch: bool):
-    """Features that are no rectangles, against pieces, in the polygon kernel."""
-    def run(batches):
-        for pdf in batches:
-            area, touch = np.zeros(len(pdf)), np.zeros(len(pdf), bool)
-            pieces = pdf[["q_minx", "q_maxx", "b0", "b1", "t0", "t1"]].to_numpy(float)
-            for fid, rows in pdf.groupby("fid").indices.items():
-                rings = K.to_rings(pdf["rings"].iat[rows[0]])
-                edges = K.edges_of(rings)
-                for k in rows:
-                    ring = K.trapezoid_ring(pieces[k])
-                    area[k] = K.overlap_area(rings, [ring])
-                    touch[k] = area[k] > 0 or (with_touch and K.boundaries_touch(edges, K.edges_of([ring])))
-            yield pd.DataFrame({"fid": pdf["fid"].to_numpy(), "zone_id": pdf["zone_id"].to_numpy(), "f_area": pdf["f_area"].to_numpy(),
-                                "area_in": area, "touch": touch})
-
-    return run
-
-
 def _closed_bbox_overlap(ax0, ay0, ax1, ay1, bx0, by0, bx1, by1) -> Column:
     return (ax0 <= bx1) & (bx0 <= ax1) & (ay0 <= by1) & (by0 <= ay1)
 
 
-def candidates(features: DataFrame, pieces: DataFrame, cell: float, keep=()) -> DataFrame:
-    """Feature cells joined with the zone pieces of the same cell whose closed bboxes meet."""
+def candidates(features: DataFrame, pieces: DataFrame, cell: float, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Feature cells joined with the zone pieces of the same cell (and the same ``keys``) whose closed bboxes meet."""
     c = F.col
-    shape = F.when(~c("is_rect"), c("rings")).alias("rings")  # a rectangle is its bbox
-    fc = cells_of(features.select(c("id").alias("fid"), c("area").alias("f_area"), shape, "minx", "miny", "maxx", "maxy", "is_rect", *keep), cell)
-    return fc.join(pieces, ["cx", "cy"]).where(
+    return cells_of(features, cell).join(pieces, ["cx", "cy", *keys]).where(
         _closed_bbox_overlap(c("minx"), c("miny"), c("maxx"), c("maxy"), c("q_minx"), c("q_miny"), c("q_maxx"), c("q_maxy"))
     )
 
 
+#: The columns of a zone's piece, as sides.
+ZONE_SIDES = dict(zip(SIDES, ("q_minx", "q_maxx", "b0", "b1", "t0", "t1")))
+
+
+def piece_overlaps(features: DataFrame, pieces: DataFrame, cell: float, keep: tuple[str, ...], keys: tuple[str, ...] = (), with_touch: bool = True) -> DataFrame:
+    """(fid, f_area, area_in, touch, *``keep``) for every piece of a feature and every zone piece near it.
+
+    ``keep``: columns of ``pieces``; ``keys``: columns of both that must be equal. Rectangles are measured against the zone's trapezoids, other
+    features as trapezoids; that branch is empty, and planned away, for a layer of boxes.
+    """
+    c = F.col
+    base = features.select(c("id").alias("fid"), c("area").alias("f_area"), "rings", "minx", "miny", "maxx", "maxy", "is_rect", *keys)
+    area, touch = _piece_measures()
+    fast = candidates(base.where(c("is_rect")).drop("rings"), pieces, cell, keys).select(
+        "fid", "f_area", area.alias("area_in"), (touch if with_touch else F.lit(True)).alias("touch"), *keep)
+    cut = feature_pieces(base.where(~c("is_rect")), "f_")
+    slow = with_overlap(candidates(cut, pieces, cell, keys), {k: "f_" + k for k in SIDES}, ZONE_SIDES)
+    return fast.unionByName(slow.select("fid", "f_area", c("area_ab").alias("area_in"), "touch", *keep))
+
+
 def zone_measures(features: DataFrame, zones: DataFrame, cell: float, with_touch: bool = False,
                   zone_pieces: DataFrame | None = None) -> DataFrame:
     """(fid, zone_id, f_area, area_in, touch) for every feature/zone pair whose closed sets meet.
 
-    ``features``/``zones``: layers (``as_layer``/``box_layer``). ``area_in`` = area(feature ∩ zone). Rectangles are measured by
-    Column math against the zone's trapezoids, other features by the kernel; that branch is empty, and planned away, for
-    a layer of boxes.
+    ``features``/``zones``: layers (``as_layer``/``box_layer``). ``area_in`` = area(feature ∩ zone).
     """
     c = F.col
     pieces = zone_pieces if zone_pieces is not None else materialize(zone_cells(zones, cell))
-    area, touch = _piece_measures()
-    fast = candidates(features.where(c("is_rect")), pieces, cell).select(
-        "fid", "zone_id", "f_area", area.alias("area_in"), (touch if with_touch else F.lit(True)).alias("touch"))
-    slow = candidates(features.where(~c("is_rect")), pieces, cell).select(
-        "fid", "zone_id", "f_area", "rings", "q_minx", "q_maxx", "b0", "b1", "t0", "t1").mapInPandas(_measure_batches(with_touch), MEASURE_SCHEMA)
-    per_pair = fast.unionByName(slow).groupBy("fid", "zone_id").agg(
+    per_pair = piece_overlaps(features, pieces, cell, ("zone_id",), with_touch=with_touch).groupBy("fid", "zone_id").agg(
         F.max("f_area").alias("f_area"), F.sum("area_in").alias("area_in"), F.max(F.col("touch").cast("int")).cast("boolean").alias("touch")
     )
     if not with_touch:
@@ -230,6 +350,37 @@ def zone_measures(features: DataFrame, zones: DataFrame, cell: float, with_touch
     return per_pair.where(c("touch") | (c("area_in") > 0)).withColumn("touch", F.lit(True))
 
 
+def _union_in_cell(keys: list[str]):
+    """Trapezoids of several zones in one cell → disjoint trapezoids of their union."""
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        t = K.union_trapezoids(group[["q_minx", "q_maxx", "b0", "b1", "t0", "t1"]].to_numpy(float))
+        out = pd.DataFrame(t, columns=["q_minx", "q_maxx", "b0", "b1", "t0", "t1"])
+        out["q_miny"], out["q_maxy"] = t[:, 2:4].min(1, initial=np.inf), t[:, 4:].max(1, initial=-np.inf)
+        for k in keys:
+            out[k] = group[k].iloc[0]
+        return out
+
+    return run
+
+
+def union_pieces(pieces: DataFrame, *keys: str) -> DataFrame:
+    """Disjoint pieces (*``keys``, cx, cy, bbox, sides) of the union of the zones that share the ``keys``, cell by cell.
+
+    ``pieces``: ``zone_cells`` output with the key columns. A cell that one zone reaches alone passes as it is, one that some zone
+    fills is one full piece; only cells shared by several zones are worked out, each from the few trapezoids it holds.
+    """
+    c = F.col
+    at = [*keys, "cx", "cy"]
+    shape = ["q_minx", "q_miny", "q_maxx", "q_maxy", "b0", "b1", "t0", "t1"]
+    marks = pieces.groupBy(*at).agg(F.min("kind").alias("_least"), (F.min("zone_id") != F.max("zone_id")).alias("_many"))
+    marked = pieces.join(marks, at)
+    full = marked.where((c("_least") == 0) & (c("kind") == 0)).dropDuplicates(at).select(*at, *shape)
+    single = marked.where((c("_least") > 0) & ~c("_many")).select(*at, *shape)
+    shared = marked.where((c("_least") > 0) & c("_many") & (c("q_maxx") > c("q_minx"))).select(*at, *shape)
+    joined = shared.groupBy(*at).applyInPandas(_union_in_cell(at), shared.schema)
+    return full.unionByName(single).unionByName(joined)
+
+
 def within_pairs(features: DataFrame, zones: DataFrame, cell: float, zone_pieces: DataFrame | None = None) -> DataFrame:
     """(fid, zone_id) where the feature lies within the zone (boundary contact allowed)."""
     m = zone_measures(features, zones, cell, with_touch=False, zone_pieces=zone_pieces)
@@ -242,28 +393,6 @@ def intersect_pairs(features: DataFrame, zones: DataFrame, cell: float, zone_pie
 
 
 # ------------------------------------------------------------------ feature × feature pairs
-def _shape(rings, box) -> list[np.ndarray]:
-    return [K.box_ring(*box)] if rings is None else K.to_rings(rings)
-
-
-def _pair_batches(with_touch: bool, keep_cols: list[str]):
-    def run(batches):
-        for pdf in batches:
-            area, touch = np.zeros(len(pdf)), np.ones(len(pdf), dtype=bool)
-            boxes = {s: pdf[[f"{s}_{x}" for x in ("minx", "miny", "maxx", "maxy")]].to_numpy(float) for s in "ab"}
-            for k, (ra, rb) in enumerate(zip(pdf["a_rings"], pdf["b_rings"])):
-                P, Q = _shape(ra, boxes["a"][k]), _shape(rb, boxes["b"][k])
-                area[k] = K.overlap_area(P, Q)
-                if with_touch:
-                    touch[k] = area[k] > 0 or K.boundaries_touch(K.edges_of(P), K.edges_of(Q))
-            out = pd.DataFrame({"a_id": pdf["a_id"].to_numpy(), "b_id": pdf["b_id"].to_numpy(), "area_ab": area, "touch": touch})
-            for col in keep_cols:
-                out[col] = pdf[col].to_numpy()
-            yield out
-
-    return run
-
-
 def geometry_key(layer: DataFrame) -> list[Column]:
     """Columns that are equal exactly for equal geometries: the bbox, and the rings of what is no rectangle."""
     return [F.col(x) for x in ("minx", "miny", "maxx", "maxy")] + [F.when(~F.col("is_rect"), F.col("rings")).alias("shape")]
@@ -287,43 +416,41 @@ def join_geometry(layer: DataFrame, found: DataFrame, keys: tuple[str, ...], val
     return left.join(right, cond, "left").select(*layer.columns, *values)
 
 
+def _prefixed(layer: DataFrame, prefix: str, cell: float, tree: CellTree | None, keep) -> DataFrame:
+    """Pieces of a layer in their leaves; all columns but the leaf's carry ``prefix``."""
+    rows = feature_pieces(layer.select("id", "rings", "minx", "miny", "maxx", "maxy", "is_rect", *keep), "s_")
+    rows = leaves_of(rows, cell, tree)
+    return rows.select("level", "lx", "ly", *[F.col(x).alias(prefix + x) for x in rows.columns if x not in ("level", "lx", "ly")])
+
+
 def feature_pairs(a: DataFrame, b: DataFrame, cell: float, with_touch: bool = False, condition=None,
-                  a_keep=(), b_keep=()) -> DataFrame:
+                  a_keep=(), b_keep=(), tree: CellTree | None = None) -> DataFrame:
     """(a_id, b_id, area_ab, touch, *keeps) for pairs of layers ``a`` × ``b`` whose closed bboxes meet.
 
-    ``condition(a_cols, b_cols)``: extra equi/residual predicate on prefixed columns (e.g. load order).
-    Pairs are kept only in the cell of the bbox-intersection low corner, so each pair is measured once.
-    Pairs whose closed sets do not meet are dropped (area 0 and no touch, or area 0 when ``with_touch`` is False).
+    ``condition``: extra predicate on prefixed columns (e.g. load order). ``tree``: cells that hold much are split (``cell_tree``).
+    Pairs of pieces are kept only in the leaf of the bbox-intersection low corner, so each is measured once; the pieces of a pair
+    of features are summed where one of them is no rectangle. Pairs whose closed sets do not meet are dropped (area 0 and no
+    touch, or area 0 when ``with_touch`` is False).
     """
     c = F.col
-    s = F.lit(float(cell))
-    a, b = (x.withColumn("rings", F.when(~c("is_rect"), c("rings"))) for x in (a, b))  # a rectangle is its bbox
-    ac = cells_of(a.select(*[c(x).alias("a_" + x) for x in ["id", "rings", "minx", "miny", "maxx", "maxy", "is_rect", *a_keep]])
-                  .withColumnsRenamed({"a_minx": "minx", "a_miny": "miny", "a_maxx": "maxx", "a_maxy": "maxy"}), cell) \
-        .withColumnsRenamed({"minx": "a_minx", "miny": "a_miny", "maxx": "a_maxx", "maxy": "a_maxy"})
-    bc = cells_of(b.select(*[c(x).alias("b_" + x) for x in ["id", "rings", "minx", "miny", "maxx", "maxy", "is_rect", *b_keep]])
-                  .withColumnsRenamed({"b_minx": "minx", "b_miny": "miny", "b_maxx": "maxx", "b_maxy": "maxy"}), cell) \
-        .withColumnsRenamed({"minx": "b_minx", "miny": "b_miny", "maxx": "b_maxx", "maxy": "b_maxy"})
-    cond = [ac["cx"] == bc["cx"], ac["cy"] == bc["cy"]]
-    j = ac.join(bc, cond).drop(bc["cx"]).drop(bc["cy"])
+    ac, bc = _prefixed(a, "a_", cell, tree, a_keep), _prefixed(b, "b_", cell, tree, b_keep)
+    j = ac.join(bc, ["level", "lx", "ly"])
     if condition is not None:
         j = j.where(condition)
-    lox = F.greatest(c("a_minx"), c("b_minx"))
-    loy = F.greatest(c("a_miny"), c("b_miny"))
+    lox, loy = F.greatest(c("a_minx"), c("b_minx")), F.greatest(c("a_miny"), c("b_miny"))
+    side = F.lit(float(cell)) if tree is None else tree.side(c("level"))
     j = j.where(
         _closed_bbox_overlap(c("a_minx"), c("a_miny"), c("a_maxx"), c("a_maxy"), c("b_minx"), c("b_miny"), c("b_maxx"), c("b_maxy"))
-        & (F.floor(lox / s) == c("cx")) & (F.floor(loy / s) == c("cy"))
+        & (F.floor(lox / side) == c("lx")) & (F.floor(loy / side) == c("ly"))
     )
     keep_names = [f"a_{k}" for k in a_keep] + [f"b_{k}" for k in b_keep]
     fast = c("a_is_rect") & c("b_is_rect")
-    ox = F.least(c("a_maxx"), c("b_maxx")) - lox
-    oy = F.least(c("a_maxy"), c("b_maxy")) - loy
+    ox, oy = F.least(c("a_maxx"), c("b_maxx")) - lox, F.least(c("a_maxy"), c("b_maxy")) - loy
     rect_area = F.when((ox > 0) & (oy > 0), ox * oy).otherwise(F.lit(0.0))
     out = j.where(fast).select("a_id", "b_id", rect_area.alias("area_ab"), F.lit(True).alias("touch"), *keep_names)
-    boxes = [f"{k}_{x}" for k in "ab" for x in ("minx", "miny", "maxx", "maxy")]
-    sel = j.where(~fast).select("a_id", "b_id", "a_rings", "b_rings", *boxes, *keep_names)
-    keep_schema = "".join(f", {f.name} {f.dataType.simpleString()}" for f in sel.select(*keep_names).schema.fields)
-    out = out.unionByName(sel.mapInPandas(_pair_batches(with_touch, keep_names), PAIR_SCHEMA + keep_schema))
+    cut = with_overlap(j.where(~fast), *({k: f"{p}_s_{k}" for k in SIDES} for p in "ab"))
+    summed = cut.groupBy("a_id", "b_id", *keep_names).agg(F.sum("area_ab").alias("area_ab"), F.max("touch").alias("touch"))
+    out = out.unionByName(summed.select(*out.columns))
     if with_touch:
-        return out.where(c("touch"))
+        return out.where(c("touch") | (c("area_ab") > 0))
     return out.where(c("area_ab") > 0)

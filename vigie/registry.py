@@ -124,6 +124,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from vigie.functions import geo as G  # noqa: E402
 from vigie.operators import spatial  # noqa: E402
+from vigie.plans.materialize import materialize  # noqa: E402
 from vigie.sources import layers  # noqa: E402
 
 CELL = layers.FIXTURE_CELL
@@ -217,6 +218,11 @@ def _loaded(fx: Fixtures):
     return spatial.load_detections(**_load_inputs(fx))
 
 
+def _stored_load(fx: Fixtures):
+    """The loaded table for operators that read it more than once and not its first-detection flag: written once."""
+    return materialize(spatial.load_detections(**_load_inputs(fx), with_first=False))
+
+
 ORACLE_LOADED = f"""
 with cfg as (
   select cast(c.geozone_id as bigint) as geozone_id, b.batch_id, b.batch_year, cast(c.geozone_id as bigint) * 10 + b.idx as load_seq
@@ -256,7 +262,7 @@ from stats_det a left join stats_det b on a.id_parcellaire = b.id_parcellaire an
 where a.object_type in ('construction en dur', 'piscine')
 group by a.id, a.batch_year, a.id_parcellaire, a.object_type, a.geozone_id""", "fx_detection", "fx_commune", "fx_risk", "fx_parcel"))
 def q_prescribed_by_history(spark, sf_dir):
-    h = spatial.prescribed_by_history(_loaded(Fixtures(spark, sf_dir)), PAIR_CELL)
+    h = spatial.prescribed_by_history(_stored_load(Fixtures(spark, sf_dir)), PAIR_CELL)
     return h.select("id", "batch_year", "id_parcellaire", "object_type", "geozone_id", "count_histo_6y_detection", "prescripted_detection")
 
 
@@ -449,7 +455,7 @@ def q_score_correlation(spark, sf_dir):
 
 # ---------------------------------------------------------------- C11: unprescribed parcels (over S9)
 def _history(fx: Fixtures):
-    return spatial.prescribed_by_history(_loaded(fx), PAIR_CELL)
+    return spatial.prescribed_by_history(_stored_load(fx), PAIR_CELL)
 
 
 ORACLE_HISTORY = ORACLE_LOADED + f""",
@@ -1002,7 +1008,7 @@ select cast(sum(zan) * 0.705 * (1 - 0.252) as integer) as parcels_in_zan, cast(s
   cast(sum(zfee) * 0.705 * (1 - 0.252) as integer) as parcels_in_zfee from pf""", *_LOAD_FX))
 def q_parcel_zone_flags(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    det = _loaded(fx).where(F.col("object_type").isin(spatial.HISTORY_CLASSES))
+    det = _stored_load(fx).where(F.col("object_type").isin(spatial.HISTORY_CLASSES))
     return spatial.parcel_zone_flags(layers.parcel_layer(fx.fx_parcel), det, layers.risk_layer(fx.fx_risk), S10_ZONES, 2024, CELL)
 
 
@@ -1201,3 +1207,7 @@ def q_zone_features_geojson(spark, sf_dir):
         F.size("d.geometry.coordinates").alias("n_rings"), F.size(ring).alias("n_points"),
         side(F.array_min, 0).alias("minx"), side(F.array_min, 1).alias("miny"), side(F.array_max, 0).alias("maxx"), side(F.array_max, 1).alias("maxy"),
     )
+
+
+# ---------------------------------------------------------------- queries kept by theme
+from vigie.registered import shapes  # noqa: E402, F401

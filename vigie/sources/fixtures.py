@@ -243,3 +243,9 @@ select distinct concat('3', cast(s_suppkey % 10 as string)) as insee_dep, concat
  (s_suppkey % 5) * 1.0 + 1 as maxx, 41.0 + cast(floor((s_suppkey % 10) / 5) as int) as maxy
 from supplier""",
 })
+
+FIXTURE_SQL.update({
+    # the detections as boxes (shape 0), L-shapes (1) and triangles (2) in the same places
+    "fx_shape": f"""
+select t.*, cast(id % 3 as int) as shape from ({FIXTURE_SQL["fx_detection"].strip()}) t""",
+})

@@ -32,6 +32,16 @@ def risk_layer(fx_risk: DataFrame) -> DataFrame:
     return as_layer(fx_risk.select("zone_id", risk_rings().alias("rings")), "zone_id")
 
 
+def shape_layer(fx_shape: DataFrame, side: int, half: int, keep=()) -> DataFrame:
+    """Boxes, L-shapes (the box without its upper right quarter) and right triangles (corner at the lower left), by ``shape``."""
+    x0, y0, x1, y1 = (F.col(c) for c in ("minx", "miny", "maxx", "maxy"))
+    xm, ym = x0 + half, y0 + half
+    ell = F.array(geo.pt(x0, y0), geo.pt(x1, y0), geo.pt(x1, ym), geo.pt(xm, ym), geo.pt(xm, y1), geo.pt(x0, y1))
+    triangle = F.array(geo.pt(x0, y0), geo.pt(x0 + side, y0), geo.pt(x0, y0 + side))
+    rings = F.when(F.col("shape") == 0, geo.box_rings(x0, y0, x1, y1)).when(F.col("shape") == 1, F.array(ell)).otherwise(F.array(triangle))
+    return as_layer(fx_shape.select("id", rings.alias("rings"), *keep), "id", keep=keep)
+
+
 def commune_layer(fx_commune: DataFrame) -> DataFrame:
     return box_layer(fx_commune, "geozone_id")
 
