@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigie.operators import rings
 from vigie.plans import cells as C
 from vigie.plans.materialize import materialize
 
@@ -273,17 +274,8 @@ def dissolve(layer: DataFrame, groups: DataFrame | None = None, cell: float | No
 
 
 def assemble(boundary: DataFrame) -> DataFrame:
-    """(group_id, rings) from ``dissolve`` output. A group's boundary becomes one geometry, so it is one row and one task."""
-    import pandas as pd
-
-    from vigie.functions import kernel as K
-    from vigie.functions import overlay
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        edges = group.sort_values(["x1", "y1", "x2", "y2"])[["x1", "y1", "x2", "y2"]].to_numpy(float)
-        return pd.DataFrame({"group_id": group["group_id"].iloc[:1], "rings": [K.from_rings(overlay.rings_from_edges(edges))]})
-
-    return boundary.select("group_id", "x1", "y1", "x2", "y2").groupBy("group_id").applyInPandas(run, f"group_id long, rings {C.geo.RINGS_TYPE}")
+    """(group_id, rings) from ``dissolve`` output; edges stay rows until each knows its ring and place (``rings.ring_vertices``)."""
+    return rings.as_rings(rings.ring_vertices(boundary))
 
 
 def edge_measures(e: DataFrame, key: str) -> DataFrame:
