@@ -1210,4 +1210,4 @@ def q_zone_features_geojson(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- queries kept by theme
-from vigie.registered import shapes  # noqa: E402, F401
+from vigie.registered import shapes, tables  # noqa: E402, F401
