@@ -460,8 +460,8 @@ def ingest_layer(layers_df: DataFrame, name: str, default_srid: int = 2154, cell
     lon/lat with vertex-wise Column math, lon/lat rows pass as is. Rings may come in either orientation. Rows with another
     SRID, without three different vertices in every ring, or without area go to the quarantine with a reason; nothing is
     repaired and nothing is dropped unreported. The rest are dissolved (S4), overlaps and T-junctions included.
-    Returns (zone: name, rings, area, perimeter, n_rings, bbox; quarantine: file, reason). Store the zone with
-    ``sinks.replace_by_key`` on the name.
+    Returns (zone: name, rings, area, perimeter, n_rings, bbox; quarantine: file, reason). Store the zone
+    with ``NamedTables.replace`` on the name.
     """
     from vigie.functions import geo
     srid = layers_df.groupBy("file").agg(F.min(F.when(F.col("srid") != 0, F.col("srid"))).alias("_srid")).select(

@@ -7,10 +7,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from vigie.functions import geo
+from vigie.operators import spatial
+from vigie.operators.reload import DetectionStore
 from vigie.plans import cells as C
-from vigie.registry import ORACLE_PV_COUNTS, _parcel_stats, _pv, register
+from vigie.plans.materialize import materialize
+from vigie.registry import ORACLE_LOADED, ORACLE_PV_COUNTS, PAIR_CELL, _parcel_stats, _pv, _stored_load, register
 from vigie.session import ensure_checkpoint_dir
-from vigie.sources import analytics
+from vigie.sources import analytics, layers
 from vigie.sources.fixtures import Fixtures, with_fixtures
 from vigie.sources.named import NamedTables
 
@@ -65,3 +68,25 @@ def q_declared_table(spark, sf_dir):
     rows = stats.select(F.col("geozone_id").cast("int").alias("id"), *[F.col(c).cast("int").alias(c) for c in ("geozone_id", "nb_parcels", "nb_parcels_in_ze")])
     tables.refresh("stats_parcels_analysis", rows)
     return tables.read("stats_parcels_analysis").drop("id")
+
+
+# ---------------------------------------------------------------- C1 with one run replaced
+RUN_ZONE, RUN_SEQ, TILE_SIDE = 6, 60, 50.0
+
+
+@register("C1_replaced_run", with_fixtures(ORACLE_LOADED + """
+select id, score, object_type, geozone_id, batch_year, id_parcellaire, first_detection from stats_det""",
+                                           "fx_detection", "fx_commune", "fx_risk", "fx_parcel"))
+def q_replaced_run(spark, sf_dir):
+    """The first run of one territory stored with half of its rows, then replaced by the whole run: as if loaded so at once."""
+    fx = Fixtures(spark, sf_dir)
+    rows = _stored_load(fx)
+    mine = F.col("load_seq") == RUN_SEQ
+    half = materialize(rows.where(~mine | (F.col("id") % 2 == 0)))
+    flags = spatial.first_detection(spatial.spots_in_order(half), PAIR_CELL, "load_seq").select("id", "load_seq", "first_detection")
+    store = DetectionStore(_tables(spark), "stats_detections_analysis", TILE_SIDE, PAIR_CELL)
+    store.create()
+    store.load(half.join(flags, ["id", "load_seq"]))
+    territory = layers.commune_layer(fx.fx_commune).where(F.col("id") == RUN_ZONE)
+    store.replace_run(rows.where(mine), RUN_SEQ, territory)
+    return store.read().select("id", "score", "object_type", "geozone_id", "batch_year", "id_parcellaire", "first_detection")

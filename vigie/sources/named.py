@@ -86,6 +86,13 @@ class NamedTables:
     def read(self, name: str) -> DataFrame:
         return self._read(self.table(name))
 
+    def read_keys(self, name: str, keys: DataFrame) -> DataFrame:
+        """The rows that have one of ``keys`` (the key columns); only buckets that can hold one are read."""
+        t = self.table(name)
+        keys = materialize(keys.select(*t.key).distinct())
+        touched = {r[0] for r in keys.select(self._bucket(t)).distinct().collect()}  # at most one number for each bucket
+        return self._read(t, touched).join(keys, list(t.key), "left_semi").select(*t.columns.names)
+
     def _read(self, t: Table, buckets=None) -> DataFrame:
         folders = [f for b, f in sorted(t.folders.items()) if buckets is None or b in buckets]
         if not folders:
