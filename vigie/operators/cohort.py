@@ -36,9 +36,31 @@ def _flag(year: int) -> str:
     return f"in_{year}"
 
 
+#: Column of a stored state (``presence``) in which bit ``year - BASE_YEAR`` says whether the parcel was seen in that survey.
+MASK, BASE_YEAR, LAST_YEAR = "survey_mask", 2000, 2062
+
+
+def survey_bit(year: int) -> int:
+    if not BASE_YEAR <= year <= LAST_YEAR:
+        raise ValueError(f"survey years lie between {BASE_YEAR} and {LAST_YEAR}, not {year}")
+    return 1 << (year - BASE_YEAR)
+
+
+def _seen(year: int) -> Column:
+    return F.col(MASK).bitwiseAND(F.lit(survey_bit(year)).cast("long")) != 0
+
+
 def parcel_presence(det: DataFrame, years, keep_null_parcels: bool = False) -> DataFrame:
-    """One row per (zone, parcel) with an int flag per survey year; the only shuffle of the cohort reports."""
+    """One row per (zone, parcel) with an int flag per survey year; the only shuffle of the cohort reports.
+
+    ``det`` is the detections, or a stored state of them (``presence.presence_state``), which needs no shuffle.
+    """
     years = sorted(set(years))
+    if MASK in det.columns:
+        rows = det.where(F.col(MASK).bitwiseAND(F.lit(sum(survey_bit(y) for y in years)).cast("long")) != 0)
+        if not keep_null_parcels:
+            rows = rows.where(F.col(PARCEL).isNotNull())
+        return rows.select(ZONE, PARCEL, *[_seen(y).cast("int").alias(_flag(y)) for y in years])
     d = det.select(ZONE, YEAR, PARCEL).where(F.col(YEAR).isin(years))
     if not keep_null_parcels:
         d = d.where(F.col(PARCEL).isNotNull())
@@ -64,6 +86,10 @@ def stock_by_year(det: DataFrame, years=None, drop_null: bool = False) -> DataFr
     drop_null=False (commune variant): a zone whose rows of a year all lack a parcel yields 0.
     drop_null=True (EPCI variant): NULL parcels are dropped first, so such a zone yields no row.
     """
+    if MASK in det.columns:
+        every = range(BASE_YEAR, LAST_YEAR + 1) if years is None else sorted(set(years))
+        seen = F.filter(F.array(*[F.when(_seen(y), F.lit(y)) for y in every]), lambda y: y.isNotNull())
+        det = det.select(ZONE, PARCEL, F.explode(seen).alias(YEAR))
     d = det.select(ZONE, YEAR, PARCEL)
     if years is not None:
         d = d.where(F.col(YEAR).isin(list(years)))

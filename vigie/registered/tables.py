@@ -7,11 +7,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from vigie.functions import geo
-from vigie.operators import spatial
+from vigie.operators import cohort, spatial
+from vigie.operators.presence import PresenceStore
 from vigie.operators.reload import DetectionStore
 from vigie.plans import cells as C
 from vigie.plans.materialize import materialize
-from vigie.registry import ORACLE_LOADED, ORACLE_PV_COUNTS, PAIR_CELL, _parcel_stats, _pv, _stored_load, register
+from vigie.registry import ORACLE, ORACLE_LOADED, ORACLE_PV_COUNTS, PAIR_CELL, _parcel_stats, _pv, _stored_load, register
 from vigie.session import ensure_checkpoint_dir
 from vigie.sources import analytics, layers
 from vigie.sources.fixtures import Fixtures, with_fixtures
@@ -90,3 +91,24 @@ def q_replaced_run(spark, sf_dir):
     territory = layers.commune_layer(fx.fx_commune).where(F.col("id") == RUN_ZONE)
     store.replace_run(rows.where(mine), RUN_SEQ, territory)
     return store.read().select("id", "score", "object_type", "geozone_id", "batch_year", "id_parcellaire", "first_detection")
+
+
+# ---------------------------------------------------------------- C3 and C8 from the stored state
+def _surveyed(spark, fx: Fixtures):
+    """The state after the surveys came in one after the other, the third of them twice."""
+    store = PresenceStore(_tables(spark))
+    store.create()
+    for year in (2015, 2021, 2018, 2021, 2024):
+        store.add(fx.fx_det_tagged.where(F.col("batch_year") == year))
+    return store.read()
+
+
+@register("C3_stock_by_year_stored", ORACLE["C3_stock_by_year"])
+def q_stock_by_year_stored(spark, sf_dir):
+    return cohort.stock_by_year(_surveyed(spark, Fixtures(spark, sf_dir)))
+
+
+@register("C8_evolution_epci_stored", ORACLE["C8_evolution_epci"])
+def q_evolution_epci_stored(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return cohort.evolution_epci(_surveyed(spark, fx), fx.fx_zone, _parcel_stats(fx, "epci"))
