@@ -10,17 +10,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigie.functions.text import unaccent
-
 CHANGE_SCHEMA = "array<struct<field:string,old_value:string,new_value:string>>"
 STATUS_FIELDS = ("detection_validation_status", "detection_control_status", "detection_prescription_status")
 # Who stands for imports in the baseline unless the caller says otherwise, and the status before any import.
 IMPORT_EMAIL, IMPORT_GROUP, IMPORTED = "import@example.org", "import", "IMPORTED"
 
 
+#: Labels that differ in case, accents or trailing blanks only are equal, in any script.
+LABEL_COLLATION = "UNICODE_CI_AI_RTRIM"
+
+
 def label_key(c: Column) -> Column:
-    """Case-, accent- and trailing-space-insensitive comparison key (the tracker's unicode_ci label collation)."""
-    return F.lower(unaccent(F.rtrim(c)))
+    """Comparison key of labels for joins and grouping, under the tracker's collation."""
+    return F.collate(c, LABEL_COLLATION)
 
 
 def case_transitions(log: DataFrame, steps: DataFrame, town: str | None = None, order_col: str = "id") -> DataFrame:
@@ -154,8 +156,11 @@ def transition_code(source: Column, target: Column) -> Column:
     return F.concat(source, F.lit("_"), target)
 
 
-def unknown_transitions(flow: DataFrame, allowed: DataFrame, by: list[str]) -> DataFrame:
-    """W5 (conformance): observed transitions absent from the allowed graph, counted per (code, *by); NULL keys dropped."""
+def unknown_transitions(flow: DataFrame, allowed: DataFrame, by: list[str], labels: tuple[str, ...] = ()) -> DataFrame:
+    """W5 (conformance): observed transitions absent from the allowed graph, counted per (code, *by); NULL keys dropped.
+
+    ``labels``: those of ``by`` that are grouped as labels (``label_key``); a group goes by the least of its spellings.
+    """
     allowed_codes = allowed.select(transition_code(F.col("from_step"), F.col("to_step")).alias("transition_code"))
     f = flow.withColumn("transition_code", transition_code(F.col("source_step"), F.col("target_step")))
     unknown = f.join(allowed_codes, "transition_code", "left_anti")
@@ -163,7 +168,9 @@ def unknown_transitions(flow: DataFrame, allowed: DataFrame, by: list[str]) -> D
     cond = F.lit(True)
     for k in keys:
         cond = cond & F.col(k).isNotNull()
-    return unknown.where(cond).groupBy(*keys).agg(F.count(F.lit(1)).alias("nb_transitions"))
+    grouped = [label_key(F.col(k)).alias(f"_key_{k}") if k in labels else F.col(k) for k in keys]
+    out = unknown.where(cond).groupBy(*grouped).agg(F.count(F.lit(1)).alias("nb_transitions"), *[F.min(k).alias(k) for k in labels])
+    return out.select(*keys, "nb_transitions")
 
 
 def transition_flow(flow: DataFrame, steps: DataFrame, allowed: DataFrame, strict: bool = True) -> DataFrame:

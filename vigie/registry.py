@@ -624,7 +624,7 @@ where source_step || '_' || target_step not in (select from_step || '_' || to_st
 group by 1, 2, 3""", "fx_case_log"))
 def q_unknown_case_transitions(spark, sf_dir):
     return workflow.unknown_transitions(_case_flow(spark, Fixtures(spark, sf_dir)), seeds.workflow_transitions(spark, "case"),
-                                        ["action_type", "next_action_type"])
+                                        ["action_type", "next_action_type"], labels=("action_type", "next_action_type"))
 
 
 def _oracle_links(flow: str, steps: str, trans: str, strict: bool) -> str:
@@ -1119,24 +1119,33 @@ def q_find_zones(spark, sf_dir):
     return loads.find_zones(_custom(Fixtures(spark, sf_dir)), "%supplier#0000000_1%")
 
 
-@register("Q1_constraint_report", with_fixtures("""
+_Q1_FX = ("fx_detection", "fx_det_tagged", "fx_history", "fx_object", "fx_parcel", "fx_detdata", "fx_hist_object", "fx_custom_staging", "fx_custom_zone")
+
+
+@register("Q1_constraint_report", with_fixtures(f"""
 select 'fx_detection' as table_name, 'pk(id)' as rule, cast(count(*) - count(distinct id) + count(*) filter (where id is null) as bigint) as violations from fx_detection
 union all select 'fx_det_tagged', 'pk(id)', cast((select count(*) from (select id from fx_det_tagged group by id having count(*) > 1)) as bigint)
 union all select 'fx_history', 'pk(history_id)', cast((select count(*) from (select history_id from fx_history group by history_id having count(*) > 1)) as bigint)
 union all select 'fx_object', 'fk(parcel_id -> fx_parcel.id)', cast(count(*) as bigint) from fx_object o where o.parcel_id is not null and o.parcel_id not in (select id from fx_parcel)
 union all select 'fx_detdata', 'not_null(user_last_update_id)', cast(count(*) filter (where user_last_update_id is null) as bigint) from fx_detdata
-union all select 'fx_hist_object', 'not_null(parcel_id)', cast(count(*) filter (where parcel_id is null) as bigint) from fx_hist_object""",
-                                              "fx_detection", "fx_det_tagged", "fx_history", "fx_object", "fx_parcel", "fx_detdata", "fx_hist_object"))
+union all select 'fx_hist_object', 'not_null(parcel_id)', cast(count(*) filter (where parcel_id is null) as bigint) from fx_hist_object
+union all select 'fx_custom_staging', 'duplicates(name)', cast((select count(*) from (select name from fx_custom_staging group by name having count(*) > 1)) as bigint)
+union all select 'fx_custom_staging', 'fk(name -> fx_custom_zone.name)', cast(count(*) as bigint) from fx_custom_staging where name not in (select name from fx_custom_zone)
+union all select 'workflow_steps', 'unmapped(step_code -> workflow_mapping.step_code)', cast(count(*) as bigint) from {SQL_REVIEW_STEPS} s
+  where s.step_code not in (select step_code from {SQL_MAPPING} m)
+union all select 'workflow_steps', 'pk(step_code)', 0""", *_Q1_FX))
 def q_constraint_report(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
-    return quality.constraint_report([
-        quality.primary_key(fx.fx_detection, "fx_detection", ["id"]),
-        quality.primary_key(fx.fx_det_tagged, "fx_det_tagged", ["id"]),
-        quality.primary_key(fx.fx_history, "fx_history", ["history_id"]),
-        quality.foreign_key(fx.fx_object, "fx_object", "parcel_id", fx.fx_parcel, "id", "fx_parcel"),
-        quality.not_null(fx.fx_detdata, "fx_detdata", "user_last_update_id"),
-        quality.not_null(fx.fx_hist_object, "fx_hist_object", "parcel_id"),
-    ])
+    rule = quality.Rule
+    rules = [
+        rule("pk", "fx_detection", ("id",)), rule("pk", "fx_det_tagged", ("id",)), rule("pk", "fx_history", ("history_id",)),
+        rule("fk", "fx_object", ("parcel_id",), "fx_parcel", ("id",)), rule("not_null", "fx_detdata", ("user_last_update_id",)),
+        rule("not_null", "fx_hist_object", ("parcel_id",)), rule("duplicates", "fx_custom_staging", ("name",)),
+        rule("fk", "fx_custom_staging", ("name",), "fx_custom_zone", ("name",)),
+        rule("unmapped", "workflow_steps", ("step_code",), "workflow_mapping", ("step_code",)), rule("pk", "workflow_steps", ("step_code",)),
+    ]
+    tables = {name: getattr(fx, name) for name in _Q1_FX}
+    return quality.constraint_report(tables | {"workflow_steps": seeds.workflow_steps(spark), "workflow_mapping": seeds.status_mapping(spark)}, rules)
 
 
 @register("S13_ingest_layer", with_fixtures("""
@@ -1210,4 +1219,4 @@ def q_zone_features_geojson(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- queries kept by theme
-from vigie.registered import shapes, tables  # noqa: E402, F401
+from vigie.registered import cases, shapes, tables  # noqa: E402, F401

@@ -173,6 +173,8 @@ def with_fixtures(sql: str, *names: str) -> str:
     """Prefix an oracle query with the fixture CTEs it reads (DuckDB side)."""
     ctes = ",\n".join(f"{n} as ({FIXTURE_SQL[n].strip()})" for n in names)
     body = sql.strip()
+    if body.lower().startswith("with recursive "):
+        return f"with recursive {ctes},\n{body[15:]}"
     if body.lower().startswith("with "):
         return f"with {ctes},\n{body[5:]}"
     return f"with {ctes}\n{body}"
@@ -249,3 +251,12 @@ FIXTURE_SQL.update({
     "fx_shape": f"""
 select t.*, cast(id % 3 as int) as shape from ({FIXTURE_SQL["fx_detection"].strip()}) t""",
 })
+
+FIXTURE_SQL.update({
+    # a case log whose labels are typed in several scripts, with other case, accents and trailing blanks
+    "fx_case_scripts": """
+select event_id as id, user_id as dossier_id, ts as action_date, cast(null as string) as ville,
+ case event_id % 9 when 0 then 'ΑΝΟΙΓΜΑ ΦΑΚΕΛΟΥ' when 1 then 'άνοιγμα φακέλου  ' when 2 then 'ELEMENTS RECUS' when 3 then 'éléments reçus ' when 4 then 'ОТЧЕТ ГОТОВ'
+  when 5 then 'отчёт готов' when 6 then 'CLÔTURE   ' when 7 then 'cloture' else 'άλλο' end as action_type
+from events""",
+})
