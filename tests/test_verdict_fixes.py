@@ -237,3 +237,14 @@ print(e.queries()["S11_zone_surface"](local_session(2, 2), {SMALL!r}).count(), e
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0 and done.stdout.split()[-2:] == ["25", "5"], done.stderr[-2000:]
+
+
+def test_ids_start_at_one_in_an_empty_zone_table(spark):
+    box = f"id long, name string, name_normalized string, zone_type string, rings {RINGS}, minx double, miny double, maxx double, maxy double"
+    zones = spark.createDataFrame([], box)
+    child = spark.createDataFrame([], "geozone_ptr_id long, code string")
+    src = spark.createDataFrame([("7", "Nord", None, square(0, 0), 0.0, 0.0, 2.0, 2.0), ("8", "Sud", None, square(4, 0), 4.0, 0.0, 6.0, 2.0)],
+                                f"code string, name string, parent_code string, rings {RINGS}, minx double, miny double, maxx double, maxy double")
+    out, rows = loads.upsert_collectivities(zones, child, src, "REGION", by="name")
+    assert sorted((r["id"], r["name"]) for r in out.collect()) == [(1, "Nord"), (2, "Sud")]
+    assert sorted((r["geozone_ptr_id"], r["code"]) for r in rows.collect()) == [(1, "7"), (2, "8")]

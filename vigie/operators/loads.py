@@ -198,7 +198,7 @@ def upsert_collectivities(zones: DataFrame, child: DataFrame, source: DataFrame,
         *[F.coalesce(F.col("_s_" + c), F.col(c)).alias(c) if c in geo_cols else F.col(c) for c in zones.columns]
     )
     new_src = not_in(source, "code", child, "code")
-    numbered = surrogate_ids(new_src, [F.col("code")], name="_rank", offset=1).withColumn("_m", zones.agg(F.max("id")).scalar())
+    numbered = surrogate_ids(new_src, [F.col("code")], name="_rank", offset=1).withColumn("_m", zones.agg(F.coalesce(F.max("id"), F.lit(0))).scalar())
     inserted = numbered.select(
         (F.col("_m") + F.col("_rank")).cast(zones.schema["id"].dataType).alias("id"), F.col("name"),
         normalize_text(F.col("name")).alias("name_normalized"), F.lit(level).alias("zone_type"), *geo_cols,

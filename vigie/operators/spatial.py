@@ -21,6 +21,11 @@ def zone_tag(features: DataFrame, zones: DataFrame, cell: float, zone_ids=None)
     return C.within_pairs(features, z, cell).select(F.col("fid").alias("id"), "zone_id")
 
 
+def in_any_zone(features: DataFrame, zones: DataFrame, cell: float, zone_ids=None) -> DataFrame:
+    """Ids of the features that at least one zone fully contains, once each."""
+    return zone_tag(features, zones, cell, zone_ids).select("id").distinct()
+
+
 def match_parcel(det: DataFrame, parcels: DataFrame, cell: float, id_col: str = "id_parcellaire") -> DataFrame:
     """Left-outer intersects join keeping the parcel with the smallest parcel id (NULL when none).
 
@@ -324,6 +329,19 @@ def zone_centroids(boundary_edges: DataFrame, zones: DataFrame, selected: DataFr
     )
 
 
+# The EPCI whose centroids are reported.
+EPCI_CENTROID_IDS = [37087, 36513, 37374, 37380, 36519, 37373, 37378, 37375, 37377, 37376, 36802, 36803, 37379, 37372, 36717, 36716]
+
+
+def selected_centroids(zones: DataFrame, ids=EPCI_CENTROID_IDS) -> DataFrame:
+    """S12, EPCI view: (id, name, lon, lat) of the chosen zones' own geometries (id, name, rings)."""
+    from vigie.functions import geo
+
+    chosen = zones.where(F.col("id").isin(list(ids))).withColumn("rings", geo.oriented("rings"))
+    lon, lat = geo.centroid("rings")
+    return chosen.select(F.col("id").cast("long").alias("id"), "name", lon.alias("lon"), lat.alias("lat"))
+
+
 def tile_cover(layer: DataFrame, zoom: int = 19, explode: bool = False) -> DataFrame:
     """Slippy-map tile range of each zone's bbox (min_y from max_lat); optionally one row per tile."""
     from vigie.functions import geo

@@ -1219,4 +1219,4 @@ def q_zone_features_geojson(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- queries kept by theme
-from vigie.registered import cases, shapes, tables  # noqa: E402, F401
+from vigie.registered import cases, shapes, tables, zones  # noqa: E402, F401

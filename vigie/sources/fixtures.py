@@ -260,3 +260,16 @@ select event_id as id, user_id as dossier_id, ts as action_date, cast(null as st
   when 5 then 'отчёт готов' when 6 then 'CLÔTURE   ' when 7 then 'cloture' else 'άλλο' end as action_type
 from events""",
 })
+
+FIXTURE_SQL.update({
+    # zones that grow with the table: one box for each customer on a grid of 100 columns, on the plane (2 x 2) and on the globe
+    # (a hundredth of a degree); every 25 x 25 boxes are a group
+    "fx_grid_zone": """
+select 36000 + c_custkey as id, c_name as name, c_custkey % 100 as col, cast(floor(c_custkey / 100) as bigint) as line,
+ cast(floor((c_custkey % 100) / 25) as bigint) + 4 * cast(floor(floor(c_custkey / 100) / 25) as bigint) as group_id,
+ (c_custkey % 100) * 0.01 as lon0, 40 + cast(floor(c_custkey / 100) as bigint) % 3000 * 0.01 as lat0 from customer""",
+    # source regions of a reference-data refresh: codes 0–8, of which the first three are known
+    "fx_region_src": """
+select distinct cast(s_nationkey % 9 as string) as code, concat('Région n°', cast(s_nationkey % 9 as string)) as nom,
+ (s_nationkey % 9) * 1.0 as minx, 40.0 as miny, (s_nationkey % 9) * 1.0 + 1 as maxx, 41.0 as maxy from supplier""",
+})
