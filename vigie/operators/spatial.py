@@ -195,23 +195,23 @@ def parcels_at_risk(parcels: DataFrame, communes: DataFrame, risk: DataFrame, ce
     nb_parcels_in_ze = distinct parcel references within any risk zone. Driven by the risk side: a territory
     without any parcel row inside a risk zone gives no row.
     """
+    c = F.col
     spots = C.by_geometry(parcels)  # equal geometries are tested once
-    found = C.within_pairs(spots, risk, cell).select(F.col("fid").alias("id")).distinct()
-    inside = C.join_geometry(parcels, spots.join(found.withColumn("_in", F.lit(True)), "id"), (), ["_in"]).where("_in").select("id")
+    found = C.within_pairs(spots, risk, cell).select(c("fid").alias("id")).distinct()
+    p = C.join_geometry(parcels, spots.join(found.withColumn("_in", F.lit(True)), "id"), (), ["_in"])
+    p = p.select("commune_id", "id_parcellaire", F.coalesce("_in", F.lit(False)).alias("_in"))
     if level == "commune":
-        p = parcels.select("id", F.col("commune_id").alias("geozone_id"), "id_parcellaire")
-        total = p.groupBy("geozone_id").agg(F.count("id_parcellaire").alias("nb_parcels"))
+        p = p.withColumnRenamed("commune_id", "geozone_id")
     elif level == "epci":
-        p = parcels.join(communes.select(F.col("geozone_id").alias("commune_id"), "epci_id"), "commune_id") \
-            .select("id", F.col("epci_id").alias("geozone_id"), "id_parcellaire")
-        total = p.groupBy("geozone_id").agg(F.countDistinct("id_parcellaire").alias("nb_parcels"))
+        p = p.join(communes.select(c("geozone_id").alias("commune_id"), c("epci_id").alias("geozone_id")), "commune_id")
     else:
         raise ValueError(level)
-    ze = p.join(inside, "id", "left_semi").groupBy("geozone_id").agg(F.countDistinct("id_parcellaire").alias("nb_parcels_in_ze"))
-    return ze.join(total, "geozone_id", "left").select(
-        F.col("geozone_id").cast("long").alias("geozone_id"), F.col("nb_parcels").cast("long").alias("nb_parcels"),
-        F.col("nb_parcels_in_ze").cast("long").alias("nb_parcels_in_ze"),
-    )
+    # one row for each reference of a territory, then plain sums
+    refs = p.groupBy("geozone_id", "id_parcellaire").agg(F.count("id_parcellaire").alias("_n"), F.max("_in").alias("_in"))
+    known = c("id_parcellaire").isNotNull()
+    total = F.sum("_n") if level == "commune" else F.count("id_parcellaire")
+    out = refs.groupBy("geozone_id").agg(total.alias("nb_parcels"), F.sum((known & c("_in")).cast("long")).alias("nb_parcels_in_ze"), F.max("_in").alias("_any"))
+    return out.where("_any").select(c("geozone_id").cast("long").alias("geozone_id"), c("nb_parcels").cast("long").alias("nb_parcels"), "nb_parcels_in_ze")
 
 
 # ---------------------------------------------------------------- edge-table operators
