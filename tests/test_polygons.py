@@ -4,8 +4,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as E
-from tests.conftest import SMALL
 from vigie.functions import geo
 from vigie.functions import kernel as K
 from vigie.operators import spatial
@@ -118,11 +116,6 @@ def test_outside_bounds_of_polygons_in_overlapping_zones(spark):
     assert got == want and 0 < len(want) < len(P)
 
 
-@pytest.mark.parametrize("key", [k for k in E.queries() if k.endswith("_shapes")])
-def test_no_pair_reaches_python(spark, key):
-    assert not python_over_pairs(E.queries()[key](spark, SMALL))
-
-
 # ---------------------------------------------------------------- cell tree
 def block(spark, dense=3000, wide=400):
     """Boxes of side 1: ``wide`` of them over 1,000 x 1,000, ``dense`` in one block of 20 x 20 whose middle is denser still."""
