@@ -50,32 +50,38 @@ def study_scope(versions: DataFrame, zones: DataFrame, territory_id: int, risk_i
     return inside.where("t = 1 and r = 1").select(F.col("id").alias("version_id"))
 
 
-def _scoped(hist_data: DataFrame, hist_det: DataFrame, hist_objects: DataFrame, tileset: int, min_score: float, scope: DataFrame | None) -> DataFrame:
-    """History rows joined to the versions of their detections, restricted to one tileset, a score and optionally the
-    versions in ``scope(version_id)``, and left-joined to the history of the detection's object for the parcel."""
-    det = hist_det.where((F.col("tile_set_id") == tileset) & (F.col("score") > min_score))
+def reviewed(hist_det: DataFrame, tileset: int = 19, min_score: float = 0.3) -> DataFrame:
+    """Versions of one tileset above a score; taken before the study area, so only these are tested against zones."""
+    return hist_det.where((F.col("tile_set_id") == tileset) & (F.col("score") > min_score))
+
+
+def scoped_versions(hist_det: DataFrame, hist_objects: DataFrame, scope: DataFrame | None = None) -> DataFrame:
+    """Detections under study as ``(detection_id, detection_data_id, auto_prescribed, parcel_id)``: versions, optionally those
+    in ``scope(version_id)`` only, left-joined to the history of the detection's object for the parcel. W2 and W3 both read it."""
     if scope is not None:
-        det = det.join(scope.select("version_id"), "version_id", "left_semi")
-    det = det.select(F.col("id").alias("detection_id"), "detection_data_id", "detection_object_id", "auto_prescribed")
+        hist_det = hist_det.join(scope.select("version_id"), "version_id", "left_semi")
+    det = hist_det.select(F.col("id").alias("detection_id"), "detection_data_id", "detection_object_id", "auto_prescribed")
     objects = hist_objects.select(F.col("id").alias("detection_object_id"), "parcel_id")
-    det = det.join(objects, "detection_object_id", "left").drop("detection_object_id")
-    return hist_data.join(det, hist_data["id"] == det["detection_data_id"]).drop(hist_data["id"])
+    return det.join(objects, "detection_object_id", "left").drop("detection_object_id")
+
+
+def _audited(hist_data: DataFrame, versions: DataFrame) -> DataFrame:
+    """Audit rows of the detections under study; ``hist_data`` is filtered by the caller first."""
+    return hist_data.join(versions, hist_data["id"] == versions["detection_data_id"]).drop(hist_data["id"])
 
 
 def _status(a: Column, b: Column, c: Column) -> Column:
     return F.concat(a, F.lit("."), b, F.lit("."), c)  # NULL-propagating like ||
 
 
-def import_baseline(hist_data: DataFrame, hist_det: DataFrame, hist_objects: DataFrame, tileset: int = 19, min_score: float = 0.3,
-                    scope: DataFrame | None = None, email: str = IMPORT_EMAIL, group_name: str = IMPORT_GROUP) -> DataFrame:
+def import_baseline(hist_data: DataFrame, versions: DataFrame, email: str = IMPORT_EMAIL, group_name: str = IMPORT_GROUP) -> DataFrame:
     """Initial status of each detection data row from import audit rows ('+', or '~' without changed fields).
 
     old = IMPORTED × 3; new = recorded status or default; one row per (detection data, old status), the latest history
-    id first, ties broken by detection id, parcel id (NULLs last), then the new status.
+    id first, ties broken by detection id, parcel id (NULLs last), then the new status. ``versions``: ``scoped_versions``.
     """
-    d = _scoped(hist_data, hist_det, hist_objects, tileset, min_score, scope).where(
-        (F.col("history_type") == "+") | ((F.col("history_type") == "~") & F.col("changed_fields").isNull())
-    )
+    imports = hist_data.where((F.col("history_type") == "+") | ((F.col("history_type") == "~") & F.col("changed_fields").isNull()))
+    d = _audited(imports, versions)
     pres = F.col("detection_prescription_status")
     auto_true = F.col("auto_prescribed").eqNullSafe(F.lit(True))
     d = d.select(
@@ -95,16 +101,15 @@ def import_baseline(hist_data: DataFrame, hist_det: DataFrame, hist_objects: Dat
     return d.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def review_changes(hist_data: DataFrame, hist_det: DataFrame, hist_objects: DataFrame, users: DataFrame, tileset: int = 19, min_score: float = 0.3,
-                   scope: DataFrame | None = None, detection_id: int | None = None) -> DataFrame:
-    """One row per audited status change.
+def review_changes(hist_data: DataFrame, versions: DataFrame, users: DataFrame, detection_id: int | None = None) -> DataFrame:
+    """One row per audited status change of ``versions`` (``scoped_versions``).
 
     Keeps one row per (detection, data, history) preferring the highest parcel id with NULL first; reads the old value
     of each status field from the JSON change list (absent or JSON null → the recorded new value); ``old_status`` /
     ``new_status`` are the dotted composites, NULL when a part is NULL. ``detection_id`` optionally restricts to one
     detection (the reference's debug filter, off by default).
     """
-    d = _scoped(hist_data, hist_det, hist_objects, tileset, min_score, scope).where(F.col("changed_fields").isNotNull())
+    d = _audited(hist_data.where(F.col("changed_fields").isNotNull()), versions)
     d = d.join(users.select(F.col("id").alias("history_user_id"), "email", "group_name"), "history_user_id")
     if detection_id is not None:
         d = d.where(F.col("detection_id") == detection_id)

@@ -572,25 +572,25 @@ flow as (
 _W_FX = ("fx_history", "fx_hist_det", "fx_hist_object", "fx_user", "fx_study", "fx_risk")
 
 
-def _study(fx):
-    """Versions of detections inside the study territory and a risk zone."""
+def _versions(fx):
+    """Reviewed versions inside the study territory and a risk zone: filtered first, then tested against the area, once."""
+    det = workflow.reviewed(fx.fx_hist_det)
     zones = layers.risk_layer(fx.fx_risk).unionByName(layers.box_layer(fx.fx_study, "zone_id"))
-    return workflow.study_scope(layers.box_layer(fx.fx_hist_det, "version_id"), zones, 900, [351, 352, 361], CELL)
+    scope = workflow.study_scope(layers.box_layer(det, "version_id"), zones, 900, [351, 352, 361], CELL)
+    return workflow.scoped_versions(det, fx.fx_hist_object, scope)
 
 
-def _baseline(fx, scope=None):
-    return workflow.import_baseline(fx.fx_history, fx.fx_hist_det, fx.fx_hist_object, scope=_study(fx) if scope is None else scope)
+def _baseline(fx, versions=None):
+    return workflow.import_baseline(fx.fx_history, _versions(fx) if versions is None else versions)
 
 
-def _changes(fx, scope=None):
-    return workflow.review_changes(fx.fx_history, fx.fx_hist_det, fx.fx_hist_object, fx.fx_user, scope=_study(fx) if scope is None else scope)
+def _changes(fx, versions=None):
+    return workflow.review_changes(fx.fx_history, _versions(fx) if versions is None else versions, fx.fx_user)
 
 
 def _flow(spark, fx):
-    from vigie.plans.materialize import materialize
-
-    scope = materialize(_study(fx))  # ids only; both parts read it
-    return workflow.status_flow(_baseline(fx, scope), _changes(fx, scope), seeds.status_mapping(spark))
+    versions = materialize(_versions(fx))  # a few narrow columns; both parts read them
+    return workflow.status_flow(_baseline(fx, versions), _changes(fx, versions), seeds.status_mapping(spark))
 
 
 @register("W2_import_baseline", with_fixtures(ORACLE_REVIEW.rstrip().rstrip(",") + "\nselect * from baseline", *_W_FX))
