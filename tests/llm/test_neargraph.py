@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pytest
 
 from vigie.llm import neargraph
@@ -103,3 +106,48 @@ def test_query_recall(spark):
     assert len(got) == len(rows)
     assert sum(min(got[i], n) for i, n, *_ in want) >= 0.9 * sum(n for _, n, *_ in want)
     assert all(got[i] <= n for i, n, *_ in want)
+
+
+def test_near_copies_stay_bounded():
+    """A tile of near copies: every link, hubs pruned, and an executor's worth of memory to spare."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal(64) + 0.02 * rng.standard_normal((2048, 64))
+    group = pd.DataFrame({"vec_id": np.arange(2048), "n_rows": 1, "block": 0, "shard": "s", "lo": 0, "hi": 0, "shards": [["s"]] * 2048})
+    group["vec"] = [v.tobytes() for v in x / np.linalg.norm(x, axis=1)[:, None]]
+    tracemalloc.start()
+    group["near"] = neargraph._build_tile(group)["near"]
+    found = neargraph._search_tile(0.93)(group)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400e6
+    assert (found[found["other"] < 0]["links"] == 2047).all()
+    assert (found["other"] >= 0).sum() == 2047
+    assert np.median([len(own) for own in group["near"]]) <= neargraph.HUB
+
+
+def test_forest_spans_components():
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.standard_normal(16) + 0.05 * rng.standard_normal((n, 16)) for n in (40, 7, 1, 90, 2)])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    ids = np.arange(len(x)) * 3
+    group = pd.DataFrame({"vec_id": ids, "n_rows": 1, "block": 0, "shard": "s", "lo": 0, "hi": 0, "shards": [["s"]] * len(x), "vec": [v.tobytes() for v in x]})
+    group["near"] = neargraph._build_tile(group)["near"]
+    found = neargraph._search_tile(0.93)(group)
+    tree = found[found["other"] >= 0]
+    assert len(tree) == len(x) - 5
+    size = np.repeat([40, 7, 1, 90, 2], [40, 7, 1, 90, 2])
+    part = np.repeat(np.arange(5), [40, 7, 1, 90, 2])
+    assert (part[tree["vec_id"] // 3] == part[tree["other"] // 3]).all()
+    assert (found[found["other"] < 0]["links"].to_numpy() == size - 1).all()
+
+
+def test_missed_recall_is_not_silent(spark, monkeypatch):
+    rows = list({r[0]: r for r in families(6, 12, 20)}.values())
+    df = spark.createDataFrame(rows, SCHEMA)
+    monkeypatch.setattr(neargraph, "MAX_OVERLAP", 1)
+    got = {r["vec_id"]: r["n_links"] for r in neargraph.near_duplicates(df, shard_nodes=2, overlap=1).collect()}
+    want = brute(rows)
+    assert sum(got[i] for i, *_ in want) >= 0.95 * sum(n for _, n, *_ in want)
+    monkeypatch.setattr(neargraph, "MIN_RECALL", 1.1)
+    with pytest.raises(RuntimeError, match="recall"):
+        neargraph.near_duplicates(df, shard_nodes=2, overlap=1)
