@@ -110,3 +110,14 @@ def test_every_top_context_is_held(spark):
     for t in (b"qxz zqx xzq", large[5][100:160].encode(), b"qqq!zz"):
         want = brute_bits(train, t, contexts)
         assert np.allclose(langid.code_lengths(model, [t])[0], [want[x] for x in model.langs], rtol=1e-5, atol=1e-3), t
+
+
+def test_letters_by_category(spark):
+    train = spark.createDataFrame([("abracadabra", "x"), ("abracadabra", "a"), ("simsalabim", "y")], "text string, lang string")
+    model = langid.fit(langid.gram_counts(train))
+    texts = ["\u00b2 \u00bd \u2167 12_\u0663 \u0301", "", None, "\u00e9", "\u00bda", "\u4e2d", "\u00aa", "abra"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string")
+    got = {r["id"]: (r["_lang_pred"], r["_lang_score"]) for r in langid.predict(df, model, columns=("id",)).collect()}
+    assert [got[i] for i in range(3)] == [("und", 0.0)] * 3
+    assert all(got[i][0] != "und" for i in range(3, 8))
+    assert got[7][0] == "a"  # equal codes: the first by name

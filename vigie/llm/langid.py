@@ -10,20 +10,20 @@ The trees hold every context of every order. The top order is kept as the grams
 the contexts that occur (an escape length per language), so the model, which is the only thing sent to every task, grows with
 the distinct grams of the training documents and not with their number. The driver builds it in one piece.
 
-A document's language is the one with the shortest code. ``score`` is its share of the posterior under equal priors.
-Null text or text without a letter: ``und`` with score 0. An empty training set predicts ``und`` for every row. Null
+A document's language is the one with the shortest code, the first by name among equals. ``score`` is its share of the posterior under equal priors.
+Null text or text without a letter (Unicode category L): ``und`` with score 0. An empty training set predicts ``und`` for every row. Null
 ``lang`` rows are not learned from. Rows are scored one by one, so repeated rows get equal results. Extra columns are ignored
 unless named in ``columns``; one that has the name of an appended column is replaced by it.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +33,8 @@ ORDER = 3
 #: Bytes counted or coded at once in a task, and distinct grams a task holds before it hands them on.
 CHUNK = 1 << 20
 MOST_HELD = 1 << 20
-LETTER = re.compile(r"[^\W\d_]")
+#: By Unicode category: superscripts, fractions and Roman numeral signs are numbers.
+LETTER = regex.compile(r"\p{L}")
 
 
 # ---- counting -------------------------------------------------------------------------------------------------------
