@@ -14,12 +14,12 @@ def brute(text, containment=licenses.CONTAINMENT):
     hits = [(i, label) for p, label in licenses.PHRASES.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
     at = [i for i, _ in hits]
     blocks = []
-    for k, line in enumerate((text or "").split("\n")):
-        held = set(re.findall(WORD, lower(line)))
-        for label, s in licenses.TEMPLATES.items():
-            t = set(s.split())
-            if 1000 * len(held & t) >= round(1000 * containment) * len(t):
-                blocks.append((k, label, len(held & t) / len(t)))
+    lines = (text or "").split("\n")
+    for label, s in licenses.TEMPLATES.items():
+        t = set(s.split())
+        held = [set(re.findall(WORD, lower("\n".join(lines[k : k + licenses.BLOCK_LINES])))) & t for k in range(len(lines))] + [set()]
+        share = [len(h) / len(t) if 1000 * len(h) >= round(1000 * containment) * len(t) else 0 for h in held]
+        blocks += [(k, label, share[k]) for k in range(len(lines)) if share[k] > share[k + 1]]
     return len(words), len(at), min(at, default=None), max(at, default=None), sorted({x for _, x in hits}), sorted(blocks)
 
 
@@ -55,3 +55,15 @@ def test_filters_lose_nothing():
                 held = set(block)
                 want = sorted((k, len(held & set(s.split())) / len(s.split())) for k, s in templates.items() if 10 * len(held & set(s.split())) >= 7 * len(s.split()))
                 assert sorted(index.match([w.encode() for w in block])) == want
+
+
+def test_wrapped_notices(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software"
+    gpl = "# This program is free software: you can redistribute it\n# and/or modify it under the terms of the GNU General Public\n# License as published by the Free Software\n# Foundation, either version 3"
+    rows = [(1, "a b\n" + mit), (2, gpl), (3, mit.replace("\n", "\n\n\n\n\n")), (4, mit + "\nx\ny\nz\nw\n" + mit), (5, "Released under the\r\nMIT\r\nLicense."), (6, "the mit licensed it under a tree\n" * 5)]
+    got = {r["doc_id"]: [(b["line"], b["label"]) for b in r["_blocks"]] for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: [(1, "mit-text")], 2: [(0, "gpl-notice")], 3: [], 4: [(0, "mit-text"), (7, "mit-text")], 5: [(0, "mit")], 6: []}
+    for _, t in rows:
+        index = licenses.TemplateIndex(licenses.TEMPLATES, {})
+        lines = [licenses.words(x.encode()) for x in t.split("\n")]
+        assert [tuple(b.values()) for b in licenses.matches(index, lines, licenses.BLOCK_LINES)] == brute(t)[-1]

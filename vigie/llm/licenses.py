@@ -1,7 +1,8 @@
 """License scan: exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text; its tokens are its distinct words. A template matches a block that holds at least
-``CONTAINMENT`` of the template's tokens. The join is exact:
+A block is a line of a text with the ``BLOCK_LINES - 1`` lines after it, so a notice may be wrapped; its tokens are its distinct
+words. A template matches a block that holds at least ``CONTAINMENT`` of the template's tokens. Blocks overlap: of a run of
+blocks with the same match only the last is listed, which starts where the notice does. The join is exact:
 
 * tokens are ordered by how many documents of the whole corpus hold them, rarest first;
 * prefix filter: a match holds one of the template's first ``size - need + 1`` tokens, so only these are indexed;
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CONTAINMENT = 0.9
+BLOCK_LINES = 4
 #: Fixed values of the contract: phrase -> label.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 #: Label -> a sentence by which that license is named in public notices.
@@ -38,6 +40,9 @@ TEMPLATES = {
     "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
     "bsd": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "mpl-2.0": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "gpl-notice": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+    "isc": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
+    "cc0": "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
     "unlicense": "this is free and unencumbered software released into the public domain",
 }
 #: Every byte to itself (A-Z to a-z) if it belongs to a word, else to a space.
@@ -105,10 +110,25 @@ def places(spaced: bytes, phrase: bytes) -> list[int]:
     return out
 
 
-def license_scan(df: DataFrame, text: str = "text", columns: tuple[str, ...] = ("doc_id",), templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None, containment: float = CONTAINMENT) -> DataFrame:
+def matches(index: TemplateIndex, lines: list[list[bytes]], block_lines: int) -> list[dict]:
+    """Matches of all blocks; a block is looked at only if one of its lines holds a prefix token."""
+    hot = {i for i, line in enumerate(lines) if not index.prefix.isdisjoint(line)}
+    out: list[dict] = []
+    after: dict[str, float] = {}  # matches of the block one line further down
+    starts = sorted({k for i in hot for k in range(max(0, i - block_lines + 1), i + 1)}, reverse=True)
+    for n, i in enumerate(starts):
+        if n and starts[n - 1] != i + 1:
+            after = {}
+        here = dict(index.match([w for line in lines[i : i + block_lines] for w in line]))
+        out += [{"line": i, "label": label, "share": share} for label, share in here.items() if share > after.get(label, 0)]
+        after = here
+    return sorted(out, key=lambda b: (b["line"], b["label"]))
+
+
+def license_scan(df: DataFrame, text: str = "text", columns: tuple[str, ...] = ("doc_id",), templates: dict[str, str] | None = None, phrases: dict[str, str] | None = None, containment: float = CONTAINMENT, block_lines: int = BLOCK_LINES) -> DataFrame:
     """``columns`` plus ``_n_words``, ``_n_base``, ``_first_word``, ``_last_word``, ``_base_labels``, ``_blocks``.
 
-    ``_blocks`` lists every match as (line from 0, label, containment).
+    ``_blocks`` lists every match as (first line of the block, from 0, label, containment), by line and label.
     """
     templates, phrases = templates or TEMPLATES, phrases or PHRASES
     vocabulary = {w for s in templates.values() for w in words(s.encode())}
@@ -128,12 +148,7 @@ def license_scan(df: DataFrame, text: str = "text", columns: tuple[str, ...] = (
         found = {p: places(spaced, p) for p, _ in needles}
         starts = [s for x in found.values() for s in x]
         labels = sorted({label for p, label in needles if found[p]})
-        blocks = []
-        if not index.prefix.isdisjoint(flat):
-            for i, line in enumerate(data.split(b"\n")):
-                held = words(line)
-                if not index.prefix.isdisjoint(held):
-                    blocks += [{"line": i, "label": label, "share": share} for label, share in index.match(held)]
+        blocks = [] if index.prefix.isdisjoint(flat) else matches(index, [words(line) for line in data.split(b"\n")], block_lines)
         return len(flat), len(starts), min(starts, default=None), max(starts, default=None), labels, blocks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

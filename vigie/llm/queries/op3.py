@@ -28,7 +28,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    """The same by plain SQL: phrases by place, templates by counting tokens of every line."""
+    """The same by plain SQL: phrases by place, templates by counting tokens of every block of lines."""
     word = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     phrases = " union all ".join(
@@ -36,13 +36,17 @@ def _oracle() -> str:
         f"where array_to_string(w[i:i + {len(p.split()) - 1}], ' ') = '{p}'"
         for p, label in sorted(licenses.PHRASES.items())
     )
+    after = ", ".join(f"coalesce(lead(w, {k}) over run, [])" for k in range(1, licenses.BLOCK_LINES))
     tokens = ", ".join(f"('{label}', '{s}')" for label, s in sorted(licenses.TEMPLATES.items()))
     return f"""
     with toks as materialized (select doc_id, regexp_extract_all({lower.format("coalesce(text, '')")}, '{word}') as w from documents),
     base as materialized ({phrases}),
     spots as (select doc_id, count(*) as n, min(pos) as first, max(pos) as last, array_to_string(list_sort(list(distinct label)), ',') as labels from base group by doc_id),
-    lines as (select distinct doc_id, {lower.format('line')} as line from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line from documents)),
-    held as materialized (select doc_id, list_distinct(regexp_extract_all(line, '{word}')) as w from lines),
+    texts as (select row_number() over () as r, doc_id, {lower.format("coalesce(text, '')")} as t from documents),
+    lines as (select r, doc_id, unnest(string_split(t, chr(10))) as line, generate_subscripts(string_split(t, chr(10)), 1) as i from texts),
+    tokens as (select r, doc_id, i, regexp_extract_all(line, '{word}') as w from lines),
+    held as materialized (select distinct doc_id, w from (select doc_id, list_distinct(flatten([w, {after}])) as w
+      from tokens window run as (partition by r order by i))),
     temp as (select label, list_distinct(string_split(s, ' ')) as t from (values {tokens}) v(label, s)),
     hits as (select doc_id, label, len(list_intersect(w, t))::double / len(t) as share from held, temp
       where len(list_intersect(w, t)) * 1000 >= {int(licenses.CONTAINMENT * 1000)} * len(t)),
