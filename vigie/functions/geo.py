@@ -146,6 +146,11 @@ def trapezoids(rings: str = "rings") -> Column:
     return _let(edges, cut)
 
 
+def trapezoids_area(pieces: Column) -> Column:
+    """Area of what ``trapezoids`` gives."""
+    return F.aggregate(pieces, F.lit(0.0), lambda s, t: s + (t["x1"] - t["x0"]) * (t["t0"] - t["b0"] + t["t1"] - t["b1"]) / 2)
+
+
 def map_vertices(rings: Column, fx, fy) -> Column:
     """Apply ``fx(x, y)``, ``fy(x, y)`` to every vertex."""
     return F.transform(rings, lambda r: F.transform(r, lambda p: F.struct(fx(p["x"], p["y"]).alias("x"), fy(p["x"], p["y"]).alias("y"))))

@@ -70,11 +70,10 @@ class DetectionStore:
         """``rows`` with the flags of this and later runs worked out against ``every``; earlier ones keep theirs."""
         c = F.col
         later = rows.where(c("load_seq") >= load_seq)
-        asked = materialize(C.by_geometry(later, "load_seq"))
-        present = materialize(C.by_geometry(every, seq=F.min("load_seq")))
-        pairs = C.feature_pairs(asked, present, self.cell, condition=c("b_seq") < c("a_load_seq"), a_keep=("load_seq", "area"), b_keep=("seq",),
-                                tree=C.cell_tree([present], self.cell))
-        covered = pairs.where(c("area_ab") > F.lit(FIRST_RATIO) * c("a_area")).select(c("a_id").alias("id"), c("a_load_seq").alias("load_seq")).distinct()
+        asked = materialize(C.with_gap(C.by_geometry(later, "load_seq")))
+        present = materialize(C.with_gap(C.by_geometry(every, seq=F.min("load_seq"))))
+        covered = C.covered(asked, present, self.cell, FIRST_RATIO, a_keep=("load_seq",), b_keep=("seq",), condition=c("b_seq") < c("a_load_seq"),
+                            tree=C.cell_tree([present], self.cell))
         flags = asked.join(covered.withColumn("_cov", F.lit(True)), ["id", "load_seq"], "left")
         fresh = C.join_geometry(later, flags, ("load_seq",), ["_cov"]).withColumn("first_detection", ~F.coalesce("_cov", F.lit(False))).drop("_cov")
         return rows.where(c("load_seq") < load_seq).unionByName(fresh)

@@ -48,10 +48,9 @@ def first_detection(det: DataFrame, cell: float, seq_col: str = "load_seq", rati
     is identified by the smallest id that has it, and rows find theirs by the geometry itself, so no hash can mix two up.
     A zero-area row has an undefined ratio and stays first. Cells that hold many geometries are split (``cells.cell_tree``).
     """
-    reps = materialize(C.by_geometry(det, seq=F.min(seq_col)))
-    pairs = C.feature_pairs(reps, reps, cell, with_touch=False, condition=F.col("b_seq") < F.col("a_seq"), a_keep=("seq", "area"), b_keep=("seq",),
-                            tree=C.cell_tree([reps], cell))
-    covered = pairs.where(F.col("area_ab") > F.lit(ratio) * F.col("a_area")).select(F.col("a_id").alias("id")).distinct()
+    reps = materialize(C.with_gap(C.by_geometry(det, seq=F.min(seq_col))))
+    covered = C.covered(reps, reps, cell, ratio, a_keep=("seq",), b_keep=("seq",), condition=F.col("b_seq") < F.col("a_seq"),
+                        tree=C.cell_tree([reps], cell)).select("id").distinct()
     flags = reps.join(covered.withColumn("_cov", F.lit(True)), "id", "left").withColumnRenamed("seq", "_first_seq")
     out = C.join_geometry(det, flags, (), ["_first_seq", "_cov"])
     later_copy = (F.col(seq_col) > F.col("_first_seq")) & (F.col("area") > 0)
@@ -64,23 +63,20 @@ def prescribed_by_history(det: DataFrame, cell: float, min_gap: int = HISTORY_MI
     """Per detection of the given classes, distinct survey years ≥ ``min_gap`` earlier on the same parcel whose
     detection overlaps it by at least ``ratio`` of its area (0-area → NULL ratio → no match); flag = count ≥ 1.
 
-    Pairs come from the cell index with the parcel as an extra equi key, not from a parcel self-join, so a parcel
-    holding many detections does not emit all its pairs; copies (same parcel, year, geometry) are collapsed first and
-    stand under their smallest id.
+    A detection asks once for each earlier year of its parcel whether a detection of that year covers it (``cells.covered``: parcel
+    and year are keys of the cell join, and the search ends at the first one found), so a parcel holding many detections does not
+    emit its pairs; copies (same parcel, year, geometry) are collapsed first and stand under their smallest id.
     """
     a = det.where(F.col("object_type").isin(list(classes)))
     keys = ("id_parcellaire", "batch_year")
-    a_rep = materialize(C.by_geometry(a, *keys))
-    b_rep = materialize(C.by_geometry(det.where(F.col("id_parcellaire").isNotNull()), *keys))
-    pairs = C.feature_pairs(
-        a_rep, b_rep, cell, with_touch=False,
-        condition=(F.col("a_id_parcellaire") == F.col("b_id_parcellaire")) & (F.col("a_batch_year") - F.col("b_batch_year") >= min_gap),
-        a_keep=("id_parcellaire", "batch_year", "area"), b_keep=("id_parcellaire", "batch_year"),
-    )
-    hits = pairs.where((F.col("a_area") > 0) & (F.col("area_ab") / F.col("a_area") >= ratio))
+    a_rep = materialize(C.with_gap(C.by_geometry(a, *keys)))
+    b_rep = materialize(C.with_gap(C.by_geometry(det.where(F.col("id_parcellaire").isNotNull()), *keys)))
+    years = b_rep.select("id_parcellaire", F.col("batch_year").alias("earlier")).distinct()
+    asked = materialize(a_rep.join(years, "id_parcellaire").where(F.col("batch_year") - F.col("earlier") >= min_gap))
+    hits = C.covered(asked, b_rep, cell, ratio, at_least=True, a_keep=(*keys, "earlier"), b_keep=keys,
+                     match=(("id_parcellaire", "id_parcellaire"), ("earlier", "batch_year")), tree=C.cell_tree([b_rep], cell))
     # an id may stand for several (parcel, year) rows when runs overlap, so the keys go along
-    counts = hits.groupBy(F.col("a_id").alias("id"), F.col("a_id_parcellaire").alias("id_parcellaire"), F.col("a_batch_year").alias("batch_year")).agg(
-        F.countDistinct("b_batch_year").cast("long").alias("count_histo_6y_detection"))
+    counts = hits.groupBy("id", *keys).agg(F.countDistinct("earlier").cast("long").alias("count_histo_6y_detection"))
     out = C.join_geometry(a, a_rep.join(counts, ["id", *keys]), keys, ["count_histo_6y_detection"])
     out = out.withColumn("count_histo_6y_detection", F.coalesce("count_histo_6y_detection", F.lit(0)).cast("long"))
     return out.withColumn("prescripted_detection", F.col("count_histo_6y_detection") >= 1)

@@ -148,20 +148,30 @@ def leaves_of(layer: DataFrame, cell: float, tree: CellTree | None) -> DataFrame
 
 
 # ------------------------------------------------------------------ features as trapezoids
+def _whole_pieces(layer: DataFrame, prefix: str) -> DataFrame:
+    """The rectangles of ``layer``, one piece each."""
+    c = F.col
+    keep = [x for x in layer.columns if x not in ("rings", "minx", "miny", "maxx", "maxy")]
+    whole = {"x0": "minx", "x1": "maxx", "b0": "miny", "b1": "miny", "t0": "maxy", "t1": "maxy"}
+    return layer.where(c("is_rect")).select(*keep, *[c(v).alias(prefix + k) for k, v in whole.items()], "minx", "miny", "maxx", "maxy")
+
+
+def _cut_pieces(layer: DataFrame, prefix: str) -> DataFrame:
+    """The features of ``layer`` that are no rectangles, cut into trapezoids."""
+    c = F.col
+    keep = [x for x in layer.columns if x not in ("rings", "minx", "miny", "maxx", "maxy")]
+    cut = layer.where(~c("is_rect")).select(*keep, F.explode(geo.trapezoids("rings")).alias("_t")).select(*keep, *[c("_t")[k].alias(prefix + k) for k in SIDES])
+    side = lambda k: c(prefix + k)
+    return cut.withColumns({"minx": side("x0"), "miny": F.least(side("b0"), side("b1")), "maxx": side("x1"), "maxy": F.greatest(side("t0"), side("t1"))})
+
+
 def feature_pieces(layer: DataFrame, prefix: str = "") -> DataFrame:
     """``layer`` without its rings, one row per piece: a rectangle is one piece, other features are cut into trapezoids.
 
     minx … maxy become the bbox of the piece; ``prefix`` + ``SIDES`` hold the trapezoid. A feature without area gives its segments.
     Features without geometry give no row. For a layer of boxes the second branch is planned away.
     """
-    c = F.col
-    keep = [x for x in layer.columns if x not in ("rings", "minx", "miny", "maxx", "maxy")]
-    whole = {"x0": "minx", "x1": "maxx", "b0": "miny", "b1": "miny", "t0": "maxy", "t1": "maxy"}
-    plain = layer.where(c("is_rect")).select(*keep, *[c(v).alias(prefix + k) for k, v in whole.items()], "minx", "miny", "maxx", "maxy")
-    cut = layer.where(~c("is_rect")).select(*keep, F.explode(geo.trapezoids("rings")).alias("_t")).select(*keep, *[c("_t")[k].alias(prefix + k) for k in SIDES])
-    side = lambda k: c(prefix + k)
-    cut = cut.withColumns({"minx": side("x0"), "miny": F.least(side("b0"), side("b1")), "maxx": side("x1"), "maxy": F.greatest(side("t0"), side("t1"))})
-    return plain.unionByName(cut)
+    return _whole_pieces(layer, prefix).unionByName(_cut_pieces(layer, prefix))
 
 
 def with_overlap(df: DataFrame, a: dict[str, str], b: dict[str, str]) -> DataFrame:
@@ -416,9 +426,8 @@ def join_geometry(layer: DataFrame, found: DataFrame, keys: tuple[str, ...], val
     return left.join(right, cond, "left").select(*layer.columns, *values)
 
 
-def _prefixed(layer: DataFrame, prefix: str, cell: float, tree: CellTree | None, keep) -> DataFrame:
-    """Pieces of a layer in their leaves; all columns but the leaf's carry ``prefix``."""
-    rows = feature_pieces(layer.select("id", "rings", "minx", "miny", "maxx", "maxy", "is_rect", *keep), "s_")
+def _prefixed(rows: DataFrame, prefix: str, cell: float, tree: CellTree | None) -> DataFrame:
+    """Rows in their leaves; all columns but the leaf's carry ``prefix``."""
     rows = leaves_of(rows, cell, tree)
     return rows.select("level", "lx", "ly", *[F.col(x).alias(prefix + x) for x in rows.columns if x not in ("level", "lx", "ly")])
 
@@ -429,28 +438,102 @@ def feature_pairs(a: DataFrame, b: DataFrame, cell: float, with_touch: bool = Fa
 
     ``condition``: extra predicate on prefixed columns (e.g. load order). ``tree``: cells that hold much are split (``cell_tree``).
     Pairs of pieces are kept only in the leaf of the bbox-intersection low corner, so each is measured once; the pieces of a pair
-    of features are summed where one of them is no rectangle. Pairs whose closed sets do not meet are dropped (area 0 and no
-    touch, or area 0 when ``with_touch`` is False).
+    of features are summed where one of them is no rectangle. Rectangles and other features are told apart before the join, so
+    no pair is met in two branches. Pairs whose closed sets do not meet are dropped (area 0 and no touch, or area 0 when
+    ``with_touch`` is False).
     """
     c = F.col
-    ac, bc = _prefixed(a, "a_", cell, tree, a_keep), _prefixed(b, "b_", cell, tree, b_keep)
-    j = ac.join(bc, ["level", "lx", "ly"])
-    if condition is not None:
-        j = j.where(condition)
-    lox, loy = F.greatest(c("a_minx"), c("b_minx")), F.greatest(c("a_miny"), c("b_miny"))
+
+    def halves(layer: DataFrame, prefix: str, keep) -> list[DataFrame]:
+        rows = layer.select("id", "rings", "minx", "miny", "maxx", "maxy", "is_rect", *keep)
+        return [_prefixed(f(rows, "s_"), prefix, cell, tree) for f in (_whole_pieces, _cut_pieces)]
+
     side = F.lit(float(cell)) if tree is None else tree.side(c("level"))
-    j = j.where(
-        _closed_bbox_overlap(c("a_minx"), c("a_miny"), c("a_maxx"), c("a_maxy"), c("b_minx"), c("b_miny"), c("b_maxx"), c("b_maxy"))
-        & (F.floor(lox / side) == c("lx")) & (F.floor(loy / side) == c("ly"))
-    )
+    lox, loy = F.greatest(c("a_minx"), c("b_minx")), F.greatest(c("a_miny"), c("b_miny"))
+
+    def met(x: DataFrame, y: DataFrame) -> DataFrame:
+        j = x.join(y, ["level", "lx", "ly"])
+        if condition is not None:
+            j = j.where(condition)
+        return j.where(
+            _closed_bbox_overlap(c("a_minx"), c("a_miny"), c("a_maxx"), c("a_maxy"), c("b_minx"), c("b_miny"), c("b_maxx"), c("b_maxy"))
+            & (F.floor(lox / side) == c("lx")) & (F.floor(loy / side) == c("ly"))
+        )
+
+    (a_rect, a_cut), (b_rect, b_cut) = halves(a, "a_", a_keep), halves(b, "b_", b_keep)
     keep_names = [f"a_{k}" for k in a_keep] + [f"b_{k}" for k in b_keep]
-    fast = c("a_is_rect") & c("b_is_rect")
     ox, oy = F.least(c("a_maxx"), c("b_maxx")) - lox, F.least(c("a_maxy"), c("b_maxy")) - loy
     rect_area = F.when((ox > 0) & (oy > 0), ox * oy).otherwise(F.lit(0.0))
-    out = j.where(fast).select("a_id", "b_id", rect_area.alias("area_ab"), F.lit(True).alias("touch"), *keep_names)
-    cut = with_overlap(j.where(~fast), *({k: f"{p}_s_{k}" for k in SIDES} for p in "ab"))
+    out = met(a_rect, b_rect).select("a_id", "b_id", rect_area.alias("area_ab"), F.lit(True).alias("touch"), *keep_names)
+    slow = met(a_cut, b_rect).unionByName(met(a_rect, b_cut)).unionByName(met(a_cut, b_cut))
+    cut = with_overlap(slow, *({k: f"{p}_s_{k}" for k in SIDES} for p in "ab"))
     summed = cut.groupBy("a_id", "b_id", *keep_names).agg(F.sum("area_ab").alias("area_ab"), F.max("touch").alias("touch"))
     out = out.unionByName(summed.select(*out.columns))
     if with_touch:
         return out.where(c("touch") | (c("area_ab") > 0))
     return out.where(c("area_ab") > 0)
+
+
+# ------------------------------------------------------------------ features covered by another one
+#: Relative slack of bounds, so that rounding never decides: what they leave open is measured.
+BOUND_SLACK = 1e-9
+CORE_SLACK = 1e-6
+
+
+def with_gap(layer: DataFrame) -> DataFrame:
+    """``layer`` with ``gap``: at most how much of its bbox a feature leaves free (0 for a rectangle)."""
+    c = F.col
+    box = (c("maxx") - c("minx")) * (c("maxy") - c("miny"))
+    free = (box - geo.trapezoids_area(geo.trapezoids("rings"))) * (1 + BOUND_SLACK) + box * BOUND_SLACK
+    return layer.withColumn("gap", F.when(c("is_rect"), F.lit(0.0)).otherwise(free))
+
+
+def covered(a: DataFrame, b: DataFrame, cell: float, ratio: float, at_least: bool = False, a_keep=(), b_keep=(),
+            match=(), condition=None, tree: CellTree | None = None) -> DataFrame:
+    """Distinct (id, *``a_keep``) of the features of ``a`` of whose area one feature of ``b`` covers more than ``ratio`` (``at_least``: or just that).
+
+    ``match``: (column of ``a``, column of ``b``) that must be equal, also named in the keeps; ``condition``: predicate on prefixed columns.
+
+    What covers that share of a feature meets the core of its bbox, what is left when a margin is taken off: to share an area A within a
+    bbox of height h, an overlap is at least A / h wide. So a feature of ``a`` stands in the leaves of its core (for a rectangle and
+    half its area, its middle), not in all that it meets. The join is a semi join, which ends at the first feature found: its work does not grow
+    with the number of pairs where many cover each other. Bboxes decide rectangles, and other features where bounds of the area do; what is
+    left open by them is measured piece by piece (``feature_pairs``). A layer that is stored may bring its ``gap`` (``with_gap``).
+    """
+    c = F.col
+    names = ["id", *a_keep]
+    a, b = (x if "gap" in x.columns else with_gap(x) for x in (a, b))
+    a = a.where(c("area") > 0)
+    width, height = c("maxx") - c("minx"), c("maxy") - c("miny")
+    margin = lambda extent, other: F.coalesce(F.least(extent / 2, F.try_divide(c("area") * ratio, other) * (1 - CORE_SLACK)), F.lit(0.0))
+    whole = {"w_" + x: c(x) for x in ("minx", "miny", "maxx", "maxy")}
+    bounds = ["area", "is_rect", "gap", "minx", "miny", "maxx", "maxy"]
+    asked = a.select(*names, *bounds).withColumns({**whole, "_mx": margin(width, height), "_my": margin(height, width)})
+    asked = asked.withColumns({"minx": c("minx") + c("_mx"), "miny": c("miny") + c("_my")}).withColumns(
+        {"maxx": F.greatest(c("maxx") - c("_mx"), c("minx")), "maxy": F.greatest(c("maxy") - c("_my"), c("miny"))}).drop("_mx", "_my")
+    asked = _prefixed(asked, "a_", cell, tree).drop("a_minx", "a_miny", "a_maxx", "a_maxy")
+    given = _prefixed(b.select("id", *b_keep, *bounds).withColumns(whole), "b_", cell, tree).drop("b_minx", "b_miny", "b_maxx", "b_maxy", "b_area")
+    given = given.withColumnsRenamed({"level": "b_level", "lx": "b_lx", "ly": "b_ly"})
+
+    enough = lambda area: (area > 0) & ((area / c("a_area") >= ratio) if at_least else (area > F.lit(ratio) * c("a_area")))
+    ox = F.least(c("a_w_maxx"), c("b_w_maxx")) - F.greatest(c("a_w_minx"), c("b_w_minx"))
+    oy = F.least(c("a_w_maxy"), c("b_w_maxy")) - F.greatest(c("a_w_miny"), c("b_w_miny"))
+    box = F.when((ox > 0) & (oy > 0), ox * oy).otherwise(F.lit(0.0))
+    mine = reduce(lambda p, q: p & q, [c("a_" + x) == c("b_" + y) for x, y in match] + ([condition] if condition is not None else []) or [F.lit(True)])
+    at = (c("level") == c("b_level")) & (c("lx") == c("b_lx")) & (c("ly") == c("b_ly")) & mine
+
+    def found(rows: DataFrame, test: Column) -> DataFrame:
+        return rows.join(given, at & test, "left_semi").select(*[c("a_" + n).alias(n) for n in names]).distinct()
+
+    sure = found(asked, enough(box - c("a_gap") - c("b_gap")))
+    if not any(x.where(~c("is_rect")).limit(1).count() for x in (a, b)):
+        return sure
+    sure = materialize(sure)
+    possible = enough(box * (1 + BOUND_SLACK))
+    undecided = asked.join(sure.select(*[c(n).alias("a_" + n) for n in names]), ["a_" + n for n in names], "left_anti")
+    maybe = materialize(found(undecided, possible & ~(c("a_is_rect") & c("b_is_rect"))))
+    keep = [*whole]
+    pairs = feature_pairs(a.join(maybe, names, "left_semi").withColumns(whole), b.withColumns(whole), cell, condition=mine & possible,
+                          a_keep=(*a_keep, "area", *keep), b_keep=(*b_keep, *keep), tree=tree)
+    measured = pairs.where(enough(c("area_ab"))).select(*[c("a_" + n).alias(n) for n in names])
+    return sure.unionByName(measured).distinct()

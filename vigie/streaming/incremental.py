@@ -17,8 +17,7 @@ def first_detection_increment(new: DataFrame, existing: DataFrame, cell: float,
     ``new``/``existing``: layers (id, rings, bbox, is_rect, area). A new row is first unless an existing row covers more
     than ``ratio`` of its area; a zero-area row stays first.
     """
-    pairs = C.feature_pairs(new, existing, cell, with_touch=False, a_keep=("area",))
-    covered = pairs.where(F.col("area_ab") > F.lit(ratio) * F.col("a_area")).select(F.col("a_id").alias("id")).distinct()
+    covered = C.covered(new, existing, cell, ratio)
     return new.join(covered.withColumn("_cov", F.lit(True)), "id", "left").withColumn(
         "first_detection", ~F.coalesce(F.col("_cov"), F.lit(False))).drop("_cov")
 
