@@ -59,7 +59,8 @@ def as_layer(df: DataFrame, id_col: str, rings: Column | str = "rings", keep=())
     with area 0: it can touch and be touched, but lies within nothing and covers nothing; ``degenerate`` lists such rows.
     """
     base = df.select(F.col(id_col).cast("long").alias("id"), (F.col(rings) if isinstance(rings, str) else rings).alias("rings"), *keep)
-    base = base.withColumn("rings", geo.oriented("rings"))
+    # an array of one, exploded: a filter on the columns below is not pushed under it, where it would turn the rings once for each time it names them
+    base = base.select("id", F.explode(F.array(geo.oriented("rings"))).alias("rings"), *keep)
     return base.select("*", *geo.bbox_cols("rings"), geo.is_rect("rings").alias("is_rect"), geo.area("rings").alias("area"))
 
 
