@@ -7,38 +7,67 @@ import numpy as np
 from vigie.functions import kernel as K
 
 
+#: Pairs of edges compared at once.
+AT_ONCE = 250_000
+
+
 def _split(edges: np.ndarray, tol: float) -> tuple[np.ndarray, np.ndarray]:
     """Edges cut at every point where another edge crosses or touches them: (pieces, number of the edge they are from)."""
     p, q = edges[:, :2], edges[:, 2:]
-    out, src = [], []
     d = q - p
     length = np.hypot(d[:, 0], d[:, 1])
-    for i in range(len(edges)):
-        if length[i] <= tol:
-            continue
-        r = d[i]
-        cross = r[0] * d[:, 1] - r[1] * d[:, 0]
-        rel = p - p[i]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            t = (rel[:, 0] * d[:, 1] - rel[:, 1] * d[:, 0]) / cross
-            u = (rel[:, 0] * r[1] - rel[:, 1] * r[0]) / cross
-        slack = tol / length[i]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            near = tol / length
-        hit = (np.abs(cross) > 1e-9 * length[i] * length) & (t > slack) & (t < 1 - slack) & (u >= -near) & (u <= 1 + near)
-        cuts = [0.0, 1.0, *t[hit]]
-        for ends in (p, q):  # ends of other edges that lie on this one
-            at = ends - p[i]
-            s = (at @ r) / length[i] ** 2
-            off = np.abs(at[:, 0] * r[1] - at[:, 1] * r[0]) / length[i]
-            cuts += s[(off <= tol) & (s > slack) & (s < 1 - slack)].tolist()
-        cuts = np.unique(cuts)
-        cuts = cuts[np.concatenate([[True], np.diff(cuts) > slack])]
-        points = p[i] + cuts[:, None] * r
-        points[0], points[-1] = p[i], q[i]
-        out.append(np.hstack([points[:-1], points[1:]]))
-        src += [i] * (len(points) - 1)
-    return (np.vstack(out) if out else np.zeros((0, 4))), np.array(src, int)
+    long = np.flatnonzero(length > tol)
+    out, src = [], []
+    step = max(1, AT_ONCE // max(1, len(edges)))
+    for at in range(0, len(long), step):
+        own = long[at:at + step]
+        points, of = _cut(edges[own], length[own], p, q, d, length, tol)
+        out.append(points)
+        src.append(own[of])
+    return (np.vstack(out), np.concatenate(src)) if out else (np.zeros((0, 4)), np.zeros(0, int))
+
+
+def _cut(own: np.ndarray, own_length: np.ndarray, p, q, d, length, tol: float) -> tuple[np.ndarray, np.ndarray]:
+    """The edges ``own`` cut by all edges p -> q."""
+    start, r = own[:, :2], own[:, 2:] - own[:, :2]
+    rx, ry, n = r[:, 0, None], r[:, 1, None], own_length[:, None]
+    slack = tol / n
+    cross = rx * d[:, 1] - ry * d[:, 0]
+    px, py = p[:, 0] - start[:, 0, None], p[:, 1] - start[:, 1, None]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t = (px * d[:, 1] - py * d[:, 0]) / cross
+        u = (px * ry - py * rx) / cross
+        near = tol / length
+        hit = (np.abs(cross) > 1e-9 * n * length) & (t > slack) & (t < 1 - slack) & (u >= -near) & (u <= 1 + near)
+    rows, values = [np.repeat(np.arange(len(own)), 2)], [np.tile([0.0, 1.0], len(own))]
+    rows.append(np.nonzero(hit)[0])
+    values.append(t[hit])
+    for ends in (p, q):  # ends of other edges that lie on this one
+        ex, ey = ends[:, 0] - start[:, 0, None], ends[:, 1] - start[:, 1, None]
+        s = (ex * rx + ey * ry) / n ** 2
+        on = (np.abs(ex * ry - ey * rx) / n <= tol) & (s > slack) & (s < 1 - slack)
+        rows.append(np.nonzero(on)[0])
+        values.append(s[on])
+    row, value = np.concatenate(rows), np.concatenate(values)
+    order = np.lexsort((value, row))
+    row, value = row[order], value[order]
+    kept = np.concatenate([[True], (np.diff(row) > 0) | (np.diff(value) > slack[row[1:], 0])])
+    row, value = row[kept], value[kept]
+    points = start[row] + value[:, None] * r[row]
+    first = np.concatenate([[True], np.diff(row) > 0])
+    last = np.concatenate([first[1:], [True]])
+    points[first], points[last] = own[:, :2], own[:, 2:]
+    return np.hstack([points[:-1], points[1:]])[~last[:-1]], row[~last]
+
+
+def _inside(points: np.ndarray, rings: list[np.ndarray]) -> np.ndarray:
+    """Which points lie in the rings (even-odd); all points at once."""
+    e = K.edges_of(rings)
+    x, y = points[:, 0, None], points[:, 1, None]
+    spans = (e[:, 1] > y) != (e[:, 3] > y)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        at = e[:, 0] + (y - e[:, 1]) * (e[:, 2] - e[:, 0]) / (e[:, 3] - e[:, 1])
+    return np.count_nonzero(spans & (at > x), axis=1) % 2 == 1
 
 
 def union_edges(pieces: list[tuple[list[np.ndarray], np.ndarray]], box: tuple[float, float, float, float]) -> np.ndarray:
@@ -82,8 +111,11 @@ def union_edges(pieces: list[tuple[list[np.ndarray], np.ndarray]], box: tuple[fl
     for i, (rings, _) in enumerate(pieces):
         if rings:
             ask = np.flatnonzero(~bound[:, i] & ~(left & right))
-            inside = np.array([K.point_in_rings(x, y, rings) for x, y in mid[ask]], bool)
-            left[ask[inside]] = right[ask[inside]] = True
+            pts = np.vstack(rings)
+            ask = ask[np.all((mid[ask] >= pts.min(0)) & (mid[ask] <= pts.max(0)), axis=1)]
+            if len(ask):
+                ask = ask[_inside(mid[ask], rings)]
+                left[ask] = right[ask] = True
     keep = left != right
     out = np.where(left[keep][:, None], np.hstack([start[keep], stop[keep]]), np.hstack([stop[keep], start[keep]]))
     return out

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -220,19 +222,46 @@ def edges(layer: DataFrame, keep=()) -> DataFrame:
     return e.select("id", *keep, "ring_no", a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2"))
 
 
-def _polygon_batches(cell: float):
-    import pandas as pd
+#: A polygon's part of a cell: a box, or rings; ``segs`` are its boundary there, four numbers each.
+PART = ["x0", "y0", "x1", "y1", "rings", "segs"]
+PART_SCHEMA = f"group_id long, cx long, cy long, x0 double, y0 double, x1 double, y1 double, rings {C.geo.RINGS_TYPE}, segs array<double>"
+
 
+def _box_cells(x0: float, y0: float, x1: float, y1: float, cell: float):
+    """(cx, cy, clip box, boundary) for every closed cell a box meets, as ``kernel.decompose`` gives them; the clip may have no area."""
+    for cx in range(math.floor(x0 / cell), math.floor(x1 / cell) + 1):
+        left, right = max(x0, cx * cell), min(x1, (cx + 1) * cell)
+        for cy in range(math.floor(y0 / cell), math.floor(y1 / cell) + 1):
+            low, high = max(y0, cy * cell), min(y1, (cy + 1) * cell)
+            segs: list[float] = []
+            if low == y0:
+                segs += (left, y0, right, y0)
+            if right == x1:
+                segs += (x1, low, x1, high)
+            if high == y1:
+                segs += (right, y1, left, y1)
+            if left == x0:
+                segs += (x0, high, x0, low)
+            yield cx, cy, (left, low, right, high), segs
+
+
+def _polygon_batches(cell: float):
     from vigie.functions import kernel as K
 
     def rows(batches):
         for pdf in batches:
-            for gid, pid, rings in zip(pdf["group_id"].to_numpy(), pdf["id"].to_numpy(), pdf["rings"]):
+            for gid, rings, *box in zip(pdf["group_id"].to_numpy(), pdf["rings"], *(pdf[x].to_numpy() for x in ("minx", "miny", "maxx", "maxy"))):
+                if rings is None:
+                    for cx, cy, clip, segs in _box_cells(*map(float, box), cell):
+                        yield gid, cx, cy, *clip, None, segs
+                    continue
                 for cx, cy, _, clip, segs in K.decompose(K.to_rings(rings), cell, borders=True):
-                    box = [K.box_ring(cx * cell, cy * cell, (cx + 1) * cell, (cy + 1) * cell)]
-                    yield gid, cx, cy, pid, K.from_rings(box if clip is None else clip), [] if clip is None else segs.tolist()
+                    if clip is None:
+                        yield gid, cx, cy, cx * cell, cy * cell, (cx + 1) * cell, (cy + 1) * cell, None, []
+                    else:
+                        yield gid, cx, cy, None, None, None, None, K.from_rings(clip), segs.ravel().tolist()
 
-    return lambda batches: C._frames(rows(batches), ["group_id", "cx", "cy", "pid", "rings", "segs"], 5000)
+    return lambda batches: C._frames(rows(batches), ["group_id", "cx", "cy", *PART], 5000)
 
 
 def _union_cell(cell: float):
@@ -242,9 +271,13 @@ def _union_cell(cell: float):
     from vigie.functions import kernel as K
     from vigie.functions import overlay
 
+    def part(x0, y0, x1, y1, rings, segs):
+        box = [K.box_ring(x0, y0, x1, y1)] if x1 > x0 and y1 > y0 else []
+        return (box if rings is None else K.to_rings(rings)), np.asarray(segs, float).reshape(-1, 4)
+
     def run(group: pd.DataFrame) -> pd.DataFrame:
         gid, cx, cy = (int(group[c].iloc[0]) for c in ("group_id", "cx", "cy"))
-        pieces = [(K.to_rings(r), np.array([list(x) for x in s], float).reshape(-1, 4)) for r, s in zip(group["rings"], group["segs"])]
+        pieces = [part(*row) for row in zip(*(group[x].to_numpy() for x in PART))]
         out = pd.DataFrame(overlay.union_edges(pieces, (cx * cell, cy * cell, (cx + 1) * cell, (cy + 1) * cell)), columns=["x1", "y1", "x2", "y2"])
         out.insert(0, "group_id", gid)
         return out
@@ -269,8 +302,10 @@ def dissolve(layer: DataFrame, groups: DataFrame | None = None, cell: float | No
         cell = float(side) if side else 1.0
     g = members.select("id", "rings")
     g = g.join(groups.select("id", F.col("group_id").cast("long").alias("group_id")), "id") if groups is not None else g.withColumn("group_id", F.lit(0).cast("long"))
-    schema = f"group_id long, cx long, cy long, pid long, rings {C.geo.RINGS_TYPE}, segs array<array<double>>"
-    cut = g.select("group_id", F.col("id").cast("long").alias("id"), "rings").mapInPandas(_polygon_batches(float(cell)), schema)
+    # a box goes to Python as four numbers
+    box = C.geo.is_rect("rings") & (C.geo.area("rings") > 0)
+    g = g.select("group_id", F.when(~F.coalesce(box, F.lit(False)), F.col("rings")).alias("rings"), *C.geo.bbox_cols("rings"))
+    cut = g.mapInPandas(_polygon_batches(float(cell)), PART_SCHEMA)
     return cut.groupBy("group_id", "cx", "cy").applyInPandas(_union_cell(float(cell)), EDGE_SCHEMA)
 
 
