@@ -304,7 +304,8 @@ def dissolve(layer: DataFrame, groups: DataFrame | None = None, cell: float | No
     g = g.join(groups.select("id", F.col("group_id").cast("long").alias("group_id")), "id") if groups is not None else g.withColumn("group_id", F.lit(0).cast("long"))
     # a box goes to Python as four numbers
     box = C.geo.is_rect("rings") & (C.geo.area("rings") > 0)
-    g = g.select("group_id", F.when(~F.coalesce(box, F.lit(False)), F.col("rings")).alias("rings"), *C.geo.bbox_cols("rings"))
+    g = g.select("id", "group_id", F.when(~F.coalesce(box, F.lit(False)), F.col("rings")).alias("rings"), *C.geo.bbox_cols("rings"))
+    g = g.repartition("id", "minx", "miny").drop("id")  # a small file is few tasks, and cutting is the work
     cut = g.mapInPandas(_polygon_batches(float(cell)), PART_SCHEMA)
     return cut.groupBy("group_id", "cx", "cy").applyInPandas(_union_cell(float(cell)), EDGE_SCHEMA)
 
