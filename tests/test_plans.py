@@ -21,6 +21,13 @@ def test_no_nested_loop_or_cartesian(spark, key):
         assert not any(x in plan for x in ("MapInPandas", "MapInArrow", "PythonUDF", "FlatMapGroups"))
 
 
+def test_load_finds_covered_rows_by_a_search(spark):
+    plan = E.queries()["C1_load_detections"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    # earlier detections are met in one join, which ends at the first that covers the row; no pairs are listed
+    earlier = [x for x in plan.split("\n") if "Join" in x and "b_seq#" in x]
+    assert len(earlier) == 1 and "Join LeftSemi" in earlier[0]
+
+
 def test_zone_tag_scans_the_features_once(spark):
     plan = E.queries()["S1_zone_tag"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     # boxes need no trapezoids of their own: that branch is planned away
