@@ -98,3 +98,17 @@ def test_wrong_rows_are_refused(spark, world):
         with pytest.raises(ValueError, match=say):
             store.replace_run(bad, 2, place)
     assert store.tables.table("det").version == 1
+
+
+def test_flags_of_a_replaced_run_come_from_a_search(spark, tmp_path):
+    """Rows are told covered by a semi join that ends at the first feature found, not by a list of the pairs that meet."""
+    box = lambda x, y: [np.array([(x, y), (x + 6, y), (x + 6, y + 6), (x, y + 6)], float)]
+    rows = detections(spark, [box(100 + i % 7, 100 + i % 5) for i in range(140)], [1 + i % 3 for i in range(140)])
+    store = DetectionStore(NamedTables(spark, f"file://{tmp_path}/t"), "det", SIDE, CELL, buckets=4)
+    every = C.materialize(store._tiled(rows.withColumn("first_detection", F.lit(True))))
+    out = store._flagged(every, every, 2)
+    joins = [x for x in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join" in x]
+    leaf = [x for x in joins if "lx#" in x]
+    assert len(leaf) == 1 and "Join LeftSemi" in leaf[0]
+    want = {(r["id"], r["load_seq"]): r["first_detection"] for r in flagged(rows).where("load_seq >= 2").collect()}
+    assert {(r["id"], r["load_seq"]): r["first_detection"] for r in out.where("load_seq >= 2").collect()} == want
