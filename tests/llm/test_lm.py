@@ -1,5 +1,6 @@
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -96,6 +97,55 @@ def test_gradients_match_finite_differences(monkeypatch):
             assert np.isclose((up - down) / 2e-5, g[name].reshape(-1)[at], rtol=2e-2, atol=2e-5), name
 
 
+class Rows(np.ndarray):
+    """Notes how much of it a product takes."""
+
+    taken: list[int] = []
+
+    def __array_ufunc__(self, ufunc, method, *inputs, **kwargs):
+        if ufunc is np.matmul:
+            Rows.taken.append(self.size)
+        kwargs = {k: tuple(x.view(np.ndarray) if isinstance(x, Rows) else x for x in v) if k == "out" else v for k, v in kwargs.items()}
+        return getattr(ufunc, method)(*(x.view(np.ndarray) if isinstance(x, Rows) else x for x in inputs), **kwargs)
+
+
+def test_a_training_step_does_not_project_every_id():
+    tables = tiny_tables(vocab=900, head=800)
+    params = tiny_model(tables)
+    slots = np.resize(np.array([3, 9, 1, 7]), 70)
+    w = attention.windows(slots, np.array([0, 40]), np.array([40, 70]), len(params["e"]) - 1)
+    Rows.taken.clear()
+    attention.gradients(params | {"e": params["e"].view(Rows)}, tables, w, np.zeros((len(w), attention.STRIDE), int))
+    assert Rows.taken and max(Rows.taken) < params["e"].size / 2
+
+
+def test_rows_are_summed_by_id():
+    rng = np.random.default_rng(4)
+    for kind in (np.float32, np.float64):
+        for n, ids in ((7, rng.integers(0, 7, 300)), (7, rng.choice([0, 2, 5], 300)), (1, np.zeros(6, int))):
+            x = rng.integers(-9, 9, (len(ids), 6)).astype(kind)
+            want = np.zeros((n, 6), kind)
+            np.add.at(want, ids, x)
+            got = attention._by_id(x, ids, n)
+            assert got.dtype == kind and np.array_equal(got, want)
+
+
+def test_shuffles_of_past_rounds_are_deleted(spark):
+    rng = np.random.default_rng(0)
+    ids = [rng.integers(0, 300, 100 + i % 60).astype(np.uint16) for i in range(200)]
+    df = spark.createDataFrame([(i, i * 1000003, bytearray(x.tobytes())) for i, x in enumerate(ids)], "doc_id long, text_hash long, ids binary").cache()
+    df.count()
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: set(re.findall(r"shuffle_(\d+)_", files.getAllFiles().mkString(" ")))
+    before = held()
+    lm.fit(df, rounds=6, head=64)
+    for _ in range(50):
+        if len(held() - before) <= 4:  # those of the last two rounds
+            return
+        time.sleep(0.1)
+    raise AssertionError(held() - before)
+
+
 def test_base_matches_brute_force(docs, rows):
     on = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) != 2, F.lit(True))
     got = lm.lm_scores(docs, PATH, rounds=1).collect()
